@@ -3,17 +3,22 @@
 from __future__ import annotations
 
 import os
-import re
-from collections.abc import Iterable
+from array import array
+from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-#: White space twice running (or the separator itself): such a text is encoded in one piece.
-_NO_CUT = re.compile(r"\s\s|\x00")
+#: White space twice running, white space other than spaces and line breaks, or the separator itself: such a
+#: text is encoded in one piece.
+_NO_CUT = r"[ \n][ \n]|[\x{0}\t\v\f\r\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 #: A stop or comma that doesn't follow a letter or digit belongs to the token before it.
-_NO_STOP_CUT = re.compile(r"[\W_][.,]")
-#: Known pieces are dropped beyond this many, so that a worker's memory stays bounded.
+_NO_STOP_CUT = r"(?:^|[^\pL\pN])[.,]"
+#: Pieces that weren't seen while this many others were are forgotten, so that a worker's memory stays bounded.
 KEPT_PIECES = 400_000
+#: Bytes of text that are cut up and encoded at once, besides one document.
+PART_BYTES = 6_000_000
 
 
 class Encoder:
@@ -21,7 +26,8 @@ class Encoder:
 
     The byte-level pre-tokenizer always cuts before a space or line break that follows something else, and
     between a letter or digit and a stop or comma, so texts cut there have the same ids as whole ones.
-    Texts where that is not certain are encoded whole.
+    Texts where that is not certain are encoded whole. Cutting up and finding the different pieces is done on
+    Arrow arrays.
     """
 
     def __init__(self, path: str):
@@ -30,29 +36,70 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        vocabulary = self.tokenizer.get_vocab()
+        self.sizes = np.zeros(max(vocabulary.values()) + 1, dtype=np.int64)
+        for token, i in vocabulary.items():  # one character of a token stands for one byte
+            self.sizes[i] = len(token)
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
-    @staticmethod
-    def pieces(text: str) -> list[str]:
-        if not text:
-            return []
-        if _NO_CUT.search(text):
-            return [text]
-        cut = text.replace(" ", "\0 ").replace("\n", "\0\n")
-        if not _NO_STOP_CUT.search(text) and text[0] not in ".,":
-            cut = cut.replace(".", "\0.").replace(",", "\0,")
-        return cut.split("\0")
-
-    def __call__(self, texts: Iterable[str | None]) -> list[np.ndarray]:
-        """Ids of each text, unsigned 32-bit; none for null."""
-        cut = [self.pieces(x or "") for x in texts]
-        if len(self.known) > KEPT_PIECES:
-            self.known.clear()
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def learn(self, pieces: set[str]) -> None:
+        """Encodes pieces and remembers them. Those of one white space and a word go through the library
+        together: it cuts before each white space, and the bytes of the tokens tell where a piece ends."""
         known = self.known
-        new = list({p for pieces in cut for p in pieces if p not in known})
-        for piece, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            known[piece] = np.array(e.ids, dtype="<u4").tobytes()
-        return [np.frombuffer(b"".join([known[p] for p in pieces]), dtype="<u4") for pieces in cut]
+        words = [p for p in pieces if len(p) > 1 and (p[0] == " " or p[0] == "\n")]
+        if words:
+            # a thousand words a text: longer and shorter ones both take the library more time
+            texts = ["".join(words[k : k + 1000]) for k in range(0, len(words), 1000)]
+            ids = np.concatenate([np.array(e.ids, dtype="<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
+            data = np.frombuffer("".join(texts).encode(), dtype=np.uint8)
+            begins = np.flatnonzero((data == 32) | (data == 10))
+            ends = np.searchsorted(np.cumsum(self.sizes[ids]), np.append(begins[1:], len(data))) + 1
+            blob, at = ids.tobytes(), 0
+            for word, end in zip(words, (4 * ends).tolist(), strict=True):
+                known[word] = blob[at:end]
+                at = end
+            pieces = pieces.difference(words)
+        rest = list(pieces)
+        known.update(zip(rest, self._whole(rest), strict=True))
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all the texts, unsigned 32-bit; where each text's begin, and the end). A null has none."""
+        texts = pc.fill_null(texts, "")
+        whole = pc.match_substring_regex(texts, _NO_CUT)
+        easy = pc.if_else(whole, "", texts)
+        cut = pc.replace_substring(pc.replace_substring(easy, " ", "\0 "), "\n", "\0\n")
+        finer = pc.replace_substring(pc.replace_substring(cut, ".", "\0."), ",", "\0,")
+        lists = pc.split_pattern(pc.if_else(pc.match_substring_regex(easy, _NO_STOP_CUT), cut, finer), "\0")
+        found = lists.flatten().dictionary_encode()
+        pieces = found.dictionary.to_pylist()
+        if len(self.known) > KEPT_PIECES:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        new = {p for p in pieces if p not in known}
+        back = new & older.keys()
+        known.update((p, older[p]) for p in back)
+        self.learn(new - back)
+        blobs = [known[p] for p in pieces]
+        sizes = np.fromiter(map(len, blobs), dtype=np.int64, count=len(blobs)) // 4
+        begins = np.cumsum(sizes) - sizes
+        used = found.indices.to_numpy()
+        each = sizes[used]
+        ends = np.cumsum(each)
+        total = int(ends[-1]) if len(ends) else 0
+        ids = np.frombuffer(b"".join(blobs), dtype="<u4")[np.repeat(begins[used] - ends + each, each) + np.arange(total)]
+        first = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        offsets = np.concatenate([[0], ends])[first]
+        rows = np.flatnonzero(whole.to_numpy(zero_copy_only=False))
+        if not len(rows):
+            return ids, offsets
+        parts = [ids[a:b] for a, b in zip(offsets, offsets[1:], strict=False)]
+        for i, blob in zip(rows.tolist(), self._whole(texts.take(pa.array(rows)).to_pylist()), strict=True):
+            parts[i] = np.frombuffer(blob, dtype="<u4")
+        return np.concatenate(parts), np.cumsum([0, *map(len, parts)])
 
 
 _encoders: dict[str, Encoder] = {}
@@ -65,16 +112,19 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
-def byte_lengths(path: str) -> np.ndarray:
-    """Bytes that each id of a byte-level vocabulary stands for; a byte is one character there."""
-    vocabulary = encoder(path).tokenizer.get_vocab()
-    sizes = np.zeros(max(vocabulary.values()) + 1, dtype=np.int64)
-    for token, i in vocabulary.items():
-        sizes[i] = len(token)
-    return sizes
-
-
-def slices(texts: list, size: int = 256) -> Iterable[tuple[int, list]]:
-    """(first index, part) of a batch in parts of some documents, so that only a part's ids are in memory."""
-    for at in range(0, len(texts), size):
-        yield at, texts[at : at + size]
+def encoded(path: str, batches: Iterable[pa.RecordBatch], end_id: int | None = None) -> Iterator[tuple[int | None, pa.StringScalar, np.ndarray]]:
+    """(doc_id, text, ids) of each row of batches with doc_id and text; end_id comes after the ids if given."""
+    encode = encoder(path)
+    for batch in batches:
+        at = 0
+        size = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False))
+        while at < batch.num_rows:
+            done = size[at - 1] if at else 0
+            part = batch.slice(at, max(1, int(np.searchsorted(size, done + PART_BYTES, side="right")) - at))
+            at += part.num_rows
+            ids, offsets = encode(part.column("text"))
+            if end_id is not None:
+                ids = np.insert(ids, offsets[1:], end_id)
+                offsets = offsets + np.arange(len(offsets))
+            for k, doc_id in enumerate(part.column("doc_id").to_pylist()):
+                yield doc_id, part.column("text")[k], ids[offsets[k] : offsets[k + 1]]

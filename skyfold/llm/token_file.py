@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyfold.llm.common import bases, columns_of, ranged, scratch_dir
-from skyfold.llm.encoding import encoder, slices
+from skyfold.llm.encoding import encoded
 
 # Ids a word and bits an id of selectors 1 to 15, as published for Simple-8b.
 COUNTS = [120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1]
@@ -41,8 +41,13 @@ CHUNK_IDS = 1 << 18
 CHUNK_SCHEMA = "shard int, chunk int, start long, n_ids long, doc_ids array<long>, doc_sizes array<long>, payload binary"
 
 
+_SMALL_WIDTHS = np.array([i.bit_length() for i in range(1 << 16)], dtype=np.uint8)
+
+
 def _widths(ids: np.ndarray) -> np.ndarray:
     """Bits that each id needs."""
+    if len(ids) and int(ids.max()) < len(_SMALL_WIDTHS):
+        return _SMALL_WIDTHS[ids]
     return np.searchsorted(np.left_shift(np.uint64(1), np.arange(64, dtype=np.uint64)), ids, side="right").astype(np.uint8)
 
 
@@ -67,7 +72,7 @@ def encode_ids(ids: np.ndarray) -> bytes:
         count, bits = COUNTS[selector - 1], BITS[selector - 1]
         p = 1 << (count.bit_length() - 1)
         m = np.maximum(largest[p][:, :BLOCK], largest[p][:, count - p : count - p + BLOCK])
-        chosen[m <= bits] = selector
+        np.copyto(chosen, selector, where=m <= bits)
     size = np.full(blocks, BLOCK, dtype=np.int64)
     if blocks:
         size[-1] = n - BLOCK * (blocks - 1)
@@ -144,7 +149,7 @@ def write_token_file(docs: DataFrame, path: str, vocabulary: str, end_id: int =
     """
 
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, shard = encoder(vocabulary), TaskContext.get().partitionId()
+        shard = TaskContext.get().partitionId()
         start = chunk = 0
         names: list = []
         held: list[np.ndarray] = []
@@ -159,15 +164,12 @@ def write_token_file(docs: DataFrame, path: str, vocabulary: str, end_id: int =
             types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
             return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, types, strict=True)], names=["shard", "chunk", "start", "n_ids", "doc_ids", "doc_sizes", "payload"])
 
-        for batch in batches:
-            doc_ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
-            for at, part in slices(texts):
-                for k, found in enumerate(encode(part)):
-                    names.append(doc_ids[at + k])
-                    held.append(np.append(found, np.uint32(end_id)))
-                    ids += len(held[-1])
-                    if ids >= CHUNK_IDS:
-                        yield flush()
+        for doc_id, _, own in encoded(vocabulary, batches, end_id):
+            names.append(doc_id)
+            held.append(own)
+            ids += len(own)
+            if ids >= CHUNK_IDS:
+                yield flush()
         if held:
             yield flush()
 
