@@ -7,7 +7,6 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 
@@ -69,4 +68,5 @@ def bounded_broadcast(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if fits(df, rows) else df
 
 
-LONGS = T.ArrayType(T.LongType())
+#: Bytes of UTF-8 to words: A-Z lower-cased, white space for all of ASCII but digits and letters.
+TO_WORDS = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
