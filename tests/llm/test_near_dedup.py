@@ -1,0 +1,159 @@
+import random
+import re
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from skyfold.llm.near_dedup import _forest, aligned_runs, components, keep_one, labelled, near_duplicates, pairs_of_bucket, shingles, similar, word_hashes
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def shingle_set(text):
+    w = WORD.findall((text or "").lower())
+    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+
+def prose(rng, n):
+    return [f"w{rng.randrange(4000)}" for _ in range(n)]
+
+
+def edited(rng, words, edits):
+    out = list(words)
+    for _ in range(edits):
+        at = rng.randrange(len(out))
+        kind = rng.randrange(3)
+        if kind == 0:
+            out[at] = f"new{rng.randrange(9999)}"
+        elif kind == 1:
+            del out[at]
+        else:
+            out.insert(at, f"ins{rng.randrange(9999)}")
+    return out
+
+
+@pytest.fixture(scope="module")
+def corpus():
+    """Groups of edited copies, a star of thousands at other sizes, shared passages, exact copies and odd texts."""
+    rng = random.Random(5)
+    texts = []
+    passage = prose(rng, 60)
+    for g in range(40):
+        base = prose(rng, rng.randrange(60, 400))
+        texts.append(" ".join(base))
+        for _ in range(rng.randrange(0, 4)):
+            texts.append(" ".join(edited(rng, base, max(1, len(base) // 90))))
+        if g % 4 == 0:
+            texts.append(" ".join(prose(rng, 80) + passage + prose(rng, 80)))
+        if g % 5 == 0:
+            texts += [" ".join(base)] * 3
+    star = prose(rng, 300)
+    texts += [" ".join(edited(rng, star, 4)) for _ in range(60)]
+    long = prose(rng, 9000)
+    texts += [" ".join(long), " ".join(edited(rng, long, 30))]
+    texts += ["one two", "one two", "One, two!", "one three", "", "", None, "a b c d e", "a b c d e f", "..."]
+    rng.shuffle(texts)
+    return dict(enumerate(texts, start=100))
+
+
+def brute_classes(texts):
+    sets = {i: shingle_set(t) for i, t in texts.items()}
+    parent = {i: i for i in texts}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    by = defaultdict(list)
+    for i, s in sets.items():
+        for x in s:
+            by[x].append(i)
+    for own in by.values():
+        for a in own:
+            for b in own:
+                if a < b and find(a) != find(b):
+                    both = len(sets[a] & sets[b])
+                    if both >= 0.8 * (len(sets[a]) + len(sets[b]) - both):
+                        parent[max(find(a), find(b))] = min(find(a), find(b))
+    return {i: find(i) for i in texts}
+
+
+def test_classes_against_brute_force(spark, make_docs, corpus):
+    rows = near_duplicates(make_docs(corpus)).collect()
+    found = {r.doc_id: r.class_id for r in rows}
+    expected = brute_classes(corpus)
+    assert len(rows) == len(corpus)
+    assert {i: c for i, c in found.items() if c != expected[i]} == {}
+    sizes = defaultdict(int)
+    for c in expected.values():
+        sizes[c] += 1
+    assert all(r.class_size == sizes[r.class_id] for r in rows)
+    assert sum(r.kept for r in rows) == len(sizes)
+
+
+def test_keep_one(spark, make_docs, corpus):
+    docs = make_docs([*corpus.items(), (100, corpus[100]), (None, "no id"), (None, "no id")])
+    kept = keep_one(docs, near_duplicates(docs))
+    assert kept.columns == docs.columns
+    found = [r.doc_id for r in kept.collect()]
+    assert sorted(x for x in found if x is not None) == sorted(set(brute_classes(corpus).values()))
+    assert found.count(None) == 1
+
+
+def test_empty_table(spark, make_docs):
+    docs = make_docs([])
+    assert near_duplicates(docs).count() == 0
+    assert keep_one(docs, near_duplicates(docs)).count() == 0
+
+
+@given(st.lists(st.integers(0, 3), max_size=25), st.lists(st.integers(0, 3), max_size=25))
+@settings(max_examples=300, deadline=None)
+def test_alignment_is_a_longest_common_subsequence(a, b):
+    table = np.zeros((len(a) + 1, len(b) + 1), dtype=int)
+    for i, x in enumerate(a):
+        for j, y in enumerate(b):
+            table[i + 1, j + 1] = table[i, j] + 1 if x == y else max(table[i, j + 1], table[i + 1, j])
+    edits = len(a) + len(b) - 2 * int(table[-1, -1])
+    runs = aligned_runs(np.array(a), np.array(b), 60)
+    assert sum(runs) == table[-1, -1] and len(runs) == edits + 1
+    assert aligned_runs(np.array(a), np.array(b), edits - 1) is None or edits == 0
+
+
+def test_similar_and_shuffled():
+    rng = random.Random(1)
+    base = prose(rng, 400)
+    other = edited(rng, base, 3)
+    assert similar(word_hashes(" ".join(base)), word_hashes(" ".join(other)))
+    assert not similar(word_hashes(" ".join(base)), word_hashes(" ".join(prose(rng, 400))))
+    blocks = [base[i : i + 40] for i in range(0, 400, 40)]
+    rng.shuffle(blocks)
+    assert not similar(word_hashes(" ".join(base)), word_hashes(" ".join(sum(blocks, []))))
+
+
+def test_hashes():
+    assert len(word_hashes("Ab,ab  AB\nçä Çä")) == 5 and len(set(word_hashes("Ab,ab  AB\nçä Çä").tolist())) == 3
+    assert len(shingles(word_hashes("a b"))) == 1 and len(shingles(word_hashes(""))) == 0
+    x = np.array([5, 7, 5, 5], dtype=np.uint64)
+    assert len(set(labelled(x).tolist())) == 4 and labelled(x)[0] == 5
+
+
+def test_forest_and_second_round():
+    agreed = np.array([[0, 9, 5, 0], [9, 0, 6, 0], [5, 6, 0, 0], [0, 0, 0, 0]], dtype=np.int16)
+    assert sorted(map(lambda e: tuple(sorted(e)), _forest(agreed))) == [(0, 1), (1, 2)]
+    table = np.arange(24)[None, :].repeat(4, axis=0)
+    sides = np.zeros(4, dtype=int)
+    assert len(pairs_of_bucket(table, 0, sides, 4, None)) == 3
+    assert pairs_of_bucket(table, 1, sides, 4, None) == []
+    assert len(pairs_of_bucket(table, 0, sides, 4, np.array([0, 0, 1, 1]))) == 4
+    assert len(pairs_of_bucket(table, 0, np.array([0, 1, 1, 1]), 4, np.array([0, 1, 2, 3]))) == 3
+
+
+def test_components(spark):
+    edges = [(b"%02d" % a, b"%02d" % b) for a, b in [(1, 2), (2, 3), (9, 3), (5, 6), (20, 21), (21, 22), (22, 23), (23, 24), (24, 20), (6, 6), (30, 5)]]
+    found = {bytes(r.uid).decode(): bytes(r.comp).decode() for r in components(spark.createDataFrame(edges, "a binary, b binary")).collect()}
+    assert found == {"01": "01", "02": "01", "03": "01", "09": "01", "05": "05", "06": "05", "30": "05", **{str(k): "20" for k in range(20, 25)}}
+    assert components(spark.createDataFrame([], "a binary, b binary")).count() == 0
