@@ -6,10 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from skyfold.llm import decontamination, licenses, near_dedup, pii, quality, resampling, url_filter
+from skyfold.llm.attribution import section_tokens
+from skyfold.llm.packing import pack_documents
 from skyfold.llm.token_file import token_digest
 
+#: Hosts whose pages stand for a published list of URLs.
+LISTED_HOSTS = ("spam-farm.example.org", "cheap-pills.example.com")
+#: The share of documents that resampling keeps.
+KEPT_SHARE = 0.8
 
-def _vocabulary() -> str:
+
+def vocabulary() -> str:
     import public_tokenizers
 
     return public_tokenizers.path("byte_bpe_50k.json")
@@ -20,12 +28,97 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_simple8b_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_digest(_table(spark, sf_dir, "documents"), _vocabulary(), end_id=2)
+    return token_digest(_table(spark, sf_dir, "documents"), vocabulary(), end_id=2)
+
+
+def op2_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(_table(spark, sf_dir, "documents")).drop("uid")
+
+
+def op3_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    good = _table(spark, sf_dir, "labels").where("quality = 1 and toxic = 0").select("doc_id").distinct()
+    return resampling.resample(docs, docs.join(good, "doc_id", "left_semi"), share=KEPT_SHARE)
+
+
+def op4_disclosure_sanitisation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pii_digest(pii.find_pii(_table(spark, sf_dir, "documents")))
+
+
+def op5_prefix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("key")
+
+
+def op6_fuzzy_license_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.find_licenses(_table(spark, sf_dir, "documents"))
+
+
+def op7_quality_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return quality.judge(docs, quality.train(docs, _table(spark, sf_dir, "labels")))
+
+
+def op8_offset_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return section_tokens(_table(spark, sf_dir, "documents"), vocabulary(), rule="largest")
+
+
+def op9_ordered_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(_table(spark, sf_dir, "documents"), vocabulary(), budget=2048, end_id=1)
+
+
+def op10_bloom_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    return url_filter.filter_urls(pages, url_filter.listed_on_hosts(pages, LISTED_HOSTS)).drop("maybe_listed")
+
+
+QUERIES = (
+    op1_simple8b_token_file,
+    op2_order_minhash,
+    op3_importance_resampling,
+    op4_disclosure_sanitisation,
+    op5_prefix_decontamination,
+    op6_fuzzy_license_search,
+    op7_quality_regression,
+    op8_offset_attribution,
+    op9_ordered_packing,
+    op10_bloom_url_filter,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simple8b_token_file,)}
+    return {f.__name__: f for f in QUERIES}
+
+
+_URL_ORACLE = r"""
+WITH p AS (
+  SELECT page_id, url, strpos(coalesce(url, ''), '://') AS at, substr(url, strpos(url, '://') + 3) AS rest FROM pages
+), s AS (
+  SELECT page_id,
+         CASE WHEN at > 0 THEN translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE '' END AS host,
+         CASE WHEN at > 0 THEN regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) ELSE '' END AS path
+  FROM p
+), c AS (
+  SELECT *, regexp_replace(regexp_replace(host, ':(80|443)$', ''), '^www\.', '') || regexp_replace(path, '/+$', '') AS canonical,
+         regexp_replace(host, '^www\.', '') AS bare FROM s
+), listed AS (
+  SELECT DISTINCT canonical FROM c WHERE bare IN ('spam-farm.example.org', 'cheap-pills.example.com')
+), r AS (
+  SELECT *, CASE
+    WHEN (host = 'www.example.com' OR ends_with(host, '.www.example.com')) AND starts_with(path, '/en/') THEN 'www.example.com/en/'
+    WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/en/') THEN 'example.com/en/'
+    WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/es/') THEN 'net/es/'
+    WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/fr/') THEN 'net/fr/'
+    WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/') THEN 'com/'
+  END AS rule FROM c
+)
+SELECT page_id, host, path, rule, CASE
+  WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow'
+  WHEN rule IS NOT NULL THEN 'block'
+  WHEN host <> '' AND canonical IN (SELECT canonical FROM listed) THEN 'block'
+  ELSE 'allow' END AS verdict
+FROM r
+"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_prefix_decontamination": decontamination.ORACLE, "op10_bloom_url_filter": _URL_ORACLE}
