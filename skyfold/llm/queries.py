@@ -91,11 +91,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 _URL_ORACLE = r"""
 WITH p AS (
-  SELECT page_id, url, strpos(coalesce(url, ''), '://') AS at, substr(url, strpos(url, '://') + 3) AS rest FROM pages
+  SELECT page_id, url, strpos(coalesce(url, ''), '://') AS place, substr(url, strpos(url, '://') + 3) AS rest FROM pages
 ), s AS (
   SELECT page_id,
-         CASE WHEN at > 0 THEN translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE '' END AS host,
-         CASE WHEN at > 0 THEN regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) ELSE '' END AS path
+         CASE WHEN place > 0 THEN translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE '' END AS host,
+         CASE WHEN place > 0 THEN regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) ELSE '' END AS path
   FROM p
 ), c AS (
   SELECT *, regexp_replace(regexp_replace(host, ':(80|443)$', ''), '^www\.', '') || regexp_replace(path, '/+$', '') AS canonical,
