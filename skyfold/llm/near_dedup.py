@@ -5,18 +5,21 @@ A text is its words; its k-mers are five words running, labelled with how often
 order, so two sketches agree in an entry when the same k-mers stand in the same order: alike in the sense of
 edits, not of word sets alone. Texts that agree in one entry share a bucket.
 
-Equal texts are one vertex from the start. In a bucket sketches are compared as arrays, in blocks of bounded
-size, never joined row by row, and pairs leave it in two rounds:
-
-  1. of the pairs that agree in `least_agreed` entries or more, a spanning forest of the most agreement;
-  2. after verification and connected components, every such pair of texts that are still in different ones.
-
-Each pair belongs to the first entry that it agrees in, so it leaves one bucket only. A group of thousands of
-copies thus yields links in proportion to its size, and no pair that could still join two classes is left out.
-
-A pair is verified on its words. Its five-word shingles must have a Jaccard similarity of 0.8 or more, which no
-alignment can exceed; then a banded alignment, an O(ND) one whose band grows with the edits, must put most of
-the shared shingles in the same order.
+  1. Equal texts become one vertex.
+  2. In each bucket sketches are compared as arrays. Pairs that agree in `least_agreed` entries or more are
+     candidates; a spanning forest of them leaves the bucket, each pair from the first entry that it agrees in.
+  3. The forests' components are candidate groups: any two candidates are in the same one. Every text goes to
+     its group once.
+  4. In a group all pairs are verified where they are, as a product of two matrices, and a spanning forest of the
+     verified links leaves it. Its components are the classes.
+
+Both comparisons run in blocks of bounded size; a bucket or group that is larger is dealt out as pairs of blocks.
+So a group of thousands of copies yields links in proportion to its size, no pair of rows is ever made by a join,
+and no link between two texts that could join their classes is left out.
+
+A verified pair has five-word shingles with a Jaccard similarity of 0.8 or more, which no alignment can exceed,
+and a banded alignment, an O(ND) one whose band grows with the edits, that puts most of the shared shingles in
+the same order.
 """
 
 from __future__ import annotations
@@ -28,11 +31,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyfold.llm.common import TO_WORDS, bounded_broadcast, columns_of, fits, written
+from skyfold.llm.common import TO_WORDS, bounded_broadcast, columns_of, written
 
 SHINGLE = 5
-#: Rows of a bucket that one task compares with one another, or with as many others.
-BLOCK = 1500
+#: Texts of a bucket or group that are compared with one another, or with as many others, at once.
+BLOCK = 800
+#: Characters of a group's block.
+BLOCK_CHARS = 8_000_000
 #: Broadcast at most so many texts' keys; more are joined by a shuffle.
 BROADCAST_KEYS = 200_000
 
@@ -133,11 +138,10 @@ def _forest(agreed: np.ndarray) -> list[tuple[int, int]]:
     return edges
 
 
-def pairs_of_bucket(table: np.ndarray, entry: int, sides: np.ndarray, least_agreed: int, component: np.ndarray | None) -> list[tuple[int, int]]:
-    """Places of the pairs that a bucket gives away.
+def pairs_of_bucket(table: np.ndarray, entry: int, sides: np.ndarray, least_agreed: int) -> list[tuple[int, int]]:
+    """Places of the pairs that a bucket gives away: a spanning forest of its candidates.
 
     table: a sketch a row. sides: the block of each row; where there are two, only pairs across them count.
-    component: None in the first round; then only pairs of different ones count, and all of them.
     """
     n = len(table)
     agreed = np.zeros((n, n), dtype=np.int16)
@@ -149,58 +153,61 @@ def pairs_of_bucket(table: np.ndarray, entry: int, sides: np.ndarray, least_agre
             earlier |= same
     agreed[earlier | (agreed < least_agreed)] = 0
     np.fill_diagonal(agreed, 0)
-    if len(set(sides.tolist())) > 1:
+    if sides.min() != sides.max():
         agreed[sides[:, None] == sides[None, :]] = 0
-    if component is None:
-        return _forest(agreed)
-    agreed[component[:, None] == component[None, :]] = 0
-    return [(int(i), int(j)) for i, j in zip(*np.nonzero(np.triu(agreed)), strict=True)]
+    return _forest(agreed)
 
 
-def candidate_pairs(members: DataFrame, least_agreed: int, second: bool) -> DataFrame:
-    """(a, b), a < b, uids of the pairs that the buckets give away.
+def dealt(rows: DataFrame, keys: list[str], blocks) -> DataFrame:
+    """rows with own, i and j: each row goes to the pairs of blocks that its own block is in."""
+    own = F.pmod(F.xxhash64("uid"), blocks).cast("int")
+    placed = rows.withColumn("own", own).withColumn("_other", F.explode(F.sequence(F.lit(0), blocks.cast("int") - 1)))
+    return placed.withColumn("i", F.least("own", "_other")).withColumn("j", F.greatest("own", "_other")).drop("_other")
 
-    members: uid, sketch, and comp in the second round. Buckets of over BLOCK texts are dealt out as pairs of
-    blocks, each a task's work of bounded size.
-    """
-    spark = members.sparkSession
-    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    spread = members.select("uid", F.posexplode("sketch").alias("entry", "key"))
+
+def gathered(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """Rows of a key running together, in partitions by key."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.select(*keys, *columns).repartition(n, *keys).sortWithinPartitions(*keys, "uid")
+
+
+def runs_of(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[tuple]]:
+    """The rows of each key in turn, where they run together and the key is the first columns."""
+    held: list[tuple] = []
+    for batch in batches:
+        for row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            if held and held[0][:keys] != row[:keys]:
+                yield held
+                held = []
+            held.append(row)
+    if held:
+        yield held
+
+
+def candidate_pairs(sketched: DataFrame, least_agreed: int) -> DataFrame:
+    """(a, b), a < b, uids of the pairs that the buckets of (uid, sketch) give away."""
+    spread = sketched.select("uid", F.posexplode("sketch").alias("entry", "key"))
     sizes = spread.groupBy("entry", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     shared = written(spread.join(sizes, ["entry", "key"]), "buckets")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("uid"), F.ceil(F.col("n") / BLOCK)).cast("int")
-    placed = shared.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    placed = placed.select("uid", "entry", "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own")
-    full = placed.join(members, "uid").repartition(n_parts, "entry", "key", "i", "j").sortWithinPartitions("entry", "key", "i", "j", "uid")
-    columns = ["uid", "entry", "key", "i", "j", "own", "sketch"] + ["comp"] * second
+    placed = dealt(shared, ["entry", "key"], F.ceil(F.col("n") / BLOCK)).join(sketched, "uid")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def pairs(group: list) -> tuple[list, list]:
-            table = np.array([g[6] for g in group], dtype=np.int64)
-            component = np.unique([g[7] for g in group], return_inverse=True)[1] if second else None
-            found = pairs_of_bucket(table, group[0][1], np.array([g[5] for g in group]), least_agreed, component)
-            ends = [sorted((group[x][0], group[y][0])) for x, y in found]
-            return [e[0] for e in ends], [e[1] for e in ends]
-
-        held: list = []
-        for batch in batches:
-            left: list = []
-            right: list = []
-            for row in zip(*[batch.column(c).to_pylist() for c in columns], strict=True):
-                if held and held[0][1:5] != row[1:5]:
-                    if len(held) > 1:
-                        a, b = pairs(held)
-                        left += a
-                        right += b
-                    held = []
-                held.append(row)
-            yield pa.RecordBatch.from_arrays([pa.array(left, pa.binary()), pa.array(right, pa.binary())], names=["a", "b"])
-        if len(held) > 1:
-            left, right = pairs(held)
+        left: list = []
+        right: list = []
+        for group in runs_of(batches, 4):
+            if len(group) > 1:
+                table = np.array([g[6] for g in group], dtype=np.int64)
+                for x, y in pairs_of_bucket(table, group[0][0], np.array([g[5] for g in group]), least_agreed):
+                    a, b = sorted((group[x][4], group[y][4]))
+                    left.append(a)
+                    right.append(b)
+            if len(left) > 10_000:
+                yield pa.RecordBatch.from_arrays([pa.array(left, pa.binary()), pa.array(right, pa.binary())], names=["a", "b"])
+                left, right = [], []
+        if left:
             yield pa.RecordBatch.from_arrays([pa.array(left, pa.binary()), pa.array(right, pa.binary())], names=["a", "b"])
 
-    return full.select(*columns).mapInArrow(rows, "a binary, b binary").distinct()
+    return gathered(placed, ["entry", "key", "i", "j"], ["uid", "own", "sketch"]).mapInArrow(rows, "a binary, b binary").distinct()
 
 
 def aligned_runs(a: np.ndarray, b: np.ndarray, most: int) -> list[int] | None:
@@ -257,42 +264,87 @@ def _runs(trace: list[dict[int, tuple[int, int]]], k: int) -> list[int]:
     return runs
 
 
-def similar(a: np.ndarray, b: np.ndarray, threshold: float = 0.8, in_order: float = 0.5) -> bool:
-    """Whether two texts, as word hashes, are near-duplicates."""
-    p, q = np.unique(shingles(a)), np.unique(shingles(b))
-    if not len(p) or not len(q) or min(len(p), len(q)) < threshold * max(len(p), len(q)):
-        return False
-    both = len(np.intersect1d(p, q, assume_unique=True))
-    if both < threshold * (len(p) + len(q) - both) - 1e-9:
-        return False
+def in_order(a: np.ndarray, b: np.ndarray, least: float) -> bool:
+    """Whether an alignment of two texts puts a `least` share of their shingles in the same order."""
     if min(len(a), len(b)) < SHINGLE:
         return bool(np.array_equal(a, b))
-    runs = aligned_runs(a, b, int(2 * (1 - in_order) * max(len(a), len(b))) + 2)
+    runs = aligned_runs(a, b, int(2 * (1 - least) * max(len(a), len(b))) + 2)
     if runs is None:
         return False
     ordered = sum(max(0, r - SHINGLE + 1) for r in runs)
-    return ordered >= in_order * (len(a) + len(b) - 2 * (SHINGLE - 1) - ordered)
-
-
-def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """The pairs that are near-duplicates. texts: uid and text, of which those of the pairs are looked up."""
-    needed = pairs.select(F.col("a").alias("uid")).unionByName(pairs.select(F.col("b").alias("uid"))).distinct()
-    own = written(texts.join(bounded_broadcast(needed, BROADCAST_KEYS), "uid").groupBy("uid").agg(F.first("text").alias("text")), "texts")
-    left = own.select(F.col("uid").alias("a"), F.col("text").alias("x"))
-    right = own.select(F.col("uid").alias("b"), F.col("text").alias("y"))
+    return ordered >= least * (len(a) + len(b) - 2 * (SHINGLE - 1) - ordered)
+
+
+def shared_shingles(sets: list[np.ndarray], columns: int = 4096) -> np.ndarray:
+    """How many numbers each two of some sets share: a product of incidence matrices, some columns at a time."""
+    n = len(sets)
+    values, place, uses = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(n), [len(x) for x in sets])
+    held = uses[place] > 1
+    row, place = row[held], (np.cumsum(uses > 1) - 1)[place[held]]
+    order = np.argsort(place, kind="stable")
+    row, place = row[order], place[order]
+    common = np.zeros((n, n), dtype=np.float32)
+    for at in range(0, int(place[-1]) + 1 if len(place) else 0, columns):
+        low, high = np.searchsorted(place, [at, at + columns])
+        m = np.zeros((n, columns), dtype=np.float32)
+        m[row[low:high], place[low:high] - at] = 1
+        common += m @ m.T
+    np.fill_diagonal(common, [len(x) for x in sets])
+    return common
+
+
+def links_of_group(texts: list[str], sides: np.ndarray, threshold: float, least_in_order: float) -> tuple[list[tuple[int, int]], np.ndarray]:
+    """(a spanning forest of the verified links, how many texts each is similar to) in one group or pair of blocks."""
+    words = [word_hashes(t) for t in texts]
+    sets = [np.unique(shingles(w)) for w in words]
+    common = shared_shingles(sets)
+    sizes = np.array([len(x) for x in sets], dtype=np.float32)
+    alike = common >= threshold * (sizes[:, None] + sizes[None, :] - common) - 1e-3
+    np.fill_diagonal(alike, False)
+    if sides.min() != sides.max():
+        alike &= sides[:, None] != sides[None, :]
+    a, b = np.nonzero(np.triu(alike))
+    best = np.argsort(-(common[a, b] / (sizes[a] + sizes[b] - common[a, b])), kind="stable")
+    parent = list(range(len(texts)))
+
+    def top(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    forest = []
+    for x, y in zip(a[best].tolist(), b[best].tolist(), strict=True):
+        p, q = top(x), top(y)
+        if p != q and in_order(words[x], words[y], least_in_order):
+            parent[p] = q
+            forest.append((x, y))
+    return forest, alike.sum(axis=1)
+
+
+def verified_links(groups: DataFrame, texts: DataFrame, threshold: float, least_in_order: float = 0.5) -> DataFrame:
+    """(a, b, n): links, with b, and counts of similar texts of a, without.
+
+    groups: uid and comp. texts: uid and text, of which those of the groups are looked up.
+    """
+    known = bounded_broadcast(groups, BROADCAST_KEYS)
+    own = written(texts.join(known, "uid").groupBy("uid").agg(F.first("comp").alias("comp"), F.first("text").alias("text")), "texts")
+    stats = own.groupBy("comp").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).alias("chars"))
+    blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.least(F.ceil(F.col("chars") / BLOCK_CHARS), F.ceil(F.col("n") / 2)))
+    placed = dealt(own.join(stats, "comp"), ["comp"], blocks)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            known: dict[str, np.ndarray] = {}
-            kept = []
-            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
-                for t in (x, y):
-                    if t not in known:
-                        known[t] = word_hashes(t)
-                kept.append(similar(known[x], known[y], threshold))
-            yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
+        for group in runs_of(batches, 3):
+            if len(group) < 2:
+                continue
+            forest, alike = links_of_group([g[5] for g in group], np.array([g[4] for g in group]), threshold, least_in_order)
+            out = [(group[x][3], group[y][3], 0) for x, y in forest]
+            out += [(g[3], None, int(k)) for g, k in zip(group, alike, strict=True) if k]
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), (pa.binary(), pa.binary(), pa.int64()), strict=True)], names=["a", "b", "n"])
 
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(rows, "a binary, b binary")
+    return gathered(placed, ["comp", "i", "j"], ["uid", "own", "text"]).mapInArrow(rows, "a binary, b binary, n long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -322,26 +374,19 @@ def components(edges: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, entries: int = 24, taken: int = 3, least_agreed: int = 4) -> DataFrame:
     """One row a document: doc_id, uid, class_id, class_size, n_links and kept.
 
-    class_id is the least doc_id of the document's class, class_size its rows, n_links the verified links of its
-    text to other texts. kept marks the rows of class_id's text: repeated rows are all marked. A text without
-    words, null and empty ones too, is in no class but its own: its uid is null and it is kept. Null doc_ids come
-    after others; an empty table gives no rows; other columns are not looked at.
+    class_id is the least doc_id of the document's class, class_size its rows, n_links the other texts of its
+    candidate group that are similar to its own. kept marks the rows of class_id's text: repeated rows are all
+    marked. A text without words, null and empty ones too, is in no class but its own and is kept. Null doc_ids
+    come after others; an empty table gives no rows; other columns are not looked at.
     """
     own = columns_of(docs).withColumn("uid", F.unhex(F.md5(F.col("text").cast("binary"))))
     texts = own.select("uid", "text").where("text is not null")
     # a text on a third of the rows is sketched in each task that has it, and is one row from here on
-    found = written(sketches(own.where("text is not null"), entries, taken).groupBy("uid").agg(F.first("sketch").alias("sketch")), "sketches")
-    first = written(candidate_pairs(found, least_agreed, False), "pairs")
-    links = written(verified(first, texts, threshold), "links")
-    comps = written(components(links), "components")
-    second = candidate_pairs(found.join(comps, "uid", "left").withColumn("comp", F.coalesce("comp", "uid")), least_agreed, True)
-    second = written(second.join(first, ["a", "b"], "left_anti"), "pairs")
-    if not second.isEmpty():
-        more = written(verified(second, texts, threshold), "links")
-        links = links.unionByName(more)
-        if not more.isEmpty():
-            comps = written(components(links), "components")
-    degree = links.select(F.col("a").alias("uid")).unionByName(links.select(F.col("b").alias("uid"))).groupBy("uid").agg(F.count(F.lit(1)).alias("n_links"))
+    found = written(sketches(texts, entries, taken).groupBy("uid").agg(F.first("sketch").alias("sketch")), "sketches")
+    groups = written(components(candidate_pairs(found, least_agreed)), "groups")
+    links = written(verified_links(groups, texts, threshold), "links")
+    comps = written(components(links.where("b is not null").select("a", "b")), "components")
+    degree = links.where("b is null").groupBy(F.col("a").alias("uid")).agg(F.sum("n").alias("n_links"))
     # doc_ids and rows of each text, then of each class
     head = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "uid"))
     per_text = own.where(F.col("uid").isNotNull()).groupBy("uid").agg(head.alias("head"), F.count(F.lit(1)).alias("n"))
@@ -349,7 +394,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, entries: int = 24,
     per_text = written(per_text.where("n > 1 or comp is not null").withColumn("comp", F.coalesce("comp", "uid")), "texts")
     per_class = per_text.groupBy("comp").agg(F.min("head").alias("head"), F.sum("n").alias("class_size"))
     named = written(per_text.drop("head", "n").join(per_class, "comp").select("uid", "head", "class_size", "n_links"), "classes")
-    joined = own.select("doc_id", "uid").join(F.broadcast(named) if fits(named, BROADCAST_KEYS) else named, "uid", "left")
+    joined = own.select("doc_id", "uid").join(bounded_broadcast(named, BROADCAST_KEYS), "uid", "left")
     return joined.select(
         "doc_id",
         "uid",

@@ -7,7 +7,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from skyfold.llm.near_dedup import _forest, aligned_runs, components, keep_one, labelled, near_duplicates, pairs_of_bucket, shingles, similar, word_hashes
+from skyfold.llm.near_dedup import _forest, aligned_runs, components, keep_one, labelled, near_duplicates, pairs_of_bucket, links_of_group, shingles, shared_shingles, word_hashes
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -123,15 +123,33 @@ def test_alignment_is_a_longest_common_subsequence(a, b):
     assert aligned_runs(np.array(a), np.array(b), edits - 1) is None or edits == 0
 
 
+def alike(*texts):
+    forest, n = links_of_group([" ".join(t) for t in texts], np.zeros(len(texts), dtype=int), 0.8, 0.5)
+    return len(forest), n.tolist()
+
+
 def test_similar_and_shuffled():
     rng = random.Random(1)
     base = prose(rng, 400)
     other = edited(rng, base, 3)
-    assert similar(word_hashes(" ".join(base)), word_hashes(" ".join(other)))
-    assert not similar(word_hashes(" ".join(base)), word_hashes(" ".join(prose(rng, 400))))
-    blocks = [base[i : i + 40] for i in range(0, 400, 40)]
-    rng.shuffle(blocks)
-    assert not similar(word_hashes(" ".join(base)), word_hashes(" ".join(sum(blocks, []))))
+    assert alike(base, other) == (1, [1, 1])
+    assert alike(base, prose(rng, 400)) == (0, [0, 0])
+    assert alike(base, other, edited(rng, base, 3), prose(rng, 30)) == (2, [2, 2, 2, 0])
+    blocks = [base[i : i + 100] for i in range(0, 400, 100)]
+    assert alike(base, sum(blocks[::-1], []))[0] == 0  # as many shingles, in another order
+
+
+def test_shared_shingles():
+    rng = np.random.default_rng(0)
+    sets = [np.unique(rng.integers(0, 60, k)).astype(np.uint64) for k in (0, 1, 5, 30, 80, 80)]
+    found = shared_shingles(sets, columns=7)
+    assert all(found[i, j] == len(np.intersect1d(x, y)) for i, x in enumerate(sets) for j, y in enumerate(sets))
+
+
+def test_blocks_lose_no_link(spark, make_docs, corpus, monkeypatch):
+    monkeypatch.setattr("skyfold.llm.near_dedup.BLOCK", 7)
+    found = {r.doc_id: r.class_id for r in near_duplicates(make_docs(corpus)).collect()}
+    assert found == brute_classes(corpus)
 
 
 def test_hashes():
@@ -141,15 +159,13 @@ def test_hashes():
     assert len(set(labelled(x).tolist())) == 4 and labelled(x)[0] == 5
 
 
-def test_forest_and_second_round():
+def test_forest():
     agreed = np.array([[0, 9, 5, 0], [9, 0, 6, 0], [5, 6, 0, 0], [0, 0, 0, 0]], dtype=np.int16)
     assert sorted(map(lambda e: tuple(sorted(e)), _forest(agreed))) == [(0, 1), (1, 2)]
     table = np.arange(24)[None, :].repeat(4, axis=0)
-    sides = np.zeros(4, dtype=int)
-    assert len(pairs_of_bucket(table, 0, sides, 4, None)) == 3
-    assert pairs_of_bucket(table, 1, sides, 4, None) == []
-    assert len(pairs_of_bucket(table, 0, sides, 4, np.array([0, 0, 1, 1]))) == 4
-    assert len(pairs_of_bucket(table, 0, np.array([0, 1, 1, 1]), 4, np.array([0, 1, 2, 3]))) == 3
+    assert len(pairs_of_bucket(table, 0, np.zeros(4, dtype=int), 4)) == 3
+    assert pairs_of_bucket(table, 1, np.zeros(4, dtype=int), 4) == []
+    assert len(pairs_of_bucket(table, 0, np.array([0, 1, 1, 1]), 4)) == 3
 
 
 def test_components(spark):
