@@ -216,7 +216,8 @@ def wire_parse(spark, sf_dir):
 
 
 def modes_crc(spark, sf_dir):
-    return _events(spark, sf_dir).select("event_id", modes.parity(_binary([_byte(k) for k in range(14)])).alias("remainder"))
+    own = _events(spark, sf_dir).select("event_id", _binary([_byte(k) for k in range(14)]).alias("frame"))
+    return own.select("event_id", modes.parity(F.col("frame")).alias("remainder"))
 
 
 def frames(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -85,7 +85,7 @@ f AS (
 
 
 def _hex(n: str) -> str:
-    return f"lpad(to_hex({n}), 2, '0')"
+    return f"lower(lpad(to_hex({n}), 2, '0'))"
 
 
 def oracle_sql() -> dict[str, str]:
