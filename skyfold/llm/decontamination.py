@@ -1,61 +1,95 @@
 """Operator 5: benchmark decontamination by a prefix-filtered set join, in DataFrame functions alone.
 
-A window is `size` consecutive words of an item, or the whole of a shorter one. As a set of words a window is
-contained in a document only if each of its words is, so one word is a sufficient prefix: the one that is
-rarest over all documents (ties: the lesser word). Documents' words meet only these prefix words; the prefix
-word's place in the window and the lengths bound where the window could stand; and each candidate is verified
-word by word there. A word of a document inside any occurrence of a window is hit.
-
-Words meet by lower(), which joins at least what lower-casing A-Z alone joins; the verification lower-cases
-A-Z alone and is exact.
+A window is `size` consecutive words of an item, or the whole of a shorter one. As a set its elements are its
+shingles, runs of five words (of a shorter window, all its words). A document contains a window only if it
+contains each shingle, so one is a sufficient prefix: the one that is rarest over all documents.
+
+  1. Documents' shingles meet those of all windows in one pass over the texts. What meets, with its place, is
+     written down; everything after this works on those rows alone, and no text is shuffled.
+  2. Shingles are ordered by how often they stand in all documents. A window with one that never does is dropped.
+  3. Each window's prefix shingle, joined with the places, gives candidates; its place in the window and the
+     lengths bound where the window could stand.
+  4. A candidate holds where shingles that cover its words stand at just those places: as words, A-Z lower-cased,
+     they are equal, so this is exact.
+
+A word of a document inside any occurrence of a window is hit.
 """
 
 from __future__ import annotations
 
 import string
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyfold.llm.common import bounded_broadcast, columns_of, text_key, written
 
-#: What is no word character: ASCII other than digits and letters. The second form is for text lower-cased before.
+#: What is no word character: ASCII other than digits and letters.
 NO_WORD = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-#: Broadcast at most so many prefix or benchmark words; more are joined by a shuffle.
-BROADCAST_WORDS = 200_000
+SHINGLE = 5
+#: Broadcast at most so many shingles, windows or contaminated documents; more are joined by a shuffle.
+BROADCAST_ROWS = 200_000
 
 
 def words(text: Column) -> Column:
-    """The words of a text, as they are written; none of null."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), NO_WORD), lambda w: w != "")
+    """The words of a text, A-Z lower-cased and nothing else; none of null."""
+    small = F.translate(F.coalesce(text, F.lit("")), string.ascii_uppercase, string.ascii_lowercase)
+    return F.array_remove(F.split(small, NO_WORD), "")
 
 
-def small(text: Column) -> Column:
-    """A-Z lower-cased, nothing else."""
-    return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
+def shingles(w: Column, size: int) -> Column:
+    """Each run of `size` words, a space between them; null where there are fewer words."""
+    places = F.when(F.size(w) >= size, F.sequence(F.lit(0), F.size(w) - size))
+    return F.transform(places, lambda i: F.concat_ws(" ", *[F.get(w, i + k) for k in range(size)]))
 
 
 def item_windows(items: DataFrame, size: int = 13, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """One row a different window: window (array of words, A-Z lower-cased) and items (ids of those that have it)."""
-    own = items.select(F.coalesce(F.col(id_col).cast("string"), F.lit("null")).alias("item"), words(small(F.col(text_col))).alias("w")).where(F.size("w") > 0)
+    """One row a different window: window (array of words) and items (ids of those that have it)."""
+    own = items.select(F.coalesce(F.col(id_col).cast("string"), F.lit("null")).alias("item"), words(F.col(text_col)).alias("w")).where(F.size("w") > 0)
     starts = F.sequence(F.lit(1), F.greatest(F.size("w") - F.lit(size - 1), F.lit(1)))
     each = own.select("item", "w", F.explode(starts).alias("s")).select("item", F.slice("w", F.col("s"), F.lit(size)).alias("window"))
     return each.groupBy("window").agg(F.sort_array(F.collect_set("item")).alias("items"))
 
 
-def rarity(docs: DataFrame, windows: DataFrame) -> DataFrame:
-    """How often each word of the windows stands in all documents; words that never do are missing."""
-    vocabulary = windows.select(F.explode("window").alias("word")).select(F.lower("word").alias("word")).distinct()
-    every = docs.select(F.explode(words(F.col("text"))).alias("word")).select(F.lower("word").alias("word"))
-    return every.join(bounded_broadcast(vocabulary, BROADCAST_WORDS), "word").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+def window_shingles(windows: DataFrame, sizes: list[int]) -> DataFrame:
+    """(window, m, t, at, shingle): m words in the window, t in its shingles, at a shingle's place."""
+    per_size = [windows.where(F.least(F.size("window"), F.lit(SHINGLE)) == t).select("window", F.size("window").alias("m"), F.lit(t).alias("t"), F.posexplode(shingles(F.col("window"), t)).alias("at", "shingle")) for t in sizes]
+    return reduce(DataFrame.unionByName, per_size)
 
 
-def with_prefix(windows: DataFrame, frequency: DataFrame) -> DataFrame:
-    """windows with prefix, their rarest word by lower(), and at, its first place counted from 0."""
-    placed = windows.select("window", "items", F.posexplode("window").alias("at", "word")).withColumn("prefix", F.lower("word"))
-    known = placed.join(frequency.withColumnRenamed("word", "prefix"), "prefix", "left")
-    rarest = F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "prefix", "at")).alias("r")
-    return known.groupBy("window").agg(rarest, F.first("items").alias("items")).where("r.n > 0").select("window", "items", "r.prefix", "r.at")
+def places(docs: DataFrame, vocabulary: DataFrame, sizes: list[int]) -> DataFrame:
+    """(doc, n, pos, shingle) of every shingle of the vocabulary in docs (doc and text); n words in the document."""
+    own = docs.select("doc", words(F.col("text")).alias("w"))
+    per_size = [own.select("doc", F.size("w").alias("n"), F.posexplode(shingles(F.col("w"), t)).alias("pos", "shingle")) for t in sizes]
+    return reduce(DataFrame.unionByName, per_size).join(bounded_broadcast(vocabulary, BROADCAST_ROWS), "shingle")
+
+
+def with_prefix(placed: DataFrame, frequency: DataFrame) -> DataFrame:
+    """(window, m, shingle, at) of the rarest shingle of each window of which every shingle stands in some document."""
+    known = placed.join(frequency, "shingle", "left")
+    rarest = F.min(F.struct("n", "shingle", "at")).alias("r")
+    return known.groupBy("window", "m").agg(F.bool_and(F.col("n").isNotNull()).alias("all"), rarest).where("all").select("window", "m", "r.shingle", "r.at")
+
+
+def covering(placed: DataFrame) -> DataFrame:
+    """(window, at, shingle, needed): shingles that cover all of a window's words, and how many they are."""
+    cover = placed.where((F.col("at") % F.col("t") == 0) | (F.col("at") + F.col("t") == F.col("m")))
+    return cover.select("window", "at", "shingle", F.ceil(F.col("m") / F.col("t")).alias("needed"))
+
+
+def occurrences(found: DataFrame, placed: DataFrame) -> DataFrame:
+    """(doc, window, start, m) of each place where a window of `placed` stands. found: rows of places()."""
+    frequency = found.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"))
+    prefixes = written(with_prefix(placed, frequency), "prefixes")
+    start = F.col("pos") - F.col("at")
+    candidates = found.join(bounded_broadcast(prefixes, BROADCAST_ROWS), "shingle").where((start >= 0) & (start + F.col("m") <= F.col("n")))
+    candidates = candidates.select("doc", "window", start.alias("start"), "m")
+    asked = candidates.join(bounded_broadcast(covering(placed), BROADCAST_ROWS), "window").withColumn("pos", F.col("start") + F.col("at"))
+    there = asked.join(found.select("doc", "pos", "shingle"), ["doc", "pos", "shingle"], "left_semi")
+    # repeated documents ask twice for the same place
+    met = there.groupBy("doc", "window", "start", "m").agg(F.size(F.collect_set("at")).alias("met"), F.first("needed").alias("needed"))
+    return met.where("met = needed").select("doc", "window", "start", "m")
 
 
 def find_contamination(docs: DataFrame, items: DataFrame, size: int = 13, share: int = 20) -> DataFrame:
@@ -66,35 +100,29 @@ def find_contamination(docs: DataFrame, items: DataFrame, size: int = 13, share:
     window. An item_id that is null counts as one named "null"; ids on several rows count once. Repeated
     documents are judged alike, an empty table gives no rows, and other columns are not looked at.
     """
-    own = columns_of(docs)
-    windows = written(item_windows(items, size), "windows")
-    prefixes = written(with_prefix(windows, rarity(own, windows)), "prefixes")
-    placed = own.select("doc_id", text_key().alias("key"), words(F.col("text")).alias("w"))
-    each = placed.select("doc_id", "key", F.size("w").alias("n"), F.posexplode("w").alias("pos", "word")).withColumn("prefix", F.lower("word"))
-    near = each.join(bounded_broadcast(prefixes, BROADCAST_WORDS), "prefix")
-    start = F.col("pos") - F.col("at")
-    near = near.where((start >= 0) & (start + F.size("window") <= F.col("n")))  # where the window would fit
-    candidate = F.struct(start.alias("start"), "window", "items")
-    found = near.groupBy(F.col("doc_id").alias("_doc"), F.col("key").alias("_key")).agg(F.collect_set(candidate).alias("candidates"))
-    whole = own.select("doc_id", text_key().alias("key"), "text", F.size(words(F.col("text"))).alias("n"))
-    joined = whole.join(found, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("key") == F.col("_key")), "left")
-    # a second, exact look at documents with candidates alone
-    judged = joined.withColumn("w", F.when(F.col("candidates").isNotNull(), words(F.col("text"))))
-    judged = judged.withColumn("hits", F.filter("candidates", lambda c: F.transform(F.slice("w", c.start + 1, F.size(c.window)), small) == c.window))
-    spans = F.array_sort(F.transform("hits", lambda c: F.struct(c.start.alias("start"), (c.start + F.size(c.window)).alias("stop"))))
+    own = columns_of(docs).select("doc_id", text_key().alias("key"), "text")
+    own = own.withColumn("doc", F.struct("doc_id", "key"))  # structs with nulls in them meet in joins
+    windows = item_windows(items, size).withColumn("window_id", F.monotonically_increasing_id())
+    windows = written(windows, "windows")
+    sizes = [r.t for r in windows.select(F.least(F.size("window"), F.lit(SHINGLE)).alias("t")).distinct().collect()]  # SHINGLE numbers at most
+    placed = written(window_shingles(windows, sizes or [SHINGLE]).join(windows.select("window", "window_id"), "window").drop("window").withColumnRenamed("window_id", "window"), "shingles")
+    found = written(places(own, placed.select("shingle").distinct(), sizes or [SHINGLE]), "places")
+    hits = occurrences(found, placed).join(bounded_broadcast(windows.select(F.col("window_id").alias("window"), "items"), BROADCAST_ROWS), "window")
+    per_doc = hits.groupBy("doc").agg(F.array_sort(F.collect_set(F.struct("start", (F.col("start") + F.col("m")).alias("stop")))).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("names"))
     none = F.struct(F.lit(0).alias("end"), F.lit(0).alias("hit"))
-    covered = F.aggregate(spans, none, lambda a, s: F.struct(F.greatest(a["end"], s.stop).alias("end"), (a["hit"] + F.greatest(s.stop - F.greatest(s.start, a["end"]), F.lit(0))).alias("hit")), lambda a: a["hit"])
-    names = F.array_sort(F.array_distinct(F.flatten(F.transform("hits", lambda c: c["items"]))))
-    n_hit, n_words = F.coalesce(covered, F.lit(0)).cast("long"), F.col("n").cast("long")
-    judged = judged.select("doc_id", "key", n_words.alias("n_words"), n_hit.alias("n_hit"), F.coalesce(names, F.array().cast("array<string>")).alias("names"))
-    return judged.select(
-        "doc_id",
-        "key",
+    covered = F.aggregate("spans", none, lambda a, s: F.struct(F.greatest(a["end"], s.stop).alias("end"), (a["hit"] + F.greatest(s.stop - F.greatest(s.start, a["end"]), F.lit(0))).alias("hit")), lambda a: a["hit"])
+    judged = written(per_doc.select("doc", covered.alias("hit"), "names"), "hits")
+    all_docs = own.select("doc", F.size(words(F.col("text"))).cast("long").alias("n_words"))
+    joined = all_docs.join(bounded_broadcast(judged, BROADCAST_ROWS), "doc", "left")
+    n_hit, names = F.coalesce("hit", F.lit(0)).cast("long"), F.coalesce("names", F.array().cast("array<string>"))
+    return joined.select(
+        "doc.doc_id",
+        "doc.key",
         "n_words",
-        "n_hit",
-        F.size("names").cast("long").alias("n_items"),
-        F.sha2(F.array_join("names", ","), 256).alias("items_sha256"),
-        ((F.col("n_hit") > 0) & (F.lit(share) * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"),
+        n_hit.alias("n_hit"),
+        F.size(names).cast("long").alias("n_items"),
+        F.sha2(F.array_join(names, ","), 256).alias("items_sha256"),
+        ((n_hit > 0) & (F.lit(share) * n_hit >= F.col("n_words"))).alias("contaminated"),
     )
 
 
