@@ -6,7 +6,7 @@ whole-stage code generation.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 GENERATOR = 0xFFF409
@@ -82,42 +82,39 @@ def squawk(id13: Column) -> Column:
     return F.concat(*[_permuted(id13, g).cast("string") for g in (_A, _B, _C, _D)])
 
 
-def gillham(code: Column) -> Column:
-    """Feet of a Gillham-coded 13-bit altitude (Q and M clear); null for codes that stand for none."""
-    # five hundreds: Gray code of D2 D4 A1 A2 A4 B1 B2 B4; one hundreds: of C1 C2 C4
-    gray = _permuted(code, [2, 0, 11, 9, 7, 5, 3, 1])
-    high = gray
-    for shift in (1, 2, 4):
-        high = high.bitwiseXOR(F.shiftright(high, shift))
-    low = _permuted(code, [12, 10, 8])
-    for shift in (1, 2):
-        low = low.bitwiseXOR(F.shiftright(low, shift))
-    valid = ~low.isin(0, 5, 6) & (bits(code, 4, 1) == 0)
-    five = F.when(low == 7, F.lit(5)).otherwise(low)
-    step = F.when(bits(high, 0, 1) == 1, 6 - five).otherwise(five)
-    feet = high * 500 + step * 100 - 1300
-    return F.when(valid & (feet >= -1200), feet).cast("int")
-
-
-def altitude13(ac13: Column) -> Column:
-    """Feet of a 13-bit altitude code; null for 0, which means unknown, and for codes without a meaning."""
-    quarter = F.shiftright(ac13, 2).bitwiseAND(F.lit(0x7E0)).bitwiseOR(F.shiftright(ac13, 1).bitwiseAND(F.lit(0x10))).bitwiseOR(ac13.bitwiseAND(F.lit(0xF)))
-    metres = F.shiftright(ac13, 1).bitwiseAND(F.lit(0xFC0)).bitwiseOR(ac13.bitwiseAND(F.lit(0x3F)))
-    return (
-        F.when(ac13 == 0, F.lit(None))
-        .when(bits(ac13, 6, 1) == 1, F.round(metres * 3.28084).cast("int"))
-        .when(bits(ac13, 4, 1) == 1, (quarter * 25 - 1000).cast("int"))
-        .otherwise(gillham(ac13))
-        .cast("int")
-    )
+def thirteen(ac12: Column) -> Column:
+    """The 13-bit altitude code of a 12-bit one, which is without the metric bit."""
+    return F.shiftleft(F.shiftright(ac12, 6), 7).bitwiseOR(ac12.bitwiseAND(F.lit(0x3F)))
+
+
+def _binary_of_gray(gray: Column, size: int) -> Column:
+    found = gray
+    for shift in range(1, size):
+        found = found.bitwiseXOR(F.shiftright(gray, shift))
+    return found
+
 
+def with_altitude(df: DataFrame, code: str, out: str) -> DataFrame:
+    """df with `out`: feet of the 13-bit altitude code in `code`; null for 0, which means unknown, and for codes
+    without a meaning.
 
-def altitude12(ac12: Column) -> Column:
-    """Feet of a 12-bit altitude code: a 13-bit one without its metric bit."""
-    return altitude13(F.shiftleft(F.shiftright(ac12, 6), 7).bitwiseOR(ac12.bitwiseAND(F.lit(0x3F))))
+    Codes come in steps of 25 feet (Q set), in metres (M set) or Gillham-coded: five hundreds as a Gray code of D2 D4
+    A1 A2 A4 B1 B2 B4, one hundreds of C1 C2 C4. Each step is a column, so that generated code stays small.
+    """
+    c = F.col(code)
+    quarter = F.shiftright(c, 2).bitwiseAND(F.lit(0x7E0)).bitwiseOR(F.shiftright(c, 1).bitwiseAND(F.lit(0x10))).bitwiseOR(c.bitwiseAND(F.lit(0xF)))
+    metres = F.shiftright(c, 1).bitwiseAND(F.lit(0xFC0)).bitwiseOR(c.bitwiseAND(F.lit(0x3F)))
+    staged = df.withColumns({"_gray": _permuted(c, [2, 0, 11, 9, 7, 5, 3, 1]), "_small": _permuted(c, [12, 10, 8])})
+    staged = staged.withColumns({"_high": _binary_of_gray(F.col("_gray"), 8), "_low": _binary_of_gray(F.col("_small"), 3)})
+    high, low = F.col("_high"), F.col("_low")
+    five = F.when(low == 7, F.lit(5)).otherwise(low)
+    staged = staged.withColumn("_feet", high * 500 + F.when(bits(high, 0, 1) == 1, 6 - five).otherwise(five) * 100 - 1300)
+    gillham = F.when(~low.isin(0, 5, 6) & (bits(c, 4, 1) == 0) & (F.col("_feet") >= -1200), F.col("_feet"))
+    feet = F.when(c == 0, F.lit(None)).when(bits(c, 6, 1) == 1, F.round(metres * 3.28084).cast("long")).when(bits(c, 4, 1) == 1, quarter * 25 - 1000).otherwise(gillham)
+    return staged.withColumn(out, feet.cast("int")).drop("_gray", "_small", "_high", "_low", "_feet")
 
 
-def decode(frames, frame: str = "frame"):
+def decode(frames: DataFrame, frame: str = "frame") -> DataFrame:
     """frames with icao, kind, parity_bit, lat_cpr, lon_cpr, alt_ft, ca_ground, call_sign, squawk, emergency and
     reject_reason.
 
@@ -147,17 +144,16 @@ def decode(frames, frame: str = "frame"):
     staged = staged.withColumn("reject_reason", reason).withColumn("kind", F.when(F.col("reject_reason").isNull(), kind))
     k = F.col("kind")
     fix = k.isin("airborne", "surface")
-    code = F.when(k == "squawk", squawk(F.col("_field")))
-    return staged.withColumns(
+    staged = staged.withColumn("squawk", F.when(k == "squawk", squawk(F.col("_field"))))
+    staged = staged.withColumn("_code", F.when(k == "airborne", thirteen(bits(me, 36, 12))).when(k == "altitude", F.col("_field")))
+    return with_altitude(staged, "_code", "alt_ft").withColumns(
         {
             "icao": F.when(k.isNotNull(), F.when(squitter, unsigned(f, 1, 3)).otherwise(F.col("_parity"))).cast("int"),
             "parity_bit": F.when(fix, bits(me, 34, 1)).cast("int"),
             "lat_cpr": F.when(fix, bits(me, 17, 17)).cast("int"),
             "lon_cpr": F.when(fix, bits(me, 0, 17)).cast("int"),
-            "alt_ft": F.when(k == "airborne", altitude12(bits(me, 36, 12))).when(k == "altitude", altitude13(F.col("_field"))),
             "ca_ground": (df == 17) & (bits(unsigned(f, 0, 1), 0, 3) == 4),
             "call_sign": F.when(k == "callsign", call_sign(me)),
-            "squawk": code,
-            "emergency": F.coalesce(code.isin(*EMERGENCY_SQUAWKS), F.lit(False)),
+            "emergency": F.coalesce(F.col("squawk").isin(*EMERGENCY_SQUAWKS), F.lit(False)),
         }
-    ).drop("_df", "_parity", "_me", "_field")
+    ).drop("_df", "_parity", "_me", "_field", "_code")

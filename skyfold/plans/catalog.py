@@ -223,10 +223,10 @@ def modes_crc(spark, sf_dir):
 def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     """seq and frame: intact and broken frames of each kind, from whole numbers of event_id."""
     n = F.col("event_id")
-    pick = n % 7
-    icao = (n * 7919 + 4660) % 16777216
-    a, b, c, d = ((n * k) % 8 for k in (3, 5, 7, 11))
-    steps = (n * 37) % 1900
+    parts = {"pick": n % 7, "icao": (n * 7919 + 4660) % 16777216, "steps": (n * 37) % 1900, **{x: (n * k) % 8 for x, k in zip("abcd", (3, 5, 7, 11), strict=True)}}
+    # each part a column of its own, so that it is written into the generated code once
+    own = _events(spark, sf_dir).select(n.alias("event_id"), *[c.cast("long").alias(x) for x, c in parts.items()])
+    pick, icao, steps, a, b, c, d = (F.col(x) for x in parts)
 
     def shifted(value: Column, by: int) -> Column:
         return F.shiftleft(value.cast("long"), by)
@@ -237,26 +237,26 @@ def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     def digits(value: Column, places: list[int]) -> Column:
         return shifted(F.shiftright(value, 2), places[0]) + shifted(F.shiftright(value, 1).bitwiseAND(F.lit(1)), places[1]) + shifted(value.bitwiseAND(F.lit(1)), places[2])
 
-    steps13 = alt13(steps)
+    own = own.withColumn("steps13", alt13(steps)).withColumn("ident", digits(a, [7, 9, 11]) + digits(b, [1, 3, 5]) + digits(c, [8, 10, 12]) + digits(d, [0, 2, 4]))
+    steps13 = F.col("steps13")
     ac12 = shifted(F.shiftright(steps13, 7), 6) + steps13.bitwiseAND(F.lit(63))
     fix = shifted((n * 13) % 2, 34) + shifted((n * 1009) % 131072, 17) + (n * 2003 + 77) % 131072
     letters = [a + 1, b + 1, c + 1, d + 48, *[F.lit(32)] * 4]
     name = sum((shifted(x, 42 - 6 * k) for k, x in enumerate(letters[1:], 1)), shifted(letters[0], 42))
-    me = F.when(pick == 0, shifted(F.lit(11), 51) + shifted(ac12, 36) + fix).when(pick == 1, shifted(F.lit(4), 51) + name).otherwise(shifted(F.lit(7), 51) + fix)
-    ident = digits(a, [7, 9, 11]) + digits(b, [1, 3, 5]) + digits(c, [8, 10, 12]) + digits(d, [0, 2, 4])
-    code = F.when(pick.isin(3, 5), ident).otherwise(steps13)
-    head = F.when(pick == 3, F.lit(5)).when(pick == 4, F.lit(4)).when(pick == 5, F.lit(21)).otherwise(F.lit(11))
+    own = own.withColumn("me", F.when(pick == 0, shifted(F.lit(11), 51) + shifted(ac12, 36) + fix).when(pick == 1, shifted(F.lit(4), 51) + name).otherwise(shifted(F.lit(7), 51) + fix))
+    own = own.withColumn("code", F.when(pick.isin(3, 5), F.col("ident")).otherwise(steps13))
+    own = own.withColumn("head", F.when(pick == 3, F.lit(5)).when(pick == 4, F.lit(4)).when(pick == 5, F.lit(21)).otherwise(F.lit(11)))
 
     def hexed(value: Column, size: int) -> Column:
         return F.lpad(F.hex(value.cast("long")), 2 * size, "0")
 
-    squitter = F.concat(F.lit("8D"), hexed(icao, 3), hexed(me, 7))
-    reply = F.concat(hexed(head * 8, 1), F.lit("00"), hexed(code, 2), F.when(pick == 5, F.lit("00" * 7)).otherwise(F.lit("")))
-    data = F.when(pick <= 2, squitter).otherwise(reply)
-    zero = F.unhex(F.concat(data, F.lit("000000")))
-    own = _events(spark, sf_dir).select(n.alias("seq"), data.alias("_data"), zero.alias("_zero"), F.when(pick <= 2, F.lit(0).cast("long")).otherwise(icao).alias("_over"), F.when((n % 10 == 3) & (pick <= 2), F.lit(7)).otherwise(F.lit(0)).cast("long").alias("_flaw"))
-    check = modes.parity(F.col("_zero")).bitwiseXOR(F.col("_over")).bitwiseXOR(F.col("_flaw"))
-    return own.select("seq", F.unhex(F.concat("_data", hexed(check, 3))).alias("frame"))
+    squitter = F.concat(F.lit("8D"), hexed(icao, 3), hexed(F.col("me"), 7))
+    reply = F.concat(hexed(F.col("head") * 8, 1), F.lit("00"), hexed(F.col("code"), 2), F.when(pick == 5, F.lit("00" * 7)).otherwise(F.lit("")))
+    own = own.withColumn("_data", F.when(pick <= 2, squitter).otherwise(reply)).withColumn("_zero", F.unhex(F.concat("_data", F.lit("000000"))))
+    flaw = F.when((n % 10 == 3) & (pick <= 2), F.lit(7)).otherwise(F.lit(0)).cast("long")
+    over = F.when(pick <= 2, F.lit(0).cast("long")).otherwise(icao)
+    check = modes.parity(F.col("_zero")).bitwiseXOR(over).bitwiseXOR(flaw)
+    return own.select(n.alias("seq"), F.unhex(F.concat("_data", hexed(check, 3))).alias("frame"))
 
 
 def modes_decode(spark, sf_dir):
