@@ -120,8 +120,8 @@ class QualityModel:
         return 1 / (1 + np.exp(-np.clip(self.slope * self.score(text) + self.shift, -500, 500)))
 
 
-def _features(labelled: DataFrame, hashing: Hashing) -> list[tuple[int, np.ndarray, np.ndarray]]:
-    """(label, places, values) of each row; hashed on the executors, so texts don't come to the driver."""
+def _features(labelled: DataFrame, hashing: Hashing) -> DataFrame:
+    """label, places and values (little-endian int32 and float32) of each row."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -137,15 +137,33 @@ def _features(labelled: DataFrame, hashing: Hashing) -> list[tuple[int, np.ndarr
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int32(), pa.binary(), pa.binary()), strict=True)], names=["label", "at", "value"])
 
-    found = labelled.mapInArrow(hashed, "label int, at binary, value binary").collect()
-    return [(r.label, np.frombuffer(r.at, dtype="<i4"), np.frombuffer(r.value, dtype="<f4")) for r in found]
+    return labelled.mapInArrow(hashed, "label int, at binary, value binary")
+
+
+def _descent(fit: list[tuple[int, np.ndarray, np.ndarray]], size: int, epochs: int, rate: float) -> tuple[np.ndarray, float]:
+    """(weights, bias) by stochastic descent with a rate of its own for each weight."""
+    # rarer labels weigh as much as frequent ones; calibration puts the prior back
+    share = np.mean([r[0] for r in fit])
+    balance = (0.5 / (1 - share), 0.5 / share)
+    weights, squares, bias, bias_squares = np.zeros(size), np.full(size, 1e-8), 0.0, 1e-8
+    for _ in range(epochs):
+        for label, at, value in fit:
+            z = bias + weights[at] @ value
+            slip = balance[label] * (1 / (1 + np.exp(-np.clip(z, -500, 500))) - label)
+            g = slip * value
+            squares[at] += g * g
+            weights[at] -= rate * g / np.sqrt(squares[at])
+            bias_squares += slip * slip
+            bias -= rate * slip / np.sqrt(bias_squares) / 10
+    return weights, float(bias)
 
 
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", most_rows: int = 3000, epochs: int = 12, rate: float = 4.0, seed: int = 7) -> QualityModel | None:
     """Fits the regression on labelled rows and calibrates it on every fifth of them, held out.
 
-    most_rows bounds the sample: the labelled doc_ids of the least hashes, whatever the table's size. None if no
-    row has either label; rows with a null label or text don't count. A doc_id labelled twice counts twice.
+    most_rows bounds the sample: the labelled doc_ids of the least hashes, whatever the table's size. The bounded
+    sample is fitted in one task, and the weights alone come to the driver. None if no row has either label; rows
+    with a null label or text don't count. A doc_id labelled twice counts twice.
     """
     wanted = (
         labels.where(F.col(label_col).isin(0, 1) & F.col("doc_id").isNotNull())
@@ -155,30 +173,30 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", most_r
     )
     labelled = columns_of(docs).where("text is not null").join(F.broadcast(wanted), "doc_id").select("doc_id", "text", "label")
     hashing = Hashing()
-    rows = _features(labelled, hashing)
-    rows.sort(key=lambda r: (r[0], r[1].tobytes(), r[2].tobytes()))  # whatever order the tasks ended in
-    np.random.default_rng(seed).shuffle(rows)
-    fit, held = [r for k, r in enumerate(rows) if k % 5], rows[::5]
-    if len({r[0] for r in fit}) < 2:
+
+    def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = []
+        for batch in batches:
+            for label, at, value in zip(*[batch.column(c).to_pylist() for c in ("label", "at", "value")], strict=True):
+                rows.append((label, np.frombuffer(at, dtype="<i4"), np.frombuffer(value, dtype="<f4")))
+        rows.sort(key=lambda r: (r[0], r[1].tobytes(), r[2].tobytes()))  # whatever order the tasks ended in
+        np.random.default_rng(seed).shuffle(rows)
+        fit, held = [r for k, r in enumerate(rows) if k % 5], rows[::5]
+        if len({r[0] for r in fit}) < 2:
+            return
+        weights, bias = _descent(fit, hashing.size, epochs, rate)
+        scores = np.array([bias + weights[at] @ value for _, at, value in held])
+        truth = np.array([r[0] for r in held])
+        slope, shift = _calibrated(scores, truth)
+        right = float(((slope * scores + shift > 0) == (truth > 0)).mean()) if len(held) else 1.0
+        found = (weights.astype("<f4").tobytes(), bias, slope, shift, len(held), right)
+        yield pa.RecordBatch.from_arrays([pa.array([x]) for x in found], names=["weights", "bias", "slope", "shift", "n_held", "accuracy"])
+
+    found = _features(labelled, hashing).repartition(1).mapInArrow(fitted, "weights binary, bias double, slope double, shift double, n_held long, accuracy double").collect()
+    if not found:
         return None
-    # rarer labels weigh as much as frequent ones; calibration puts the prior back
-    share = np.mean([r[0] for r in fit])
-    balance = (0.5 / (1 - share), 0.5 / share)
-    weights, squares, bias, bias_squares = np.zeros(hashing.size), np.full(hashing.size, 1e-8), 0.0, 1e-8
-    for _ in range(epochs):
-        for label, at, value in fit:
-            z = bias + weights[at] @ value
-            slip = balance[label] * (1 / (1 + np.exp(-np.clip(z, -500, 500))) - label)
-            g = slip * value
-            squares[at] += g * g
-            weights[at] -= rate * g / np.sqrt(squares[at])
-            bias_squares += slip * slip
-            bias -= rate * slip / np.sqrt(bias_squares) / 10
-    scores = np.array([bias + weights[at] @ value for _, at, value in held])
-    truth = np.array([r[0] for r in held])
-    slope, shift = _calibrated(scores, truth)
-    right = ((slope * scores + shift > 0) == (truth > 0)).mean() if len(held) else 1.0
-    return QualityModel(hashing, weights.astype(np.float32), float(bias), slope, shift, {"rows": len(held), "accuracy": float(right)})
+    (m,) = found
+    return QualityModel(hashing, np.frombuffer(bytes(m.weights), dtype="<f4"), m.bias, m.slope, m.shift, {"rows": m.n_held, "accuracy": m.accuracy})
 
 
 def _calibrated(scores: np.ndarray, truth: np.ndarray, steps: int = 60) -> tuple[float, float]:
