@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from skyfold.llm import decontamination, licenses, near_dedup, pii, quality, resampling, url_filter
 from skyfold.llm.attribution import section_tokens
+from skyfold.llm.common import bounded_broadcast
 from skyfold.llm.packing import pack_documents
 from skyfold.llm.token_file import token_digest
 
@@ -15,6 +16,8 @@ from skyfold.llm.token_file import token_digest
 LISTED_HOSTS = ("spam-farm.example.org", "cheap-pills.example.com")
 #: The share of documents that resampling keeps.
 KEPT_SHARE = 0.8
+#: Broadcast at most so many ids of the resampling target (8 MB); with more of them texts are shuffled to meet them.
+BROADCAST_IDS = 1_000_000
 
 
 def vocabulary() -> str:
@@ -38,7 +41,8 @@ def op2_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     good = _table(spark, sf_dir, "labels").where("quality = 1 and toxic = 0").select("doc_id").distinct()
-    return resampling.resample(docs, docs.join(good, "doc_id", "left_semi"), share=KEPT_SHARE)
+    target = docs.join(bounded_broadcast(good, BROADCAST_IDS), "doc_id", "left_semi")
+    return resampling.resample(docs, target, share=KEPT_SHARE)
 
 
 def op4_disclosure_sanitisation(spark: SparkSession, sf_dir: str) -> DataFrame:
