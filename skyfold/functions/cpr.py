@@ -22,25 +22,50 @@ def _mod(a: Column, b) -> Column:
     return a - b * F.floor(a / b)
 
 
+def _bound(value: Column, f) -> Column:
+    """f of a value that is computed once: the expression stays small however often f uses it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def global_airborne(other_lat: Column, other_lon: Column, lat: Column, lon: Column, odd: Column) -> tuple[Column, Column]:
     """(lat, lon) in degrees at the latest of an even and an odd message; null where they don't fit together.
 
     lat, lon and odd (0 or 1) are the latest message's; other_lat and other_lon those of the one of other parity.
     """
     is_odd = odd == 1
-    even_lat, even_lon = F.when(is_odd, other_lat).otherwise(lat) / _SCALE, F.when(is_odd, other_lon).otherwise(lon) / _SCALE
-    odd_lat, odd_lon = F.when(is_odd, lat).otherwise(other_lat) / _SCALE, F.when(is_odd, lon).otherwise(other_lon) / _SCALE
-    j = F.floor(59 * even_lat - 60 * odd_lat + 0.5).cast("double")
-    north_even, north_odd = 360.0 / 60 * (_mod(j, 60) + even_lat), 360.0 / 59 * (_mod(j, 59) + odd_lat)
-    even, odd_at = (F.when(x >= 270, x - 360).otherwise(x) for x in (north_even, north_odd))
-    latitude = F.when(is_odd, odd_at).otherwise(even)
-    fits = (zones(even) == zones(odd_at)) & (F.abs(latitude) <= 90)
-    nl = zones(latitude).cast("double")
-    m = F.floor(even_lon * (nl - 1) - odd_lon * nl + 0.5).cast("double")
-    n = F.greatest(nl - odd, F.lit(1.0))
-    east = 360.0 / n * (_mod(m, n) + F.when(is_odd, odd_lon).otherwise(even_lon))
-    longitude = F.when(east >= 180, east - 360).otherwise(east)
-    return F.when(fits, latitude), F.when(fits, longitude)
+    pair = F.struct(
+        (F.when(is_odd, other_lat).otherwise(lat) / _SCALE).alias("even_lat"),
+        (F.when(is_odd, other_lon).otherwise(lon) / _SCALE).alias("even_lon"),
+        (F.when(is_odd, lat).otherwise(other_lat) / _SCALE).alias("odd_lat"),
+        (F.when(is_odd, lon).otherwise(other_lon) / _SCALE).alias("odd_lon"),
+        odd.alias("odd"),
+    )
+
+    def north(v: Column) -> Column:
+        j = F.floor(59 * v["even_lat"] - 60 * v["odd_lat"] + 0.5).cast("double")
+        return F.struct((360.0 / 60 * (_mod(j, 60) + v["even_lat"])).alias("even"), (360.0 / 59 * (_mod(j, 59) + v["odd_lat"])).alias("odd"))
+
+    def south_too(u: Column) -> Column:
+        return F.struct(*[F.when(u[x] >= 270, u[x] - 360).otherwise(u[x]).alias(x) for x in ("even", "odd")])
+
+    def latitude(v: Column, u: Column) -> Column:
+        at = F.when(v["odd"] == 1, u["odd"]).otherwise(u["even"])
+        return F.when((zones(u["even"]) == zones(u["odd"])) & (F.abs(at) <= 90), at)
+
+    def east(v: Column, nl: Column) -> Column:
+        m = F.floor(v["even_lon"] * (nl - 1) - v["odd_lon"] * nl + 0.5).cast("double")
+        n = F.greatest(nl - v["odd"], F.lit(1.0))
+        return 360.0 / n * (_mod(m, n) + F.when(v["odd"] == 1, v["odd_lon"]).otherwise(v["even_lon"]))
+
+    def longitude(v: Column, at: Column) -> Column:
+        return _bound(zones(at).cast("double"), lambda nl: _bound(east(v, nl), lambda x: F.when(x >= 180, x - 360).otherwise(x)))
+
+    def place(v: Column) -> Column:
+        latitudes = _bound(north(v), south_too)
+        return _bound(_bound(latitudes, lambda u: latitude(v, u)), lambda at: F.struct(at.alias("lat"), longitude(v, at).alias("lon")))
+
+    found = _bound(pair, place)
+    return found["lat"], found["lon"]
 
 
 def local_surface(lat: Column, lon: Column, odd: Column, ref_lat: float, ref_lon: float) -> tuple[Column, Column]:
@@ -49,6 +74,10 @@ def local_surface(lat: Column, lon: Column, odd: Column, ref_lat: float, ref_lon
     y, x = lat / _SCALE, lon / _SCALE
     j = F.floor(F.lit(ref_lat) / d_lat) + F.floor(0.5 + _mod(F.lit(ref_lat), d_lat) / d_lat - y)
     latitude = d_lat * (j + y)
-    d_lon = 90.0 / F.greatest(zones(latitude) - odd, F.lit(1))
-    m = F.floor(F.lit(ref_lon) / d_lon) + F.floor(0.5 + _mod(F.lit(ref_lon), d_lon) / d_lon - x)
-    return latitude, d_lon * (m + x)
+
+    def east(d_lon: Column) -> Column:
+        m = F.floor(F.lit(ref_lon) / d_lon) + F.floor(0.5 + _mod(F.lit(ref_lon), d_lon) / d_lon - x)
+        return d_lon * (m + x)
+
+    width = _bound(latitude, lambda at: 90.0 / F.greatest(zones(at) - odd, F.lit(1)))
+    return latitude, _bound(width, east)
