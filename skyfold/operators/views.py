@@ -78,7 +78,7 @@ def trajectories(points: DataFrame) -> DataFrame:
     x, y = web_mercator(F.col("lat"), F.col("lon"))
     placed = points.select("mode_s_code", F.struct("timestamp", x.alias("x"), y.alias("y")).alias("p"))
     lines = placed.groupBy("mode_s_code").agg(F.array_sort(F.collect_list("p")).alias("points")).where(F.size("points") >= 2)
-    text = F.array_join(F.transform("points", lambda p: F.concat_ws(" ", F.format_number(p.x, "0.000"), F.format_number(p.y, "0.000"))), ", ")
+    text = F.array_join(F.transform("points", lambda p: F.format_string("%.3f %.3f", p.x, p.y)), ", ")
     return lines.select("mode_s_code", F.size("points").cast("long").alias("n_points"), F.concat(F.lit("LINESTRING ("), text, F.lit(")")).alias("wkt"))
 
 

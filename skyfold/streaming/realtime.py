@@ -15,7 +15,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from skyfold.config import Config
 from skyfold.functions.cpr import global_airborne, local_surface
@@ -31,39 +31,64 @@ ADMITTED = EVENTS + ", outcome string"
 FIXES = "icao int, ts_100ns long, seq string, record_index long, kind string, parity_bit int, lat_cpr int, lon_cpr int, other_lat int, other_lon int, alt int, call_sign string, squawk string, on_ground boolean"
 
 
-def admit(events: DataFrame, cfg: Config, wall_clock: bool = False) -> DataFrame:
-    """Events with their outcome: accepted, duplicate or late. wall_clock drains before each batch."""
-    timeout, ttl, quantum = cfg.timeout, cfg.ttl, cfg.quantum
+def _names(schema: str) -> list[str]:
+    return [c.split()[0] for c in schema.split(", ")]
+
+
+class Admitting(StatefulProcessor):
+    """The admission rule over all sensors' events."""
+
+    def __init__(self, cfg: Config, wall_clock: bool):
+        self.begin, self.wall_clock = (cfg.timeout, cfg.ttl, cfg.quantum), wall_clock
 
-    def follow(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        own = pickle.loads(state.get[0]) if state.exists else Admission(timeout, ttl, quantum)
-        if wall_clock:
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.kept = handle.getValueState("admission", "own binary")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        own = pickle.loads(self.kept.get()[0]) if self.kept.exists() else Admission(*self.begin)
+        if self.wall_clock:
             own.drain(time.time_ns() // 100)
-        rows = pd.concat(list(batches)).sort_values(["seq", "record_index"], kind="stable")  # one micro-batch, bounded by its source
-        rows["outcome"] = [own.offer(s, int(t), bytes(f)) for s, t, f in zip(rows["sensor_id"], rows["ts_100ns"], rows["frame"], strict=True)]
-        state.update((pickle.dumps(own),))
-        yield rows[[c.split()[0] for c in ADMITTED.split(", ")]]
+        batch = pd.concat(list(rows)).sort_values(["seq", "record_index"], kind="stable")  # one micro-batch, bounded by its source
+        batch["outcome"] = [own.offer(s, int(t), bytes(f)) for s, t, f in zip(batch["sensor_id"], batch["ts_100ns"], batch["frame"], strict=True)]
+        self.kept.update((pickle.dumps(own),))
+        yield batch[_names(ADMITTED)]
 
-    one = events.select(*[c.split()[0] for c in EVENTS.split(", ")], F.lit(0).alias("_all")).groupBy("_all")
-    return one.applyInPandasWithState(follow, ADMITTED, "own binary", "append", GroupStateTimeout.NoTimeout)
+    def close(self) -> None:
+        pass
 
 
-def follow_aircraft(decoded: DataFrame, cfg: Config) -> DataFrame:
-    """Possible fixes of decoded messages, with what the aircraft's state adds."""
-    n, within = cfg.debounce, cfg.pair
-    names = [c.split()[0] for c in FIXES.split(", ")]
+class Tracking(StatefulProcessor):
+    """What an aircraft's messages add up to."""
+
+    def __init__(self, cfg: Config):
+        self.n, self.within = cfg.debounce, cfg.pair
 
-    def follow(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        own = pickle.loads(state.get[0]) if state.exists else Aircraft()
-        rows = pd.concat(list(batches)).sort_values(["seq", "record_index"], kind="stable")
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.kept = handle.getValueState("aircraft", "own binary")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        own = pickle.loads(self.kept.get()[0]) if self.kept.exists() else Aircraft()
+        batch = pd.concat(list(rows)).sort_values(["seq", "record_index"], kind="stable")
         found = []
-        for m in rows.astype(object).where(rows.notna(), None).itertuples():
-            if (fix := own.see(m, n, within)) is not None:
+        for m in batch.astype(object).where(batch.notna(), None).itertuples():
+            if (fix := own.see(m, self.n, self.within)) is not None:
                 found.append((key[0], m.ts_100ns, m.seq, m.record_index, m.kind, m.parity_bit, m.lat_cpr, m.lon_cpr, *fix))
-        state.update((pickle.dumps(own),))
-        yield pd.DataFrame({c: pd.Series([f[k] for f in found], dtype={"other_lat": "Int32", "other_lon": "Int32", "alt": "Int32"}.get(c, object)) for k, c in enumerate(names)})
+        self.kept.update((pickle.dumps(own),))
+        yield pd.DataFrame({c: pd.Series([f[k] for f in found], dtype={"other_lat": "Int32", "other_lon": "Int32", "alt": "Int32"}.get(c, object)) for k, c in enumerate(_names(FIXES))})
+
+    def close(self) -> None:
+        pass
+
 
-    return decoded.groupBy("icao").applyInPandasWithState(follow, FIXES, "own binary", "append", GroupStateTimeout.NoTimeout)
+def admit(events: DataFrame, cfg: Config, wall_clock: bool = False) -> DataFrame:
+    """Events with their outcome: accepted, duplicate or late. wall_clock drains before each batch."""
+    one = events.select(*_names(EVENTS), F.lit(0).alias("_all")).groupBy("_all")
+    return one.transformWithStateInPandas(Admitting(cfg, wall_clock), outputStructType=ADMITTED, outputMode="append", timeMode="none")
+
+
+def follow_aircraft(decoded: DataFrame, cfg: Config) -> DataFrame:
+    """Possible fixes of decoded messages, with what the aircraft's state adds."""
+    return decoded.groupBy("icao").transformWithStateInPandas(Tracking(cfg), outputStructType=FIXES, outputMode="append", timeMode="none")
 
 
 def located(fixes: DataFrame, reference: tuple[float, float] | None) -> DataFrame:
@@ -104,6 +129,7 @@ def write_batch(cfg: Config):
 
 def start(spark: SparkSession, cfg: Config, checkpoint: str | None = None, available_now: bool = False):
     """The running query. available_now: takes what is there, then ends."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     messages = stream_messages(spark, cfg.messages).withColumn("seq", F.col("path")).drop("path", "arrived")
     writer = fixes_of(messages, cfg, wall_clock=not available_now).writeStream.outputMode("append").foreachBatch(write_batch(cfg))
     writer = writer.option("checkpointLocation", checkpoint or f"{cfg.table.rstrip('/')}-checkpoint")
