@@ -5,11 +5,13 @@ entity is estimated from co-occurrence over the corpus, after the sanitisation m
 C-sanitised text: with counts over all documents,
 
     information(entity)   = log(N / contexts of the entity)
-    shared(entity; term)  = log(N * contexts with both / (contexts of the entity * documents with the term))
+    shared(entity; term)  = log(N * share / contexts of the entity)
+    share                 = (contexts with both + prior * contexts of the entity / N) / (documents with the term + prior)
 
-and a term discloses the entity if shared / information reaches a threshold and the two stand together in at
-least `support` different contexts. A context is the `reach` words on either side of an occurrence; equal
-contexts, as copies have, count once. Disclosing terms inside the contexts of their entity become spans of
+and a term discloses the entity if shared / information reaches a threshold. The share is smoothed by `prior`
+documents in which the two meet by chance alone, so a term seen once counts for less than one seen often with its
+entity, but no number of contexts is asked for. A context is the `reach` words on either side of an occurrence;
+equal contexts, as copies have, count once. Disclosing terms inside the contexts of their entity become spans of
 kind `term`; documents without personal data have no contexts and stay as they are.
 """
 
@@ -140,10 +142,10 @@ def term_counts(docs: DataFrame) -> DataFrame:
     return columns_of(docs).select("text").mapInArrow(rows, "term string, n long")
 
 
-def disclosing(docs: DataFrame, near: DataFrame, threshold: float, support: int) -> DataFrame:
+def disclosing(docs: DataFrame, near: DataFrame, threshold: float, prior: float) -> DataFrame:
     """(entity, term, disclosure) of every term that gives its entity away, from counts over all documents."""
     seen = near.groupBy("entity", "term", "context").agg(F.count(F.lit(1)).alias("_n"))  # copies of a context go here, before the shuffle
-    both = seen.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both")).where(F.col("n_both") >= support)
+    both = seen.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both"))
     both = written(both, "pairs")
     per_entity = near.groupBy("entity", "context").agg(F.count(F.lit(1)).alias("_n")).groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
     n_docs = docs.select(F.lit(1)).count()
@@ -151,12 +153,13 @@ def disclosing(docs: DataFrame, near: DataFrame, threshold: float, support: int)
     per_term = term_counts(docs).join(wanted, "term", "left_semi").groupBy("term").agg(F.sum("n").alias("n_term"))
     total = F.lit(float(max(n_docs, 1)))
     scored = both.join(per_entity, "entity").join(per_term, "term")
-    shared = F.log(total * F.col("n_both") / (F.col("n_entity") * F.col("n_term")))
+    share = (F.col("n_both") + prior * F.col("n_entity") / total) / (F.col("n_term") + prior)
+    shared = F.log(total * share / F.col("n_entity"))
     information = F.log(F.greatest(total / F.col("n_entity"), F.lit(1.0 + 1e-9)))
     return scored.withColumn("disclosure", shared / information).where(F.col("disclosure") >= threshold).select("entity", "term", "disclosure")
 
 
-def find_pii(docs: DataFrame, reach: int = 6, threshold: float = 0.8, support: int = 2) -> DataFrame:
+def find_pii(docs: DataFrame, reach: int = 6, threshold: float = 0.8, prior: float = 2.0) -> DataFrame:
     """One row a document: doc_id, key, the base counts, base spans and all spans as arrays of (kind, start, stop).
 
     A null or empty text has no spans. Repeated rows have the same spans, and one with them the row count of docs
@@ -165,7 +168,7 @@ def find_pii(docs: DataFrame, reach: int = 6, threshold: float = 0.8, support: i
     """
     found = written(find_base(docs, reach), "spans")
     near = found.where(F.size("near") > 0).select("doc_id", "key", F.explode("near").alias("x")).select("doc_id", "key", "x.*")
-    given_away = disclosing(docs, near, threshold, support)
+    given_away = disclosing(docs, near, threshold, prior)
     terms = near.join(given_away, ["entity", "term"]).groupBy("doc_id", "key").agg(F.sort_array(F.collect_set(F.struct(F.lit("term").alias("kind"), "start", "stop"))).alias("terms"))
     t = terms.select(F.col("doc_id").alias("_doc"), F.col("key").alias("_key"), "terms")
     joined = found.drop("near").join(t, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("key") == F.col("_key")), "left")

@@ -93,3 +93,15 @@ def test_sanitise(spark, make_docs):
 
 def test_empty_table(spark, make_docs):
     assert pii_digest(find_pii(make_docs([]))).count() == 0
+
+
+def with_terms(found):
+    return {r.doc_id: [s.split(":")[1:] for s in r.spans.split(",") if s.startswith("term:")] for r in pii_digest(found).collect()}
+
+
+def test_one_context_discloses(spark, make_docs):
+    """A term found only with an entity of one context is over the threshold: no floor on contexts keeps it in."""
+    texts = {i: f"filler text number {i} about common things" for i in range(2000)}
+    texts[5000] = "about quokka jo@corp.example common things"
+    terms = with_terms(find_pii(make_docs(texts)))
+    assert terms.pop(5000) == [["6", "12"]] and not any(terms.values())
