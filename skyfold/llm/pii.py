@@ -2,17 +2,17 @@
 
 Base spans come from four patterns. Every matched string is a protected entity. How strongly a term reveals an
 entity is estimated from co-occurrence over the corpus, after the sanitisation model of published work on
-C-sanitised text: with counts over all documents,
+C-sanitised text: with counts over all different texts, N in all,
 
-    information(entity)   = log(N / contexts of the entity)
-    shared(entity; term)  = log(N * share / contexts of the entity)
-    share                 = (contexts with both + prior * contexts of the entity / N) / (documents with the term + prior)
+    information(entity)   = log(N / texts with the entity)
+    shared(entity; term)  = log(N * share / texts with the entity)
+    share                 = (texts with both + prior * texts with the entity / N) / (texts with the term + prior)
 
 and a term discloses the entity if shared / information reaches a threshold. The share is smoothed by `prior`
-documents in which the two meet by chance alone, so a term seen once counts for less than one seen often with its
-entity, but no number of contexts is asked for. A context is the `reach` words on either side of an occurrence;
-equal contexts, as copies have, count once. Disclosing terms inside the contexts of their entity become spans of
-kind `term`; documents without personal data have no contexts and stay as they are.
+texts in which the two meet by chance alone, so a term seen once counts for less than one seen often with its
+entity, but no number of texts is asked for. All four numbers count a text once, however many copies it has. A
+context is the `reach` words on either side of an occurrence. Disclosing terms inside the contexts of their entity
+become spans of kind `term`; documents without personal data have no contexts and stay as they are.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from skyfold.llm.common import columns_of, text_key, written
 
 KINDS = ("email", "ip", "card", "phone")
-FOUND = "doc_id long, key struct<a: long, b: long>, n_email long, n_ip long, n_card long, n_phone long, base array<struct<kind: string, start: long, stop: long>>, near array<struct<entity: string, context: long, term: string, start: long, stop: long>>"
+FOUND = "doc_id long, key struct<a: long, b: long>, n_email long, n_ip long, n_card long, n_phone long, base array<struct<kind: string, start: long, stop: long>>, entities array<string>, near array<struct<entity: string, context: long, term: string, start: long, stop: long>>"
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
@@ -98,12 +98,18 @@ def contexts(text: str, spans: list[tuple[str, int, int]], reach: int) -> list[t
     return found
 
 
+def entities(text: str | None, spans: list[tuple[str, int, int]]) -> list[str]:
+    """The different protected entities of a text's spans."""
+    return sorted({f"{kind}:{text[a:b].lower()}" for kind, a, b in spans})
+
+
 def find_base(docs: DataFrame, reach: int = 6) -> DataFrame:
     """One row a document: its key, the counts and spans of the base patterns, and the words near each span."""
     kinds = [pa.int64(), pa.struct([("a", pa.int64()), ("b", pa.int64())]), *[pa.int64()] * 4]
     kinds += [pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("stop", pa.int64())]))]
+    kinds += [pa.list_(pa.string())]
     kinds += [pa.list_(pa.struct([("entity", pa.string()), ("context", pa.int64()), ("term", pa.string()), ("start", pa.int64()), ("stop", pa.int64())]))]
-    names = ["doc_id", "key", "n_email", "n_ip", "n_card", "n_phone", "base", "near"]
+    names = ["doc_id", "key", "n_email", "n_ip", "n_card", "n_phone", "base", "entities", "near"]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -112,15 +118,21 @@ def find_base(docs: DataFrame, reach: int = 6) -> DataFrame:
                 spans = base_spans(text or "")
                 n = Counter(s[0] for s in spans)
                 near = contexts(text, spans, reach) if spans else []
-                out.append((doc_id, key, *[n[k] for k in KINDS], [dict(zip(("kind", "start", "stop"), s, strict=True)) for s in spans], [dict(zip(("entity", "context", "term", "start", "stop"), x, strict=True)) for x in near]))
+                out.append((doc_id, key, *[n[k] for k in KINDS], [dict(zip(("kind", "start", "stop"), s, strict=True)) for s in spans], entities(text, spans), [dict(zip(("entity", "context", "term", "start", "stop"), x, strict=True)) for x in near]))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
 
     return columns_of(docs).select("doc_id", text_key().alias("key"), "text").mapInArrow(rows, FOUND)
 
 
-def term_counts(docs: DataFrame) -> DataFrame:
-    """In how many documents each term stands: counted within each batch first, then added up."""
+def different_texts(docs: DataFrame) -> DataFrame:
+    """(a, b, text): each text once with its key. Copies go before the shuffle where one task holds them."""
+    own = columns_of(docs).where("text is not null").select(text_key().alias("key"), "text")
+    return own.select("key.a", "key.b", "text").groupBy("a", "b").agg(F.first("text").alias("text"))
+
+
+def term_counts(texts: DataFrame) -> DataFrame:
+    """In how many texts each term stands: counted within each batch first, then added up."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: Counter = Counter()
@@ -139,19 +151,19 @@ def term_counts(docs: DataFrame) -> DataFrame:
         if held:
             yield out()
 
-    return columns_of(docs).select("text").mapInArrow(rows, "term string, n long")
+    return texts.select("text").mapInArrow(rows, "term string, n long")
 
 
-def disclosing(docs: DataFrame, near: DataFrame, threshold: float, prior: float) -> DataFrame:
-    """(entity, term, disclosure) of every term that gives its entity away, from counts over all documents."""
-    seen = near.groupBy("entity", "term", "context").agg(F.count(F.lit(1)).alias("_n"))  # copies of a context go here, before the shuffle
-    both = seen.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both"))
-    both = written(both, "pairs")
-    per_entity = near.groupBy("entity", "context").agg(F.count(F.lit(1)).alias("_n")).groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
-    n_docs = docs.select(F.lit(1)).count()
+def disclosing(docs: DataFrame, found: DataFrame, threshold: float, prior: float) -> DataFrame:
+    """(entity, term, disclosure) of every term that gives its entity away, from counts over all different texts."""
+    some = found.where(F.size("entities") > 0)
+    near = some.select("key", F.explode("near").alias("x")).select("key", "x.entity", "x.term").distinct()
+    both = written(near.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both")), "pairs")
+    per_entity = some.select("key", F.explode("entities").alias("entity")).distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
+    n_texts = columns_of(docs).where("text is not null").select(text_key().alias("key")).distinct().count()
     wanted = both.select("term").distinct()
-    per_term = term_counts(docs).join(wanted, "term", "left_semi").groupBy("term").agg(F.sum("n").alias("n_term"))
-    total = F.lit(float(max(n_docs, 1)))
+    per_term = term_counts(different_texts(docs)).join(wanted, "term", "left_semi").groupBy("term").agg(F.sum("n").alias("n_term"))
+    total = F.lit(float(max(n_texts, 1)))
     scored = both.join(per_entity, "entity").join(per_term, "term")
     share = (F.col("n_both") + prior * F.col("n_entity") / total) / (F.col("n_term") + prior)
     shared = F.log(total * share / F.col("n_entity"))
@@ -168,10 +180,10 @@ def find_pii(docs: DataFrame, reach: int = 6, threshold: float = 0.8, prior: flo
     """
     found = written(find_base(docs, reach), "spans")
     near = found.where(F.size("near") > 0).select("doc_id", "key", F.explode("near").alias("x")).select("doc_id", "key", "x.*")
-    given_away = disclosing(docs, near, threshold, prior)
+    given_away = disclosing(docs, found, threshold, prior)
     terms = near.join(given_away, ["entity", "term"]).groupBy("doc_id", "key").agg(F.sort_array(F.collect_set(F.struct(F.lit("term").alias("kind"), "start", "stop"))).alias("terms"))
     t = terms.select(F.col("doc_id").alias("_doc"), F.col("key").alias("_key"), "terms")
-    joined = found.drop("near").join(t, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("key") == F.col("_key")), "left")
+    joined = found.drop("near", "entities").join(t, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("key") == F.col("_key")), "left")
     return joined.select("doc_id", "key", "n_email", "n_ip", "n_card", "n_phone", "base", F.concat("base", F.coalesce("terms", F.array().cast("array<struct<kind: string, start: long, stop: long>>"))).alias("spans"))
 
 

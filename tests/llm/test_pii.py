@@ -105,3 +105,13 @@ def test_one_context_discloses(spark, make_docs):
     texts[5000] = "about quokka jo@corp.example common things"
     terms = with_terms(find_pii(make_docs(texts)))
     assert terms.pop(5000) == [["6", "12"]] and not any(terms.values())
+
+
+def test_copies_count_once(spark, make_docs):
+    """Copies of one page don't hide its terms: all numbers count different texts."""
+    texts = {i: f"filler text number {i} about common things" for i in range(2000)}
+    texts[5000] = "things quokka jo@corp.example common about"
+    copied = "about quokka jo@corp.example common things"
+    terms = with_terms(find_pii(make_docs([*texts.items(), *[(6000 + i, copied) for i in range(500)]])))
+    assert terms.pop(5000) == [["7", "13"]]
+    assert all(terms.pop(6000 + i) == [["6", "12"]] for i in range(500)) and not any(terms.values())
