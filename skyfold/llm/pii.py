@@ -10,9 +10,14 @@ C-sanitised text: with counts over all different texts, N in all,
 
 and a term discloses the entity if shared / information reaches a threshold. The share is smoothed by `prior`
 texts in which the two meet by chance alone, so a term seen once counts for less than one seen often with its
-entity, but no number of texts is asked for. All four numbers count a text once, however many copies it has. A
-context is the `reach` words on either side of an occurrence. Disclosing terms inside the contexts of their entity
-become spans of kind `term`; documents without personal data have no contexts and stay as they are.
+entity, but no number of texts is asked for. All four numbers count a text once, however many copies it has, and
+look at the whole text: a term stands with every entity of its text, near or far. Wherever a disclosing term stands
+in a text of its entity outside the base spans, it becomes a span of kind `term`; documents without personal data
+have no entities and stay as they are.
+
+The share is at most (the lesser of the counts of entity and term + ...) / (texts with the term + prior), so a term
+on more than some number of texts cannot disclose an entity. Terms over the bound of all entities of their text go
+before pairs are made; the bound loses none.
 """
 
 from __future__ import annotations
@@ -29,13 +34,14 @@ from pyspark.sql import functions as F
 from skyfold.llm.common import columns_of, text_key, written
 
 KINDS = ("email", "ip", "card", "phone")
-FOUND = "doc_id long, key struct<a: long, b: long>, n_email long, n_ip long, n_card long, n_phone long, base array<struct<kind: string, start: long, stop: long>>, entities array<string>, near array<struct<entity: string, context: long, term: string, start: long, stop: long>>"
+FOUND = "doc_id long, key struct<a: long, b: long>, n_email long, n_ip long, n_card long, n_phone long, base array<struct<kind: string, start: long, stop: long>>, entities array<string>, body string"
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+_TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 _NOT_DIGIT = re.compile("[^0-9]")
 _LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
@@ -103,13 +109,17 @@ def entities(text: str | None, spans: list[tuple[str, int, int]]) -> list[str]:
     return sorted({f"{kind}:{text[a:b].lower()}" for kind, a, b in spans})
 
 
-def find_base(docs: DataFrame, reach: int = 6) -> DataFrame:
-    """One row a document: its key, the counts and spans of the base patterns, and the words near each span."""
+def terms_of(text: str) -> set[str]:
+    """The different words of a text in lower case."""
+    return {w.lower() for w in set(_TERM.findall(text))}
+
+
+def find_base(docs: DataFrame) -> DataFrame:
+    """One row a document: its key, the counts and spans of the base patterns, its entities and, with any, its text."""
     kinds = [pa.int64(), pa.struct([("a", pa.int64()), ("b", pa.int64())]), *[pa.int64()] * 4]
     kinds += [pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("stop", pa.int64())]))]
-    kinds += [pa.list_(pa.string())]
-    kinds += [pa.list_(pa.struct([("entity", pa.string()), ("context", pa.int64()), ("term", pa.string()), ("start", pa.int64()), ("stop", pa.int64())]))]
-    names = ["doc_id", "key", "n_email", "n_ip", "n_card", "n_phone", "base", "entities", "near"]
+    kinds += [pa.list_(pa.string()), pa.string()]
+    names = ["doc_id", "key", "n_email", "n_ip", "n_card", "n_phone", "base", "entities", "body"]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -117,18 +127,25 @@ def find_base(docs: DataFrame, reach: int = 6) -> DataFrame:
             for doc_id, key, text in zip(batch.column("doc_id").to_pylist(), batch.column("key").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 spans = base_spans(text or "")
                 n = Counter(s[0] for s in spans)
-                near = contexts(text, spans, reach) if spans else []
-                out.append((doc_id, key, *[n[k] for k in KINDS], [dict(zip(("kind", "start", "stop"), s, strict=True)) for s in spans], entities(text, spans), [dict(zip(("entity", "context", "term", "start", "stop"), x, strict=True)) for x in near]))
+                out.append((doc_id, key, *[n[k] for k in KINDS], [dict(zip(("kind", "start", "stop"), s, strict=True)) for s in spans], entities(text, spans), text if spans else None))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
 
     return columns_of(docs).select("doc_id", text_key().alias("key"), "text").mapInArrow(rows, FOUND)
 
 
-def different_texts(docs: DataFrame) -> DataFrame:
-    """(a, b, text): each text once with its key. Copies go before the shuffle where one task holds them."""
-    own = columns_of(docs).where("text is not null").select(text_key().alias("key"), "text")
-    return own.select("key.a", "key.b", "text").groupBy("a", "b").agg(F.first("text").alias("text"))
+def different_texts(docs: DataFrame, keys: DataFrame, bits: int = 1 << 23) -> DataFrame:
+    """(text): each text once. keys: a, b and n, the rows of each text.
+
+    A bit map of the texts with copies, of bounded size, says which texts may have some: those alone are shuffled to
+    meet their copies, where a text that is there by chance meets none. The others are taken as they come.
+    """
+    word, mask = "shiftright(pmod(a, {0}L), 6)", "shiftleft(1L, cast(pmod(a, 64) as int))"
+    marks = keys.where("n > 1").groupBy(F.expr(word.format(bits)).alias("_word")).agg(F.expr(f"bit_or({mask})").alias("_marks"))
+    own = columns_of(docs).where("text is not null").select(text_key().alias("key"), "text").select("key.a", "key.b", "text")
+    probed = own.withColumn("_word", F.expr(word.format(bits))).join(F.broadcast(marks), "_word", "left")
+    copied = F.coalesce(F.expr(f"(_marks & {mask}) != 0"), F.lit(False))
+    return probed.where(~copied).select("text").unionByName(probed.where(copied).groupBy("a", "b").agg(F.first("text").alias("text")).select("text"))
 
 
 def term_counts(texts: DataFrame) -> DataFrame:
@@ -145,7 +162,7 @@ def term_counts(texts: DataFrame) -> DataFrame:
         for batch in batches:
             for text in batch.column("text").to_pylist():
                 if text:
-                    held.update(set(_WORD.findall(text.lower())))
+                    held.update(terms_of(text))
                     if len(held) > 500_000:
                         yield out()
         if held:
@@ -154,37 +171,75 @@ def term_counts(texts: DataFrame) -> DataFrame:
     return texts.select("text").mapInArrow(rows, "term string, n long")
 
 
+def text_terms(texts: DataFrame) -> DataFrame:
+    """(key, term) of the different words of each text (key, body)."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                terms = sorted(terms_of(batch.column("body")[k].as_py()))
+                if terms:
+                    yield pa.RecordBatch.from_arrays([pa.array([batch.column("key")[k].as_py()] * len(terms), batch.column("key").type), pa.array(terms, pa.string())], names=["key", "term"])
+
+    return texts.select("key", "body").mapInArrow(rows, "key struct<a: long, b: long>, term string")
+
+
 def disclosing(docs: DataFrame, found: DataFrame, threshold: float, prior: float) -> DataFrame:
-    """(entity, term, disclosure) of every term that gives its entity away, from counts over all different texts."""
-    some = found.where(F.size("entities") > 0)
-    near = some.select("key", F.explode("near").alias("x")).select("key", "x.entity", "x.term").distinct()
-    both = written(near.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both")), "pairs")
-    per_entity = some.select("key", F.explode("entities").alias("entity")).distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
-    n_texts = columns_of(docs).where("text is not null").select(text_key().alias("key")).distinct().count()
-    wanted = both.select("term").distinct()
-    per_term = term_counts(different_texts(docs)).join(wanted, "term", "left_semi").groupBy("term").agg(F.sum("n").alias("n_term"))
-    total = F.lit(float(max(n_texts, 1)))
-    scored = both.join(per_entity, "entity").join(per_term, "term")
-    share = (F.col("n_both") + prior * F.col("n_entity") / total) / (F.col("n_term") + prior)
-    shared = F.log(total * share / F.col("n_entity"))
+    """(key, terms): the terms of each text that give one of its entities away, from counts over all different texts."""
+    some = written(found.where(F.size("entities") > 0).groupBy("key").agg(F.first("entities").alias("entities"), F.first("body").alias("body")), "texts")
+    rows = columns_of(docs).where("text is not null").select(text_key().alias("key")).select("key.a", "key.b")
+    keys = written(rows.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")), "keys")
+    total = F.lit(float(max(keys.count(), 1)))
+    held = some.select("key", F.explode("entities").alias("entity"))
+    per_entity = held.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
+    # shared / information >= threshold says share >= (n_entity / N) ** (1 - threshold), where n_both <= n_entity
+    p = F.col("n_entity") / total
+    most = (F.col("n_entity") + prior * p) / F.pow(p, F.lit(1 - threshold)) - prior
+    held = written(held.join(per_entity.withColumn("most", most * (1 + 1e-9)), "entity"), "entities")
+    most_of_all = held.agg(F.max("most")).head()[0] or 0.0
+    own = text_terms(some)
+    per_term = term_counts(different_texts(docs, keys)).join(own.select("term").distinct(), "term", "left_semi")
+    per_term = written(per_term.groupBy("term").agg(F.sum("n").alias("n_term")).where(F.col("n_term") <= most_of_all), "terms")
+    pairs = written(own.join(per_term, "term").join(held, "key").where(F.col("n_term") <= F.col("most")).select("key", "entity", "term", "n_entity", "n_term"), "pairs")
+    both = pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both"), F.first("n_entity").alias("n_entity"), F.first("n_term").alias("n_term"))
+    share = (F.col("n_both") + prior * p) / (F.col("n_term") + prior)
     information = F.log(F.greatest(total / F.col("n_entity"), F.lit(1.0 + 1e-9)))
-    return scored.withColumn("disclosure", shared / information).where(F.col("disclosure") >= threshold).select("entity", "term", "disclosure")
+    scored = both.withColumn("disclosure", F.log(total * share / F.col("n_entity")) / information).where(F.col("disclosure") >= threshold)
+    return pairs.join(scored.select("entity", "term"), ["entity", "term"], "left_semi").groupBy("key").agg(F.collect_set("term").alias("terms"))
+
+
+def term_spans(text: str, base: list[tuple[int, int]], terms: set[str]) -> list[tuple[int, int]]:
+    """Where the terms stand in a text outside its base spans, by start."""
+    covered, reach, at, found = sorted(base), -1, 0, []
+    for m in _TERM.finditer(text):
+        while at < len(covered) and covered[at][0] < m.end():
+            reach = max(reach, covered[at][1])
+            at += 1
+        if reach <= m.start() and m[0].lower() in terms:
+            found.append(m.span())
+    return found
 
 
-def find_pii(docs: DataFrame, reach: int = 6, threshold: float = 0.8, prior: float = 2.0) -> DataFrame:
+def find_pii(docs: DataFrame, threshold: float = 0.8, prior: float = 2.0) -> DataFrame:
     """One row a document: doc_id, key, the base counts, base spans and all spans as arrays of (kind, start, stop).
 
     A null or empty text has no spans. Repeated rows have the same spans, and one with them the row count of docs
     is kept; an empty table gives no rows; other columns are not looked at. Spans of kind `term` follow the base
     ones and don't overlap them.
     """
-    found = written(find_base(docs, reach), "spans")
-    near = found.where(F.size("near") > 0).select("doc_id", "key", F.explode("near").alias("x")).select("doc_id", "key", "x.*")
-    given_away = disclosing(docs, found, threshold, prior)
-    terms = near.join(given_away, ["entity", "term"]).groupBy("doc_id", "key").agg(F.sort_array(F.collect_set(F.struct(F.lit("term").alias("kind"), "start", "stop"))).alias("terms"))
-    t = terms.select(F.col("doc_id").alias("_doc"), F.col("key").alias("_key"), "terms")
-    joined = found.drop("near", "entities").join(t, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("key") == F.col("_key")), "left")
-    return joined.select("doc_id", "key", "n_email", "n_ip", "n_card", "n_phone", "base", F.concat("base", F.coalesce("terms", F.array().cast("array<struct<kind: string, start: long, stop: long>>"))).alias("spans"))
+    found = written(find_base(docs), "spans")
+    t = disclosing(docs, found, threshold, prior).withColumnRenamed("key", "_key")
+    joined = found.join(t, F.col("key") == F.col("_key"), "left")
+
+    @F.pandas_udf("array<struct<kind: string, start: long, stop: long>>")
+    def placed(bodies, bases, terms):
+        out = []
+        for body, base, own in zip(bodies, bases, terms, strict=True):
+            spans = term_spans(body, [(s["start"], s["stop"]) for s in base], set(own)) if own is not None else []
+            out.append([{"kind": "term", "start": a, "stop": b} for a, b in spans])
+        return bodies.__class__(out)
+
+    return joined.select("doc_id", "key", "n_email", "n_ip", "n_card", "n_phone", "base", F.concat("base", placed("body", "base", "terms")).alias("spans"))
 
 
 def _joined(spans: str) -> Column:

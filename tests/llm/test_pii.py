@@ -1,4 +1,6 @@
 import hashlib
+import math
+import random
 import re
 
 from hypothesis import given, settings
@@ -115,3 +117,45 @@ def test_copies_count_once(spark, make_docs):
     terms = with_terms(find_pii(make_docs([*texts.items(), *[(6000 + i, copied) for i in range(500)]])))
     assert terms.pop(5000) == [["7", "13"]]
     assert all(terms.pop(6000 + i) == [["6", "12"]] for i in range(500)) and not any(terms.values())
+
+
+def test_terms_far_from_their_entity(spark, make_docs):
+    """A disclosing term counts and goes over the whole text of its entity, in any case, and only there."""
+    texts = {i: f"filler text number {i} about common things" for i in range(2000)}
+    gap = "about common things " * 10
+    texts[5000] = f"Quokka {gap}jo@corp.example {gap}quokka"
+    texts[5001] = f"quokka {gap}"
+    docs = make_docs(texts)
+    found = find_pii(docs)
+    assert with_terms(found)[5000] == [["0", "6"], [str(len(texts[5000]) - 6), str(len(texts[5000]))]]
+    rows = {r.doc_id: r.text for r in sanitise(docs, found).collect()}
+    assert rows.pop(5000) == f"[TERM] {gap}[EMAIL] {gap}[TERM]" and all(rows[i] == texts[i] for i in rows)
+
+
+def test_terms_against_brute_force(spark, make_docs):
+    """Every (entity, term) over the threshold, counted and placed over whole texts: the bound before the pairs loses none."""
+    rng = random.Random(5)
+    texts = {}
+    for i in range(300):
+        words = [f"w{min(int(rng.expovariate(0.05)), 150)}" for _ in range(20)]
+        for _ in range(rng.choice([0, 0, 1, 2])):
+            words.insert(rng.randrange(20), f"u{rng.randrange(12)}@x.de" if rng.random() < 0.8 else f"v{i}@y.de")
+        texts[i] = " ".join(words)
+    texts[300] = texts[301] = texts[0]
+    every = {t: (set(re.findall("[a-z0-9]+", t)), {("email", t[a:b]) for _, a, b in base_spans(t)}) for t in texts.values()}
+    over = set()
+    for e in {e for _, own in every.values() for e in own}:
+        held = [t for t, (_, own) in every.items() if e in own]
+        p = len(held) / len(every)
+        for w in set().union(*(every[t][0] for t in held)):
+            both, n = sum(w in every[t][0] for t in held), sum(w in ws for ws, _ in every.values())
+            if math.log((both + 2 * p) / (n + 2) / p) / math.log(1 / p) >= 0.8:
+                over.add((e, w))
+    terms = with_terms(find_pii(make_docs(texts)))
+    n = 0
+    for i, t in texts.items():
+        base = base_spans(t)
+        expected = [[str(m.start()), str(m.end())] for m in re.finditer("[a-z0-9]+", t) if any((e, m[0]) in over for e in every[t][1]) and not any(a < m.end() and m.start() < b for _, a, b in base)]
+        assert terms[i] == expected, t
+        n += len(expected)
+    assert n
