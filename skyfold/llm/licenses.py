@@ -4,10 +4,12 @@ A text is normalised to its words, A-Z lower-cased, one space between them. Phra
 words stand consecutively. A notice is found with up to `errors` edits: split into errors + 1 pieces, at least
 one piece stands unchanged in any text within those edits (pigeonhole), so an automaton of all pieces gives
 every candidate place, and the regex library's bounded-error matching decides there and reports the span.
+Places are taken by rising share of edits, each in what the ones before left free, so none hides another beside it.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left, insort
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -74,7 +76,7 @@ class Search:
         import regex
 
         self.wanted = wanted
-        self.patterns = [regex.compile(rf"(?b)(?:{regex.escape(n.words)}){{e<={n.errors}}}") for n in wanted]
+        self.patterns = [[regex.compile(rf"(?:{regex.escape(n.words)}){{e<={e}}}") for e in range(n.errors + 1)] for n in wanted]
         seeds: dict[str, list[tuple[int, int]]] = {}
         for k, n in enumerate(wanted):
             for at, piece in pieces(n):
@@ -84,31 +86,52 @@ class Search:
             self.automaton.add_word(piece, (len(piece), uses))
         self.automaton.make_automaton()
 
-    def __call__(self, text: str) -> list[tuple[int, int, int, int]]:
-        """(notice, start, end, edits) of every place, by notice and start; best match first, none overlapping."""
+    def windows(self, text: str) -> dict[int, list[list[int]]]:
+        """Of each notice the stretches of text that hold all its places; those that touch are one."""
         if not self.wanted:
-            return []
-        windows: dict[int, list[list[int]]] = {}
+            return {}
+        seeded: dict[int, list[list[int]]] = {}
         for last, (size, uses) in self.automaton.iter(text):
             for k, at in uses:
                 n = self.wanted[k]
                 begin = last + 1 - size - at - n.errors
                 end = begin + len(n.words) + 2 * n.errors
-                own = windows.setdefault(k, [])
-                own.append([max(0, begin), min(len(text), end)])
-        found = []
-        for k, spans in sorted(windows.items()):
+                seeded.setdefault(k, []).append([max(0, begin), min(len(text), end)])
+        found = {}
+        for k, spans in seeded.items():
             spans.sort()
-            joined = [spans[0]]
-            for begin, end in spans[1:]:  # places whose windows overlap are looked at together, once
+            joined = found[k] = [spans[0]]
+            for begin, end in spans[1:]:
                 if begin <= joined[-1][1]:
                     joined[-1][1] = max(joined[-1][1], end)
                 else:
                     joined.append([begin, end])
-            for begin, end in joined:
-                found += [(k, m.start(), m.end(), sum(m.fuzzy_counts)) for m in self.patterns[k].finditer(text, begin, end)]
         return found
 
+    def places(self, text: str, windows: dict[int, list[list[int]]]) -> list[tuple[int, int, int, int]]:
+        """(notice, start, end, edits), none over another, until no window has a match in what is left free.
+
+        By rising share of edits, the longer notice first, then from the left. What a step leaves free has no match
+        of its notice within its edits, so each step adds those of one edit more.
+        """
+        steps = sorted((e / len(self.wanted[k].words), -len(self.wanted[k].words), k, e) for k in windows for e in range(self.wanted[k].errors + 1))
+        taken: list[tuple[int, int]] = []
+        found = []
+        for _, size, k, e in steps:
+            for begin, end in windows[k]:
+                at = bisect_left(taken, (begin, begin))
+                inside = taken[max(0, at - 1) : bisect_left(taken, (end, end))]
+                for low, high in zip([begin, *[max(begin, b) for _, b in inside]], [*[a for a, _ in inside], end], strict=True):
+                    if high - low >= -size - e:
+                        for m in self.patterns[k][e].finditer(text, low, high):
+                            insort(taken, m.span())
+                            found.append((k, *m.span(), sum(m.fuzzy_counts)))
+        return found
+
+    def __call__(self, text: str) -> list[tuple[int, int, int, int]]:
+        """(notice, start, end, edits) of every place, by notice and start; of each notice none overlapping."""
+        return sorted(p for k, own in self.windows(text).items() for p in self.places(text, {k: own}))
+
 
 @lru_cache(maxsize=8)
 def _search(wanted: tuple[Notice, ...]) -> Search:
@@ -129,13 +152,10 @@ def scan(text: str | None, phrases: dict[str, str], wanted: tuple[Notice, ...])
             at = norm.find(needle, at + 1)
     labels, score, spans = set(base), 1.0 if base else 0.0, []
     own = norm.decode()
-    taken: list[tuple[int, int]] = []
+    search = _search(wanted)
     # of matches over one another the one with the smallest share of edits stands
-    for k, begin, end, edits in sorted(_search(wanted)(own), key=lambda m: (m[3] / len(wanted[m[0]].words), m[1] - m[2], m[1], m[0])):
+    for k, begin, end, edits in search.places(own, search.windows(own)):
         n = wanted[k]
-        if any(a < end and begin < b for a, b in taken):
-            continue
-        taken.append((begin, end))
         labels.add(n.label)
         score = max(score, 1 - edits / len(n.words))
         # the words that the match touches; spaces at its ends don't count

@@ -1,3 +1,4 @@
+import random
 import re
 
 import regex
@@ -58,3 +59,47 @@ def test_repeats_and_empty(spark, make_docs):
     assert find_licenses(make_docs([])).count() == 0
     assert find_licenses(make_docs([(1, "cc by nc"), (1, "cc by nc"), (None, "x")])).count() == 3
     assert scan("x", {}, ())[:2] == (1, 0)
+
+
+def least_edits(words, text):
+    """The fewest edits from words to any part of text, by the table of all prefixes (Sellers)."""
+    row = list(range(len(words) + 1))
+    least = row[-1]
+    for c in text:
+        before, row = row, [0]
+        for k, w in enumerate(words):
+            row.append(min(before[k] + (w != c), before[k + 1] + 1, row[k] + 1))
+        least = min(least, row[-1])
+    return least
+
+
+def test_no_place_hides_another():
+    search = Search(notices(NOTICES))
+    two = " foo releasd under the mit license bar released under the mit license x"
+    assert [p[1:] for p in search(two) if p[0] == 0] == [(5, 34, 1), (39, 69, 0)]
+    both = scan("licensed undr the gnu genral public license version 3 or licensed under the gnu general public license version 2", PHRASES, notices(NOTICES))
+    assert both[5] == "gpl-2,gpl-3" and both[7] == "gpl-3:0:8:2,gpl-2:10:18:0"
+
+
+def test_places_against_brute_force():
+    """What the found places leave free holds no match of any notice: of each notice alone, and of all together."""
+    rng = random.Random(3)
+    wanted = notices(NOTICES)
+    search = Search(wanted)
+    for _ in range(40):
+        parts = []
+        for _ in range(rng.randrange(1, 5)):
+            own = list(rng.choice(list(NOTICES)))
+            for _ in range(rng.randrange(4)):
+                at = rng.randrange(len(own))
+                own[at] = rng.choice(["", "x", own[at] + "y"])
+            parts += ["".join(own), *rng.choices(["and", "or", "the licence"], k=rng.randrange(2))]
+        norm = words_of(" ".join(parts)).decode()
+        alone, together = search(norm), search.places(norm, search.windows(norm))
+        for k, n in enumerate(wanted):
+            for places in ([p for p in alone if p[0] == k], sorted(together, key=lambda p: p[1])):
+                cuts = [0, *[x for p in places for x in p[1:3]], len(norm)]
+                assert cuts == sorted(cuts)
+                assert all(least_edits(n.words, norm[a:b]) > n.errors for a, b in zip(cuts[::2], cuts[1::2], strict=True)), (n, norm, places)
+        for k, a, b, edits in alone + together:
+            assert least_edits(wanted[k].words, norm[a:b]) == edits
