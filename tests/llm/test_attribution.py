@@ -24,7 +24,7 @@ def test_attribute_against_brute_force(sizes, cuts, rule):
 
 
 def test_sections(spark, make_docs, vocabulary):
-    texts = {1: "Ein Satz.\nçé ü\n\n\nende", 2: None, 3: "", 4: "a\n" * 500, 5: "\n\n  \n x", 6: "ohne Umbruch", 7: "语言😀\n模型"}
+    texts = {1: "Ein Satz.\nçé ü\n\n\nende", 2: None, 3: "", 4: "a\n" * 500, 5: "\n\n  \n x", 6: "ohne Umbruch", 7: "语言😀\n模型", 8: "a <|endoftext|>\nb<|endoftext|>", 9: "语言<|endoftext|>。\n" * 300}
     rows = section_tokens(make_docs(texts), vocabulary, rule="first").collect()
     t = Tokenizer.from_file(vocabulary)
     for i, text in texts.items():

@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from skyfold.llm.packing import pack_documents, plan_cuts
+from skyfold.llm.packing import STRETCH, pack_documents, plan_cuts
 
 
 @given(st.lists(st.tuples(st.integers(1, 16), st.integers(0, 5)), min_size=1, max_size=14), st.integers(0, 3))
@@ -30,7 +30,7 @@ def test_plan_is_the_cheapest(steps, per_sequence):
 
 
 def test_pieces(spark, make_docs, vocabulary):
-    texts = {0: "One sentence here. Another one there.\n" * 900, 1: None, 2: "", 3: "word" * 9000, 4: "a b c", 5: "a b c", **{i: "Short and dull. " * (i % 37) for i in range(6, 300)}}
+    texts = {0: "One sentence here. Another one there.\n" * 900, 1: None, 2: "", 3: "word" * 9000, 4: "a b c", 5: "a b c", 400: "Ein Satz, und <|endoftext|> noch einer. " * 30_000, 401: "a<|endoftext|>语", 402: "语言。模型\n" * 40_000, 403: "x. " * 200_000, **{i: "Short and dull. " * (i % 37) for i in range(6, 300)}}
     rows = pack_documents(make_docs(texts), vocabulary).collect()
     t = Tokenizer.from_file(vocabulary)
     ids = {i: [*t.encode(x or "", add_special_tokens=False).ids, 1] for i, x in texts.items()}
@@ -55,6 +55,7 @@ def test_pieces(spark, make_docs, vocabulary):
             at += length
         assert at <= 2048
         padded += 0 if at & (at - 1) == 0 else 2048 - at
+    assert sum(map(len, ids.values())) > 3 * STRETCH
     assert padded < 0.04 * sum(map(len, ids.values())) + 4 * 2048
 
 
