@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -70,3 +72,35 @@ def bounded_broadcast(df: DataFrame, rows: int) -> DataFrame:
 
 #: Bytes of UTF-8 to words: A-Z lower-cased, white space for all of ASCII but digits and letters.
 TO_WORDS = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
+
+
+#: Bytes of text whose words are hashed at once: arrays of numbers are bounded by it, not by the text.
+_PART = 1 << 16
+_BASE, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+_UP = np.cumprod(np.full(_PART, _BASE))
+_DOWN = np.cumprod(np.full(_PART, np.uint64(pow(int(_BASE), -1, 1 << 64))))
+
+
+def _hashed(data: np.ndarray) -> np.ndarray:
+    """64 bits of each word: the sum of its bytes times powers of a base, from running sums over the data."""
+    space = data == 32
+    edges = np.flatnonzero(np.diff(np.concatenate([[True], space, [True]]).view(np.int8)))
+    begins, ends = edges[::2], edges[1::2]
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _UP[: len(data)])])
+    h = (sums[ends] - sums[begins]) * _DOWN[begins] * _MIX
+    return h ^ (h >> np.uint64(31))
+
+
+def hashed_words(data: bytes) -> np.ndarray:
+    """64 bits of each word of data, in which words are what spaces separate."""
+    found, at = [np.zeros(0, np.uint64)], 0
+    while at < len(data):
+        end = len(data) if at + _PART > len(data) else data.rfind(b" ", at, at + _PART) + 1
+        if end > at:
+            found.append(_hashed(np.frombuffer(data, np.uint8, end - at, at)))
+        else:  # a word longer than a part
+            end = data.find(b" ", at + _PART) + 1 or len(data)
+            word = hashlib.blake2b(data[at:end].rstrip(b" "), digest_size=8).digest()
+            found.append(np.frombuffer(word, "<u8").astype(np.uint64))
+        at = end
+    return np.concatenate(found) if len(found) != 2 else found[1]

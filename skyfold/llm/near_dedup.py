@@ -3,23 +3,22 @@
 A text is its words; its k-mers are five words running, labelled with how often each stood before. For each of
 `entries` hash functions the sketch takes the `taken` labelled k-mers of the least hashes and keeps them in text
 order, so two sketches agree in an entry when the same k-mers stand in the same order: alike in the sense of
-edits, not of word sets alone. Texts that agree in one entry share a bucket.
+edits, not of word sets. Texts that agree in one entry share a bucket; a pair that agrees in `least_agreed`
+entries or more is a candidate.
+
+A banded alignment decides: a link is a pair whose edit similarity, twice the most words in one order over the
+words of both, is the threshold or more. Classes are what links connect.
 
   1. Equal texts become one vertex.
-  2. In each bucket sketches are compared as arrays. Pairs that agree in `least_agreed` entries or more are
-     candidates; a spanning forest of them leaves the bucket, each pair from the first entry that it agrees in.
-  3. The forests' components are candidate groups: any two candidates are in the same one. Every text goes to
-     its group once.
-  4. In a group all pairs are verified where they are, as a product of two matrices, and a spanning forest of the
-     verified links leaves it. Its components are the classes.
-
-Both comparisons run in blocks of bounded size; a bucket or group that is larger is dealt out as pairs of blocks.
-So a group of thousands of copies yields links in proportion to its size, no pair of rows is ever made by a join,
-and no link between two texts that could join their classes is left out.
-
-A verified pair has five-word shingles with a Jaccard similarity of 0.8 or more, which no alignment can exceed,
-and a banded alignment, an O(ND) one whose band grows with the edits, that puts most of the shared shingles in
-the same order.
+  2. Each text meets the head of its buckets, the least text there, where they share enough of them. A group of
+     any number of near copies becomes one component by as many alignments as it has texts.
+  3. In each bucket that still holds several components, sketches are compared as arrays in blocks of bounded
+     size, and the candidates of different components aligned, until each is linked or refused. A bucket larger
+     than a block is first dealt out by the second entry that pairs agree in, what is larger still as pairs of
+     blocks.
+
+No pair of rows is made by a join, and no candidate that could join two components is left out. A text of five words
+or fewer is one k-mer and so is linked only to texts of the same words.
 """
 
 from __future__ import annotations
@@ -31,31 +30,26 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyfold.llm.common import TO_WORDS, bounded_broadcast, columns_of, written
+from skyfold.llm.common import TO_WORDS, bounded_broadcast, columns_of, hashed_words, written
 
 SHINGLE = 5
-#: Texts of a bucket or group that are compared with one another, or with as many others, at once.
+#: Texts of a bucket that are compared with one another, or with as many others, at once.
 BLOCK = 800
-#: Characters of a group's block.
-BLOCK_CHARS = 8_000_000
+#: Characters of a bucket's block.
+BLOCK_CHARS = 4_000_000
 #: Broadcast at most so many texts' keys; more are joined by a shuffle.
-BROADCAST_KEYS = 200_000
+BROADCAST_KEYS = 100_000
+#: Words of one text that the alignment takes as the bits of one number.
+BITS = 2048
+#: Hashes of a sketch that are held at once.
+HELD = 1 << 20
 
 _BASE, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
-_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 
 def word_hashes(text: str | None) -> np.ndarray:
     """64 bits of each word of a text, A-Z lower-cased."""
-    data = np.frombuffer((text or "").encode().translate(TO_WORDS), dtype=np.uint8)
-    space = data == 32
-    edges = np.flatnonzero(np.diff(np.concatenate([[True], space, [True]]).view(np.int8)))
-    begins, ends = edges[::2], edges[1::2]
-    if not len(begins):
-        return np.zeros(0, dtype=np.uint64)
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * np.cumprod(np.full(len(data), _BASE)))])
-    h = (sums[ends] - sums[begins]) * np.cumprod(np.full(len(data), _INVERSE))[begins] * _MIX
-    return h ^ (h >> np.uint64(31))
+    return hashed_words((text or "").encode().translate(TO_WORDS))
 
 
 def shingles(words: np.ndarray, size: int = SHINGLE) -> np.ndarray:
@@ -84,267 +78,263 @@ def labelled(kmers: np.ndarray) -> np.ndarray:
     return np.where(occurrence > 0, h ^ (h >> np.uint64(32)), kmers)
 
 
-def sketch(words: np.ndarray, entries: int, taken: int) -> np.ndarray:
-    """The Order MinHash sketch: `entries` numbers of 64 bits. words: at least one."""
-    x = labelled(shingles(words))
-    drawn = np.random.default_rng(20190701).integers(1, 1 << 63, size=(2, entries), dtype=np.uint64)
+def _least(x: np.ndarray, drawn: np.ndarray, taken: int) -> np.ndarray:
+    """Places, in text order, of the `taken` k-mers of the least hashes, a column a hash function."""
     h = (x[None, :] ^ drawn[0][:, None]) * (drawn[1][:, None] | np.uint64(1))
     h ^= h >> np.uint64(32)
     h *= _MIX
-    rows = np.arange(entries)
+    rows = np.arange(len(h))
     places = []
     for _ in range(min(taken, len(x))):
         at = h.argmin(axis=1)
         places.append(at)
         h[rows, at] = np.uint64(0xFFFFFFFFFFFFFFFF)
+    return np.sort(np.stack(places), axis=0)
+
+
+def sketch(words: np.ndarray, entries: int, taken: int) -> np.ndarray:
+    """The Order MinHash sketch: `entries` numbers of 64 bits. words: at least one."""
+    x = labelled(shingles(words))
+    drawn = np.random.default_rng(20190701).integers(1, 1 << 63, size=(2, entries), dtype=np.uint64)
+    step = max(1, HELD // len(x))
+    places = np.concatenate([_least(x, drawn[:, k : k + step], taken) for k in range(0, entries, step)], axis=1)
     out = np.zeros(entries, dtype=np.uint64)
-    for at in np.sort(np.stack(places), axis=0):
+    for at in places:
         out = (out ^ x[at]) * _BASE
         out ^= out >> np.uint64(30)
     return out
 
 
 def sketches(docs: DataFrame, entries: int, taken: int) -> DataFrame:
-    """(uid, sketch) of each different text with a word; uid is the MD5 of the text."""
+    """(uid, chars, sketch) of each text with a word; uid is the MD5 of the text."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            uids, found = [], []
-            for uid, text in zip(batch.column("uid").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            found: list[list] = [[], [], []]
+            for k, uid in enumerate(batch.column("uid").to_pylist()):
+                text = batch.column("text")[k].as_py()
                 words = word_hashes(text)
                 if len(words):
-                    uids.append(uid)
-                    found.append(sketch(words, entries, taken).astype(np.int64).tolist())
-            if uids:
-                yield pa.RecordBatch.from_arrays([pa.array(uids, pa.binary()), pa.array(found, pa.list_(pa.int64()))], names=["uid", "sketch"])
-
-    return docs.select("uid", "text").mapInArrow(rows, "uid binary, sketch array<long>")
-
-
-def _forest(agreed: np.ndarray) -> list[tuple[int, int]]:
-    """Edges of a spanning forest of the most agreement; 0 is no edge."""
-    n = len(agreed)
-    best, parent = np.zeros(n, dtype=np.int16), np.full(n, -1)
-    out = np.zeros(n, dtype=bool)
-    edges = []
-    for _ in range(n):
-        at = int(np.where(out, -1, best).argmax())
-        if best[at] > 0:
-            edges.append((int(parent[at]), at))
-        out[at] = True
-        better = ~out & (agreed[at] > best)
-        best[better] = agreed[at][better]
-        parent[better] = at
-    return edges
-
-
-def pairs_of_bucket(table: np.ndarray, entry: int, sides: np.ndarray, least_agreed: int) -> list[tuple[int, int]]:
-    """Places of the pairs that a bucket gives away: a spanning forest of its candidates.
-
-    table: a sketch a row. sides: the block of each row; where there are two, only pairs across them count.
+                    for column, value in zip(found, (uid, len(text), sketch(words, entries, taken).astype(np.int64)), strict=True):
+                        column.append(value)
+            if found[0]:
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(found, (pa.binary(), pa.int64(), pa.list_(pa.int64())), strict=True)], names=["uid", "chars", "sketch"])
+
+    return docs.select("uid", "text").mapInArrow(rows, "uid binary, chars long, sketch array<long>")
+
+
+def words_in_order(a: list[int], b: list[int], band: int) -> int:
+    """The most words of a and b in one order, of equal ones at most `band` places apart.
+
+    The columns of the table are bits of a number, BITS words of `a` at a time: what a row of it adds is carried from
+    one number to the next. Only places within the band are visited, and memory is linear in the texts.
+    """
+    carried = bytearray(len(b))
+    found = 0
+    for low in range(0, len(a), BITS):
+        part = a[low : low + BITS]
+        size = len(part)
+        marks: dict[int, int] = {}
+        for k, w in enumerate(part):
+            marks[w] = marks.get(w, 0) | 1 << k
+        full = free = (1 << size) - 1
+        for j in range(max(0, low - band), min(len(b), low + size + band)):
+            equal = marks.get(b[j], 0)
+            if equal:
+                least, most = j - band - low, j + band + 1 - low
+                if least > 0:
+                    equal = equal >> least << least
+                if most < size:
+                    equal &= (1 << most) - 1
+            elif not carried[j]:
+                continue
+            both = free & equal
+            total = free + both + carried[j]
+            carried[j] = total >> size
+            free = (total | (free - both)) & full
+        found += size - free.bit_count()
+    return found
+
+
+class Words:
+    """A text's words, and the same in sorted order with their numbers of occurrence."""
+
+    def __init__(self, text: str):
+        self.hashes = word_hashes(text)
+        self.bag = np.sort(labelled(self.hashes))
+
+
+def alike(a: Words, b: Words, threshold: float) -> bool:
+    """Whether the edit similarity of two texts is the threshold or more.
+
+    An alignment of that similarity has at most (1 - threshold) * all words edits and so keeps within a band as wide.
+    The band begins narrow and widens while the answer is open.
     """
-    n = len(table)
-    agreed = np.zeros((n, n), dtype=np.int16)
-    earlier = np.zeros((n, n), dtype=bool)
+    x, y = a.hashes, b.hashes
+    both = len(x) + len(y)
+    needed = threshold * both / 2 - 1e-9
+    if min(len(x), len(y)) < needed:
+        return False
+    at = np.searchsorted(a.bag, b.bag)
+    if np.count_nonzero(a.bag[np.minimum(at, len(a.bag) - 1)] == b.bag) < needed:
+        return False
+    n = min(len(x), len(y))
+    other = np.flatnonzero(x[:n] != y[:n])
+    head = int(other[0]) if len(other) else n
+    other = np.flatnonzero(x[::-1][: n - head] != y[::-1][: n - head])
+    tail = int(other[0]) if len(other) else n - head
+    p, q = x[head : len(x) - tail].tolist(), y[head : len(y) - tail].tolist()
+    widest = int((1 - threshold) * both) + 1
+    band = min(widest, 64 + abs(len(p) - len(q)))
+    while head + tail + words_in_order(p, q, band) < needed:
+        if band >= widest:
+            return False
+        band = min(widest, 4 * band)
+    return True
+
+
+def owned_pairs(table: np.ndarray, comps: np.ndarray, sides: np.ndarray, entry: int, second: int, least_agreed: int) -> np.ndarray:
+    """Places of a bucket's candidates, a pair a row, those that agree most first.
+
+    table: a sketch a row. comps: components; pairs of one are none. sides: the block of each row; where there are
+    two, only pairs across them count. entry: the first entry that the bucket's pairs agree in, so that each pair is
+    in one bucket only; second: the second one, -1 where the bucket is not dealt out by it.
+    """
+    n, last = len(table), max(entry, second)
+    agreed, before = np.zeros((n, n), dtype=np.int16), np.zeros((n, n), dtype=np.int16)
     for k in range(table.shape[1]):
-        same = table[:, k][:, None] == table[:, k][None, :]
-        agreed += same
-        if k < entry:
-            earlier |= same
-    agreed[earlier | (agreed < least_agreed)] = 0
-    np.fill_diagonal(agreed, 0)
+        agreed += table[:, k][:, None] == table[:, k][None, :]
+        if k == last - 1:
+            before = agreed.copy()
+    own = (agreed >= least_agreed) & (before == (second >= 0)) & (comps[:, None] != comps[None, :])
     if sides.min() != sides.max():
-        agreed[sides[:, None] == sides[None, :]] = 0
-    return _forest(agreed)
+        own &= sides[:, None] != sides[None, :]
+    pairs = np.argwhere(np.triu(own))
+    return pairs[np.argsort(-agreed[pairs[:, 0], pairs[:, 1]], kind="stable")]
+
 
+def links_of_bucket(texts: list[str], pairs: np.ndarray, comps: np.ndarray, threshold: float) -> list[tuple[int, int]]:
+    """The candidates that the alignment links, but for those whose texts are connected before their turn."""
+    parent: dict[int, int] = {}
+    words: dict[int, Words] = {}
+    found = []
+
+    def top(x: int) -> int:
+        while (up := parent.get(x, x)) != x:
+            parent[x] = parent.get(up, up)
+            x = up
+        return x
 
-def dealt(rows: DataFrame, keys: list[str], blocks) -> DataFrame:
-    """rows with own, i and j: each row goes to the pairs of blocks that its own block is in."""
-    own = F.pmod(F.xxhash64("uid"), blocks).cast("int")
-    placed = rows.withColumn("own", own).withColumn("_other", F.explode(F.sequence(F.lit(0), blocks.cast("int") - 1)))
-    return placed.withColumn("i", F.least("own", "_other")).withColumn("j", F.greatest("own", "_other")).drop("_other")
+    for x, y in pairs.tolist():
+        p, q = top(int(comps[x])), top(int(comps[y]))
+        if p != q:
+            for k in (x, y):
+                if k not in words:
+                    words[k] = Words(texts[k])
+            if alike(words[x], words[y], threshold):
+                parent[p] = q
+                found.append((x, y))
+    return found
 
 
-def gathered(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
-    """Rows of a key running together, in partitions by key."""
+def gathered(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Rows of a key running together and in order, in partitions by key."""
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.select(*keys, *columns).repartition(n, *keys).sortWithinPartitions(*keys, "uid")
+    return df.repartition(n, *keys).sortWithinPartitions(*keys, *order)
 
 
 def runs_of(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[tuple]]:
     """The rows of each key in turn, where they run together and the key is the first columns."""
     held: list[tuple] = []
     for batch in batches:
-        for row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-            if held and held[0][:keys] != row[:keys]:
-                yield held
-                held = []
-            held.append(row)
+        for at in range(0, batch.num_rows, 256):
+            for row in zip(*[c.to_pylist() for c in batch.slice(at, 256).columns], strict=True):
+                if held and held[0][:keys] != row[:keys]:
+                    yield held
+                    held = []
+                held.append(row)
     if held:
         yield held
 
 
-def candidate_pairs(sketched: DataFrame, least_agreed: int) -> DataFrame:
-    """(a, b), a < b, uids of the pairs that the buckets of (uid, sketch) give away."""
-    spread = sketched.select("uid", F.posexplode("sketch").alias("entry", "key"))
-    sizes = spread.groupBy("entry", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = written(spread.join(sizes, ["entry", "key"]), "buckets")
-    placed = dealt(shared, ["entry", "key"], F.ceil(F.col("n") / BLOCK)).join(sketched, "uid")
+def _edges(pairs: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in zip(*pairs, strict=True)], names=["a", "b"])
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        left: list = []
-        right: list = []
-        for group in runs_of(batches, 4):
-            if len(group) > 1:
-                table = np.array([g[6] for g in group], dtype=np.int64)
-                for x, y in pairs_of_bucket(table, group[0][0], np.array([g[5] for g in group]), least_agreed):
-                    a, b = sorted((group[x][4], group[y][4]))
-                    left.append(a)
-                    right.append(b)
-            if len(left) > 10_000:
-                yield pa.RecordBatch.from_arrays([pa.array(left, pa.binary()), pa.array(right, pa.binary())], names=["a", "b"])
-                left, right = [], []
-        if left:
-            yield pa.RecordBatch.from_arrays([pa.array(left, pa.binary()), pa.array(right, pa.binary())], names=["a", "b"])
-
-    return gathered(placed, ["entry", "key", "i", "j"], ["uid", "own", "sketch"]).mapInArrow(rows, "a binary, b binary").distinct()
-
-
-def aligned_runs(a: np.ndarray, b: np.ndarray, most: int) -> list[int] | None:
-    """Lengths of the runs of equal words in a shortest edit script of insertions and deletions.
-
-    The greedy O(ND) alignment: of each diagonal, in a band that widens by one each way with each edit, the
-    furthest place that so many edits reach. None beyond `most` edits.
-    """
-    n, m = len(a), len(b)
-
-    def slide(x: int, y: int) -> int:
-        """How many words from here on are equal."""
-        size, step = 0, 16
-        while True:
-            p, q = a[x + size : x + size + step], b[y + size : y + size + step]
-            k = min(len(p), len(q))
-            other = np.flatnonzero(p[:k] != q[:k])
-            if len(other):
-                return size + int(other[0])
-            size += k
-            if k < step:
-                return size
-            step *= 4
-
-    reached = {1: 0}
-    trace: list[dict[int, tuple[int, int]]] = []  # of each diagonal: where the slide began and ended
-    for d in range(most + 1):
-        now: dict[int, tuple[int, int]] = {}
-        for k in range(-d, d + 1, 2):
-            down = k == -d or (k != d and reached.get(k - 1, -1) < reached.get(k + 1, -1))
-            x = reached.get(k + 1, -1) if down else reached.get(k - 1, -1) + 1
-            y = x - k
-            if x < 0 or y < 0 or x > n or y > m:
-                continue
-            end = x + slide(x, y)
-            now[k] = (x, end)
-            if end >= n and end - k >= m:
-                trace.append(now)
-                return _runs(trace, k)
-        trace.append(now)
-        reached = {k: v[1] for k, v in now.items()}
-    return None
-
-
-def _runs(trace: list[dict[int, tuple[int, int]]], k: int) -> list[int]:
-    runs = []
-    for d in range(len(trace) - 1, -1, -1):
-        begin, end = trace[d][k]
-        runs.append(end - begin)
-        if d:
-            before = trace[d - 1]
-            up, left = before.get(k + 1, (0, -1))[1], before.get(k - 1, (0, -1))[1]
-            k = k + 1 if k == -d or (k != d and left < up) else k - 1
-    return runs
-
-
-def in_order(a: np.ndarray, b: np.ndarray, least: float) -> bool:
-    """Whether an alignment of two texts puts a `least` share of their shingles in the same order."""
-    if min(len(a), len(b)) < SHINGLE:
-        return bool(np.array_equal(a, b))
-    runs = aligned_runs(a, b, int(2 * (1 - least) * max(len(a), len(b))) + 2)
-    if runs is None:
-        return False
-    ordered = sum(max(0, r - SHINGLE + 1) for r in runs)
-    return ordered >= least * (len(a) + len(b) - 2 * (SHINGLE - 1) - ordered)
-
-
-def shared_shingles(sets: list[np.ndarray], columns: int = 4096) -> np.ndarray:
-    """How many numbers each two of some sets share: a product of incidence matrices, some columns at a time."""
-    n = len(sets)
-    values, place, uses = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    row = np.repeat(np.arange(n), [len(x) for x in sets])
-    held = uses[place] > 1
-    row, place = row[held], (np.cumsum(uses > 1) - 1)[place[held]]
-    order = np.argsort(place, kind="stable")
-    row, place = row[order], place[order]
-    common = np.zeros((n, n), dtype=np.float32)
-    for at in range(0, int(place[-1]) + 1 if len(place) else 0, columns):
-        low, high = np.searchsorted(place, [at, at + columns])
-        m = np.zeros((n, columns), dtype=np.float32)
-        m[row[low:high], place[low:high] - at] = 1
-        common += m @ m.T
-    np.fill_diagonal(common, [len(x) for x in sets])
-    return common
-
-
-def links_of_group(texts: list[str], sides: np.ndarray, threshold: float, least_in_order: float) -> tuple[list[tuple[int, int]], np.ndarray]:
-    """(a spanning forest of the verified links, how many texts each is similar to) in one group or pair of blocks."""
-    words = [word_hashes(t) for t in texts]
-    sets = [np.unique(shingles(w)) for w in words]
-    common = shared_shingles(sets)
-    sizes = np.array([len(x) for x in sets], dtype=np.float32)
-    alike = common >= threshold * (sizes[:, None] + sizes[None, :] - common) - 1e-3
-    np.fill_diagonal(alike, False)
-    if sides.min() != sides.max():
-        alike &= sides[:, None] != sides[None, :]
-    a, b = np.nonzero(np.triu(alike))
-    best = np.argsort(-(common[a, b] / (sizes[a] + sizes[b] - common[a, b])), kind="stable")
-    parent = list(range(len(texts)))
-
-    def top(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    forest = []
-    for x, y in zip(a[best].tolist(), b[best].tolist(), strict=True):
-        p, q = top(x), top(y)
-        if p != q and in_order(words[x], words[y], least_in_order):
-            parent[p] = q
-            forest.append((x, y))
-    return forest, alike.sum(axis=1)
 
+def head_links(shared: DataFrame, texts: DataFrame, threshold: float, least_agreed: int) -> DataFrame:
+    """(a, b): links of texts with the heads of their buckets. shared: entry, key, uid, n, head. texts: uid, text.
 
-def verified_links(groups: DataFrame, texts: DataFrame, threshold: float, least_in_order: float = 0.5) -> DataFrame:
-    """(a, b, n): links, with b, and counts of similar texts of a, without.
-
-    groups: uid and comp. texts: uid and text, of which those of the groups are looked up.
+    A head of very many texts is dealt out, with as many copies of its own text as there are blocks of them.
     """
-    known = bounded_broadcast(groups, BROADCAST_KEYS)
-    own = written(texts.join(known, "uid").groupBy("uid").agg(F.first("comp").alias("comp"), F.first("text").alias("text")), "texts")
-    stats = own.groupBy("comp").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).alias("chars"))
-    blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.least(F.ceil(F.col("chars") / BLOCK_CHARS), F.ceil(F.col("n") / 2)))
-    placed = dealt(own.join(stats, "comp"), ["comp"], blocks)
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in runs_of(batches, 3):
-            if len(group) < 2:
-                continue
-            forest, alike = links_of_group([g[5] for g in group], np.array([g[4] for g in group]), threshold, least_in_order)
-            out = [(group[x][3], group[y][3], 0) for x, y in forest]
-            out += [(g[3], None, int(k)) for g, k in zip(group, alike, strict=True) if k]
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), (pa.binary(), pa.binary(), pa.int64()), strict=True)], names=["a", "b", "n"])
-
-    return gathered(placed, ["comp", "i", "j"], ["uid", "own", "text"]).mapInArrow(rows, "a binary, b binary, n long")
+    candidates = shared.where("uid <> head").groupBy("uid", "head").agg(F.count(F.lit(1)).alias("met"), F.max("n").alias("n")).where(F.col("met") >= least_agreed)
+    blocks = F.ceil(F.col("n") / BLOCK)
+    placed = written(candidates.select("head", blocks.alias("blocks"), F.pmod(F.xxhash64("uid"), blocks).alias("part"), "uid"), "candidates")
+    members = placed.withColumn("role", F.lit(1))
+    heads = placed.select("head", "blocks", "part").distinct().select("*", F.col("head").alias("uid"), F.lit(0).alias("role"))
+    rows = members.unionByName(heads).join(texts, "uid").select("head", "blocks", "part", "role", "uid", "text")
+
+    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        head, own = None, None
+        for batch in batches:
+            found = []
+            for k in range(batch.num_rows):
+                uid, role = batch.column("uid")[k].as_py(), batch.column("role")[k].as_py()
+                if role == 0:
+                    if uid != head:
+                        head, own = uid, Words(batch.column("text")[k].as_py())
+                elif alike(own, Words(batch.column("text")[k].as_py()), threshold):
+                    found.append((uid, head))
+            if found:
+                yield _edges(found)
+
+    return gathered(rows, ["head", "blocks", "part"], ["role"]).mapInArrow(linked, "a binary, b binary")
+
+
+_BUCKET = ["entry", "key", "second", "key2"]
+
+
+def _live(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """rows of the buckets that hold several components, with the bucket's n texts and chars."""
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.sum("chars").alias("all_chars"), F.min("comp").alias("_least"), F.max("comp").alias("_most"))
+    return rows.join(sizes.where("_least <> _most").drop("_least", "_most"), keys)
+
+
+def bucket_links(shared: DataFrame, comps: DataFrame, sketched: DataFrame, texts: DataFrame, threshold: float, least_agreed: int) -> DataFrame:
+    """(a, b): links of candidates between different components. comps: uid and comp of texts already linked."""
+    named = shared.select("entry", "key", "uid").join(sketched.select("uid", "chars"), "uid").join(bounded_broadcast(comps, BROADCAST_KEYS), "uid", "left")
+    named = written(named.withColumn("comp", F.coalesce("comp", "uid")), "buckets")
+    rows = written(_live(named, ["entry", "key"]).join(sketched.select("uid", "sketch"), "uid").withColumns({"second": F.lit(-1), "key2": F.lit(0).cast("long")}), "open")
+    if least_agreed > 1:
+        wide = rows.where(F.col("n") > BLOCK).drop("n", "all_chars", "second", "key2").select("*", F.posexplode("sketch").alias("second", "key2")).where("second > entry")
+        rows = rows.where(F.col("n") <= BLOCK).unionByName(_live(wide, _BUCKET))
+    blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.least(F.ceil(F.col("all_chars") / BLOCK_CHARS), F.ceil(F.col("n") / 2))).cast("int")
+    placed = rows.withColumn("own", F.pmod(F.xxhash64("uid"), blocks).cast("int")).withColumn("_other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    placed = placed.withColumn("i", F.least("own", "_other")).withColumn("j", F.greatest("own", "_other"))
+    keys = [*_BUCKET, "i", "j"]
+    columns = [*keys, "uid", "own", "comp", "sketch"]
+
+    def candidates_of(group: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+        comps = np.unique(np.array([g[8].hex() for g in group]), return_inverse=True)[1]
+        table = np.array([g[9] for g in group], dtype=np.int64)
+        return owned_pairs(table, comps, np.array([g[7] for g in group]), group[0][0], group[0][2], least_agreed), comps
+
+    def partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = [pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int32(), pa.binary(), pa.list_(pa.int64())]
+        for group in runs_of(batches, len(keys)):
+            if len(group) > 1 and len(pairs := candidates_of(group)[0]):
+                out = [group[k] for k in np.unique(pairs).tolist()]
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), kinds, strict=True)], names=columns)
+
+    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in runs_of(batches, len(keys)):
+            pairs, comps = candidates_of(group)
+            found = links_of_bucket([g[10] for g in group], pairs, comps, threshold)
+            if found:
+                yield _edges([(group[x][6], group[y][6]) for x, y in found])
+
+    schema = "entry int, key long, second int, key2 long, i int, j int, uid binary, own int, comp binary, sketch array<long>"
+    taking = written(gathered(placed.select(*columns), keys, ["uid"]).mapInArrow(partners, schema), "partners")
+    return gathered(taking.join(texts, "uid").select(*columns, "text"), keys, ["uid"]).mapInArrow(linked, "a binary, b binary")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -357,10 +347,10 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         both = now.select("v", "u").unionByName(now.select(F.col("u").alias("v"), F.col("v").alias("u")))
         least = both.groupBy("v").agg(F.min("u").alias("m"))
-        hung = both.where(F.col("u") > F.col("v")).join(least, "v").select(F.col("u").alias("v"), F.least("m", "v").alias("u"))
+        hung = both.where(F.col("u") > F.col("v")).join(bounded_broadcast(least, BROADCAST_KEYS), "v").select(F.col("u").alias("v"), F.least("m", "v").alias("u"))
         large = hung.distinct()
         below = large.groupBy("v").agg(F.min("u").alias("m"))
-        small = large.join(below, "v")
+        small = large.join(bounded_broadcast(below, BROADCAST_KEYS), "v")
         after = small.select("v", F.col("m").alias("u")).unionByName(small.where(F.col("u") != F.col("m")).select(F.col("u").alias("v"), F.col("m").alias("u"))).where("v != u").distinct()
         after = written(after, "edges")
         # a star when every vertex hangs on one and none that is hung on hangs itself
@@ -371,46 +361,52 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("v").alias("uid"), F.col("u").alias("comp")).unionByName(now.select(F.col("u").alias("uid"), F.col("u").alias("comp")).distinct())
 
 
-def near_duplicates(docs: DataFrame, threshold: float = 0.8, entries: int = 24, taken: int = 3, least_agreed: int = 4) -> DataFrame:
-    """One row a document: doc_id, uid, class_id, class_size, n_links and kept.
+def near_duplicates(docs: DataFrame, threshold: float = 0.8, entries: int = 32, taken: int = 2, least_agreed: int = 2) -> DataFrame:
+    """One row a document: doc_id, uid, class_id, class_size and kept.
 
-    class_id is the least doc_id of the document's class, class_size its rows, n_links the other texts of its
-    candidate group that are similar to its own. kept marks the rows of class_id's text: repeated rows are all
-    marked. A text without words, null and empty ones too, is in no class but its own and is kept. Null doc_ids
-    come after others; an empty table gives no rows; other columns are not looked at.
+    class_id is the least doc_id of the document's class, class_size its rows. kept marks the rows of class_id's text:
+    repeated rows are all marked. A text without words, null and empty ones too, is in no class but its own and is
+    kept. Null doc_ids come after others; an empty table gives no rows; other columns are not looked at.
     """
     own = columns_of(docs).withColumn("uid", F.unhex(F.md5(F.col("text").cast("binary"))))
     texts = own.select("uid", "text").where("text is not null")
     # a text on a third of the rows is sketched in each task that has it, and is one row from here on
-    found = written(sketches(texts, entries, taken).groupBy("uid").agg(F.first("sketch").alias("sketch")), "sketches")
-    groups = written(components(candidate_pairs(found, least_agreed)), "groups")
-    links = written(verified_links(groups, texts, threshold), "links")
-    comps = written(components(links.where("b is not null").select("a", "b")), "components")
-    degree = links.where("b is null").groupBy(F.col("a").alias("uid")).agg(F.sum("n").alias("n_links"))
+    found = written(sketches(texts, entries, taken).groupBy("uid").agg(F.first("chars").alias("chars"), F.first("sketch").alias("sketch")), "sketches")
+    spread = found.select("uid", F.posexplode("sketch").alias("entry", "key"))
+    buckets = spread.groupBy("entry", "key").agg(F.count(F.lit(1)).alias("n"), F.min("uid").alias("head")).where("n > 1")
+    shared = written(spread.join(buckets, ["entry", "key"]), "shared")
+    several = shared.groupBy("uid").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= least_agreed).select("uid")
+    texts = written(texts.join(bounded_broadcast(several, BROADCAST_KEYS), "uid").groupBy("uid").agg(F.first("text").alias("text")), "texts")
+    links = written(head_links(shared, texts, threshold, least_agreed), "links")
+    grouped = written(components(links), "groups")
+    links = links.unionByName(written(bucket_links(shared, grouped, found, texts, threshold, least_agreed), "links"))
+    comps = written(components(links), "components")
     # doc_ids and rows of each text, then of each class
     head = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "uid"))
     per_text = own.where(F.col("uid").isNotNull()).groupBy("uid").agg(head.alias("head"), F.count(F.lit(1)).alias("n"))
-    per_text = per_text.join(found.select("uid"), "uid", "left_semi").join(comps, "uid", "left").join(degree, "uid", "left")
-    per_text = written(per_text.where("n > 1 or comp is not null").withColumn("comp", F.coalesce("comp", "uid")), "texts")
+    per_text = per_text.join(found.select("uid"), "uid", "left_semi").join(comps, "uid", "left")
+    per_text = written(per_text.where("n > 1 or comp is not null").withColumn("comp", F.coalesce("comp", "uid")), "classed")
     per_class = per_text.groupBy("comp").agg(F.min("head").alias("head"), F.sum("n").alias("class_size"))
-    named = written(per_text.drop("head", "n").join(per_class, "comp").select("uid", "head", "class_size", "n_links"), "classes")
+    named = written(per_text.drop("head", "n").join(bounded_broadcast(per_class, BROADCAST_KEYS), "comp").select("uid", "head", "class_size"), "classes")
     joined = own.select("doc_id", "uid").join(bounded_broadcast(named, BROADCAST_KEYS), "uid", "left")
     return joined.select(
         "doc_id",
         "uid",
         F.when(F.col("head").isNull(), F.col("doc_id")).otherwise(F.col("head.doc_id")).alias("class_id"),
         F.coalesce("class_size", F.lit(1)).cast("long").alias("class_size"),
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         (F.col("head").isNull() | (F.col("doc_id").eqNullSafe(F.col("head.doc_id")) & (F.col("uid") == F.col("head.uid")))).alias("kept"),
     )
 
 
 def keep_one(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """The rows of docs without their near-duplicates: one of each class stays, with its columns."""
-    own = docs.withColumn("_uid", F.unhex(F.md5(F.col("text").cast("binary")))).withColumn("_doc", F.col("doc_id").cast("long"))
-    grouped = found.where("class_size > 1").select(F.col("doc_id").alias("_d"), F.col("uid").alias("_u"), "kept").distinct()
-    grouped = bounded_broadcast(grouped, BROADCAST_KEYS)
-    joined = own.join(grouped, F.col("_doc").eqNullSafe(F.col("_d")) & (F.col("_uid") == F.col("_u")), "left")
-    alone = joined.where("kept is null")
-    heads = joined.where("kept").dropDuplicates(["_doc", "_uid"])
-    return alone.unionByName(heads).select(*docs.columns)
+    """The rows of docs without their near-duplicates: one of each class stays, with its columns, whatever their names.
+
+    Null and empty texts and null doc_ids stay where near_duplicates() keeps them; of repeated rows one stays; an empty
+    table gives no rows.
+    """
+    rows = docs.select(F.struct("*").alias("row"))
+    rows = rows.select("row", F.col("row.doc_id").cast("long").alias("doc"), F.unhex(F.md5(F.col("row.text").cast("binary"))).alias("uid"))
+    grouped = found.where("class_size > 1").select(F.col("doc_id").alias("found_doc"), F.col("uid").alias("found_uid"), "kept").distinct()
+    joined = rows.join(bounded_broadcast(grouped, BROADCAST_KEYS), F.col("doc").eqNullSafe(F.col("found_doc")) & (F.col("uid") == F.col("found_uid")), "left")
+    heads = joined.where("kept").dropDuplicates(["doc", "uid"])
+    return joined.where("kept is null").unionByName(heads).select("row.*")

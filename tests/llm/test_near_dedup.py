@@ -1,5 +1,6 @@
 import random
 import re
+import time
 from collections import defaultdict
 
 import numpy as np
@@ -7,14 +8,29 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from skyfold.llm.near_dedup import _forest, aligned_runs, components, keep_one, labelled, near_duplicates, pairs_of_bucket, links_of_group, shingles, shared_shingles, word_hashes
+from skyfold.llm.common import hashed_words
+from skyfold.llm.near_dedup import Words, alike, components, keep_one, labelled, links_of_bucket, near_duplicates, owned_pairs, shingles, sketch, word_hashes, words_in_order
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 
-def shingle_set(text):
-    w = WORD.findall((text or "").lower())
-    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+def words_of(text):
+    return WORD.findall("".join(c.lower() if c.isascii() else c for c in text or ""))
+
+
+def longest(a, b):
+    """Most words of a and b in one order, by one number of a bit a word of a."""
+    marks = defaultdict(int)
+    for k, x in enumerate(a):
+        marks[x] |= 1 << k
+    full = free = (1 << len(a)) - 1
+    for y in b:
+        free = (free + (free & marks[y]) | free & ~marks[y]) & full
+    return len(a) - free.bit_count()
+
+
+def similarity(a, b):
+    return 2 * longest(a, b) / (len(a) + len(b))
 
 
 def prose(rng, n):
@@ -45,7 +61,7 @@ def corpus():
         base = prose(rng, rng.randrange(60, 400))
         texts.append(" ".join(base))
         for _ in range(rng.randrange(0, 4)):
-            texts.append(" ".join(edited(rng, base, max(1, len(base) // 90))))
+            texts.append(" ".join(edited(rng, base, max(1, len(base) // rng.choice([15, 40, 90])))))
         if g % 4 == 0:
             texts.append(" ".join(prose(rng, 80) + passage + prose(rng, 80)))
         if g % 5 == 0:
@@ -53,14 +69,15 @@ def corpus():
     star = prose(rng, 300)
     texts += [" ".join(edited(rng, star, 4)) for _ in range(60)]
     long = prose(rng, 9000)
-    texts += [" ".join(long), " ".join(edited(rng, long, 30))]
+    texts += [" ".join(long), " ".join(edited(rng, long, 30)), " ".join(long[4500:] + long[:4500])]
     texts += ["one two", "one two", "One, two!", "one three", "", "", None, "a b c d e", "a b c d e f", "..."]
     rng.shuffle(texts)
     return dict(enumerate(texts, start=100))
 
 
 def brute_classes(texts):
-    sets = {i: shingle_set(t) for i, t in texts.items()}
+    """Classes of all pairs whose edit similarity is 0.8 or more; a text of one k-mer is linked to equal words alone."""
+    own = {i: words_of(t) for i, t in texts.items()}
     parent = {i: i for i in texts}
 
     def find(x):
@@ -68,24 +85,23 @@ def brute_classes(texts):
             x = parent[x]
         return x
 
-    by = defaultdict(list)
-    for i, s in sets.items():
-        for x in s:
-            by[x].append(i)
-    for own in by.values():
-        for a in own:
-            for b in own:
-                if a < b and find(a) != find(b):
-                    both = len(sets[a] & sets[b])
-                    if both >= 0.8 * (len(sets[a]) + len(sets[b]) - both):
-                        parent[max(find(a), find(b))] = min(find(a), find(b))
+    for a in own:
+        for b in own:
+            if a < b and own[a] and own[b] and find(a) != find(b):
+                least, most = sorted((len(own[a]), len(own[b])))
+                if own[a] == own[b] or (least > 5 and least >= 0.4 * (least + most) and similarity(own[a], own[b]) >= 0.8):
+                    parent[max(find(a), find(b))] = min(find(a), find(b))
     return {i: find(i) for i in texts}
 
 
-def test_classes_against_brute_force(spark, make_docs, corpus):
+@pytest.fixture(scope="module")
+def expected(corpus):
+    return brute_classes(corpus)
+
+
+def test_classes_against_brute_force(spark, make_docs, corpus, expected):
     rows = near_duplicates(make_docs(corpus)).collect()
     found = {r.doc_id: r.class_id for r in rows}
-    expected = brute_classes(corpus)
     assert len(rows) == len(corpus)
     assert {i: c for i, c in found.items() if c != expected[i]} == {}
     sizes = defaultdict(int)
@@ -95,12 +111,12 @@ def test_classes_against_brute_force(spark, make_docs, corpus):
     assert sum(r.kept for r in rows) == len(sizes)
 
 
-def test_keep_one(spark, make_docs, corpus):
+def test_keep_one(spark, make_docs, corpus, expected):
     docs = make_docs([*corpus.items(), (100, corpus[100]), (None, "no id"), (None, "no id")])
     kept = keep_one(docs, near_duplicates(docs))
     assert kept.columns == docs.columns
     found = [r.doc_id for r in kept.collect()]
-    assert sorted(x for x in found if x is not None) == sorted(set(brute_classes(corpus).values()))
+    assert sorted(x for x in found if x is not None) == sorted(set(expected.values()))
     assert found.count(None) == 1
 
 
@@ -110,46 +126,68 @@ def test_empty_table(spark, make_docs):
     assert keep_one(docs, near_duplicates(docs)).count() == 0
 
 
-@given(st.lists(st.integers(0, 3), max_size=25), st.lists(st.integers(0, 3), max_size=25))
-@settings(max_examples=300, deadline=None)
-def test_alignment_is_a_longest_common_subsequence(a, b):
+@given(st.lists(st.integers(0, 3), max_size=25), st.lists(st.integers(0, 3), max_size=25), st.integers(0, 30), st.sampled_from([2, 7, 64]))
+@settings(max_examples=400, deadline=None)
+def test_alignment_is_a_longest_common_subsequence_in_its_band(a, b, band, bits):
     table = np.zeros((len(a) + 1, len(b) + 1), dtype=int)
     for i, x in enumerate(a):
         for j, y in enumerate(b):
-            table[i + 1, j + 1] = table[i, j] + 1 if x == y else max(table[i, j + 1], table[i + 1, j])
-    edits = len(a) + len(b) - 2 * int(table[-1, -1])
-    runs = aligned_runs(np.array(a), np.array(b), 60)
-    assert sum(runs) == table[-1, -1] and len(runs) == edits + 1
-    assert aligned_runs(np.array(a), np.array(b), edits - 1) is None or edits == 0
+            match = table[i, j] + 1 if x == y and abs(i - j) <= band else 0
+            table[i + 1, j + 1] = max(match, table[i, j + 1], table[i + 1, j])
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr("skyfold.llm.near_dedup.BITS", bits)
+        assert words_in_order(a, b, band) == table[-1, -1]
+    if band >= 25:
+        assert longest(a, b) == table[-1, -1]
 
 
-def alike(*texts):
-    forest, n = links_of_group([" ".join(t) for t in texts], np.zeros(len(texts), dtype=int), 0.8, 0.5)
-    return len(forest), n.tolist()
+@given(st.lists(st.sampled_from("abcd"), min_size=1, max_size=40), st.lists(st.sampled_from("abcd"), min_size=1, max_size=40), st.sampled_from([0.3, 0.5, 0.8, 1.0]))
+@settings(max_examples=400, deadline=None)
+def test_alike_is_the_edit_similarity(a, b, threshold):
+    assert alike(Words(" ".join(a)), Words(" ".join(b)), threshold) == (similarity(a, b) >= threshold - 1e-9)
 
 
 def test_similar_and_shuffled():
     rng = random.Random(1)
     base = prose(rng, 400)
-    other = edited(rng, base, 3)
-    assert alike(base, other) == (1, [1, 1])
-    assert alike(base, prose(rng, 400)) == (0, [0, 0])
-    assert alike(base, other, edited(rng, base, 3), prose(rng, 30)) == (2, [2, 2, 2, 0])
-    blocks = [base[i : i + 100] for i in range(0, 400, 100)]
-    assert alike(base, sum(blocks[::-1], []))[0] == 0  # as many shingles, in another order
+    other, more = edited(rng, base, 3), edited(rng, base, 40)
+    texts = [" ".join(t) for t in (base, other, more, prose(rng, 400), base[200:] + base[:200])]
+    pairs = np.array([(i, j) for i in range(5) for j in range(i)])
+    assert len(links_of_bucket(texts, pairs, np.arange(5), 0.8)) == 2
+    assert len(links_of_bucket(texts, pairs, np.array([0, 0, 1, 2, 3]), 0.8)) == 1
 
 
-def test_shared_shingles():
-    rng = np.random.default_rng(0)
-    sets = [np.unique(rng.integers(0, 60, k)).astype(np.uint64) for k in (0, 1, 5, 30, 80, 80)]
-    found = shared_shingles(sets, columns=7)
-    assert all(found[i, j] == len(np.intersect1d(x, y)) for i, x in enumerate(sets) for j, y in enumerate(sets))
+def test_very_long_texts_are_aligned_in_seconds():
+    rng = random.Random(3)
+    base = prose(rng, 20_000)
+    mixed = sorted(base, key=lambda _: rng.random())
+    own = Words(" ".join(base))
+    begun = time.process_time()
+    assert not alike(own, Words(" ".join(mixed)), 0.8) and not alike(own, Words(" ".join(base[10_000:] + base[:10_000])), 0.8)
+    assert alike(own, Words(" ".join(edited(rng, base, 1500))), 0.8)
+    assert time.process_time() - begun < 10
 
 
-def test_blocks_lose_no_link(spark, make_docs, corpus, monkeypatch):
+def test_blocks_lose_no_link(spark, make_docs, corpus, expected, monkeypatch):
     monkeypatch.setattr("skyfold.llm.near_dedup.BLOCK", 7)
     found = {r.doc_id: r.class_id for r in near_duplicates(make_docs(corpus)).collect()}
-    assert found == brute_classes(corpus)
+    assert found == expected
+
+
+def test_texts_that_share_a_passage_are_not_linked_and_chains_are(spark, make_docs, monkeypatch):
+    """A bucket of many components, larger than a block, and links that no head of a bucket takes part in."""
+    monkeypatch.setattr("skyfold.llm.near_dedup.BLOCK", 20)
+    rng = random.Random(8)
+    passage = prose(rng, 120)
+    texts = [" ".join(passage + prose(rng, 120)) for _ in range(90)]
+    chain = prose(rng, 300)
+    for k in range(5):  # each alike to the next, the first not to the last
+        texts.append(" ".join(passage + chain))
+        chain = [f"step{k}x{i}" if i // 45 == k else w for i, w in enumerate(chain)]
+    docs = dict(enumerate(texts))
+    found = {r.doc_id: r.class_id for r in near_duplicates(make_docs(docs)).collect()}
+    assert found == brute_classes(docs)
+    assert len(set(found.values())) == 91 and similarity(words_of(texts[90]), words_of(texts[94])) < 0.8
 
 
 def test_hashes():
@@ -159,13 +197,36 @@ def test_hashes():
     assert len(set(labelled(x).tolist())) == 4 and labelled(x)[0] == 5
 
 
-def test_forest():
-    agreed = np.array([[0, 9, 5, 0], [9, 0, 6, 0], [5, 6, 0, 0], [0, 0, 0, 0]], dtype=np.int16)
-    assert sorted(map(lambda e: tuple(sorted(e)), _forest(agreed))) == [(0, 1), (1, 2)]
+def test_long_words_and_parts():
+    """Words hash alike wherever the parts of a text are cut."""
+    words = ["x" * n for n in (1, 70_000, 5, 65_535, 65_536, 65_537, 140_000)] + ["short", "y" * 30_000] * 6
+    whole = hashed_words(" ".join(words).encode())
+    assert whole.tolist() == [int(hashed_words(w.encode())[0]) for w in words] and len(set(whole.tolist())) == 9
+    assert len(hashed_words(b"   ")) == 0 and len(hashed_words(b" " * 70_000 + b"a")) == 1
+
+
+def test_sketch_in_steps(monkeypatch):
+    words = word_hashes(" ".join(prose(random.Random(2), 500)))
+    whole = sketch(words, 32, 2)
+    monkeypatch.setattr("skyfold.llm.near_dedup.HELD", 1000)
+    assert (sketch(words, 32, 2) == whole).all()
+
+
+def test_owned_pairs():
     table = np.arange(24)[None, :].repeat(4, axis=0)
-    assert len(pairs_of_bucket(table, 0, np.zeros(4, dtype=int), 4)) == 3
-    assert pairs_of_bucket(table, 1, np.zeros(4, dtype=int), 4) == []
-    assert len(pairs_of_bucket(table, 0, np.array([0, 1, 1, 1]), 4)) == 3
+    apart, one = np.arange(4), np.zeros(4, dtype=int)
+    assert len(owned_pairs(table, apart, one, 0, -1, 4)) == 6
+    assert len(owned_pairs(table, apart, one, 1, -1, 4)) == 0  # owned by the first entry
+    assert len(owned_pairs(table, apart, one, 0, 1, 2)) == 6 and len(owned_pairs(table, apart, one, 0, 2, 2)) == 0
+    assert len(owned_pairs(table, np.array([0, 0, 1, 1]), one, 0, -1, 4)) == 4
+    assert len(owned_pairs(table, apart, np.array([0, 1, 1, 1]), 0, -1, 4)) == 3
+
+
+def test_clashing_columns(spark, make_docs):
+    docs = make_docs([(1, "same text of a few words here"), (2, "same text of a few words here"), (None, None)])
+    docs = docs.selectExpr("*", "'k' AS kept", "1 AS _doc", "2 AS _uid", "3 AS doc", "4 AS uid", "5 AS `row`", "6 AS class_size", "7 AS found_doc")
+    found = keep_one(docs, near_duplicates(docs))
+    assert found.columns == docs.columns and sorted(tuple(r)[5:] for r in found.collect()) == [("k", 1, 2, 3, 4, 5, 6, 7)] * 2
 
 
 def test_components(spark):
