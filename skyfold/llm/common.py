@@ -13,9 +13,11 @@ from pyspark.sql.window import Window
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder that the cluster names; a temporary one only where none is set (tests on one machine)."""
+    """The shared folder that the cluster names; a temporary one only where none is set and all runs on one machine."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir names no folder that all executors share")
         named = "file://" + tempfile.mkdtemp(prefix="skyfold-")
         spark.sparkContext.setCheckpointDir(named)
     return named.rstrip("/")
@@ -60,13 +62,25 @@ def bases(totals: DataFrame, part: str, size: str, base: str) -> DataFrame:
     return sums.select(part, F.coalesce(F.sum("_size").over(before), F.lit(0)).cast("long").alias(base))
 
 
+#: What a broadcast table may have in bytes, besides the row bound that its caller gives.
+BROADCAST_BYTES = 32_000_000
+
+
 def fits(df: DataFrame, rows: int) -> bool:
-    """Whether df has at most so many rows: counted on the executors, nothing is gathered."""
-    return df.count() <= rows
+    """Whether df has at most so many rows and BROADCAST_BYTES: counted on the executors, nothing is gathered."""
+    fixed = sum(kind not in ("string", "binary") and "<" not in kind for _, kind in df.dtypes)
+    size = F.lit(8 * fixed + 16)
+    for name, kind in df.dtypes:
+        if kind in ("string", "binary"):
+            size = size + F.coalesce(F.octet_length(F.col(name)), F.lit(0))
+        elif "<" in kind:
+            size = size + F.coalesce(F.octet_length(F.to_json(F.struct(F.col(name)))), F.lit(0))
+    found = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(size.cast("long")), F.lit(0)).alias("size")).head()
+    return found.n <= rows and found.size <= BROADCAST_BYTES
 
 
 def bounded_broadcast(df: DataFrame, rows: int) -> DataFrame:
-    """df with a broadcast hint if it has at most so many rows; else as it is, for a shuffled join."""
+    """df with a broadcast hint if it has at most so many rows and bytes; else as it is, for a shuffled join."""
     return F.broadcast(df) if fits(df, rows) else df
 
 

@@ -22,7 +22,6 @@ before pairs are made; the bound loses none.
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -31,7 +30,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyfold.llm.common import columns_of, text_key, written
+from skyfold.llm.common import bounded_broadcast, columns_of, text_key, written
+
+#: Broadcast at most so many terms, or terms with their entities; more are joined by a shuffle.
+BROADCAST_TERMS = 200_000
 
 KINDS = ("email", "ip", "card", "phone")
 FOUND = "doc_id long, key struct<a: long, b: long>, n_email long, n_ip long, n_card long, n_phone long, base array<struct<kind: string, start: long, stop: long>>, entities array<string>, body string"
@@ -40,7 +42,6 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 _TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 _NOT_DIGIT = re.compile("[^0-9]")
 _LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -77,33 +78,6 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return spans
 
 
-def contexts(text: str, spans: list[tuple[str, int, int]], reach: int) -> list[tuple[str, int, str, int, int]]:
-    """(entity, context, term, start, stop) of each word near each span; words inside any span are no terms."""
-    covered = sorted((a, b) for _, a, b in spans)
-    found = []
-    for kind, begin, end in spans:
-        back, left = 40 * reach, []
-        while True:  # a stretch that grows, not the whole text; its first word may be cut by its beginning
-            low = max(0, begin - back)
-            left = [m.span() for m in _WORD.finditer(text, low, begin)]
-            left = left[1:] if low and left and left[0][0] == low else left
-            if not low or len(left) >= reach:
-                break
-            back *= 4
-        left = left[-reach:]
-        right = []
-        for m in _WORD.finditer(text, end):
-            right.append(m.span())
-            if len(right) == reach:
-                break
-        near = [s for s in left + right if not any(a < s[1] and s[0] < b for a, b in covered)]
-        words = [text[a:b].lower() for a, b in near]
-        context = int.from_bytes(hashlib.blake2b("\n".join(words).encode(), digest_size=8).digest(), "little", signed=True)
-        entity = f"{kind}:{text[begin:end].lower()}"
-        found += [(entity, context, w, a, b) for w, (a, b) in zip(words, near, strict=True)]
-    return found
-
-
 def entities(text: str | None, spans: list[tuple[str, int, int]]) -> list[str]:
     """The different protected entities of a text's spans."""
     return sorted({f"{kind}:{text[a:b].lower()}" for kind, a, b in spans})
@@ -195,17 +169,22 @@ def disclosing(docs: DataFrame, found: DataFrame, threshold: float, prior: float
     # shared / information >= threshold says share >= (n_entity / N) ** (1 - threshold), where n_both <= n_entity
     p = F.col("n_entity") / total
     most = (F.col("n_entity") + prior * p) / F.pow(p, F.lit(1 - threshold)) - prior
-    held = written(held.join(per_entity.withColumn("most", most * (1 + 1e-9)), "entity"), "entities")
+    held = held.join(per_entity.withColumn("most", most * (1 + 1e-9)), "entity")
+    # entities of one text alone stand with the same terms equally often: one of them speaks for all of the text's
+    alone = held.where("n_entity = 1").groupBy("key").agg(F.min("entity").alias("entity"), F.first("n_entity").alias("n_entity"), F.first("most").alias("most"))
+    held = written(alone.unionByName(held.where("n_entity > 1")), "entities")
     most_of_all = held.agg(F.max("most")).head()[0] or 0.0
     own = text_terms(some)
     per_term = term_counts(different_texts(docs, keys)).join(own.select("term").distinct(), "term", "left_semi")
     per_term = written(per_term.groupBy("term").agg(F.sum("n").alias("n_term")).where(F.col("n_term") <= most_of_all), "terms")
-    pairs = written(own.join(per_term, "term").join(held, "key").where(F.col("n_term") <= F.col("most")).select("key", "entity", "term", "n_entity", "n_term"), "pairs")
+    pairs = written(own.join(bounded_broadcast(per_term, BROADCAST_TERMS), "term").join(held, "key").where(F.col("n_term") <= F.col("most")).select("key", "entity", "term", "n_entity", "n_term"), "pairs")
     both = pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both"), F.first("n_entity").alias("n_entity"), F.first("n_term").alias("n_term"))
     share = (F.col("n_both") + prior * p) / (F.col("n_term") + prior)
     information = F.log(F.greatest(total / F.col("n_entity"), F.lit(1.0 + 1e-9)))
     scored = both.withColumn("disclosure", F.log(total * share / F.col("n_entity")) / information).where(F.col("disclosure") >= threshold)
-    return pairs.join(scored.select("entity", "term"), ["entity", "term"], "left_semi").groupBy("key").agg(F.collect_set("term").alias("terms"))
+    given_away = written(scored.select("entity", "term"), "disclosing")
+    # an address in the footer of very many pages is one key: broadcast, or split by the adaptive skew join
+    return pairs.join(bounded_broadcast(given_away, BROADCAST_TERMS), ["entity", "term"], "left_semi").groupBy("key").agg(F.collect_set("term").alias("terms"))
 
 
 def term_spans(text: str, base: list[tuple[int, int]], terms: set[str]) -> list[tuple[int, int]]:
@@ -256,9 +235,10 @@ PLACEHOLDERS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[P
 
 
 def sanitise(docs: DataFrame, found: DataFrame, placeholders: dict[str, str] = PLACEHOLDERS) -> DataFrame:
-    """docs with every span of its text generalised to its placeholder ('' removes it); all columns and rows stay.
+    """docs with every span of its text generalised to its placeholder ('' removes it); all columns and rows stay,
+    whatever the names of other columns.
 
-    Texts without spans, null ones too, are as before. Where spans overlap, the one that begins first is replaced
+    Texts without spans, null ones too, are as before; an empty table gives no rows. Where spans overlap, the one that begins first is replaced
     and what others reach beyond it goes with it.
     """
 
@@ -277,7 +257,7 @@ def sanitise(docs: DataFrame, found: DataFrame, placeholders: dict[str, str] = P
             out.append("".join(parts) + text[at:])
         return texts.__class__(out)
 
-    some = found.where(F.size("spans") > 0).select(F.col("doc_id").alias("_doc"), F.col("key").alias("_key"), F.col("spans").alias("_spans")).dropDuplicates(["_doc", "_key"])
-    keyed = docs.withColumn("_own", text_key())
-    joined = keyed.join(some, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_own") == F.col("_key")), "left")
-    return joined.withColumn("text", replaced(F.col("text").cast("string"), "_spans")).select(*docs.columns)
+    spans = found.where(F.size("spans") > 0).select(F.col("doc_id").alias("found_doc"), F.col("key").alias("found_key"), "spans").dropDuplicates(["found_doc", "found_key"])
+    rows = docs.select(F.struct("*").alias("row"), text_key().alias("key"))
+    joined = rows.join(spans, F.col("row.doc_id").cast("long").eqNullSafe(F.col("found_doc")) & (F.col("key") == F.col("found_key")), "left")
+    return joined.select(*[(replaced(F.col("row.text").cast("string"), "spans") if c == "text" else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
