@@ -4,8 +4,9 @@ A window is `size` consecutive words of an item, or the whole of a shorter one.
 shingles, runs of five words (of a shorter window, all its words). A document contains a window only if it
 contains each shingle, so one is a sufficient prefix: the one that is rarest over all documents.
 
-  1. Documents' shingles meet those of all windows in one pass over the texts. What meets, with its place, is
-     written down; everything after this works on those rows alone, and no text is shuffled.
+  1. Documents' shingles, as 64-bit hashes, meet those of all windows in one pass over the texts; where hashes are
+     equal, words are compared. What meets, with its place, is written down, and one row a document besides:
+     everything after this works on those rows alone, no text is read again and none is shuffled.
   2. Shingles are ordered by how often they stand in all documents. A window with one that never does is dropped.
   3. Each window's prefix shingle, joined with the places, gives candidates; its place in the window and the
      lengths bound where the window could stand.
@@ -28,8 +29,9 @@ from skyfold.llm.common import bounded_broadcast, columns_of, text_key, written
 #: What is no word character: ASCII other than digits and letters.
 NO_WORD = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 SHINGLE = 5
-#: Broadcast at most so many shingles, windows or contaminated documents; more are joined by a shuffle.
+#: Broadcast at most so many windows or contaminated documents, and so many shingles; more are joined by a shuffle.
 BROADCAST_ROWS = 200_000
+BROADCAST_SHINGLES = 2_000_000
 
 
 def words(text: Column) -> Column:
@@ -44,6 +46,11 @@ def shingles(w: Column, size: int) -> Column:
     return F.transform(places, lambda i: F.concat_ws(" ", *[F.get(w, i + k) for k in range(size)]))
 
 
+def hashes(w: Column, size: int) -> Column:
+    """64 bits of the `size` words from each place on; of those left at the end, which no shingle equals."""
+    return F.transform(w, lambda x, i: F.xxhash64(x, *[F.get(w, i + k) for k in range(1, size)]))
+
+
 def item_windows(items: DataFrame, size: int = 13, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
     """One row a different window: window (array of words) and items (ids of those that have it)."""
     own = items.select(F.coalesce(F.col(id_col).cast("string"), F.lit("null")).alias("item"), words(F.col(text_col)).alias("w")).where(F.size("w") > 0)
@@ -58,11 +65,28 @@ def window_shingles(windows: DataFrame, sizes: list[int]) -> DataFrame:
     return reduce(DataFrame.unionByName, per_size)
 
 
+def vocabulary_of(placed: DataFrame, sizes: list[int]) -> DataFrame:
+    """(id, shingle, t, hash) of each different shingle of t words."""
+    w = F.split("shingle", " ")
+    found = F.lit(None).cast("long")
+    for t in sizes:
+        found = F.when(F.col("t") == t, F.xxhash64(*[F.get(w, F.lit(k)) for k in range(t)])).otherwise(found)
+    return placed.select("shingle", "t").distinct().select(F.monotonically_increasing_id().alias("id"), "shingle", "t", found.alias("hash"))
+
+
 def places(docs: DataFrame, vocabulary: DataFrame, sizes: list[int]) -> DataFrame:
-    """(doc, n, pos, shingle) of every shingle of the vocabulary in docs (doc and text); n words in the document."""
+    """(doc, n, pos, shingle): the id of every shingle of the vocabulary in docs (doc and text), n words in the
+    document, and a row without shingle for each document.
+    """
+    w = F.col("w")
+    # the hashes of each size one after another, and a null that stands for the document itself
+    every = F.concat(*[hashes(w, t) for t in sizes], F.array(F.lit(None).cast("long")))
     own = docs.select("doc", words(F.col("text")).alias("w"))
-    per_size = [own.select("doc", F.size("w").alias("n"), F.posexplode(shingles(F.col("w"), t)).alias("pos", "shingle")) for t in sizes]
-    return reduce(DataFrame.unionByName, per_size).join(bounded_broadcast(vocabulary, BROADCAST_ROWS), "shingle")
+    each = own.select("doc", "w", F.size("w").alias("n"), F.posexplode(every).alias("k", "hash"))
+    each = each.withColumn("pos", F.when(F.col("hash").isNotNull(), F.col("k") % F.greatest("n", F.lit(1)))).drop("k")
+    known = bounded_broadcast(vocabulary.select(F.col("id").alias("shingle"), F.col("shingle").alias("_text"), "t", F.col("hash").alias("_hash")), BROADCAST_SHINGLES)
+    equal = (F.col("hash") == F.col("_hash")) & (F.array_join(F.slice(w, F.col("pos") + 1, F.col("t")), " ") == F.col("_text"))
+    return each.join(known, equal, "left").where(F.col("hash").isNull() | F.col("shingle").isNotNull()).select("doc", "n", "pos", "shingle")
 
 
 def with_prefix(placed: DataFrame, frequency: DataFrame) -> DataFrame:
@@ -104,15 +128,18 @@ def find_contamination(docs: DataFrame, items: DataFrame, size: int = 13, share:
     own = own.withColumn("doc", F.struct("doc_id", "key"))  # structs with nulls in them meet in joins
     windows = item_windows(items, size).withColumn("window_id", F.monotonically_increasing_id())
     windows = written(windows, "windows")
-    sizes = [r.t for r in windows.select(F.least(F.size("window"), F.lit(SHINGLE)).alias("t")).distinct().collect()]  # SHINGLE numbers at most
-    placed = written(window_shingles(windows, sizes or [SHINGLE]).join(windows.select("window", "window_id"), "window").drop("window").withColumnRenamed("window_id", "window"), "shingles")
-    found = written(places(own, placed.select("shingle").distinct(), sizes or [SHINGLE]), "places")
+    sizes = [r.t for r in windows.select(F.least(F.size("window"), F.lit(SHINGLE)).alias("t")).distinct().collect()] or [SHINGLE]  # SHINGLE numbers at most
+    placed = window_shingles(windows, sizes).join(windows.select("window", "window_id"), "window").drop("window").withColumnRenamed("window_id", "window")
+    vocabulary = written(vocabulary_of(placed, sizes), "vocabulary")
+    placed = written(placed.join(vocabulary.select("id", "shingle", "t"), ["shingle", "t"]).drop("shingle").withColumnRenamed("id", "shingle"), "shingles")
+    rows = written(places(own, vocabulary, sizes), "places")
+    found = rows.where("shingle is not null")
     hits = occurrences(found, placed).join(bounded_broadcast(windows.select(F.col("window_id").alias("window"), "items"), BROADCAST_ROWS), "window")
     per_doc = hits.groupBy("doc").agg(F.array_sort(F.collect_set(F.struct("start", (F.col("start") + F.col("m")).alias("stop")))).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("names"))
     none = F.struct(F.lit(0).alias("end"), F.lit(0).alias("hit"))
     covered = F.aggregate("spans", none, lambda a, s: F.struct(F.greatest(a["end"], s.stop).alias("end"), (a["hit"] + F.greatest(s.stop - F.greatest(s.start, a["end"]), F.lit(0))).alias("hit")), lambda a: a["hit"])
     judged = written(per_doc.select("doc", covered.alias("hit"), "names"), "hits")
-    all_docs = own.select("doc", F.size(words(F.col("text"))).cast("long").alias("n_words"))
+    all_docs = rows.where("shingle is null").select("doc", F.col("n").cast("long").alias("n_words"))
     joined = all_docs.join(bounded_broadcast(judged, BROADCAST_ROWS), "doc", "left")
     n_hit, names = F.coalesce("hit", F.lit(0)).cast("long"), F.coalesce("names", F.array().cast("array<string>"))
     return joined.select(
@@ -126,6 +153,18 @@ def find_contamination(docs: DataFrame, items: DataFrame, size: int = 13, share:
     )
 
 
+def keep_clean(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """The rows of docs that find_contamination() doesn't call contaminated, with all columns, whatever their names.
+
+    Null texts and null doc_ids stay or go by their own judgement; repeated rows go together; an empty table gives no
+    rows.
+    """
+    bad = written(found.where("contaminated").select(F.col("doc_id").alias("bad_doc"), F.col("key").alias("bad_key")).distinct(), "contaminated")
+    rows = docs.select(F.struct("*").alias("row"), text_key().alias("key"))
+    same = F.col("row.doc_id").cast("long").eqNullSafe(F.col("bad_doc")) & (F.col("key") == F.col("bad_key"))
+    return rows.join(bounded_broadcast(bad, BROADCAST_ROWS), same, "left_anti").select("row.*")
+
+
 #: DuckDB's statement of the contract, window by window, for find_contamination without its key.
 ORACLE = r"""
 WITH d AS (

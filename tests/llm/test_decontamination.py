@@ -1,7 +1,7 @@
 import duckdb
 import pytest
 
-from skyfold.llm.decontamination import ORACLE, find_contamination
+from skyfold.llm.decontamination import ORACLE, find_contamination, keep_clean
 
 PASSAGE = "the quick brown fox jumps over the lazy dog while seven small birds sing loudly in the old oak tree today"
 ITEMS = [(1, PASSAGE), (2, "Short ITEM"), (3, None), (4, ""), (5, "ÉCOLE fermée"), (None, "nameless piece"), (2, "other words of item two"), (7, PASSAGE), (8, "the"), (9, "...")]
@@ -43,3 +43,17 @@ def test_empty_documents(spark, make_docs):
 def test_no_python_in_the_plan(spark, make_docs):
     plan = find_contamination(make_docs(TEXTS), spark.createDataFrame(ITEMS, "item_id long, text string"))._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "InArrow"))
+
+
+def test_clashing_columns_and_shuffled_shingles(spark, make_docs, monkeypatch):
+    """Extra columns of any name stay, and shingles too many to broadcast are met by a shuffle, with the same rows."""
+    docs = make_docs([*TEXTS.items(), (None, PASSAGE), (None, None)]).selectExpr("*", "1 AS _doc", "2 AS _key", "3 AS `key`", "4 AS bad_doc", "5 AS doc", "6 AS `row`", "7 AS contaminated")
+    bench = spark.createDataFrame(ITEMS, "item_id long, text string")
+    found = find_contamination(docs, bench)
+    kept = keep_clean(docs, found)
+    assert kept.columns == docs.columns
+    assert sorted((repr(r.doc_id), r.text, *r[5:]) for r in kept.collect() if r.text) == sorted((repr(r.doc_id), TEXTS[r.doc_id], 1, 2, 3, 4, 5, 6, 7) for r in found.collect() if not r.contaminated and r.n_words + (r.doc_id == 11))
+    whole = sorted(map(tuple, found.collect()), key=repr)
+    monkeypatch.setattr("skyfold.llm.decontamination.BROADCAST_SHINGLES", 0)
+    monkeypatch.setattr("skyfold.llm.decontamination.BROADCAST_ROWS", 0)
+    assert sorted(map(tuple, find_contamination(docs, bench).collect()), key=repr) == whole
