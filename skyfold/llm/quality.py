@@ -18,30 +18,33 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from skyfold.llm.common import columns_of
+from skyfold.llm.common import columns_of, text_key, written
 
 SPACE = b" \t\n\v\f\r"
 SYMBOLS = b"#*$%&|<>"
 _INNER = bytes(range(0x80, 0xC0))  # bytes that continue a code point
+#: Bytes of a text whose n-grams are hashed at once.
+PART = 1 << 16
+_BASE, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+_UP = np.cumprod(np.full(PART, _BASE))
+_DOWN = np.cumprod(np.full(PART, np.uint64(pow(int(_BASE), -1, 1 << 64))))
 
 RESULT = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, probability double, kept boolean"
 
 
 def repeat_words(words: list[bytes], size: int = 5) -> int:
     """Words inside windows of `size` words that stand twice or more in the list."""
-    windows = list(zip(*[words[k:] for k in range(size)], strict=False))
-    if len(set(windows)) == len(windows):
+    n = len(words) - size + 1
+    if n < 2:
         return 0
-    seen: dict[tuple, int] = {}
-    for w in windows:
-        seen[w] = seen.get(w, 0) + 1
-    covered = end = 0
-    for at, w in enumerate(windows):
-        if seen[w] > 1:
-            covered += at + size - max(at, end)
-            end = at + size
-    return covered
+    numbers: dict[bytes, int] = {}
+    each = np.fromiter((numbers.setdefault(w, len(numbers)) for w in words), dtype=np.int32, count=len(words))
+    windows = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(each, size)).view(f"V{4 * size}").ravel()
+    _, which, seen = np.unique(windows, return_inverse=True, return_counts=True)
+    twice = (seen[which] > 1).astype(np.int32)
+    return int(np.count_nonzero(np.convolve(twice, np.ones(size, dtype=np.int32))))
 
 
 def counts(data: bytes) -> tuple[int, int, int, int, int]:
@@ -68,38 +71,60 @@ class Hashing:
     def size(self) -> int:
         return (2 + len(self.chars)) << self.bits
 
-    def places(self, text: bytes) -> list[np.ndarray]:
-        """For each family, the place of each of the text's n-grams."""
-        data = np.frombuffer(text, dtype=np.uint8)
-        n, shift = len(data), np.uint64(64 - self.bits)
-        base = np.uint64(0x9E3779B97F4A7C15)
-        mix = np.uint64(0xD6E8FEB86659FD93)
-        found = []
+    def parts(self, text: bytes) -> Iterator[list[np.ndarray]]:
+        """For each family, the place of each of the text's n-grams; a long text in several parts, cut at white space.
+
+        A word without white space in a whole part is cut like the text.
+        """
+        at, last = 0, np.zeros(0, dtype=np.uint64)
+        while at < len(text):
+            end = at + PART
+            if end < len(text):
+                end = max(text.rfind(c, at, end) for c in (b" ", b"\n", b"\t")) + 1 or end
+            end = min(end, len(text))
+            words = self._words(np.frombuffer(text, np.uint8, end - at, at))
+            beside = np.concatenate([last, words])
+            yield self._placed(words, beside[:-1] * _BASE + beside[1:], text[at : end + max(self.chars) - 1], end - at)
+            at, last = end, beside[-1:]
+
+    @staticmethod
+    def _words(data: np.ndarray) -> np.ndarray:
+        """A hash of each word: the sum of byte * base^-(place in word), from running sums over the data."""
         space = (data == 32) | ((data >= 9) & (data <= 13))
         edges = np.flatnonzero(np.diff(np.concatenate([[True], space, [True]]).view(np.int8)))
         begins, ends = edges[::2], edges[1::2]
-        if len(begins):
-            # h(word) = sum of byte * base^-(place in word), from running sums over the text
-            up = np.cumprod(np.full(n, base))
-            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up)])
-            down = np.cumprod(np.full(n, np.uint64(pow(int(base), -1, 1 << 64))))
-            words = (sums[ends] - sums[begins]) * down[begins]
-        else:
-            words = np.zeros(0, np.uint64)
-        found.append((words * mix) >> shift)
-        found.append(((words[:-1] * base + words[1:]) * mix) >> shift)
-        wide = data.astype(np.uint64)
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _UP[: len(data)])])
+        return (sums[ends] - sums[begins]) * _DOWN[begins]
+
+    def _placed(self, words: np.ndarray, pairs: np.ndarray, text: bytes, starts: int) -> list[np.ndarray]:
+        """Places of word n-grams, given as hashes, and of the character n-grams that begin in the first `starts` bytes."""
+        shift = np.uint64(64 - self.bits)
+        found = [(words * _MIX) >> shift, (pairs * _MIX) >> shift]
+        wide = np.frombuffer(text, dtype=np.uint8).astype(np.uint64)
         for k in self.chars:
-            if n < k:
-                found.append(np.zeros(0, np.uint64))
-                continue
-            h = wide[: n - k + 1].copy()
+            n = max(0, min(starts, len(wide) - k + 1))
+            h = wide[:n].copy()
             for i in range(1, k):
-                h = (h << np.uint64(8)) | wide[i : n - k + 1 + i]
+                h = (h << np.uint64(8)) | wide[i : n + i]
             h ^= h >> np.uint64(17)
-            found.append((h * base * mix) >> shift)
+            found.append((h * _BASE * _MIX) >> shift)
         return [x.astype(np.int64) + (f << self.bits) for f, x in enumerate(found)]
 
+    def places(self, text: bytes) -> list[np.ndarray]:
+        """For each family, the place of each of the text's n-grams."""
+        every = list(self.parts(text)) or [[np.zeros(0, dtype=np.int64)] * (2 + len(self.chars))]
+        return [np.concatenate(x) for x in zip(*every, strict=True)]
+
+    def shares(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """(places, ascending; the share of its family's n-grams that each has)."""
+        total = np.zeros(self.size, dtype=np.int64)
+        for part in self.parts(text):
+            for x in part:
+                total += np.bincount(x, minlength=self.size)
+        families = total.reshape(-1, 1 << self.bits)
+        at = np.flatnonzero(total)
+        return at, (families / np.maximum(families.sum(axis=1, keepdims=True), 1)).ravel()[at]
+
 
 @dataclass
 class QualityModel:
@@ -114,7 +139,12 @@ class QualityModel:
 
     def score(self, text: bytes) -> float:
         """The bias plus the mean weight of each family's n-grams."""
-        return self.bias + sum(float(self.weights[p].mean()) for p in self.hashing.places(text) if len(p))
+        sums, n = np.zeros(2 + len(self.hashing.chars)), np.zeros(2 + len(self.hashing.chars))
+        for part in self.hashing.parts(text):
+            for f, x in enumerate(part):
+                sums[f] += self.weights[x].sum(dtype=np.float64)
+                n[f] += len(x)
+        return self.bias + float((sums / np.maximum(n, 1)).sum())
 
     def probability(self, text: bytes) -> float:
         return 1 / (1 + np.exp(-np.clip(self.slope * self.score(text) + self.shift, -500, 500)))
@@ -126,14 +156,9 @@ def _features(labelled: DataFrame, hashing: Hashing) -> DataFrame:
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for text, label in zip(batch.column("text").cast(pa.binary()).to_pylist(), batch.column("label").to_pylist(), strict=True):
-                at, value = [], []
-                for p in hashing.places(text or b""):
-                    if len(p):
-                        own, n = np.unique(p, return_counts=True)
-                        at.append(own)
-                        value.append(n / len(p))
-                rows.append((label, np.concatenate(at).astype("<i4").tobytes() if at else b"", np.concatenate(value).astype("<f4").tobytes() if at else b""))
+            for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True):
+                at, value = hashing.shares(text.encode())
+                rows.append((label, at.astype("<i4").tobytes(), value.astype("<f4").tobytes()))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int32(), pa.binary(), pa.binary()), strict=True)], names=["label", "at", "value"])
 
@@ -158,20 +183,35 @@ def _descent(fit: list[tuple[int, np.ndarray, np.ndarray]], size: int, epochs: i
     return weights, float(bias)
 
 
-def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", most_rows: int = 3000, epochs: int = 12, rate: float = 4.0, seed: int = 7) -> QualityModel | None:
-    """Fits the regression on labelled rows and calibrates it on every fifth of them, held out.
+def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, most_rows: int, most_bytes: int) -> DataFrame:
+    """(label, text) of labelled documents: at most most_rows of them and most_bytes of text, those of the least hashes.
 
-    most_rows bounds the sample: the labelled doc_ids of the least hashes, whatever the table's size. The bounded
-    sample is fitted in one task, and the weights alone come to the driver. None if no row has either label; rows
-    with a null label or text don't count. A doc_id labelled twice counts twice.
+    Both bounds are taken after labels have met documents, so a doc_id on very many rows counts each different text.
     """
     wanted = (
         labels.where(F.col(label_col).isin(0, 1) & F.col("doc_id").isNotNull())
         .select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label"))
+        .distinct()
         .orderBy(F.xxhash64("doc_id"), "doc_id", "label")
         .limit(most_rows)
     )
-    labelled = columns_of(docs).where("text is not null").join(F.broadcast(wanted), "doc_id").select("doc_id", "text", "label")
+    key = ["doc_id", "label", "key"]
+    met = columns_of(docs).where("text is not null").join(F.broadcast(wanted), "doc_id").select("doc_id", "label", text_key().alias("key"), "text")
+    met = written(met.groupBy(*key).agg(F.first("text").alias("text")), "labelled")
+    order = [F.xxhash64("doc_id"), F.col("doc_id"), F.col("label"), F.col("key")]
+    few = met.select(*key, F.octet_length("text").alias("size")).orderBy(*order).limit(most_rows)
+    sums = few.withColumn("_sum", F.sum("size").over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    return met.join(F.broadcast(sums.where(F.col("_sum") <= most_bytes).select(*key)), key).select("label", "text")
+
+
+def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", most_rows: int = 3000, most_bytes: int = 64_000_000, epochs: int = 12, rate: float = 4.0, seed: int = 7) -> QualityModel | None:
+    """Fits the regression on labelled rows and calibrates it on every fifth of them, held out.
+
+    most_rows and most_bytes bound the sample, whatever the tables' size. The bounded sample is fitted in one task,
+    and the weights alone come to the driver. None if no row has either label; rows with a null label or text don't
+    count, and equal rows of a doc_id and label count once.
+    """
+    labelled = labelled_sample(docs, labels, label_col, most_rows, most_bytes)
     hashing = Hashing()
 
     def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,7 +267,8 @@ def _verdict(text: bytes, model: QualityModel | None, least_words: int, hundredt
 
 
 def filter_kept(docs: DataFrame, model: QualityModel | None, least_words: int = LEAST_WORDS, most_repeated: float = MOST_REPEATED, least_probability: float = LEAST_PROBABILITY) -> DataFrame:
-    """The rows of docs, with all their columns, that judge() keeps."""
+    """The rows of docs, with all their columns, that judge() keeps: null and empty texts go, repeated rows stay or go
+    together, an empty table gives no rows, and no column is added."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     hundredths = round(100 * most_repeated)
 
@@ -256,8 +297,9 @@ def judge(docs: DataFrame, model: QualityModel | None, least_words: int = LEAST_
         own = shared.value
         for batch in batches:
             rows = []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist(), strict=True):
-                rows.append((doc_id, *_verdict(text or b"", own, least_words, hundredths, least_probability)))
+            for k, doc_id in enumerate(batch.column("doc_id").to_pylist()):
+                text = (batch.column("text")[k].as_py() or "").encode()
+                rows.append((doc_id, *_verdict(text, own, least_words, hundredths, least_probability)))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 

@@ -12,8 +12,14 @@ from skyfold.llm.common import bounded_broadcast
 from skyfold.llm.packing import pack_documents
 from skyfold.llm.token_file import token_digest
 
-#: Hosts whose pages stand for a published list of URLs.
-LISTED_HOSTS = ("spam-farm.example.org", "cheap-pills.example.com")
+#: The listed URLs: every /section/number of these hosts, with and without these prefixes and suffixes.
+LISTED = {
+    "hosts": ("spam-farm.example.org", "cheap-pills.example.com", "free-bets.example.net"),
+    "prefixes": ("", "m.", "blog."),
+    "sections": ("en", "de", "es", "fr"),
+    "numbers": 1000,
+    "suffixes": ("", ".html"),
+}
 #: The share of documents that resampling keeps.
 KEPT_SHARE = 0.8
 #: Broadcast at most so many ids of the resampling target (8 MB); with more of them texts are shuffled to meet them.
@@ -72,7 +78,7 @@ def op9_ordered_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_bloom_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages")
-    return url_filter.filter_urls(pages, url_filter.listed_on_hosts(pages, LISTED_HOSTS)).drop("maybe_listed")
+    return url_filter.filter_urls(pages, url_filter.url_list(spark, **LISTED)).drop("maybe_listed")
 
 
 QUERIES = (
@@ -102,10 +108,11 @@ WITH p AS (
          CASE WHEN place > 0 THEN regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) ELSE '' END AS path
   FROM p
 ), c AS (
-  SELECT *, regexp_replace(regexp_replace(host, ':(80|443)$', ''), '^www\.', '') || regexp_replace(path, '/+$', '') AS canonical,
-         regexp_replace(host, '^www\.', '') AS bare FROM s
+  SELECT *, regexp_replace(regexp_replace(host, ':(80|443)$', ''), '^www\.', '') || regexp_replace(path, '/+$', '') AS canonical FROM s
 ), listed AS (
-  SELECT DISTINCT canonical FROM c WHERE bare IN ('spam-farm.example.org', 'cheap-pills.example.com')
+  SELECT prefix || listed_host || '/' || section || '/' || n || suffix AS canonical FROM range(1000) AS numbers(n),
+         unnest(['spam-farm.example.org', 'cheap-pills.example.com', 'free-bets.example.net']) AS a(listed_host),
+         unnest(['', 'm.', 'blog.']) AS b(prefix), unnest(['en', 'de', 'es', 'fr']) AS f(section), unnest(['', '.html']) AS g(suffix)
 ), r AS (
   SELECT *, CASE
     WHEN (host = 'www.example.com' OR ends_with(host, '.www.example.com')) AND starts_with(path, '/en/') THEN 'www.example.com/en/'

@@ -18,25 +18,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyfold.llm.common import TO_WORDS, bases, columns_of, text_key, written
+from skyfold.llm.common import TO_WORDS, bases, columns_of, hashed_words, text_key, written
 
 _BASE, _MIX = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 
 
 def buckets_of(text: bytes, buckets: int) -> np.ndarray:
     """The bucket of each word 1-gram and 2-gram of a text in UTF-8, A-Z lower-cased."""
-    data = np.frombuffer(text.translate(TO_WORDS), dtype=np.uint8)
-    space = data == 32
-    edges = np.flatnonzero(np.diff(np.concatenate([[True], space, [True]]).view(np.int8)))
-    begins, ends = edges[::2], edges[1::2]
-    if not len(begins):
-        return np.zeros(0, dtype=np.int64)
-    base = np.uint64(_BASE)
-    up = np.cumprod(np.full(len(data), base))
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up)])
-    down = np.cumprod(np.full(len(data), np.uint64(pow(_BASE, -1, 1 << 64))))
-    word = (sums[ends] - sums[begins]) * down[begins]
-    grams = np.concatenate([word, word[:-1] * base + word[1:] + np.uint64(1)]) * np.uint64(_MIX)
+    word = hashed_words(text.translate(TO_WORDS))
+    grams = np.concatenate([word, word[:-1] * np.uint64(_BASE) + word[1:] + np.uint64(1)]) * np.uint64(_MIX)
     return ((grams >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
 
 
@@ -46,8 +36,8 @@ def bucket_counts(docs: DataFrame, buckets: int) -> np.ndarray:
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(buckets, dtype=np.int64)
         for batch in batches:
-            for text in batch.column("text").cast(pa.binary()).to_pylist():
-                if text:
+            for k in range(batch.num_rows):
+                if text := (batch.column("text")[k].as_py() or "").encode():
                     total += np.bincount(buckets_of(text, buckets), minlength=buckets)
         own = np.flatnonzero(total)
         if len(own):
@@ -79,8 +69,7 @@ def resample(docs: DataFrame, target: DataFrame, share: float, buckets: int = 10
     def weighed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = weights.value
         for batch in batches:
-            texts = batch.column("text").cast(pa.binary()).to_pylist()
-            found = [float(w[buckets_of(x, buckets)].sum()) if x else 0.0 for x in texts]
+            found = [float(w[buckets_of((x.as_py() or "").encode(), buckets)].sum()) for x in batch.column("text")]
             if found:
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("draw"), pa.array(found)], names=["doc_id", "draw", "log_weight"])
 

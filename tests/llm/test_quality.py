@@ -4,7 +4,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from skyfold.llm.quality import Hashing, counts, judge, train
+from skyfold.llm.quality import Hashing, counts, judge, labelled_sample, train
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 TEXTS = {
@@ -43,6 +43,38 @@ def test_hashing_is_local():
     assert [len(x) for x in h.places("é".encode())] == [1, 0, 0, 0, 0] and max(map(max, inside)) < h.size
 
 
+def test_long_texts_hash_like_short_ones(monkeypatch):
+    """Cut into parts at white space, a text has the n-grams that it has whole, and the shares by plain counting."""
+    text = ("alpha beta\n gamma été delta\t" * 40).encode()
+    h = Hashing()
+    whole = [sorted(x.tolist()) for x in h.places(text)]
+    at, share = h.shares(text)
+    monkeypatch.setattr("skyfold.llm.quality.PART", 50)
+    assert len(list(h.parts(text))) > 20 and [sorted(x.tolist()) for x in h.places(text)] == whole
+    counted = {p: n / len(x) for x in whole for p, n in Counter(x).items()}
+    assert dict(zip(at.tolist(), share.tolist())) == pytest.approx(counted)
+    assert dict(zip(*map(np.ndarray.tolist, h.shares(text)))) == pytest.approx(counted)
+
+
+def test_probability_against_brute_force(labelled):
+    """The calibrated line over the bias and each family's mean weight, for every judged row."""
+    docs, labels = labelled
+    model = train(docs, labels)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    for r in judge(docs, model).collect():
+        score = model.bias + sum(np.mean([float(model.weights[p]) for p in x.tolist()]) for x in model.hashing.places(texts[r.doc_id].encode()) if len(x))
+        assert r.probability == pytest.approx(1 / (1 + np.exp(-(model.slope * score + model.shift))), abs=1e-6)
+
+
+def test_the_sample_is_bounded_in_rows_and_bytes(spark, make_docs):
+    docs = make_docs([(1, f"text {i} " + "x" * 1000) for i in range(300)] + [(1, "same")] * 300 + [(2, "other words")])
+    labels = spark.createDataFrame([(1, 1), (1, 1), (2, 0)], "doc_id long, quality int")
+    assert labelled_sample(docs, labels, "quality", 50, 10**9).count() == 50
+    small = labelled_sample(docs, labels, "quality", 1000, 5000).collect()
+    assert 0 < sum(len(r.text) for r in small) <= 5000
+    assert labelled_sample(docs, labels, "quality", 1000, 10**9).count() == 302
+
+
 @pytest.fixture(scope="module")
 def labelled(make_docs, spark):
     rng = np.random.default_rng(3)

@@ -1,6 +1,8 @@
+import math
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from skyfold.llm.resampling import bucket_counts, buckets_of, resample
 
@@ -43,6 +45,23 @@ def test_shares_follow_importance(spark, make_docs):
     assert 0.68 < drawn / 400 < 0.82
 
 
+def test_weights_and_ranks_against_brute_force(spark, make_docs):
+    """log_weight from plain counts of words and pairs of words, each bucket's, and the order of the keys."""
+    rng = np.random.default_rng(4)
+    texts = {i: " ".join(f"w{k}" for k in rng.integers(0, 50, rng.integers(1, 40))) for i in range(150)} | {200: None, 201: "Été, W1  w2"}
+    docs = make_docs(texts)
+    rows = resample(docs, docs.where("doc_id % 3 = 0"), share=0.3, buckets=97, smoothing=0.5).collect()
+    grams = {i: buckets_of((t or "").encode(), 97).tolist() for i, t in texts.items()}
+    raw, target = Counter(x for g in grams.values() for x in g), Counter(x for i, g in grams.items() if i % 3 == 0 for x in g)
+    n_raw, n_target = sum(raw.values()) + 48.5, sum(target.values()) + 48.5
+    for r in rows:
+        expected = sum(math.log((target[x] + 0.5) / n_target) - math.log((raw[x] + 0.5) / n_raw) for x in grams[r.doc_id])
+        assert r.log_weight == pytest.approx(expected, abs=1e-9)
+    assert [r["rank"] for r in sorted(rows, key=lambda r: (-r.gumbel_key, r.doc_id))] == list(range(1, len(rows) + 1))
+    words = [w.encode() for w in "w1 w2 été".split()]
+    assert len({buckets_of(w, 1 << 30)[0] for w in words}) == 3 and len(buckets_of("Été, W1  w2".encode(), 97)) == 5
+
+
 def test_edges(spark, make_docs):
     assert resample(make_docs([]), make_docs([]), share=0.5).count() == 0
     rows = resample(make_docs([(1, "x"), (1, "x"), (None, "y")]), make_docs([]), share=1.0).collect()

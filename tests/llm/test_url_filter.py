@@ -1,6 +1,6 @@
 import re
 
-from skyfold.llm.url_filter import RULES, filter_urls, listed_on_hosts, split_url
+from skyfold.llm.url_filter import RULES, filter_urls, split_url, url_list
 
 PAGES = [
     (1, "http://www.example.com/en/a"),
@@ -51,13 +51,25 @@ def test_against_brute_force(spark):
         assert sorted(((r.page_id, r.host, r.path, r.rule, r.verdict) for r in rows), key=repr) == sorted(((i, *brute(u)) for i, u in PAGES), key=repr)
 
 
+def test_long_lists_are_met_by_a_shuffle(spark, monkeypatch):
+    monkeypatch.setattr("skyfold.llm.url_filter.BROADCAST_URLS", 0)
+    test_against_brute_force(spark)
+
+
+def test_pages_are_read_once_and_no_python_runs(spark, tmp_path):
+    spark.createDataFrame([(i, u) for i, u in PAGES], "page_id long, url string").write.parquet(f"{tmp_path}/pages")
+    found = filter_urls(spark.read.parquet(f"{tmp_path}/pages"), spark.createDataFrame([("bad.org/x",)], "canonical string"))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("page_id#") and plan.count(",url#") == 1 and "Python" not in plan
+
+
 def test_empty(spark):
     pages = spark.createDataFrame([], "page_id long, url string")
     listed = spark.createDataFrame([], "canonical string")
     assert filter_urls(pages, listed).count() == 0
     own = spark.createDataFrame([(1, "http://a.org/x")], "page_id long, url string")
     assert [r.verdict for r in filter_urls(own, listed).collect()] == ["allow"]
-    assert [r.canonical for r in listed_on_hosts(own, ("a.org",)).collect()] == ["a.org/x"]
+    assert sorted(r.canonical for r in url_list(spark, ("a.org",), ("", "m."), ("x",), 1, ("",)).collect()) == ["a.org/x/0", "m.a.org/x/0"]
 
 
 def test_no_false_negative(spark):
