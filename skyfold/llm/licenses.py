@@ -9,6 +9,7 @@ Places are taken by rising share of edits, each in what the ones before left fre
 
 from __future__ import annotations
 
+import re
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -145,24 +146,26 @@ def scan(text: str | None, phrases: dict[str, str], wanted: tuple[Notice, ...])
     starts, base = [], set()
     for phrase, label in phrases.items():
         needle = b" %s " % phrase.encode()
-        at = norm.find(needle)
+        at, before, counted = norm.find(needle), 0, 0
         while at >= 0:
-            starts.append(norm.count(b" ", 0, at))
+            before, counted = before + norm.count(b" ", counted, at), at
+            starts.append(before)
             base.add(label)
             at = norm.find(needle, at + 1)
     labels, score, spans = set(base), 1.0 if base else 0.0, []
     own = norm.decode()
-    search = _search(wanted)
+    search, spaces = _search(wanted), []
     # of matches over one another the one with the smallest share of edits stands
     for k, begin, end, edits in search.places(own, search.windows(own)):
         n = wanted[k]
+        spaces = spaces or [m.start() for m in re.finditer(" ", own)]
         labels.add(n.label)
         score = max(score, 1 - edits / len(n.words))
         # the words that the match touches; spaces at its ends don't count
         touched = own[begin:end]
         first = begin + len(touched) - len(touched.lstrip())
         last = max(first, end - 1 - len(touched) + len(touched.rstrip()))
-        spans.append((n.label, own.count(" ", 0, first) - 1, own.count(" ", 0, last) - 1, edits))
+        spans.append((n.label, bisect_left(spaces, first) - 1, bisect_left(spaces, last) - 1, edits))
     return n_words, len(starts), min(starts, default=None), max(starts, default=None), ",".join(sorted(base)), ",".join(sorted(labels)), score, ",".join(f"{a}:{b}:{c}:{d}" for a, b, c, d in sorted(set(spans), key=lambda s: (s[1], s[0])))
 
 

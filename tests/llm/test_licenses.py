@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 import regex
 
@@ -73,6 +74,15 @@ def least_edits(words, text):
     return least
 
 
+def test_very_many_notices_in_seconds():
+    """Time follows the number of places: words before them are counted once."""
+    text = "".join(f"{notice} and {k} words between them. " for k in range(1000) for notice in ("released undr the mit license", "all rights reservd", "cc by nc"))
+    begun = time.process_time()
+    found = scan(text, PHRASES, notices(NOTICES))
+    assert time.process_time() - begun < 20 and found[7].count(":") == 3 * 2000 and found[1] == 1000
+    assert found[7].startswith("mit:0:4:1,all-rights-reserved:10:12:1,mit:")
+
+
 def test_no_place_hides_another():
     search = Search(notices(NOTICES))
     two = " foo releasd under the mit license bar released under the mit license x"

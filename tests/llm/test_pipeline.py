@@ -62,3 +62,17 @@ def test_empty_tables(spark, tables, tmp_path):
     for name in ("documents", "labels", "benchmark"):
         spark.read.parquet(f"{folder}/{name}.parquet").where("false").write.parquet(f"{tmp_path}/{name}.parquet")
     assert pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_clashing_columns(spark, tables, tmp_path):
+    """Columns named like those that stages use inside go through all of them as they are."""
+    folder, texts, _ = tables
+    names = ["kept", "_doc", "_uid", "_key", "_spans", "key", "uid", "doc", "row", "spans", "class_id", "contaminated", "probability", "tie"]
+    docs = spark.read.parquet(f"{folder}/documents.parquet").selectExpr("*", *[f"concat('{c}', doc_id) AS `{c}`" for c in names])
+    columns = docs.columns
+    for k, (name, stage) in enumerate(pipeline.STAGES):
+        stage(spark, docs, folder).write.parquet(f"{tmp_path}/{k}")
+        docs = spark.read.parquet(f"{tmp_path}/{k}")
+        if k < len(pipeline.STAGES) - 1:
+            assert docs.columns == columns, name
+            assert all(r[c] == f"{c}{r.doc_id}" for r in docs.collect() for c in names), name
