@@ -13,14 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyfold.llm import decontamination, near_dedup, packing, pii, quality
-from skyfold.llm.common import text_key, written
+from skyfold.llm.common import written
 from skyfold.llm.queries import vocabulary
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("_doc", F.col("doc_id").cast("long")).withColumn("_key", text_key())
-
-
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules or the trained model reject go."""
     model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -35,9 +31,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which a twentieth of the words or more stand in benchmark windows go."""
     found = decontamination.find_contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    bad = written(found.where("contaminated").select("doc_id", "key").distinct(), "contaminated")
-    bad = bad.select(F.col("doc_id").alias("_d"), F.col("key").alias("_k"))
-    return _keyed(docs).join(bad, F.col("_doc").eqNullSafe(F.col("_d")) & (F.col("_key") == F.col("_k")), "left_anti").select(*docs.columns)
+    return decontamination.keep_clean(docs, written(found, "judged"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
