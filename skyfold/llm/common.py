@@ -34,8 +34,19 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of an Arrow batch that goes to a Python worker.
+ARROW_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Bounds Arrow batches in bytes where the session doesn't: a batch of 10,000 long texts would be any size."""
+    if ARROW_BATCH not in spark.conf.getAll:
+        spark.conf.set(ARROW_BATCH, "3m")
+
+
 def columns_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id long and text string alone, so that no other column can clash with those an operator adds."""
+    bounded_batches(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 

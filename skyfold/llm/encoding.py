@@ -17,11 +17,11 @@ _NO_CUT = r"[ \n][ \n]|[\x{0}\t\v\f\r\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\
 #: A stop or comma that doesn't follow a letter or digit belongs to the token before it.
 _NO_STOP_CUT = r"(?:^|[^\pL\pN])[.,]"
 #: Bytes of pieces and their ids that a worker remembers. Beyond them it forgets all but those just used.
-KEPT_BYTES = 16_000_000
+KEPT_BYTES = 12_000_000
 #: Longer pieces are encoded each time.
 LONGEST_KEPT = 64
 #: Bytes of text that are cut up and encoded at once, besides one document.
-PART_BYTES = 3_000_000
+PART_BYTES = 3_500_000
 
 
 def _bounds(pieces: pa.Array) -> np.ndarray:
@@ -54,7 +54,11 @@ class Encoder:
         self.ends = np.zeros(1, dtype=np.int64)
 
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.frombuffer(array("I", e.ids), dtype="<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        """Ids of each text; a few texts at a time, as the library holds more of a token than its id."""
+        found = []
+        for at in range(0, len(texts), 32):
+            found += [np.frombuffer(array("I", e.ids), dtype="<u4") for e in self.tokenizer.encode_batch_fast(texts[at : at + 32], add_special_tokens=False)]
+        return found
 
     def learn(self, fresh: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
         """(pieces, their ids one after another, how many each has). Those of one white space and a word go through

@@ -10,6 +10,7 @@ Words are what white space (space, tab to carriage return) separates. A null tex
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from skyfold.llm.common import columns_of, text_key, written
+from skyfold.llm.common import bounded_batches, columns_of, text_key, written
 
 SPACE = b" \t\n\v\f\r"
 SYMBOLS = b"#*$%&|<>"
@@ -150,21 +151,6 @@ class QualityModel:
         return 1 / (1 + np.exp(-np.clip(self.slope * self.score(text) + self.shift, -500, 500)))
 
 
-def _features(labelled: DataFrame, hashing: Hashing) -> DataFrame:
-    """label, places and values (little-endian int32 and float32) of each row."""
-
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True):
-                at, value = hashing.shares(text.encode())
-                rows.append((label, at.astype("<i4").tobytes(), value.astype("<f4").tobytes()))
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int32(), pa.binary(), pa.binary()), strict=True)], names=["label", "at", "value"])
-
-    return labelled.mapInArrow(hashed, "label int, at binary, value binary")
-
-
 def _descent(fit: list[tuple[int, np.ndarray, np.ndarray]], size: int, epochs: int, rate: float) -> tuple[np.ndarray, float]:
     """(weights, bias) by stochastic descent with a rate of its own for each weight."""
     # rarer labels weigh as much as frequent ones; calibration puts the prior back
@@ -204,7 +190,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, most_row
     return met.join(F.broadcast(sums.where(F.col("_sum") <= most_bytes).select(*key)), key).select("label", "text")
 
 
-def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", most_rows: int = 3000, most_bytes: int = 64_000_000, epochs: int = 12, rate: float = 4.0, seed: int = 7) -> QualityModel | None:
+def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", most_rows: int = 3000, most_bytes: int = 16_000_000, epochs: int = 12, rate: float = 4.0, seed: int = 7) -> QualityModel | None:
     """Fits the regression on labelled rows and calibrates it on every fifth of them, held out.
 
     most_rows and most_bytes bound the sample, whatever the tables' size. The bounded sample is fitted in one task,
@@ -217,9 +203,10 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", most_r
     def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
         for batch in batches:
-            for label, at, value in zip(*[batch.column(c).to_pylist() for c in ("label", "at", "value")], strict=True):
-                rows.append((label, np.frombuffer(at, dtype="<i4"), np.frombuffer(value, dtype="<f4")))
-        rows.sort(key=lambda r: (r[0], r[1].tobytes(), r[2].tobytes()))  # whatever order the tasks ended in
+            for k, label in enumerate(batch.column("label").to_pylist()):
+                at, value = hashing.shares(batch.column("text")[k].as_py().encode())
+                rows.append((label, at.astype("<i4"), value.astype("<f4")))
+        rows.sort(key=lambda r: (r[0], hashlib.blake2b(r[1].tobytes() + r[2].tobytes()).digest()))  # whatever order the tasks ended in
         np.random.default_rng(seed).shuffle(rows)
         fit, held = [r for k, r in enumerate(rows) if k % 5], rows[::5]
         if len({r[0] for r in fit}) < 2:
@@ -232,7 +219,7 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", most_r
         found = (weights.astype("<f4").tobytes(), bias, slope, shift, len(held), right)
         yield pa.RecordBatch.from_arrays([pa.array([x]) for x in found], names=["weights", "bias", "slope", "shift", "n_held", "accuracy"])
 
-    found = _features(labelled, hashing).repartition(1).mapInArrow(fitted, "weights binary, bias double, slope double, shift double, n_held long, accuracy double").collect()
+    found = labelled.repartition(1).mapInArrow(fitted, "weights binary, bias double, slope double, shift double, n_held long, accuracy double").collect()
     if not found:
         return None
     (m,) = found
@@ -269,6 +256,7 @@ def _verdict(text: bytes, model: QualityModel | None, least_words: int, hundredt
 def filter_kept(docs: DataFrame, model: QualityModel | None, least_words: int = LEAST_WORDS, most_repeated: float = MOST_REPEATED, least_probability: float = LEAST_PROBABILITY) -> DataFrame:
     """The rows of docs, with all their columns, that judge() keeps: null and empty texts go, repeated rows stay or go
     together, an empty table gives no rows, and no column is added."""
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     hundredths = round(100 * most_repeated)
 
