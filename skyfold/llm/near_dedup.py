@@ -35,6 +35,8 @@ from skyfold.llm.common import TO_WORDS, bounded_broadcast, columns_of, hashed_w
 SHINGLE = 5
 #: Texts of a bucket that are compared with one another, or with as many others, at once.
 BLOCK = 800
+#: Texts that meet one copy of their bucket's head.
+HEAD_BLOCK = 200
 #: Characters of a bucket's block.
 BLOCK_CHARS = 4_000_000
 #: Broadcast at most so many texts' keys; more are joined by a shuffle.
@@ -267,7 +269,7 @@ def head_links(shared: DataFrame, texts: DataFrame, threshold: float, least_agre
     A head of very many texts is dealt out, with as many copies of its own text as there are blocks of them.
     """
     candidates = shared.where("uid <> head").groupBy("uid", "head").agg(F.count(F.lit(1)).alias("met"), F.max("n").alias("n")).where(F.col("met") >= least_agreed)
-    blocks = F.ceil(F.col("n") / BLOCK)
+    blocks = F.ceil(F.col("n") / HEAD_BLOCK)
     placed = written(candidates.select("head", blocks.alias("blocks"), F.pmod(F.xxhash64("uid"), blocks).alias("part"), "uid"), "candidates")
     members = placed.withColumn("role", F.lit(1))
     heads = placed.select("head", "blocks", "part").distinct().select("*", F.col("head").alias("uid"), F.lit(0).alias("role"))
