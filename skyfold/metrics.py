@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import logging
+import time
+
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQueryListener
+
+log = logging.getLogger("skyfold")
 
 COUNTERS = ("rejected_crc", "parse_error", "unsupported_df", "malformed_short_frame", "dropped_late", "unknown_sensor", "deduped_dropped", "positions_emitted", "db_upserts", "reconnects")
 
@@ -24,25 +28,28 @@ def observed(df: DataFrame, name: str, flags: dict[str, Column]) -> tuple[DataFr
     return df.observe(seen, *counts(flags)), seen
 
 
-class MetricsListener(StreamingQueryListener):
-    """Adds up what streaming queries observe."""
+class Totals:
+    """A run's counters, and their line in the log."""
 
-    def __init__(self):
-        self.totals = dict.fromkeys(COUNTERS, 0)
+    def __init__(self, every_s: float = 30):
+        self.totals, self.every_s, self.said = dict.fromkeys(COUNTERS, 0), every_s, time.monotonic()
 
-    def onQueryStarted(self, event):
-        pass
+    def __getitem__(self, name: str) -> int:
+        return self.totals[name]
 
-    def onQueryProgress(self, event):
-        for row in (event.progress.observedMetrics or {}).values():
-            for name, n in row.asDict().items():
-                self.totals[name] = self.totals.get(name, 0) + (n or 0)
+    def add(self, **more: int) -> None:
+        for name, n in more.items():
+            self.totals[name] += n
 
-    def onQueryIdle(self, event):
-        pass
+    def count(self, df: DataFrame, **flags: Column) -> None:
+        """Adds the rows of each flag, counted on the executors."""
+        self.add(**audit(df, flags).head().asDict())
 
-    def onQueryTerminated(self, event):
-        pass
+    def report(self) -> None:
+        log.info("%s", " ".join(f"{k}={v}" for k, v in self.totals.items()))
+        self.said = time.monotonic()
 
-    def snapshot(self) -> dict[str, int]:
-        return dict(self.totals)
+    def tick(self) -> None:
+        """A report, if the last one is long enough ago."""
+        if time.monotonic() - self.said >= self.every_s:
+            self.report()

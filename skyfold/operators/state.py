@@ -1,7 +1,9 @@
 """Per-aircraft state as windows over one order of arrival.
 
 What the engine keeps of each aircraft becomes columns of each of its messages: debounced values, the last
-altitude, the last even and odd position. All windows share one specification, so rows are sorted once.
+altitude, the last even and odd position. All windows have the aircraft in their key, so rows are shuffled once;
+debouncing sorts them again for its runs. A run of the stream leaves to the next the few messages of each aircraft
+that can still matter, and its confirmed values.
 """
 
 from __future__ import annotations
@@ -57,12 +59,11 @@ def with_seed(df: DataFrame, key: str, seed: DataFrame) -> DataFrame:
     return df.join(seed, key, "left")
 
 
-def track(decoded: DataFrame, order: list[str], n: int, within: int, seed: DataFrame | None = None, reference: tuple[float, float] | None = None) -> DataFrame:
-    """One row a position fix: icao, ts_100ns, lat, lon, alt, call_sign, squawk, on_ground, and the order columns.
+def followed(decoded: DataFrame, order: list[str], n: int, within: int, seed: DataFrame | None = None, reference: tuple[float, float] | None = None) -> DataFrame:
+    """decoded with known_call_sign, known_squawk, known_alt, and lat and lon where the message fixes a position.
 
     decoded: rows of functions.modes.decode without a reject reason. An airborne message fixes a position if one
-    of the other parity came at most `within` before or after it in time; the row's altitude is the message's, or
-    else the last one surveillance replies told. A surface message needs a reference and has no altitude.
+    of the other parity came at most `within` before or after it in time. A surface message needs a reference.
     """
     from skyfold.functions.cpr import global_airborne, local_surface
 
@@ -79,9 +80,42 @@ def track(decoded: DataFrame, order: list[str], n: int, within: int, seed: DataF
     near = (F.col("kind") == "airborne") & paired(F.col("ts_100ns"), F.col("other.ts_100ns"), within)
     ground_lat, ground_lon = local_surface(F.col("lat_cpr"), F.col("lon_cpr"), F.col("parity_bit"), *reference) if reference else (F.lit(None), F.lit(None))
     surface = F.col("kind") == "surface"
-    fixed = df.withColumn("lat", F.when(near, lat).when(surface, ground_lat).cast("double")).withColumn("lon", F.when(near, lon).when(surface, ground_lon).cast("double"))
+    return df.withColumn("lat", F.when(near, lat).when(surface, ground_lat).cast("double")).withColumn("lon", F.when(near, lon).when(surface, ground_lon).cast("double"))
+
+
+def fixes(rows: DataFrame, order: list[str]) -> DataFrame:
+    """One row a position fix of followed(): icao, ts_100ns, lat, lon, alt, call_sign, squawk, on_ground, and the order
+    columns. The altitude is the message's, or else the last one surveillance replies told; a surface fix has none."""
+    surface = F.col("kind") == "surface"
     alt = F.when(~surface, F.coalesce("alt_ft", "known_alt")).cast("int")
     on_ground = F.when(surface, F.lit(True)).otherwise(F.coalesce("ca_ground", F.lit(False)))
-    fixed = fixed.where(F.col("lat").isNotNull() & F.col("lon").isNotNull())
     kept = [c for c in order if c != "ts_100ns"]
-    return fixed.select("icao", "ts_100ns", "lat", "lon", alt.alias("alt"), F.col("known_call_sign").alias("call_sign"), F.col("known_squawk").alias("squawk"), on_ground.alias("on_ground"), *kept)
+    found = rows.where(F.col("lat").isNotNull() & F.col("lon").isNotNull())
+    return found.select("icao", "ts_100ns", "lat", "lon", alt.alias("alt"), F.col("known_call_sign").alias("call_sign"), F.col("known_squawk").alias("squawk"), on_ground.alias("on_ground"), *kept)
+
+
+def track(decoded: DataFrame, order: list[str], n: int, within: int, seed: DataFrame | None = None, reference: tuple[float, float] | None = None) -> DataFrame:
+    """The position fixes of decoded messages, with what is known of their aircraft at each."""
+    return fixes(followed(decoded, order, n, within, seed, reference), order)
+
+
+#: What a message brings to its aircraft's state.
+MESSAGE = ("icao", "ts_100ns", "kind", "parity_bit", "lat_cpr", "lon_cpr", "alt_ft", "ca_ground", "call_sign", "squawk", "emergency")
+
+
+def tail(rows: DataFrame, order: list[str], n: int) -> DataFrame:
+    """The messages of each aircraft that later ones can still depend on: the last position of each parity, the last
+    altitude told, and the last n call signs and squawks, in which any run that isn't confirmed yet lies whole."""
+    kind = F.col("kind")
+    part = F.when(kind == "airborne", F.concat(kind, F.col("parity_bit"))).when((kind == "altitude") & F.col("alt_ft").isNull(), None).when(kind.isin("altitude", "callsign", "squawk"), kind)
+    place = F.row_number().over(Window.partitionBy("icao", "_part").orderBy(*[F.col(c).desc() for c in order]))
+    found = rows.withColumn("_part", part).where("_part is not null").withColumn("_place", place)
+    kept = [c for c in order if c not in MESSAGE]
+    return found.where(F.col("_place") <= F.when(F.col("_part").isin("callsign", "squawk"), F.lit(n)).otherwise(F.lit(1))).select(*MESSAGE, *kept)
+
+
+def confirmed_values(rows: DataFrame, order: list[str], seed: DataFrame | None = None) -> DataFrame:
+    """icao, seed_call_sign and seed_squawk: what is confirmed of each aircraft after rows of followed()."""
+    last = rows.groupBy("icao").agg(F.max_by(F.struct("known_call_sign", "known_squawk"), F.struct(*order)).alias("_k"))
+    now = last.select("icao", F.col("_k.known_call_sign").alias("seed_call_sign"), F.col("_k.known_squawk").alias("seed_squawk"))
+    return now if seed is None else now.unionByName(seed.select(now.columns).join(now.select("icao"), "icao", "left_anti"))

@@ -13,7 +13,7 @@ from skyfold.functions.geo import label, web_mercator
 COLUMNS = ("timestamp", "mode_s_code", "lat", "lon", "alt", "call_sign", "squawk", "on_ground")
 
 
-def predicates(start: datetime | None = None, end: datetime | None = None, codes: list[str] | None = None, call_signs: list[str] | None = None, on_ground: bool | None = None) -> Column:
+def predicates(start: datetime | Column | None = None, end: datetime | Column | None = None, codes: list[str] | None = None, call_signs: list[str] | None = None, on_ground: bool | None = None) -> Column:
     """A position, and whatever else is given; a parameter that isn't given filters nothing."""
     found = F.col("lat").isNotNull() & F.col("lon").isNotNull()
     if start is not None:

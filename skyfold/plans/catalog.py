@@ -36,7 +36,7 @@ def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _marks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return watermark.watermarks(_stream(spark, sf_dir), list(SENSORS), TIMEOUT, DAY, ["seq"])
+    return watermark.watermarks(_stream(spark, sf_dir), list(SENSORS), TIMEOUT, floor_to(F.col("ts_100ns"), DAY), ["seq"], in_time_order=True)
 
 
 def _confirmed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,6 +47,22 @@ def ev_late_and_watermark(spark, sf_dir):
     return _marks(spark, sf_dir).select("seq", "wm_before", "wm_after", "late")
 
 
+def _unordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stream with times moved by up to 9 hours either way, so that it arrives out of their order."""
+    return _stream(spark, sf_dir).withColumn("ts_100ns", F.col("ts_100ns") + ((F.col("seq") * 7919) % 19 - 9) * HOUR)
+
+
+def ev_late_unordered(spark, sf_dir):
+    bucket = F.expr("seq div 2000")
+    return watermark.watermarks(_unordered(spark, sf_dir), list(SENSORS), TIMEOUT, bucket, ["seq"]).select("seq", "wm_before", "wm_after", "late")
+
+
+def ev_admitted_unordered(spark, sf_dir):
+    marks = watermark.watermarks(_unordered(spark, sf_dir), list(SENSORS), TIMEOUT, F.expr("seq div 2000"), ["seq"])
+    chained = watermark.confirm_chain(marks.where("not late"), QUANTUM, DAY)
+    return watermark.anchored(chained, "frame", ["seq"], "confirmed_before", "ts_100ns", TTL).select("seq", "confirmed_before", "confirmed_after", "accepted")
+
+
 def ev_confirm_timeline(spark, sf_dir):
     return _confirmed(spark, sf_dir).select("seq", "confirmed_before", "confirmed_after")
 
@@ -105,10 +121,9 @@ def ev_block_lww(spark, sf_dir):
 
 
 def ev_block_flush(spark, sf_dir):
-    marks = _marks(spark, sf_dir)
-    top = marks.agg(F.max("wm_after").alias("top")).first()["top"]
+    top = _marks(spark, sf_dir).agg(F.max("wm_after").alias("top"))  # one row
     blocks = downsample.last_of_block(_stream(spark, sf_dir).select("icao", "ts_100ns", "seq"), "icao", "ts_100ns", BLOCK, ["seq"])
-    return blocks.where(downsample.ended(F.col("ts_100ns"), BLOCK, F.lit(top))).withColumnRenamed("ts_100ns", "block")
+    return blocks.join(F.broadcast(top), downsample.ended(F.col("ts_100ns"), BLOCK, F.col("top"))).drop("top").withColumnRenamed("ts_100ns", "block")
 
 
 def _points(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -156,8 +171,13 @@ def ev_minute_bucket_counts(spark, sf_dir):
 
 
 def ev_view_filter(spark, sf_dir):
-    found = _points(spark, sf_dir).where(views.predicates(on_ground=False)).where("timestamp >= timestamp_ntz'2024-01-03' and timestamp < timestamp_ntz'2024-01-25'")
-    return found.select(*views.COLUMNS).orderBy("mode_s_code", "timestamp").limit(500)
+    span = [F.lit(f"2024-01-{d}").cast("timestamp_ntz") for d in ("03", "25")]
+    return views.select_points(_points(spark, sf_dir), limit=500, start=span[0], end=span[1], on_ground=False)
+
+
+def ev_view_named(spark, sf_dir):
+    """Points of some codes and call signs."""
+    return views.select_points(_points(spark, sf_dir), codes=[f"{4194304 + k:06X}" for k in range(30)], call_signs=["C1-0", "C2-1", "C3-2", "C12-0"])
 
 
 def ev_view_totals(spark, sf_dir):
@@ -177,6 +197,10 @@ def ev_trajectory(spark, sf_dir):
     return own.where(F.size("line") >= 2).select("mode_s_code", F.size("line").cast("long").alias("n_points"), F.array_join(F.col("line").cast("array<string>"), " ").alias("line"))
 
 
+def ev_trajectory_line(spark, sf_dir):
+    return views.trajectories(_placed(spark, sf_dir))
+
+
 def ev_webmercator(spark, sf_dir):
     x, y = geo.web_mercator(F.col("lat"), F.col("lon"))
     return _placed(spark, sf_dir).select("event_id", F.round(x, 3).alias("x"), F.round(y, 3).alias("y"))
@@ -260,7 +284,7 @@ def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def modes_decode(spark, sf_dir):
-    return modes.decode(frames(spark, sf_dir)).select("seq", "reject_reason", "kind", "icao", "parity_bit", "lat_cpr", "lon_cpr", "alt_ft", "call_sign", "squawk", "emergency")
+    return modes.decode(frames(spark, sf_dir)).select("seq", "reject_reason", "kind", "icao", F.coalesce("ca_ground", F.lit(False)).alias("ca_ground"), "parity_bit", "lat_cpr", "lon_cpr", "alt_ft", "call_sign", "squawk", "emergency")
 
 
 def cpr_global(spark, sf_dir):
@@ -295,6 +319,8 @@ def pipeline_e2e(spark, sf_dir):
 
 QUERIES: tuple[Query, ...] = (
     ev_late_and_watermark,
+    ev_late_unordered,
+    ev_admitted_unordered,
     ev_confirm_timeline,
     ev_ttl_dedup_anchor,
     ev_ttl_dedup_confirmed,
@@ -311,10 +337,12 @@ QUERIES: tuple[Query, ...] = (
     ev_minute_replace,
     ev_minute_bucket_counts,
     ev_view_filter,
+    ev_view_named,
     ev_view_totals,
     ev_view_summary,
     ev_last_point,
     ev_trajectory,
+    ev_trajectory_line,
     ev_webmercator,
     ev_reject_counts,
     signal_dbm,

@@ -18,6 +18,21 @@ cand AS (SELECT *, least({_LIVE}) AS c FROM front),
 after AS (SELECT *, max(c) OVER (ORDER BY seq) AS wm_after FROM cand),
 marks AS (SELECT seq, t, s, icao, frame, v, wm_after, lag(wm_after) OVER (ORDER BY seq) AS wm_before FROM after)"""
 
+#: The rule event by event: what is counted of each sensor, the watermark, and what came before the watermark.
+_KNOWN = ", ".join(f"CASE WHEN n.s = '{s}' AND (f.wm IS NULL OR n.t >= f.wm) THEN greatest(f.l{k}, n.t) ELSE f.l{k} END AS l{k}" for k, s in enumerate(SENSORS))
+_FIRST = ", ".join(f"CASE WHEN s = '{s}' THEN t END AS l{k}" for k, s in enumerate(SENSORS))
+UNORDERED = f"""
+u AS (SELECT seq, t + ((seq * 7919) % 19 - 9) * {HOUR} AS t, s, icao, frame, v, row_number() OVER (ORDER BY seq) AS rn FROM e),
+told(rn, seq, t, s, icao, frame, v, {_ALL}, wm_before, wm, late) AS (
+  SELECT rn, seq, t, s, icao, frame, v, {_FIRST}, CAST(NULL AS BIGINT), t, false FROM u WHERE rn = 1
+  UNION ALL
+  SELECT rn, seq, t, s, icao, frame, v, {_ALL}, wm_before, greatest(wm_before, least({_LIVE})) AS wm, late FROM (
+    SELECT *, greatest({_ALL}) AS f FROM (
+      SELECT n.rn, n.seq, n.t, n.s, n.icao, n.frame, n.v, {_KNOWN}, f.wm AS wm_before, n.t < f.wm AS late FROM told f JOIN u n ON n.rn = f.rn + 1
+    )
+  )
+)"""
+
 CHAIN = f"""
 adv AS (SELECT DISTINCT wm_after AS w FROM marks),
 chain(x) AS (SELECT min(w) FROM adv UNION ALL SELECT (SELECT min(w) FROM adv WHERE w >= chain.x + {QUANTUM}) FROM chain WHERE EXISTS (SELECT 1 FROM adv WHERE w >= chain.x + {QUANTUM})),
@@ -94,6 +109,9 @@ def oracle_sql() -> dict[str, str]:
     mod = "({a} - {b} * floor({a} / {b}))"
     return {
         "ev_late_and_watermark": f"{with_e} SELECT seq, wm_before, wm_after, coalesce(t < wm_before, false) AS late FROM marks",
+        "ev_late_unordered": f"WITH RECURSIVE {E}, {UNORDERED} SELECT seq, wm_before, wm AS wm_after, late FROM told",
+        "ev_admitted_unordered": f"""WITH RECURSIVE {E}, {UNORDERED}, marks AS (SELECT seq, t, s, icao, frame, v, wm AS wm_after, wm_before FROM told WHERE NOT late), {CHAIN}, {dedup("conf", "confirmed_before")}
+            SELECT seq, confirmed_before, confirmed_after, accepted FROM conf JOIN (SELECT seq, accepted FROM fold) USING (seq)""",
         "ev_confirm_timeline": f"{with_e}, {CHAIN} SELECT seq, confirmed_before, confirmed_after FROM conf",
         "ev_ttl_dedup_anchor": f"WITH RECURSIVE {E}, {dedup('e', 't')} SELECT seq, accepted FROM fold",
         "ev_ttl_dedup_confirmed": f"{with_e}, {CHAIN}, {dedup('conf', 'confirmed_before')} SELECT seq, accepted FROM fold",
@@ -119,6 +137,8 @@ def oracle_sql() -> dict[str, str]:
         "ev_minute_bucket_counts": "SELECT epoch_us(ts) // 60000000 AS minute, strftime(ts, '%Y%m%d%H%M') AS label, count(*) AS n FROM events GROUP BY ALL",
         "ev_view_filter": f"""WITH {POINTS} SELECT timestamp, mode_s_code, lat, lon, alt, call_sign, squawk, on_ground FROM p
             WHERE lat IS NOT NULL AND lon IS NOT NULL AND timestamp >= TIMESTAMP '2024-01-03' AND timestamp < TIMESTAMP '2024-01-25' AND NOT on_ground ORDER BY mode_s_code, timestamp LIMIT 500""",
+        "ev_view_named": f"""WITH {POINTS} SELECT timestamp, mode_s_code, lat, lon, alt, call_sign, squawk, on_ground FROM p WHERE lat IS NOT NULL AND call_sign IN ('C1-0', 'C2-1', 'C3-2', 'C12-0')
+            AND mode_s_code IN (SELECT upper(lpad(to_hex(4194304 + k), 6, '0')) FROM range(30) AS r(k)) ORDER BY mode_s_code, timestamp""",
         "ev_view_totals": f"""WITH {POINTS} SELECT count(DISTINCT mode_s_code) AS aircraft, count(*) AS "rows", min(timestamp) AS t_start, max(timestamp) AS t_end, min(alt) AS alt_min, max(alt) AS alt_max,
             coalesce(string_agg(DISTINCT call_sign, ', ' ORDER BY call_sign) FILTER (WHERE trim(call_sign) <> ''), '') AS call_signs FROM p WHERE lat IS NOT NULL""",
         "ev_view_summary": f"""WITH {POINTS} SELECT mode_s_code, count(*) AS "rows", coalesce(string_agg(DISTINCT call_sign, ', ' ORDER BY call_sign) FILTER (WHERE trim(call_sign) <> ''), '-') AS call_signs,
@@ -127,6 +147,8 @@ def oracle_sql() -> dict[str, str]:
             mode_s_code || coalesce(' / ' || nullif(trim(arg_max({{'c': call_sign}}, timestamp).c), ''), '') || chr(10) || 'alt=' || coalesce(CAST(arg_max({{'a': alt}}, timestamp).a AS VARCHAR), '-') AS label
             FROM p WHERE lat IS NOT NULL GROUP BY mode_s_code""",
         "ev_trajectory": f"WITH {POINTS} SELECT mode_s_code, count(*) AS n_points, string_agg(CAST(epoch_us(timestamp) AS VARCHAR), ' ' ORDER BY timestamp) AS line FROM p WHERE lat IS NOT NULL GROUP BY mode_s_code HAVING count(*) >= 2",
+        "ev_trajectory_line": f"""WITH {POINTS} SELECT mode_s_code, count(*) AS n_points, 'LINESTRING (' || string_agg(format('{{:.3f}} {{:.3f}}', radians(lon) * 6378137.0, ln(tan(pi() / 4 + radians(lat) / 2)) * 6378137.0), ', ' ORDER BY timestamp) || ')' AS wkt
+            FROM p WHERE lat IS NOT NULL GROUP BY mode_s_code HAVING count(*) >= 2""",
         "ev_webmercator": f"WITH {POINTS} SELECT event_id, round(radians(lon) * 6378137.0, 3) AS x, round(ln(tan(pi() / 4 + radians(lat) / 2)) * 6378137.0, 3) AS y FROM p WHERE lat IS NOT NULL",
         "ev_reject_counts": f"""{with_e} SELECT count(*) FILTER (t < wm_before) AS dropped_late, count(*) FILTER (s = 'error') AS parse_error, count(*) FILTER (icao % 5 = 0) AS unknown_sensor, count(*) AS positions_emitted FROM marks""",
         "signal_dbm": "SELECT event_id, CAST(-((65535 - event_id * 257 % 65536) // 256) AS SMALLINT) AS dbm FROM events",
@@ -142,7 +164,7 @@ def oracle_sql() -> dict[str, str]:
         "modes_decode": f"""WITH {FIELDS} SELECT seq,
             CASE WHEN pick = 6 THEN 'unsupported_df' WHEN broken AND pick IN (0, 1, 2) THEN 'crc_invalid' END AS reject_reason,
             CASE WHEN pick = 6 OR (broken AND pick IN (0, 1, 2)) THEN NULL WHEN pick = 0 THEN 'airborne' WHEN pick = 1 THEN 'callsign' WHEN pick = 2 THEN 'surface' WHEN pick IN (3, 5) THEN 'squawk' ELSE 'altitude' END AS kind,
-            CASE WHEN pick = 6 OR (broken AND pick IN (0, 1, 2)) THEN NULL ELSE CAST(icao AS INTEGER) END AS icao,
+            CASE WHEN pick = 6 OR (broken AND pick IN (0, 1, 2)) THEN NULL ELSE CAST(icao AS INTEGER) END AS icao, false AS ca_ground,
             CASE WHEN pick IN (0, 2) AND NOT broken THEN CAST(par AS INTEGER) END AS parity_bit, CASE WHEN pick IN (0, 2) AND NOT broken THEN CAST(lat_cpr AS INTEGER) END AS lat_cpr, CASE WHEN pick IN (0, 2) AND NOT broken THEN CAST(lon_cpr AS INTEGER) END AS lon_cpr,
             CASE WHEN (pick = 0 AND NOT broken) OR pick = 4 THEN CAST(steps * 25 - 1000 AS INTEGER) END AS alt_ft,
             CASE WHEN pick = 1 AND NOT broken THEN chr(65 + CAST(a AS INTEGER)) || chr(65 + CAST(b AS INTEGER)) || chr(65 + CAST(c AS INTEGER)) || chr(48 + CAST(d AS INTEGER)) END AS call_sign,

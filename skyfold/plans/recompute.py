@@ -11,27 +11,43 @@ from pyspark.sql import functions as F
 from skyfold.config import Config, from_args
 from skyfold.functions.modes import decode
 from skyfold.functions.timeunits import PER_MINUTE, from_datetime
+from skyfold.metrics import Totals
 from skyfold.operators.downsample import last_of_block, restore
 from skyfold.operators.state import track
 from skyfold.operators.watermark import anchored, confirm_chain, watermarks
 from skyfold.schema import ARRIVAL
+from skyfold.scratch import cut
 from skyfold.sinks import table
 from skyfold.sources.files import read_minutes
 
 ORDER = list(ARRIVAL)
 
 
-def admitted(events: DataFrame, cfg: Config) -> DataFrame:
-    """Events with late and accepted: what the watermark and the de-duplication let through."""
-    marked = watermarks(events, list(cfg.sensors), cfg.timeout, PER_MINUTE, ORDER)
-    chained = confirm_chain(marked.where("not late"), cfg.quantum, PER_MINUTE)
+def marked(events: DataFrame, cfg: Config) -> DataFrame:
+    """Events with their watermarks and late. A minute's files arrive together, in the order of their times; offsets
+    beyond the minute make events of the next one late."""
+    return watermarks(events, list(cfg.sensors), cfg.timeout, F.col("file_minute"), ORDER)
+
+
+def admitted(marks: DataFrame, cfg: Config) -> DataFrame:
+    """Events that aren't late with accepted: what the de-duplication lets through."""
+    chained = confirm_chain(marks.where("not late"), cfg.quantum, PER_MINUTE)
     return anchored(chained, "frame", ORDER, "confirmed_before", "ts_100ns", cfg.ttl)
 
 
-def positions(events: DataFrame, cfg: Config, seed: DataFrame | None = None) -> DataFrame:
-    """Block rows of events: icao, ts_100ns (block starts), lat, lon, alt, call_sign, squawk, on_ground."""
-    decoded = decode(admitted(events, cfg).where("accepted")).where("reject_reason is null")
-    fixes = track(decoded, ORDER, cfg.debounce, cfg.pair, seed, cfg.reference)
+def positions(events: DataFrame, cfg: Config, seed: DataFrame | None = None, totals: Totals | None = None) -> DataFrame:
+    """Block rows of events: icao, ts_100ns (block starts), lat, lon, alt, call_sign, squawk, on_ground. totals counts
+    what is dropped on the way, where it is given."""
+    marks = marked(events, cfg)
+    taken = admitted(marks, cfg)
+    if totals is not None:
+        taken = cut(taken)
+        totals.count(marks, dropped_late=F.col("late"))
+        totals.count(taken, deduped_dropped=~F.col("accepted"))
+    decoded = decode(taken.where("accepted"))
+    if totals is not None:
+        totals.count(decoded, rejected_crc=F.col("reject_reason") == "crc_invalid", unsupported_df=F.col("reject_reason") == "unsupported_df")
+    fixes = track(decoded.where("reject_reason is null"), ORDER, cfg.debounce, cfg.pair, seed, cfg.reference)
     fixes = fixes.withColumn("_seen", F.col("ts_100ns"))  # blocks move the time; arrival keeps it
     order = ["file_minute", "_seen", "sensor_ordinal", "record_index"]
     return last_of_block(fixes, "icao", "ts_100ns", cfg.block, order).drop(*order)
@@ -45,19 +61,27 @@ def seed_rows(spark: SparkSession, cfg: Config) -> DataFrame | None:
     return restore(spark.read.parquet(cfg.table), F.lit(start), F.lit(cfg.start))
 
 
-def recompute(spark: SparkSession, cfg: Config) -> None:
-    """Reads the run's minutes and the one before, and replaces the run's minutes in the table."""
-    events = read_minutes(spark, cfg.data_dir, cfg.template, cfg.minutes(), list(cfg.sensors)).where("frame_reject is null").drop("frame_reject")
+def recompute(spark: SparkSession, cfg: Config) -> Totals:
+    """Reads the run's minutes and the one before, and replaces the run's minutes in the table; the run's counters."""
+    totals = Totals()
+    read = read_minutes(spark, cfg.data_dir, cfg.template, cfg.minutes(), list(cfg.sensors))
+    totals.count(read, malformed_short_frame=F.col("frame_reject") == "malformed_short_frame", parse_error=F.col("frame_reject") == "bad_length")
+    events = read.where("frame_reject is null").drop("frame_reject")
     start, end = from_datetime(cfg.start), from_datetime(cfg.end)
-    rows = table.rendered(table.in_range(positions(events, cfg, seed_rows(spark, cfg)), start, end))
+    rows = cut(table.rendered(table.in_range(positions(events, cfg, seed_rows(spark, cfg), totals), start, end)))
+    totals.count(rows, positions_emitted=F.lit(True))
     table.replace_minutes(rows, cfg.table, start // PER_MINUTE, end // PER_MINUTE)
+    totals.add(db_upserts=totals["positions_emitted"])
+    totals.report()
+    return totals
 
 
 def main(argv: list[str] | None = None) -> None:
     mode, cfg = from_args(sys.argv[1:] if argv is None else argv)
     spark = SparkSession.builder.appName(f"skyfold-{mode}").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     if mode == "recompute":
-        return recompute(spark, cfg)
+        recompute(spark, cfg)
+        return
     from skyfold.streaming.realtime import start
 
     query = start(spark, cfg)

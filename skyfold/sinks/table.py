@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 
 from skyfold.functions.geo import icao_hex
 from skyfold.functions.timeunits import PER_MINUTE, minute_key, of_timestamp, to_timestamp
+from skyfold.scratch import cut
 
 KEY = ("mode_s_code", "timestamp")
 
@@ -85,7 +86,7 @@ def upsert(rows: DataFrame, path: str, order: str | None = None) -> None:
     else:
         old = plain.limit(0)
     best = merged(old, placed, order=F.col(order) if order else None)
-    _write(best.checkpoint() if touched else best, path)  # read before its partitions are written over
+    _write(cut(best) if touched else best, path)  # read before its partitions are written over
     placed.unpersist()
 
 

@@ -1,136 +1,120 @@
 """The streaming job: message files to an upserted table.
 
-Two stateful steps. Admission has one key, since all sensors share one timeline; its state is a few numbers and
-the frames of the last `ttl`. Tracking has a key an aircraft. Within a micro-batch rows are put in arrival order
-before they are followed, because Spark hands them over in any. Rows are downsampled by their block's key and
-arrival, and upserted: a batch that is replayed after a failure writes what it wrote before.
+Each micro-batch is a run of the batch operators over the batch's events, which begins with what the run before left:
+a few numbers of the watermark, the frames that are still live, and of each aircraft the messages that can still
+matter. These are Parquet tables under the job's checkpoint, one set a batch, so a batch that is replayed after a
+failure begins with the same state, and writes what it wrote before. Nothing is followed in one group: the watermark
+goes by message, de-duplication by frame, aircraft by aircraft.
+
+The clock of the drain is when messages arrived, which comes with them, so replays don't depend on when they run.
 """
 
 from __future__ import annotations
 
-import pickle
-import time
-from collections.abc import Iterator
+from dataclasses import dataclass
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from skyfold.config import Config
-from skyfold.functions.cpr import global_airborne, local_surface
 from skyfold.functions.modes import decode
-from skyfold.metrics import counts
+from skyfold.functions.timeunits import PER_MINUTE, of_timestamp
+from skyfold.metrics import Totals
+from skyfold.operators import state
 from skyfold.operators.downsample import last_of_block
+from skyfold.operators.watermark import Carried, anchored, carried_over, confirm_chain, drained, live_frames, watermarks
+from skyfold.scratch import cut
 from skyfold.sinks import table
 from skyfold.sources.files import message_events, stream_messages
-from skyfold.streaming.admission import Admission, Aircraft
-
-EVENTS = "seq string, record_index long, sensor_id string, ts_100ns long, frame binary"
-ADMITTED = EVENTS + ", outcome string"
-FIXES = "icao int, ts_100ns long, seq string, record_index long, kind string, parity_bit int, lat_cpr int, lon_cpr int, other_lat int, other_lon int, alt int, call_sign string, squawk string, on_ground boolean"
-
-
-def _names(schema: str) -> list[str]:
-    return [c.split()[0] for c in schema.split(", ")]
-
-
-class Admitting(StatefulProcessor):
-    """The admission rule over all sensors' events."""
-
-    def __init__(self, cfg: Config, wall_clock: bool):
-        self.begin, self.wall_clock = (cfg.timeout, cfg.ttl, cfg.quantum), wall_clock
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.kept = handle.getValueState("admission", "own binary")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        own = pickle.loads(self.kept.get()[0]) if self.kept.exists() else Admission(*self.begin)
-        if self.wall_clock:
-            own.drain(time.time_ns() // 100)
-        batch = pd.concat(list(rows)).sort_values(["seq", "record_index"], kind="stable")  # one micro-batch, bounded by its source
-        batch["outcome"] = [own.offer(s, int(t), bytes(f)) for s, t, f in zip(batch["sensor_id"], batch["ts_100ns"], batch["frame"], strict=True)]
-        self.kept.update((pickle.dumps(own),))
-        yield batch[_names(ADMITTED)]
-
-    def close(self) -> None:
-        pass
-
-
-class Tracking(StatefulProcessor):
-    """What an aircraft's messages add up to."""
-
-    def __init__(self, cfg: Config):
-        self.n, self.within = cfg.debounce, cfg.pair
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.kept = handle.getValueState("aircraft", "own binary")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        own = pickle.loads(self.kept.get()[0]) if self.kept.exists() else Aircraft()
-        batch = pd.concat(list(rows)).sort_values(["seq", "record_index"], kind="stable")
-        found = []
-        for m in batch.astype(object).where(batch.notna(), None).itertuples():
-            if (fix := own.see(m, self.n, self.within)) is not None:
-                found.append((key[0], m.ts_100ns, m.seq, m.record_index, m.kind, m.parity_bit, m.lat_cpr, m.lon_cpr, *fix))
-        self.kept.update((pickle.dumps(own),))
-        yield pd.DataFrame({c: pd.Series([f[k] for f in found], dtype={"other_lat": "Int32", "other_lon": "Int32", "alt": "Int32"}.get(c, object)) for k, c in enumerate(_names(FIXES))})
-
-    def close(self) -> None:
-        pass
-
-
-def admit(events: DataFrame, cfg: Config, wall_clock: bool = False) -> DataFrame:
-    """Events with their outcome: accepted, duplicate or late. wall_clock drains before each batch."""
-    one = events.select(*_names(EVENTS), F.lit(0).alias("_all")).groupBy("_all")
-    return one.transformWithStateInPandas(Admitting(cfg, wall_clock), outputStructType=ADMITTED, outputMode="append", timeMode="none")
-
-
-def follow_aircraft(decoded: DataFrame, cfg: Config) -> DataFrame:
-    """Possible fixes of decoded messages, with what the aircraft's state adds."""
-    return decoded.groupBy("icao").transformWithStateInPandas(Tracking(cfg), outputStructType=FIXES, outputMode="append", timeMode="none")
-
-
-def located(fixes: DataFrame, reference: tuple[float, float] | None) -> DataFrame:
-    """Fixes with lat and lon, of those that have them."""
-    airborne = F.col("kind") == "airborne"
-    lat, lon = global_airborne(F.col("other_lat"), F.col("other_lon"), F.col("lat_cpr"), F.col("lon_cpr"), F.col("parity_bit"))
-    g_lat, g_lon = local_surface(F.col("lat_cpr"), F.col("lon_cpr"), F.col("parity_bit"), *reference) if reference else (F.lit(None), F.lit(None))
-    found = fixes.withColumn("lat", F.when(airborne, lat).otherwise(g_lat).cast("double")).withColumn("lon", F.when(airborne, lon).otherwise(g_lon).cast("double"))
-    return found.where(F.col("lat").isNotNull() & F.col("lon").isNotNull())
-
-
-def fixes_of(messages: DataFrame, cfg: Config, wall_clock: bool = False) -> DataFrame:
-    """Located fixes of a stream or a table of messages (seq, content)."""
-    events = message_events(messages, list(cfg.sensors))
-    flags = {
-        "parse_error": F.col("header_reject").isNotNull() | (F.col("frame_reject") == "bad_length"),
-        "unknown_sensor": F.col("unknown_sensor"),
-        "malformed_short_frame": F.col("frame_reject") == "malformed_short_frame",
-    }
-    events = events.observe("input", *counts(flags))
+ORDER = ["batch", "seq", "record_index"]
+#: States that are kept: that of the batch before, and the one that is being written.
+KEPT_STATES = 2
+
+
+@dataclass
+class State:
+    """What a batch leaves to the next; the tables are null before the first."""
+
+    carried: Carried
+    live: DataFrame | None = None
+    messages: DataFrame | None = None
+    seeds: DataFrame | None = None
+
+
+def load(spark: SparkSession, folder: str, batch: int) -> State:
+    if batch < 0:
+        return State(Carried())
+    own = f"{folder}/{batch}"
+    rows = spark.read.parquet(f"{own}/carried").collect()  # a row a sensor, and one of the stream
+    (whole,) = [r for r in rows if r.sensor_id is None]
+    carried = Carried({r.sensor_id: r.latest for r in rows if r.sensor_id is not None}, whole.watermark, whole.confirmed)
+    return State(carried, *[spark.read.parquet(f"{own}/{name}") for name in ("live", "messages", "seeds")])
+
+
+def save(spark: SparkSession, folder: str, batch: int, after: State) -> None:
+    own, carried = f"{folder}/{batch}", after.carried
+    rows = [(None, None, carried.watermark, carried.confirmed), *[(s, t, None, None) for s, t in carried.latest.items()]]
+    spark.createDataFrame(rows, "sensor_id string, latest long, watermark long, confirmed long").write.mode("overwrite").parquet(f"{own}/carried")
+    for name in ("live", "messages", "seeds"):
+        getattr(after, name).write.mode("overwrite").parquet(f"{own}/{name}")
+    table._drop(spark, f"{folder}/{batch - KEPT_STATES}")
+
+
+def advance(messages: DataFrame, batch: int, cfg: Config, before: State, totals: Totals, wall_clock: bool = False) -> tuple[DataFrame, State]:
+    """(position fixes of a batch of messages, the state after it). messages: seq, content and arrived, a timestamp."""
+    sensors = list(cfg.sensors)
+    events = cut(message_events(messages, sensors))
+    totals.count(
+        events,
+        parse_error=F.col("header_reject").isNotNull() | (F.col("frame_reject") == "bad_length"),
+        unknown_sensor=F.col("unknown_sensor"),
+        malformed_short_frame=F.col("frame_reject") == "malformed_short_frame",
+    )
     sound = events.where(F.col("header_reject").isNull() & ~F.col("unknown_sensor") & F.col("frame_reject").isNull())
-    admitted = admit(sound, cfg, wall_clock).observe("admission", *counts({"dropped_late": F.col("outcome") == "late", "deduped_dropped": F.col("outcome") == "duplicate"}))
-    decoded = decode(admitted.where("outcome = 'accepted'"))
-    decoded = decoded.observe("decoding", *counts({"rejected_crc": F.col("reject_reason") == "crc_invalid", "unsupported_df": F.col("reject_reason") == "unsupported_df"}))
-    return located(follow_aircraft(decoded.where("reject_reason is null"), cfg), cfg.reference)
-
-
-def write_batch(cfg: Config):
-    """The sink of each micro-batch: its last row of each block, merged into the table."""
-
-    def write(batch: DataFrame, _: int) -> None:
-        fixes = batch.withColumn("arrival", F.struct("seq", "record_index"))
-        last = last_of_block(fixes.select("icao", "ts_100ns", "lat", "lon", "alt", "call_sign", "squawk", "on_ground", "arrival"), "icao", "ts_100ns", cfg.block, ["arrival"])
-        table.with_retries(lambda: table.upsert(table.rendered(last), cfg.table))
+    sound = sound.select(F.lit(batch).cast("long").alias("batch"), "seq", "record_index", "sensor_id", "ts_100ns", "frame")
+    marks = watermarks(sound, sensors, cfg.timeout, F.col("seq"), ORDER, carried=before.carried)
+    chained = cut(confirm_chain(marks.where("not late"), cfg.quantum, PER_MINUTE, before.carried))
+    taken = cut(anchored(chained, "frame", ORDER, "confirmed_before", "ts_100ns", cfg.ttl, before.live))
+    carried = carried_over(chained, sensors, before.carried)
+    if wall_clock and (now := messages.agg(F.max(of_timestamp(F.col("arrived"))).alias("now")).head().now) is not None:
+        carried = drained(carried, now, cfg.timeout, cfg.quantum)
+    decoded = cut(decode(taken.where("accepted")))
+    totals.count(marks, dropped_late=F.col("late"))
+    totals.count(taken, deduped_dropped=~F.col("accepted"))
+    totals.count(decoded, rejected_crc=F.col("reject_reason") == "crc_invalid", unsupported_df=F.col("reject_reason") == "unsupported_df")
+    rows = decoded.where("reject_reason is null").select(*state.MESSAGE, *ORDER)
+    if before.messages is not None:
+        rows = rows.unionByName(before.messages.select(rows.columns))
+    rows = cut(state.followed(rows, ORDER, cfg.debounce, cfg.pair, before.seeds, cfg.reference))
+    found = state.fixes(rows, ORDER).where(F.col("batch") == batch)
+    live = live_frames(taken, "frame", "ts_100ns", cfg.ttl, carried.confirmed, before.live)
+    return found, State(carried, live, state.tail(rows, ORDER, cfg.debounce), state.confirmed_values(rows, ORDER, before.seeds))
+
+
+def write_batch(cfg: Config, folder: str, totals: Totals, wall_clock: bool):
+    """What each micro-batch does: its last row of each block merged into the table, then its state."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        messages = batch.withColumnRenamed("path", "seq")
+        found, after = advance(messages, number, cfg, load(spark, folder, number - 1), totals, wall_clock)
+        found = found.withColumn("arrival", F.struct("seq", "record_index")).drop(*ORDER)
+        rows = cut(table.rendered(last_of_block(found, "icao", "ts_100ns", cfg.block, ["arrival"])))
+        table.with_retries(lambda: table.upsert(rows, cfg.table))
+        save(spark, folder, number, after)
+        n = rows.count()
+        totals.add(positions_emitted=n, db_upserts=n)
+        totals.tick()
 
     return write
 
 
-def start(spark: SparkSession, cfg: Config, checkpoint: str | None = None, available_now: bool = False):
-    """The running query. available_now: takes what is there, then ends."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    messages = stream_messages(spark, cfg.messages).withColumn("seq", F.col("path")).drop("path", "arrived")
-    writer = fixes_of(messages, cfg, wall_clock=not available_now).writeStream.outputMode("append").foreachBatch(write_batch(cfg))
-    writer = writer.option("checkpointLocation", checkpoint or f"{cfg.table.rstrip('/')}-checkpoint")
+def start(spark: SparkSession, cfg: Config, checkpoint: str | None = None, available_now: bool = False, wall_clock: bool | None = None, totals: Totals | None = None, most_files: int = 1000):
+    """The running query. available_now: takes what is there, then ends. wall_clock: drains by arrival, as it does
+    unless it takes what is there."""
+    checkpoint = (checkpoint or f"{cfg.table.rstrip('/')}-checkpoint").rstrip("/")
+    by_clock = not available_now if wall_clock is None else wall_clock
+    write = write_batch(cfg, f"{checkpoint}/own-state", totals or Totals(), by_clock)
+    writer = stream_messages(spark, cfg.messages, most_files).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 second")).start()

@@ -1,46 +1,49 @@
-"""The reference rules one event at a time, to hold the operators against."""
+"""The rules said over whole histories, to hold the operators against: nothing is kept, all is looked up again."""
 
 from __future__ import annotations
 
 
-class Engine:
-    """Late drop, watermark over seen sensors, first-come de-duplication with a confirmed clock."""
-
-    def __init__(self, timeout: int, ttl: int, quantum: int):
-        self.timeout, self.ttl, self.quantum = timeout, ttl, quantum
-        self.latest: dict = {}
-        self.live: dict = {}
-        self.watermark = self.confirmed = None
-
-    def process(self, sensor, ts, frame) -> dict:
-        before = {"wm_before": self.watermark, "confirmed_before": self.confirmed}
-        if self.watermark is not None and ts < self.watermark:
-            return before | {"late": True, "accepted": False}
-        self.latest[sensor] = max(ts, self.latest.get(sensor, ts))
-        top = max(self.latest.values())
-        candidate = min(x for x in self.latest.values() if x >= top - self.timeout)
-        self.watermark = candidate if self.watermark is None else max(self.watermark, candidate)
-        accepted = frame not in self.live
-        if accepted:
-            self.live[frame] = ts + self.ttl
-        if self.confirmed is None or self.watermark >= self.confirmed + self.quantum:
-            self.confirmed = self.watermark
-            self.live = {f: e for f, e in self.live.items() if e > self.confirmed}
-        return before | {"late": False, "accepted": accepted}
+def candidate(counted: list, timeout: int) -> int:
+    """The least of the sensors' latest times that are within timeout of the greatest."""
+    tops = [max(t for s, t, _ in counted if s == sensor) for sensor in {s for s, _, _ in counted}]
+    return min(t for t in tops if max(tops) - t <= timeout)
+
+
+def confirmed_by(watermarks: list, quantum: int) -> list:
+    """The watermarks that confirm: the first, and each that is a quantum or more beyond the last one that did."""
+    found: list = []
+    for w in watermarks:
+        if w is not None and (not found or w - found[-1] >= quantum):
+            found.append(w)
+    return found
+
+
+def admission(events: list, timeout: int, ttl: int, quantum: int) -> list[dict]:
+    """What is known before each event (sensor, time, frame), and what becomes of it."""
+    counted: list = []
+    accepted: list = []
+    watermarks: list = []
+    out = []
+    for sensor, ts, frame in events:
+        before = max(watermarks, default=None)
+        confirmed = (confirmed_by(watermarks, quantum) or [None])[-1]
+        late = before is not None and ts < before
+        row = {"wm_before": before, "confirmed_before": confirmed, "late": late, "accepted": False}
+        if not late:
+            counted.append((sensor, ts, frame))
+            watermarks.append(max(candidate(counted, timeout), before if before is not None else candidate(counted, timeout)))
+            row["accepted"] = all(f != frame or (confirmed is not None and t + ttl <= confirmed) for t, f in accepted)
+            if row["accepted"]:
+                accepted.append((ts, frame))
+        out.append(row)
+    return out
 
 
 def debounced(values: list, n: int, forced: set = frozenset()) -> list:
-    """The confirmed value after each observation; a null is none."""
-    confirmed = candidate = None
-    seen, out = 0, []
-    for v in values:
-        if v is not None:
-            if v == confirmed:
-                candidate, seen = None, 0
-            else:
-                seen = seen + 1 if v == candidate else 1
-                candidate = v
-                if seen >= n or v in forced:
-                    confirmed, candidate, seen = v, None, 0
-        out.append(confirmed)
+    """The confirmed value after each observation: that of the latest one that ends n equal ones, or is forced."""
+    out = []
+    for i in range(len(values)):
+        own = [v for v in values[: i + 1] if v is not None]
+        ends = [k for k, v in enumerate(own) if v in forced or (k + 1 >= n and set(own[k + 1 - n : k + 1]) == {v})]
+        out.append(own[ends[-1]] if ends else None)
     return out

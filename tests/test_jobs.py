@@ -1,3 +1,4 @@
+import os
 from dataclasses import replace
 from datetime import UTC, datetime
 
@@ -6,6 +7,7 @@ from pyspark.sql import functions as F
 
 from skyfold.config import Config
 from skyfold.functions.timeunits import PER_MINUTE, from_datetime
+from skyfold.metrics import Totals
 from skyfold.operators import views
 from skyfold.plans.recompute import recompute
 from skyfold.sinks import table
@@ -35,7 +37,8 @@ def check(found):
 
 
 def test_recompute_twice_gives_the_same_table(spark, cfg):
-    recompute(spark, cfg)
+    totals = recompute(spark, cfg)
+    assert (totals["deduped_dropped"], totals["positions_emitted"], totals["db_upserts"], totals["dropped_late"]) == (1, 1, 1, 0)
     first = rows(spark, cfg.table)
     check(first)
     recompute(spark, cfg)
@@ -72,13 +75,49 @@ def test_stream_writes_what_the_batch_writes(spark, cfg, tmp_path):
     (folder / "4.msg").write_bytes(wire.encode_message("ZZ99", "20260627120000", b""))
     spark.sparkContext.setCheckpointDir(str(tmp_path / "shared"))
     live = replace(cfg, messages=str(folder), table=str(tmp_path / "live"))
-    query = start(spark, live, str(tmp_path / "offsets"), available_now=True)
+    totals = Totals()
+    query = start(spark, live, str(tmp_path / "offsets"), available_now=True, totals=totals)
     query.awaitTermination()
+    assert (totals["parse_error"], totals["unknown_sensor"], totals["deduped_dropped"], totals["positions_emitted"], totals["db_upserts"]) == (1, 1, 1, 1, 1)
     found = rows(spark, live.table)
     assert [r[:2] + r[4:] for r in found] == [r[:2] + r[4:] for r in expected]
     assert found[0][2:4] == pytest.approx(expected[0][2:4])
 
 
+def stamped(path, second):
+    at = NOON.timestamp() + second
+    os.utime(path, (at, at))
+
+
+def test_stream_by_the_clock_with_a_restart(spark, tmp_path):
+    """One message a batch, drained by arrival, ended and begun again in the middle: rows as in one run, and as by hand."""
+    spark.sparkContext.setCheckpointDir(str(tmp_path / "shared"))
+    sent = [  # arrival in seconds after noon, sensor, records in ms after noon
+        (1, "AB01", [(100, EVEN), (900, ODD)]),
+        (4, "AB02", [(200, EVEN), (3500, EVEN)]),  # the first one is a second and more behind, but came in time
+        (6, "AB01", [(2900, ODD), (5500, ODD)]),  # 2900 is late: 3000 was drained by the arrival at 4
+        (9, "AB02", [(8500, EVEN)]),
+    ]
+    outcomes = {}
+    for name, cuts in (("whole", [4]), ("restarted", [2, 4])):
+        folder = tmp_path / name
+        folder.mkdir()
+        cfg = Config(("AB01", "AB02"), messages=str(folder), table=str(tmp_path / f"{name}-table")).validated("realtime")
+        at, totals = 0, Totals()
+        for end in cuts:
+            for k in range(at, end):
+                second, sensor, records = sent[k]
+                body = b"".join(wire.encode_record(ms * 10_000, frame, -50) for ms, frame in records)
+                (folder / f"{k}.msg").write_bytes(wire.encode_message(sensor, "20260627120000", body))
+                stamped(folder / f"{k}.msg", second)
+            at = end
+            start(spark, cfg, str(tmp_path / f"{name}-offsets"), available_now=True, wall_clock=True, totals=totals, most_files=1).awaitTermination()
+        outcomes[name] = (rows(spark, cfg.table), totals["dropped_late"], totals["deduped_dropped"])
+    assert outcomes["whole"] == outcomes["restarted"]
+    found, late, repeated = outcomes["whole"]
+    assert [r[0].second for r in found] == [0, 3, 5, 8] and late == 2 and repeated == 0
+
+
 def test_upsert_takes_new_rows_with_their_nulls(spark, tmp_path):
     spark.sparkContext.setCheckpointDir(str(tmp_path / "shared"))
     path = str(tmp_path / "t")

@@ -2,11 +2,11 @@ import random
 
 import pytest
 from pyspark.sql import functions as F
-from sequential import Engine, debounced
+from sequential import admission, debounced
 
 from skyfold import metrics
 from skyfold.operators import downsample, state, watermark
-from skyfold.streaming.admission import Admission, Debounced
+from skyfold.operators.watermark import Carried, carried_over, drained, live_frames
 
 MS = 10_000
 
@@ -16,23 +16,70 @@ def stream(spark, events):
 
 
 def admitted(spark, events, timeout, ttl, quantum, bucket, sensors=("s1", "s2", "s3")):
-    marks = watermark.watermarks(stream(spark, events), list(sensors), timeout, bucket, ["seq"])
+    marks = watermark.watermarks(stream(spark, events), list(sensors), timeout, F.expr("seq div 37"), ["seq"])
     chained = watermark.confirm_chain(marks, quantum, bucket)
     found = watermark.anchored(chained, "frame", ["seq"], "confirmed_before", "ts_100ns", ttl)
     return [r.asDict() for r in found.orderBy("seq").collect()]
 
 
-@pytest.mark.parametrize("seed", range(4))
-def test_admission_equals_the_sequential_rule(spark, seed):
+def drawn(seed, n=300, jitter=0):
     draw = random.Random(seed)
+    times = sorted(draw.randrange(0, 3000 * MS) for _ in range(n))
+    return draw, [(draw.choice(["s1", "s2", "s3"]), t + draw.randrange(-jitter, jitter + 1), f"f{draw.randrange(6)}") for t in times]
+
+
+@pytest.mark.parametrize(("seed", "jitter"), [(0, 0), (1, 0), (2, 0), (3, 40 * MS), (4, 200 * MS), (5, 1500 * MS)])
+def test_admission_equals_the_rule_over_the_history(spark, seed, jitter):
+    draw, events = drawn(seed, jitter=jitter)
     timeout, ttl = draw.choice([30, 100, 1000]) * MS, 50 * MS
-    times = sorted(draw.randrange(0, 3000 * MS) for _ in range(300))
-    events = [(draw.choice(["s1", "s2", "s3"]), t, f"f{draw.randrange(6)}") for t in times]
-    rule = Engine(timeout, ttl, ttl)
-    expected = [rule.process(*e) for e in events]
-    found = admitted(spark, events, timeout, ttl, ttl, 200 * MS)
-    for got, want in zip(found, expected, strict=True):
-        assert {k: got[k] for k in want} == want
+    expected = admission(events, timeout, ttl, ttl)
+    marks = watermark.watermarks(stream(spark, events), ["s1", "s2", "s3"], timeout, F.expr("seq div 23"), ["seq"]).orderBy("seq").collect()
+    assert [(r.wm_before, r.late) for r in marks] == [(e["wm_before"], e["late"]) for e in expected]
+    assert jitter == 0 or sum(r.late for r in marks) > 5
+    kept = [e for e in expected if not e["late"]]
+    own = watermark.watermarks(stream(spark, events), ["s1", "s2", "s3"], timeout, F.expr("seq div 23"), ["seq"]).where("not late")
+    taken = watermark.anchored(watermark.confirm_chain(own, ttl, 200 * MS), "frame", ["seq"], "confirmed_before", "ts_100ns", ttl).orderBy("seq").collect()
+    assert [(r.confirmed_before, r.accepted) for r in taken] == [(e["confirmed_before"], e["accepted"]) for e in kept]
+
+
+def test_a_late_event_does_not_hold_the_watermark_back(spark):
+    events = [("s2", 0, "a"), ("s1", 3000 * MS, "b"), ("s2", 1000 * MS, "c"), ("s1", 3100 * MS, "d"), ("s2", 2500 * MS, "e"), ("s1", 3200 * MS, "f"), ("s2", 3150 * MS, "g")]
+    found = watermark.watermarks(stream(spark, events), ["s1", "s2"], 1000 * MS, F.expr("seq div 2"), ["seq"]).orderBy("seq").collect()
+    assert found[5].wm_after == 3200 * MS and [r.late for r in found] == [False, False, True, False, True, False, True]
+
+
+def test_dense_streams_are_confirmed_bucket_by_bucket(spark):
+    """An event a millisecond for 20 s: no gap of a quantum anywhere, and more than one bucket."""
+    rows = spark.range(20_000).select(F.col("id").alias("seq"), F.lit("s1").alias("sensor_id"), (F.col("id") * MS + F.col("id") % 7 * 1000).alias("ts_100ns"), F.lit("f").alias("frame"))
+    marks = watermark.watermarks(rows, ["s1"], 0, F.expr("seq div 1000"), ["seq"], in_time_order=True)
+    found = watermark.confirm_chain(marks, 50 * MS, 1000 * MS)
+    values = [k * MS + k % 7 * 1000 for k in range(20_000)]
+    expected, last = [], None
+    for w in values:
+        last = w if last is None or w - last >= 50 * MS else last
+        expected.append(last)
+    assert [r.confirmed_after for r in found.orderBy("seq").collect()] == expected
+
+
+@pytest.mark.parametrize("jitter", [0, 300 * MS])
+def test_runs_that_begin_where_the_last_one_ended(spark, jitter):
+    """A stream cut into runs at any place is admitted as it is whole."""
+    _, events = drawn(9, 240, jitter)
+    timeout, ttl, sensors = 100 * MS, 50 * MS, ["s1", "s2", "s3"]
+    expected = [(e["confirmed_before"], e["accepted"]) for e in admission(events, timeout, ttl, ttl) if not e["late"]]
+    carried, live, found, at = Carried(), None, [], 0
+    for size in (1, 100, 0, 57, 82):
+        own = stream(spark, events).where(F.col("seq").between(at, at + size - 1))
+        marks = watermark.watermarks(own, sensors, timeout, F.expr("seq div 19"), ["seq"], carried=carried)
+        chained = watermark.confirm_chain(marks.where("not late"), ttl, 150 * MS, carried)
+        taken = watermark.anchored(chained, "frame", ["seq"], "confirmed_before", "ts_100ns", ttl, live)
+        rows = taken.orderBy("seq").collect()
+        found += [(r.confirmed_before, r.accepted) for r in rows]
+        carried = carried_over(chained, sensors, carried)
+        left = live_frames(taken, "frame", "ts_100ns", ttl, carried.confirmed, live).collect()
+        live = spark.createDataFrame([tuple(r) for r in left], "frame string, expiry long")
+        at += size
+    assert at == 240 and found == expected
 
 
 def test_worked_cases(spark):
@@ -44,47 +91,36 @@ def test_worked_cases(spark):
 
 def test_watermark_of_two_sensors(spark):
     events = [("s1", 10_000_000, "a"), ("s2", 20_000_000, "b"), ("s1", 25_000_000, "c")]
-    found = watermark.watermarks(stream(spark, events), ["s1", "s2"], 1000 * MS, 60_000 * MS, ["seq"]).orderBy("seq").collect()
+    found = watermark.watermarks(stream(spark, events), ["s1", "s2"], 1000 * MS, F.lit(0), ["seq"]).orderBy("seq").collect()
     assert [r.wm_after for r in found] == [10_000_000, 10_000_000, 20_000_000]
 
 
 def test_lagging_sensor_is_left_out(spark):
     events = [("s1", 10_000_000, "a"), ("s2", 10_000_000, "b"), ("s1", 100_000_000, "c")]
-    found = watermark.watermarks(stream(spark, events), ["s1", "s2"], 1000 * MS, 60_000 * MS, ["seq"]).orderBy("seq").collect()
+    found = watermark.watermarks(stream(spark, events), ["s1", "s2"], 1000 * MS, F.lit(0), ["seq"]).orderBy("seq").collect()
     assert found[-1].wm_after == 100_000_000
 
 
-def test_late_events_and_empty_streams(spark):
-    rule = Admission(1000 * MS, 50 * MS, 50 * MS)
-    assert [rule.offer("s1", t, b"f%d" % t) for t in (50_000_000, 10_000_000, 50_000_000)] == ["accepted", "late", "duplicate"]
-    assert rule.watermark == 50_000_000
+def test_empty_streams(spark):
     assert admitted(spark, [], 1000 * MS, 50 * MS, 50 * MS, 60_000 * MS) == []
 
 
-def test_wall_clock_drain():
-    rule = Admission(1000 * MS, 50 * MS, 50 * MS)
-    rule.offer("s1", 10_000_000, b"f")
-    rule.drain(30_000_000)
-    assert (rule.watermark, rule.confirmed, rule.expiry) == (20_000_000, 20_000_000, {})
-    assert rule.latest == {"s1": 10_000_000}
-    assert rule.offer("s1", 19_999_999, b"g") == "late" and rule.offer("s1", 20_000_000, b"f") == "accepted"
-    rule.drain(1)
-    assert rule.watermark == 20_000_000
-
-
-def test_batches_of_one_sensor_after_another():
-    rule = Admission(1000 * MS, 50 * MS, 50 * MS)
-    for k in range(10):
-        rule.offer("A", k * 100 * MS, b"a%d" % k)
-    assert [rule.offer("B", k * 100 * MS, b"b%d" % k) for k in range(10)].count("late") == 9
+def test_wall_clock_drain(spark):
+    begun = Carried({"s1": 10_000_000}, 10_000_000, 10_000_000)
+    after = drained(begun, 30_000_000, 1000 * MS, 50 * MS)
+    assert after == Carried({"s1": 10_000_000}, 20_000_000, 20_000_000)
+    assert drained(after, 1, 1000 * MS, 50 * MS) == after
+    assert drained(after, 30_000_001, 1000 * MS, 50 * MS) == Carried({"s1": 10_000_000}, 20_000_001, 20_000_000)
+    events = stream(spark, [("s1", 19_999_999, "g"), ("s1", 20_000_000, "f")])
+    found = watermark.watermarks(events, ["s1"], 1000 * MS, F.lit(0), ["seq"], carried=after).orderBy("seq").collect()
+    assert [r.late for r in found] == [True, False]
 
 
-def test_purge_edge():
-    for at, outcome in ((1_499_999, "duplicate"), (1_500_000, "accepted")):
-        rule = Admission(0, 50 * MS, 1)
-        rule.offer("s1", 1_000_000, b"f")
-        rule.offer("s1", at, b"g")
-        assert rule.offer("s1", at, b"f") == outcome
+def test_purge_edge(spark):
+    """A frame is live until the confirmed time reaches its expiry, the bound included."""
+    for at, taken in ((1_499_999, False), (1_500_000, True)):
+        rows = [("s1", 1_000_000, "f"), ("s1", at, "g"), ("s1", at, "f")]
+        assert admitted(spark, rows, 0, 50 * MS, 1, 60_000 * MS)[-1]["accepted"] == taken
 
 
 def test_dedup_counts_and_order(spark):
@@ -114,12 +150,6 @@ def test_n_strikes_equal_the_sequential_rule(spark, seed):
     n = draw.randint(1, 4)
     expected = debounced(values, n, {"7700"})
     assert debounce(spark, values, n, ("7700",)) == expected
-    one, out = Debounced(), []
-    for v in values:
-        if v is not None:
-            one.observe(v, n, v == "7700")
-        out.append(one.confirmed)
-    assert out == expected
 
 
 def blocks(spark, rows):
@@ -166,6 +196,33 @@ def test_altitude_of_a_fix(spark):
     assert [r.alt for r in fixes(spark, rows)] == [None, 5000, 7000, 5000]
 
 
+def test_a_state_carried_over_gives_the_same_fixes(spark):
+    """Messages followed in two runs, the second after the tail of the first, fix what they fix in one."""
+    draw = random.Random(4)
+    rows = []
+    for k in range(160):
+        kind = draw.choice([EVEN, ODD, {"kind": "callsign"}, {"kind": "squawk"}, {"kind": "altitude"}])
+        row = {"seq": k, "ts_100ns": k * 7_000_000, "icao": draw.randrange(3), **kind}
+        if kind == {"kind": "callsign"}:
+            row["call_sign"] = draw.choice(["A", "B"])
+        elif kind == {"kind": "squawk"}:
+            row["squawk"] = draw.choice(["1000", "1000", "7700"])
+            row["emergency"] = row["squawk"] == "7700"
+        elif kind == {"kind": "altitude"}:
+            row["alt_ft"] = draw.choice([None, 1000 + k])
+        rows.append(row)
+    schema = "seq long, ts_100ns long, icao int, kind string, parity_bit int, lat_cpr int, lon_cpr int, alt_ft int, ca_ground boolean, call_sign string, squawk string, emergency boolean"
+    names = [c.split()[0] for c in schema.split(", ")]
+    make = lambda own: spark.createDataFrame([tuple({"ca_ground": False, "emergency": False, **r}.get(c) for c in names) for r in own], schema)
+    whole = [tuple(r) for r in state.track(make(rows), ["seq"], 3, 10_000 * MS).orderBy("seq").collect()]
+    first = state.followed(make(rows[:90]), ["seq"], 3, 10_000 * MS)
+    kept, seeds = state.tail(first, ["seq"], 3), state.confirmed_values(first, ["seq"])
+    second = state.followed(make(rows[90:]).unionByName(kept.select(names)), ["seq"], 3, 10_000 * MS, seeds)
+    found = [tuple(r) for r in state.fixes(second, ["seq"]).where("seq >= 90").orderBy("seq").collect()]
+    assert found == [r for r in whole if r[-1] >= 90] and len(found) > 10
+    assert kept.count() <= 3 * 9
+
+
 def test_surface_positions_need_a_reference(spark):
     rows = [{"ts_100ns": 0, "kind": "surface", "parity_bit": 0, "lat_cpr": 115609, "lon_cpr": 116941, "alt_ft": None}, {"ts_100ns": 1, **ODD}]
     assert fixes(spark, rows) == []
