@@ -14,8 +14,8 @@ words of both, is the threshold or more. Classes are what links connect.
      any number of near copies becomes one component by as many alignments as it has texts.
   3. In each bucket that still holds several components, sketches are compared as arrays in blocks of bounded
      size, and the candidates of different components aligned, until each is linked or refused. A bucket larger
-     than a block is first dealt out by the second entry that pairs agree in, what is larger still as pairs of
-     blocks.
+     than a block is dealt out as pairs of blocks, a far larger one first by the second entry that pairs agree in:
+     whichever copies its texts less often.
 
 No pair of rows is made by a join, and no candidate that could join two components is left out. A text of five words
 or fewer is one k-mer and so is linked only to texts of the same words.
@@ -35,6 +35,8 @@ from skyfold.llm.common import TO_WORDS, bounded_broadcast, columns_of, hashed_w
 SHINGLE = 5
 #: Texts of a bucket that are compared with one another, or with as many others, at once.
 BLOCK = 800
+#: Copies of a text, one a pair of blocks, beyond which a bucket is rather dealt out by the second entry agreed in.
+COPIES = 16
 #: Texts that meet one copy of their bucket's head.
 HEAD_BLOCK = 200
 #: Characters of a bucket's block.
@@ -307,8 +309,8 @@ def bucket_links(shared: DataFrame, comps: DataFrame, sketched: DataFrame, texts
     named = written(named.withColumn("comp", F.coalesce("comp", "uid")), "buckets")
     rows = written(_live(named, ["entry", "key"]).join(sketched.select("uid", "sketch"), "uid").withColumns({"second": F.lit(-1), "key2": F.lit(0).cast("long")}), "open")
     if least_agreed > 1:
-        wide = rows.where(F.col("n") > BLOCK).drop("n", "all_chars", "second", "key2").select("*", F.posexplode("sketch").alias("second", "key2")).where("second > entry")
-        rows = rows.where(F.col("n") <= BLOCK).unionByName(_live(wide, _BUCKET))
+        wide = rows.where(F.col("n") > COPIES * BLOCK).drop("n", "all_chars", "second", "key2").select("*", F.posexplode("sketch").alias("second", "key2")).where("second > entry")
+        rows = rows.where(F.col("n") <= COPIES * BLOCK).unionByName(_live(wide, _BUCKET))
     blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.least(F.ceil(F.col("all_chars") / BLOCK_CHARS), F.ceil(F.col("n") / 2))).cast("int")
     placed = rows.withColumn("own", F.pmod(F.xxhash64("uid"), blocks).cast("int")).withColumn("_other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     placed = placed.withColumn("i", F.least("own", "_other")).withColumn("j", F.greatest("own", "_other"))

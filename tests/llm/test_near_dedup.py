@@ -174,9 +174,11 @@ def test_blocks_lose_no_link(spark, make_docs, corpus, expected, monkeypatch):
     assert found == expected
 
 
-def test_texts_that_share_a_passage_are_not_linked_and_chains_are(spark, make_docs, monkeypatch):
+@pytest.mark.parametrize("copies", [1, 100])
+def test_texts_that_share_a_passage_are_not_linked_and_chains_are(spark, make_docs, monkeypatch, copies):
     """A bucket of many components, larger than a block, and links that no head of a bucket takes part in."""
     monkeypatch.setattr("skyfold.llm.near_dedup.BLOCK", 20)
+    monkeypatch.setattr("skyfold.llm.near_dedup.COPIES", copies)
     rng = random.Random(8)
     passage = prose(rng, 120)
     texts = [" ".join(passage + prose(rng, 120)) for _ in range(90)]
