@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skyfold.llm import decontamination, licenses, near_dedup, pii, quality, resampling, url_filter
+from skyfold.llm import decontamination, licenses, near_dedup, pii, quality, resampling, simhash, url_filter
 from skyfold.llm.attribution import section_tokens
 from skyfold.llm.common import bounded_broadcast
 from skyfold.llm.packing import pack_documents
@@ -81,6 +81,10 @@ def op10_bloom_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(pages, url_filter.url_list(spark, **LISTED)).drop("maybe_listed")
 
 
+def op11_simhash_pigeonhole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = (
     op1_simple8b_token_file,
     op2_order_minhash,
@@ -92,6 +96,7 @@ QUERIES = (
     op8_offset_attribution,
     op9_ordered_packing,
     op10_bloom_url_filter,
+    op11_simhash_pigeonhole,
 )
 
 
