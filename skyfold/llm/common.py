@@ -34,6 +34,12 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def removed(spark: SparkSession, path: str) -> None:
+    """Removes a table of the shared folder that nothing reads any more."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 #: Bytes of an Arrow batch that goes to a Python worker.
 ARROW_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 

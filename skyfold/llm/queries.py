@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skyfold.llm import decontamination, licenses, near_dedup, pii, quality, resampling, simhash, url_filter
+from skyfold.llm import decontamination, licenses, merkle, near_dedup, pii, quality, resampling, simhash, url_filter, vector_codes
 from skyfold.llm.attribution import section_tokens
 from skyfold.llm.common import bounded_broadcast
 from skyfold.llm.packing import pack_documents
@@ -85,6 +85,14 @@ def op11_simhash_pigeonhole(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op12_merkle_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.merkle_proofs(_table(spark, sf_dir, "documents"))
+
+
+def op13_yinyang_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.product_codes(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = (
     op1_simple8b_token_file,
     op2_order_minhash,
@@ -97,6 +105,8 @@ QUERIES = (
     op9_ordered_packing,
     op10_bloom_url_filter,
     op11_simhash_pigeonhole,
+    op12_merkle_store,
+    op13_yinyang_codes,
 )
 
 
@@ -136,5 +146,75 @@ FROM r
 """
 
 
+def _field(value: str) -> str:
+    return f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || {value}, '-')"
+
+
+def _leaf(text: str) -> str:
+    return f"sha256({' || '.join(_field(c) for c in ('doc_id', 'source', 'lang', 'n_chars', text))})"
+
+
+#: The CRC-32 of a decimal number, bit by bit: of its digits in turn, eight steps each.
+_CRC = """list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+  lambda a, c: list_reduce(list_prepend(xor(a, c), [CAST(0 AS BIGINT), 0, 0, 0, 0, 0, 0, 0]), lambda x, y: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END)))"""
+_MERKLE_ORACLE = f"""
+WITH RECURSIVE own AS (
+  SELECT doc_id, lang, {_leaf("text")} AS leaf, coalesce(xor({_CRC}, 4294967295) % 3 = 0, false) AS tampered, {_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS low FROM documents
+), leaves AS (
+  SELECT *, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n FROM own
+), node(tree, level, pos, n, h) AS (
+  SELECT tree, 0, pos, n, leaf FROM leaves
+  UNION ALL
+  SELECT tree, level + 1, pos // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY pos)) FROM node WHERE n > 1 GROUP BY tree, level, pos // 8, n
+), subroots AS (SELECT tree, h AS subroot, level AS height FROM node WHERE n = 1
+), top(level, pos, n, h) AS (
+  SELECT 0, tree, count(*) OVER (), subroot FROM subroots
+  UNION ALL
+  SELECT level + 1, pos // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY pos)) FROM top WHERE n > 1 GROUP BY level, pos // 8, n
+), run AS (
+  SELECT tree, level, pos // 8 AS up, list(h ORDER BY pos) AS hs FROM node WHERE n > 1 GROUP BY ALL
+  UNION ALL
+  SELECT s.tree, s.height + t.level, t.pos // 8, t.hs FROM (SELECT level, pos // 8 AS pos8, list(h ORDER BY pos) AS hs, unnest(list(pos)) AS pos FROM top WHERE n > 1 GROUP BY level, pos // 8) t
+  JOIN subroots s ON s.tree // CAST(pow(8, t.level) AS BIGINT) = t.pos
+), fold(tree, leaf_pos, level, height, pos, h, proof) AS (
+  SELECT tree, l.pos, 0, height, CASE WHEN height = 0 THEN tree ELSE l.pos END, CASE WHEN tampered THEN low ELSE leaf END, '' FROM leaves l JOIN subroots USING (tree)
+  UNION ALL
+  SELECT f.tree, leaf_pos, f.level + 1, height, CASE WHEN f.level + 1 = height THEN f.tree ELSE pos // 8 END,
+         sha256(array_to_string(hs[:pos % 8], '') || h || array_to_string(hs[pos % 8 + 2:], '')), proof || array_to_string(hs[:pos % 8], '') || array_to_string(hs[pos % 8 + 2:], '')
+  FROM fold f JOIN run r ON r.tree = f.tree AND r.level = f.level AND r.up = f.pos // 8
+), ended AS (SELECT tree, leaf_pos, arg_max(h, level) AS folded_root, arg_max(proof, level) AS proof FROM fold GROUP BY ALL
+), root AS (SELECT h AS root FROM top WHERE n = 1)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM leaves l JOIN subroots USING (tree) JOIN ended e ON e.tree = l.tree AND e.leaf_pos = l.pos, root
+"""
+
+
+def _codes_oracle(rounds: int = 6) -> str:
+    """Plain Lloyd rounds over components, one table a round."""
+    near = """a{k} AS MATERIALIZED (
+  SELECT id, part, arg_min(entry, {{'d': d, 'e': entry}}) AS entry, min(d) AS d FROM (
+    SELECT v.id, v.part, c.entry, sum((v.x - c.x) * (v.x - c.x)) AS d FROM v JOIN c{k} c ON c.part = v.part AND c.place = v.place GROUP BY v.id, v.part, c.entry
+  ) GROUP BY id, part
+)"""
+    moved = """c{n} AS MATERIALIZED (
+  SELECT c.part, c.entry, c.place, coalesce(m.x, c.x) AS x FROM c{k} c LEFT JOIN (
+    SELECT a.part, a.entry, v.place, CAST((sum(v.x) - ((sum(v.x) % count(*)) + count(*)) % count(*)) // count(*) AS BIGINT) AS x
+    FROM a{k} a JOIN v ON v.id = a.id AND v.part = a.part GROUP BY ALL
+  ) m ON m.part = c.part AND m.entry = c.entry AND m.place = c.place
+)"""
+    steps = ",\n".join(near.format(k=k) + (",\n" + moved.format(k=k, n=k + 1) if k < rounds else "") for k in range(rounds + 1))
+    return f"""
+WITH k AS (SELECT vec_id AS id, label, embedding FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+u AS (SELECT id, unnest(range(len(embedding))) AS nth, len(embedding) // 8 AS width, CAST(floor(4096 * CAST(unnest(embedding) AS DOUBLE)) AS BIGINT) AS x FROM k),
+v AS MATERIALIZED (SELECT id, nth // width AS part, nth % width AS place, x FROM u),
+c0 AS MATERIALIZED (SELECT v.part, f.entry, v.place, v.x FROM v JOIN (SELECT id, row_number() OVER (ORDER BY id) - 1 AS entry FROM k ORDER BY id LIMIT 16) f ON f.id = v.id),
+{steps},
+e AS (SELECT id, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error FROM a{rounds} GROUP BY id)
+SELECT k.id AS vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY part, entry, place)) FROM c{rounds}) AS codebooks_sha256
+FROM k JOIN e ON e.id = k.id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_prefix_decontamination": decontamination.ORACLE, "op10_bloom_url_filter": _URL_ORACLE}
+    return {"op13_yinyang_codes": _codes_oracle(), "op12_merkle_store": _MERKLE_ORACLE, "op5_prefix_decontamination": decontamination.ORACLE, "op10_bloom_url_filter": _URL_ORACLE}
