@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import json
 import logging
+import threading
 import time
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 log = logging.getLogger("skyfold")
 
@@ -53,3 +56,44 @@ class Totals:
         """A report, if the last one is long enough ago."""
         if time.monotonic() - self.said >= self.every_s:
             self.report()
+
+
+class Listener(StreamingQueryListener):
+    """Adds what streaming queries observe to a run's counters, and reports them in time, idle or not.
+
+    Observed metrics come with a batch's own run over its rows; names that aren't counters are left. Reconnections are
+    told by a source's offsets.
+    """
+
+    def __init__(self, totals: Totals):
+        self.totals, self.ended, self.reconnects = totals, set(), {}
+        self._changed = threading.Condition()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        for row in event.progress.observedMetrics.values():
+            self.totals.add(**{k: v for k, v in row.asDict().items() if k in COUNTERS})
+        for source in event.progress.sources:
+            try:
+                n = json.loads(source.endOffset or "{}").get("reconnects", 0)
+            except (ValueError, AttributeError, TypeError):
+                continue
+            key = (event.progress.runId, source.description)
+            self.totals.add(reconnects=max(0, n - self.reconnects.get(key, 0)))
+            self.reconnects[key] = max(n, self.reconnects.get(key, 0))
+        self.totals.tick()
+
+    def onQueryIdle(self, event) -> None:
+        self.totals.tick()
+
+    def onQueryTerminated(self, event) -> None:
+        with self._changed:
+            self.ended.add(str(event.runId))
+            self._changed.notify_all()
+
+    def settle(self, runs: set[str], timeout_s: float = 10) -> None:
+        """Waits until all that these runs have told is counted."""
+        with self._changed:
+            self._changed.wait_for(lambda: runs <= self.ended, timeout_s)

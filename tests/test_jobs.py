@@ -76,7 +76,7 @@ def test_stream_writes_what_the_batch_writes(spark, cfg, tmp_path):
     spark.sparkContext.setCheckpointDir(str(tmp_path / "shared"))
     live = replace(cfg, messages=str(folder), table=str(tmp_path / "live"))
     totals = Totals()
-    query = start(spark, live, str(tmp_path / "offsets"), available_now=True, totals=totals)
+    query = start(spark, live, str(tmp_path / "offsets"), available_now=True, totals=totals, ends=True)
     query.awaitTermination()
     assert (totals["parse_error"], totals["unknown_sensor"], totals["deduped_dropped"], totals["positions_emitted"], totals["db_upserts"]) == (1, 1, 1, 1, 1)
     found = rows(spark, live.table)
@@ -111,7 +111,7 @@ def test_stream_by_the_clock_with_a_restart(spark, tmp_path):
                 (folder / f"{k}.msg").write_bytes(wire.encode_message(sensor, "20260627120000", body))
                 stamped(folder / f"{k}.msg", second)
             at = end
-            start(spark, cfg, str(tmp_path / f"{name}-offsets"), available_now=True, wall_clock=True, totals=totals, most_files=1).awaitTermination()
+            start(spark, cfg, str(tmp_path / f"{name}-offsets"), available_now=True, wall_clock=True, totals=totals, most_files=1, ends=end == 4).awaitTermination()
         outcomes[name] = (rows(spark, cfg.table), totals["dropped_late"], totals["deduped_dropped"])
     assert outcomes["whole"] == outcomes["restarted"]
     found, late, repeated = outcomes["whole"]
