@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQueryListener
 
 log = logging.getLogger("skyfold")
 
-COUNTERS = ("rejected_crc", "parse_error", "unsupported_df", "malformed_short_frame", "dropped_late", "unknown_sensor", "deduped_dropped", "positions_emitted", "db_upserts", "reconnects")
+COUNTERS = ("rejected_crc", "parse_error", "unsupported_df", "malformed_short_frame", "dropped_late", "unknown_sensor", "deduped_dropped", "positions_emitted", "db_upserts", "reconnects", "missing_files", "trailing_bytes")
 
 
 def counts(flags: dict[str, Column]) -> list[Column]:

@@ -41,6 +41,56 @@ def debounce(df: DataFrame, key: str, order: list[str], value: str, n: int, out:
     return found.drop("_run", "_c")
 
 
+def debounce_split(df: DataFrame, key: str, bucket: str, order: list[str], value: str, n: int, out: str, force: Column | None = None, seed: str | None = None) -> DataFrame:
+    """What debounce() gives, with each key's rows followed in stretches by themselves, so that a key on very many rows
+    is many tasks' work. bucket: a column that never falls along the order.
+
+    A stretch is a map from what is known before it to what is known after it, and few numbers say it: its first run
+    and its last one, and the value it confirms whatever came before. Only its first run depends on what came before,
+    which is the confirmed value, the last value, and how often running. The maps of a key's stretches are composed by
+    running values over one row a stretch; then all stretches are finished at once.
+    """
+    seen, parts = F.col(value).isNotNull(), [key, bucket]
+    held = Window.partitionBy(*parts, seen).orderBy(*order)
+    fresh = F.coalesce(F.lag(value).over(held) != F.col(value), F.lit(True))
+    rows = df.withColumn("_run", F.when(seen, F.sum(F.when(fresh, 1).otherwise(0)).over(held.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
+    rows = rows.withColumn("_place", F.when(seen, F.row_number().over(Window.partitionBy(*parts, "_run").orderBy(*order)).cast("long")))
+    forced = F.lit(False) if force is None else F.coalesce(force, F.lit(False))
+    rows = rows.withColumn("_at_once", seen & forced)
+    # 1. one row a stretch that has values
+    sure = seen & ((F.col("_place") >= n) | F.col("_at_once"))
+    ends = F.struct("_run", "_place")
+    maps = rows.where(seen).groupBy(*parts).agg(
+        F.max_by(value, F.when(F.col("_run") == 1, F.col("_place"))).alias("_first"),
+        F.max(F.when(F.col("_run") == 1, F.col("_place"))).alias("_lead"),
+        F.max_by(value, ends).alias("_last"),
+        F.max(ends).alias("_end"),
+        F.max_by(value, F.when(sure, ends)).alias("_own"),
+    )
+    # 2. what comes into each stretch
+    along = Window.partitionBy(key).orderBy(bucket)
+    so_far_ = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    maps = maps.withColumn("_joins", F.coalesce(F.lag("_last").over(along) == F.col("_first"), F.lit(False)))
+    through = F.col("_joins") & (F.col("_end._run") == 1)
+    maps = maps.withColumn("_chain", F.sum(F.when(through, 0).otherwise(1)).over(so_far_))
+    chained = Window.partitionBy(key, "_chain").orderBy(bucket).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    maps = maps.withColumn("_after", F.sum("_end._place").over(chained))
+    maps = maps.withColumn("_into", F.when(F.col("_joins"), F.lag("_after").over(along)).otherwise(F.lit(0)))
+    told = F.coalesce("_own", F.when(F.col("_into") + F.col("_lead") >= n, F.col("_first")))
+    maps = maps.withColumn("_known", F.last(told, ignorenulls=True).over(so_far_)).withColumn("_before", F.lag("_known").over(along))
+    into = maps.select(*parts, "_into", "_before")
+    # stretches without a value of their own have what the one before them leaves
+    whole = rows.select(*parts).distinct().join(maps.select(*parts, "_known"), parts, "left")
+    left = whole.withColumn("_left", F.last("_known", ignorenulls=True).over(along.rowsBetween(Window.unboundedPreceding, -1))).select(*parts, "_left")
+    # 3. inside the stretches
+    joined = rows.join(left, parts).join(into, parts, "left")
+    place = F.col("_place") + F.when(F.col("_run") == 1, F.col("_into")).otherwise(F.lit(0))
+    confirms = F.when(seen & ((place >= n) | F.col("_at_once")), F.col(value))
+    inside = Window.partitionBy(*parts).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    known = F.coalesce(F.last(confirms, ignorenulls=True).over(inside), F.col("_left"), *([F.col(seed)] if seed else []))
+    return joined.select(*df.columns, known.alias(out))
+
+
 def positions_before(df: DataFrame, key: str, order: list[str], parity: str, ts: str, payload: list[str]) -> DataFrame:
     """df with other: the latest message of the other parity before this one, as (ts, payload...); null if none."""
     before = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)

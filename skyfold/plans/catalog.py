@@ -16,6 +16,7 @@ from skyfold import metrics
 from skyfold.functions import cpr, geo, modes
 from skyfold.functions.timeunits import floor_to, minute_key, minute_label, of_timestamp
 from skyfold.operators import downsample, state, views, watermark
+from skyfold.operators.asof import asof_join
 from skyfold.plans import oracles
 from skyfold.plans.oracles import BLOCK, HOUR, PAIR, QUANTUM, SENSORS, TIMEOUT, TTL
 from skyfold.sinks import table
@@ -89,6 +90,25 @@ def ev_nstrike_seeded(spark, sf_dir):
     return state.debounce(state.with_seed(_stream(spark, sf_dir), "icao", seed), "icao", ["seq"], "sensor_id", 3, "known", seed="seed").select("seq", "known")
 
 
+def _hot(own: DataFrame) -> DataFrame:
+    """The stream with one aircraft on a third of its rows."""
+    return own.withColumn("icao", F.when(F.col("seq") % 3 == 0, F.lit(0)).otherwise(F.col("icao")))
+
+
+def ev_nstrike_split(spark, sf_dir):
+    """Debouncing with an aircraft's rows in stretches, one aircraft on a third of all."""
+    own = _hot(_stream(spark, sf_dir)).withColumn("stretch", F.expr("seq div 1000"))
+    return state.debounce_split(own, "icao", "stretch", ["seq"], "sensor_id", 3, "known", force=F.col("sensor_id") == "error").select("seq", "known")
+
+
+def ev_asof_join(spark, sf_dir):
+    """The latest purchase or error of the same aircraft within half a day, one aircraft on a third of all rows."""
+    own = _hot(_stream(spark, sf_dir)).select("seq", "icao", "ts_100ns", "sensor_id", "v")
+    asked, told = (own.where(c) for c in (~F.col("sensor_id").isin("purchase", "error"), F.col("sensor_id").isin("purchase", "error")))
+    found = asof_join(asked, told, ["icao"], "ts_100ns", DAY, within=PAIR, ties=["seq"])
+    return found.select("seq", F.col("other.seq").alias("other_seq"), F.col("other.ts_100ns").alias("other_t"), F.col("other.v").alias("other_v"))
+
+
 def _alt() -> Column:
     return F.when(F.col("sensor_id") == "view", F.round(F.col("v") * 100).cast("int"))
 
@@ -327,6 +347,8 @@ QUERIES: tuple[Query, ...] = (
     ev_nstrike,
     ev_nstrike_emergency,
     ev_nstrike_seeded,
+    ev_nstrike_split,
+    ev_asof_join,
     ev_alt_lww_asof,
     ev_pair_asof,
     ev_snapshot,

@@ -118,6 +118,10 @@ def oracle_sql() -> dict[str, str]:
         "ev_nstrike": f"WITH {E}, {nstrike('e', 's', 'known', 3)} SELECT seq, known FROM known_",
         "ev_nstrike_emergency": f"WITH {E}, {nstrike('e', 's', 'known', 3, chr(115) + ' = ' + repr('error'))} SELECT seq, known FROM known_",
         "ev_nstrike_seeded": f"WITH {E}, {nstrike('e', 's', 'known', 3, seed='CASE WHEN icao % 2 = 0 THEN ' + repr('seed') + ' END')} SELECT seq, known FROM known_",
+        "ev_nstrike_split": f"""WITH {E}, h AS (SELECT * REPLACE (CASE WHEN seq % 3 = 0 THEN 0 ELSE icao END AS icao) FROM e), {nstrike('h', 's', 'known', 3, chr(115) + ' = ' + repr('error'))} SELECT seq, known FROM known_""",
+        "ev_asof_join": f"""WITH {E}, h AS (SELECT * REPLACE (CASE WHEN seq % 3 = 0 THEN 0 ELSE icao END AS icao) FROM e), o AS (SELECT icao, t, max(seq) AS seq, arg_max(v, seq) AS v FROM h WHERE s IN ('purchase', 'error') GROUP BY icao, t)
+            SELECT a.seq, CASE WHEN a.t - o.t <= {PAIR} THEN o.seq END AS other_seq, CASE WHEN a.t - o.t <= {PAIR} THEN o.t END AS other_t, CASE WHEN a.t - o.t <= {PAIR} THEN o.v END AS other_v
+            FROM (SELECT * FROM h WHERE s NOT IN ('purchase', 'error')) a ASOF LEFT JOIN o ON a.icao = o.icao AND a.t >= o.t""",
         "ev_alt_lww_asof": f"WITH {E} SELECT seq, last_value({ALT} IGNORE NULLS) OVER (PARTITION BY icao ORDER BY seq ROWS UNBOUNDED PRECEDING) AS alt FROM e",
         "ev_pair_asof": f"""WITH {E} SELECT a.seq, o.t AS other_t, coalesce(abs(a.t - o.t) <= {PAIR}, false) AS paired
             FROM e a ASOF LEFT JOIN e o ON a.icao = o.icao AND a.seq % 2 = 1 - o.seq % 2 AND a.seq > o.seq""",

@@ -5,13 +5,13 @@ from __future__ import annotations
 import sys
 from datetime import timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from skyfold.config import Config, from_args
 from skyfold.functions.modes import decode
 from skyfold.functions.timeunits import PER_MINUTE, from_datetime
-from skyfold.metrics import Totals
+from skyfold.metrics import Totals, counts, log
 from skyfold.operators.downsample import last_of_block, restore
 from skyfold.operators.state import track
 from skyfold.operators.watermark import anchored, confirm_chain, watermarks
@@ -19,6 +19,7 @@ from skyfold.schema import ARRIVAL
 from skyfold.scratch import cut
 from skyfold.sinks import table
 from skyfold.sources.files import read_minutes
+from skyfold.sources.minutes import MISSING, TRAILING
 
 ORDER = list(ARRIVAL)
 
@@ -61,12 +62,24 @@ def seed_rows(spark: SparkSession, cfg: Config) -> DataFrame | None:
     return restore(spark.read.parquet(cfg.table), F.lit(start), F.lit(cfg.start))
 
 
+def sound_events(read: DataFrame, totals: Totals) -> DataFrame:
+    """The events of read_minutes(), kept for the steps to come; what is wrong is counted in the pass that reads them."""
+    seen, problem = Observation(), F.col("problem")
+    flags = {"malformed_short_frame": F.col("frame_reject") == "malformed_short_frame", "parse_error": F.col("frame_reject") == "bad_length", "missing_files": problem == MISSING, "trailing_bytes": problem == TRAILING}
+    kept = read.observe(seen, *counts(flags)).where("problem is null and frame_reject is null").drop("problem", "frame_reject")
+    found = cut(kept)
+    totals.add(**seen.get)
+    for name in ("missing_files", "trailing_bytes"):
+        if totals[name]:
+            log.warning("%s=%d", name, totals[name])
+    return found
+
+
 def recompute(spark: SparkSession, cfg: Config) -> Totals:
     """Reads the run's minutes and the one before, and replaces the run's minutes in the table; the run's counters."""
     totals = Totals()
     read = read_minutes(spark, cfg.data_dir, cfg.template, cfg.minutes(), list(cfg.sensors))
-    totals.count(read, malformed_short_frame=F.col("frame_reject") == "malformed_short_frame", parse_error=F.col("frame_reject") == "bad_length")
-    events = read.where("frame_reject is null").drop("frame_reject")
+    events = sound_events(read, totals)
     start, end = from_datetime(cfg.start), from_datetime(cfg.end)
     rows = cut(table.rendered(table.in_range(positions(events, cfg, seed_rows(spark, cfg), totals), start, end)))
     totals.count(rows, positions_emitted=F.lit(True))

@@ -8,45 +8,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skyfold.config import minute_path
-from skyfold.functions.timeunits import from_datetime
-from skyfold.schema import ARRIVAL
+from skyfold.functions.timeunits import PER_MINUTE, from_datetime
 from skyfold.sources import wire
+from skyfold.sources.minutes import scan_minutes
 
 BINARY_FILE = T.StructType([T.StructField("path", T.StringType()), T.StructField("modificationTime", T.TimestampType()), T.StructField("length", T.LongType()), T.StructField("content", T.BinaryType())])
 
 
-def existing(spark: SparkSession, paths: list[str]) -> list[str]:
-    """The paths that are there; a missing minute file is no error."""
-    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    found = []
-    for p in paths:
-        path = jvm.org.apache.hadoop.fs.Path(p)
-        if path.getFileSystem(conf).exists(path):
-            found.append(p)
-    return found
-
-
 def read_minutes(spark: SparkSession, folder: str, template: str, minutes: list[datetime], sensors: list[str]) -> DataFrame:
-    """Events of every sensor's file of each minute, with frame_reject, in columns that say the order of arrival.
+    """Events of every sensor's file of each minute of one span, with frame_reject and problem, in columns that say the
+    order of arrival.
 
-    A file that is missing has no events; any other failure to read ends the job. Bytes after the last whole
-    record are left.
+    A file that is missing has no events but a row with a problem, as have bytes after the last whole record; any other
+    failure to read ends the job.
     """
-    names = [(minute_path(folder, template, m, s), from_datetime(m), s, k) for m in minutes for k, s in enumerate(sensors)]
-    there = set(existing(spark, [n[0] for n in names]))
-    known = spark.createDataFrame([(p.split(":/")[-1].lstrip("/"), m, s, k) for p, m, s, k in names if p in there], "_tail string, minute_100ns long, sensor_id string, sensor_ordinal int")
-    if there:
-        files = spark.read.format("binaryFile").load([n[0] for n in names if n[0] in there])
-    else:
-        files = spark.createDataFrame([], BINARY_FILE)
-    tail = F.regexp_replace("path", r"^[a-z0-9+.-]+:/+", "")
-    named = files.select(tail.alias("_tail"), F.col("content").alias("body")).join(known, "_tail").drop("_tail")
-    return wire.parsed(wire.records(named)).withColumnRenamed("minute_100ns", "file_minute")
+    first, end = (from_datetime(m) // PER_MINUTE for m in (minutes[0], minutes[-1]))
+    return parsed_minutes(scan_minutes(spark, folder, template, first, end + 1, sensors))
 
 
-def in_arrival_order(events: DataFrame) -> DataFrame:
-    return events.orderBy(*ARRIVAL)
+def parsed_minutes(scanned: DataFrame) -> DataFrame:
+    found = wire.parsed(scanned, minute="file_minute")
+    return found.withColumn("frame_reject", F.when(F.col("problem").isNull(), F.col("frame_reject")))
 
 
 def message_events(messages: DataFrame, sensors: list[str]) -> DataFrame:

@@ -39,6 +39,7 @@ def check(found):
 def test_recompute_twice_gives_the_same_table(spark, cfg):
     totals = recompute(spark, cfg)
     assert (totals["deduped_dropped"], totals["positions_emitted"], totals["db_upserts"], totals["dropped_late"]) == (1, 1, 1, 0)
+    assert (totals["trailing_bytes"], totals["missing_files"]) == (3, 6)
     first = rows(spark, cfg.table)
     check(first)
     recompute(spark, cfg)
