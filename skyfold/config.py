@@ -68,6 +68,7 @@ class Config:
     end: datetime | None = None
     messages: str | None = None
     table: str | None = None
+    stretch: int | None = None
 
     @property
     def block(self) -> int:
@@ -108,6 +109,8 @@ class Config:
             if not self.data_dir:
                 raise ConfigError("recompute needs a data folder")
             validate_template(self.template)
+            if self.stretch is not None and self.stretch < 1:
+                raise ConfigError("a stretch is a minute at least")
         else:
             raise ConfigError(f"no mode {mode!r}")
         return self
@@ -140,6 +143,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--to", dest="end", type=_moment)
     p.add_argument("--messages")
     p.add_argument("--table", required=True)
+    p.add_argument("--stretch-minutes", type=int, help="recompute: write as it goes, and go on after a failure")
     return p
 
 
@@ -150,5 +154,5 @@ def from_args(argv: list[str]) -> tuple[str, Config]:
         raise ConfigError("a surface reference has a latitude and a longitude")
     reference = None if a.surface_ref_lat is None else (a.surface_ref_lat, a.surface_ref_lon)
     sensors = tuple(s.strip() for s in a.sensors.split(",") if s.strip())
-    found = Config(sensors, a.block_ms, a.ttl_ms, a.watermark_timeout_ms, a.debounce, a.lookback_secs, reference=reference, data_dir=a.data_dir, template=a.path_template, start=a.start, end=a.end, messages=a.messages, table=a.table)
+    found = Config(sensors, a.block_ms, a.ttl_ms, a.watermark_timeout_ms, a.debounce, a.lookback_secs, reference=reference, data_dir=a.data_dir, template=a.path_template, start=a.start, end=a.end, messages=a.messages, table=a.table, stretch=a.stretch_minutes)
     return a.mode, found.validated(a.mode)

@@ -19,6 +19,7 @@ from skyfold.operators import downsample, state, views, watermark
 from skyfold.operators.asof import asof_join
 from skyfold.plans import oracles
 from skyfold.plans.oracles import BLOCK, HOUR, PAIR, QUANTUM, SENSORS, TIMEOUT, TTL
+from skyfold.scratch import cut
 from skyfold.sinks import table
 from skyfold.sources import wire
 
@@ -307,6 +308,57 @@ def modes_decode(spark, sf_dir):
     return modes.decode(frames(spark, sf_dir)).select("seq", "reject_reason", "kind", "icao", F.coalesce("ca_ground", F.lit(False)).alias("ca_ground"), "parity_bit", "lat_cpr", "lon_cpr", "alt_ft", "call_sign", "squawk", "emergency")
 
 
+def _shifted(value: Column, by: int) -> Column:
+    return F.shiftleft(value.cast("long"), by)
+
+
+def _hexed(value: Column, size: int) -> Column:
+    return F.lpad(F.hex(value.cast("long")), 2 * size, "0")
+
+
+def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """seq, ts_100ns and frame of aircraft that fly: an aircraft's positions are near one another, so that even and odd
+    ones pair; between them come call signs, squawks, altitudes and positions on the ground."""
+    n, icao, kind = F.col("seq"), F.col("icao"), F.col("sensor_id")
+    own = _stream(spark, sf_dir)
+    what = F.when((kind == "view") | ((kind == "click") & (n % 3 != 0)), "airborne").when(kind == "click", "altitude").when(kind == "purchase", "callsign").when(kind == "error", "squawk").otherwise("surface")
+    drift = n % 100 / 1000.0
+    own = own.withColumns({"what": what, "odd": n % 2, "lat": -60 + icao * 37 % 120 + drift, "lon": -170 + icao * 53 % 340 + drift, "steps": n * 37 % 1900})
+    own = own.withColumn("nl", cpr.zones(F.col("lat")))
+    scale = 131072
+
+    def coded(degrees: Column, cell: Column) -> Column:
+        return F.floor(scale * 1.0 * (degrees - cell * F.floor(degrees / cell)) / cell + 0.5) % scale
+
+    odd, steps, ground = F.col("odd"), F.col("steps"), F.col("what") == "surface"
+    lat = F.when(ground, n * 1009 % scale).otherwise(coded(F.col("lat"), 360.0 / (60 - odd)))
+    lon = F.when(ground, (n * 2003 + 77) % scale).otherwise(coded(F.col("lon"), 360.0 / F.greatest(F.col("nl") - odd, F.lit(1))))
+    own = own.withColumns({"lat_cpr": lat.cast("long"), "lon_cpr": lon.cast("long")})
+    fix = _shifted(odd, 34) + _shifted(F.col("lat_cpr"), 17) + F.col("lon_cpr")
+    # 25-foot steps with the bit that says so among them; nothing at all where the altitude isn't known
+    ac12 = F.when(n % 4 == 0, F.lit(0)).otherwise(_shifted(F.shiftright(steps, 4), 5) + 16 + steps.bitwiseAND(F.lit(15)))
+    ac13 = _shifted(F.shiftright(steps, 5), 7) + _shifted(F.shiftright(steps, 4).bitwiseAND(F.lit(1)), 5) + 16 + steps.bitwiseAND(F.lit(15))
+    letter = F.floor(n / 5) % 2 + 1
+    name = sum((_shifted(letter if k < 3 else F.lit(32), 42 - 6 * k) for k in range(1, 8)), _shifted(letter, 42))
+    me = F.when(F.col("what") == "airborne", _shifted(F.lit(11), 51) + _shifted(ac12, 36) + fix).when(ground, _shifted(F.lit(7), 51) + fix).otherwise(_shifted(F.lit(4), 51) + name)
+    # 7700 and 1234 as the bits of an identity
+    reply = F.when(F.col("what") == "squawk", F.when(icao % 3 == 0, F.lit(0x0AAA)).otherwise(F.lit(0x1C09))).otherwise(ac13)
+    own = own.withColumns({"me": me, "reply": reply, "short": F.col("what").isin("squawk", "altitude")})
+    head = F.when(F.col("what") == "squawk", F.lit(5 << 3)).otherwise(F.lit(4 << 3))
+    data = F.when(F.col("short"), F.concat(_hexed(head, 1), F.lit("00"), _hexed(F.col("reply"), 2))).otherwise(F.concat(F.lit("8D"), _hexed(icao, 3), _hexed(F.col("me"), 7)))
+    own = own.withColumn("_data", data).withColumn("_zero", F.unhex(F.concat("_data", F.lit("000000"))))
+    check = modes.parity(F.col("_zero")).bitwiseXOR(F.when(F.col("short"), icao).otherwise(F.lit(0)).cast("long"))
+    return own.select("seq", "ts_100ns", F.unhex(F.concat("_data", _hexed(check, 3))).alias("frame"))
+
+
+def frames_to_positions(spark, sf_dir):
+    """Frames to position fixes: decoded, followed aircraft by aircraft, airborne pairs and fixes on the ground."""
+    # cut where one plan would have every field's bits written out again for each use of it
+    decoded = cut(modes.decode(cut(flights(spark, sf_dir))).where("reject_reason is null"))
+    found = state.track(decoded, ["seq"], 2, PAIR, reference=(51.99, 4.375))
+    return found.select("seq", "icao", "ts_100ns", F.round("lat", 9).alias("lat"), F.round("lon", 9).alias("lon"), "alt", "call_sign", "squawk", "on_ground")
+
+
 def cpr_global(spark, sf_dir):
     """Positions encoded as even and odd, and found again."""
     n, scale = F.col("event_id"), 131072.0
@@ -372,6 +424,7 @@ QUERIES: tuple[Query, ...] = (
     wire_parse,
     modes_crc,
     modes_decode,
+    frames_to_positions,
     cpr_global,
     cpr_surface,
     pipeline_e2e,

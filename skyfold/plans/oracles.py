@@ -173,6 +173,32 @@ def oracle_sql() -> dict[str, str]:
             CASE WHEN (pick = 0 AND NOT broken) OR pick = 4 THEN CAST(steps * 25 - 1000 AS INTEGER) END AS alt_ft,
             CASE WHEN pick = 1 AND NOT broken THEN chr(65 + CAST(a AS INTEGER)) || chr(65 + CAST(b AS INTEGER)) || chr(65 + CAST(c AS INTEGER)) || chr(48 + CAST(d AS INTEGER)) END AS call_sign,
             CASE WHEN pick IN (3, 5) THEN a || b || c || d END AS squawk, coalesce(pick IN (3, 5) AND a || b || c || d IN ('7500', '7600', '7700'), false) AS emergency FROM f""",
+        "frames_to_positions": f"""WITH {E},
+            src AS (SELECT *, seq % 2 AS odd, CASE WHEN s = 'view' OR (s = 'click' AND seq % 3 <> 0) THEN 'airborne' WHEN s = 'click' THEN 'altitude' WHEN s = 'purchase' THEN 'callsign' WHEN s = 'error' THEN 'squawk' ELSE 'surface' END AS kind,
+                -60 + icao * 37 % 120 + seq % 100 / 1000.0 AS lat0, -170 + icao * 53 % 340 + seq % 100 / 1000.0 AS lon0, 131072.0 AS m, CAST((seq * 37) % 1900 * 25 - 1000 AS INTEGER) AS feet FROM e),
+            {nstrike('src', "CASE WHEN kind = 'callsign' THEN CASE WHEN (seq // 5) % 2 = 0 THEN 'AAA' ELSE 'BBB' END END", 'call_sign', 2)},
+            {nstrike('call_sign_', "CASE WHEN kind = 'squawk' THEN CASE WHEN icao % 3 = 0 THEN '7700' ELSE '1234' END END", 'squawk', 2, 'icao % 3 = 0')},
+            alts AS (SELECT *, last_value(CASE WHEN kind = 'altitude' THEN feet END IGNORE NULLS) OVER (PARTITION BY icao ORDER BY seq ROWS UNBOUNDED PRECEDING) AS known, {zones.format(x="lat0")} AS nl FROM squawk_),
+            coded AS (SELECT *, 360.0 / (60 - odd) AS dl, 360.0 / greatest(nl - odd, 1) AS dn FROM alts),
+            cprs AS (SELECT *, CASE WHEN kind = 'surface' THEN (seq * 1009) % 131072 ELSE CAST(floor(m * {mod.format(a="lat0", b="dl")} / dl + 0.5) AS BIGINT) % 131072 END AS y,
+                CASE WHEN kind = 'surface' THEN (seq * 2003 + 77) % 131072 ELSE CAST(floor(m * {mod.format(a="lon0", b="dn")} / dn + 0.5) AS BIGINT) % 131072 END AS x FROM coded),
+            before AS (SELECT *, last_value(CASE WHEN kind = 'airborne' AND odd = 0 THEN {{'t': t, 'y': y, 'x': x}} END IGNORE NULLS) OVER w AS even_, last_value(CASE WHEN kind = 'airborne' AND odd = 1 THEN {{'t': t, 'y': y, 'x': x}} END IGNORE NULLS) OVER w AS odd_
+                FROM cprs WINDOW w AS (PARTITION BY icao ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+            other AS (SELECT *, CASE WHEN odd = 0 THEN odd_ ELSE even_ END AS o FROM before),
+            pairs AS (SELECT *, CASE WHEN odd = 0 THEN y ELSE o.y END AS elat, CASE WHEN odd = 1 THEN y ELSE o.y END AS olat, CASE WHEN odd = 0 THEN x ELSE o.x END AS elon, CASE WHEN odd = 1 THEN x ELSE o.x END AS olon FROM other WHERE kind = 'airborne' AND abs(t - o.t) <= {PAIR}),
+            j AS (SELECT *, floor(59 * elat / m - 60 * olat / m + 0.5) AS j FROM pairs),
+            n AS (SELECT *, 360.0 / 60 * ({mod.format(a="j", b="60")} + elat / m) AS ne, 360.0 / 59 * ({mod.format(a="j", b="59")} + olat / m) AS no FROM j),
+            s2 AS (SELECT *, CASE WHEN ne >= 270 THEN ne - 360 ELSE ne END AS e, CASE WHEN no >= 270 THEN no - 360 ELSE no END AS o2 FROM n),
+            q AS (SELECT *, CASE WHEN odd = 1 THEN o2 ELSE e END AS north, {zones.format(x="e")} = {zones.format(x="o2")} AS fits FROM s2),
+            r AS (SELECT *, {zones.format(x="north")} AS k FROM q WHERE fits AND abs(north) <= 90),
+            u AS (SELECT *, floor(elon / m * (k - 1) - olon / m * k + 0.5) AS mm, greatest(k - odd, 1) AS ni FROM r),
+            air AS (SELECT *, 360.0 / ni * ({mod.format(a="mm", b="ni")} + CASE WHEN odd = 1 THEN olon ELSE elon END / m) AS east FROM u),
+            ga AS (SELECT *, 90.0 / (60 - odd) AS gl FROM cprs WHERE kind = 'surface'),
+            gb AS (SELECT *, gl * (floor(51.99 / gl) + floor(0.5 + {mod.format(a="51.99", b="gl")} / gl - y / m) + y / m) AS north FROM ga),
+            gc AS (SELECT *, 90.0 / greatest({zones.format(x="north")} - odd, 1) AS gn FROM gb)
+            SELECT seq, icao, t AS ts_100ns, round(north, 9) AS lat, round(CASE WHEN east >= 180 THEN east - 360 ELSE east END, 9) AS lon, CASE WHEN seq % 4 <> 0 THEN feet ELSE known END AS alt, call_sign, squawk, false AS on_ground FROM air
+            UNION ALL
+            SELECT seq, icao, t, round(north, 9), round(gn * (floor(4.375 / gn) + floor(0.5 + {mod.format(a="4.375", b="gn")} / gn - x / m) + x / m), 9), NULL, call_sign, squawk, true FROM gc""",
         "cpr_global": f"""WITH x AS (SELECT event_id, event_id % 2 AS odd, 131072.0 AS m, -80 + (event_id * 37) % 160 + value / 1000 AS lat, -180 + (event_id * 53) % 360 + value / 1000 AS lon FROM events),
             z AS (SELECT *, {zones.format(x="lat")} AS nl FROM x),
             c AS (SELECT *, floor(m * {mod.format(a="lat", b="(360.0 / 60)")} / (360.0 / 60) + 0.5) % m AS elat, floor(m * {mod.format(a="lat", b="(360.0 / 59)")} / (360.0 / 59) + 0.5) % m AS olat,

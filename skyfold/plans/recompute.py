@@ -41,13 +41,15 @@ def positions(events: DataFrame, cfg: Config, seed: DataFrame | None = None, tot
     what is dropped on the way, where it is given."""
     marks = marked(events, cfg)
     taken = admitted(marks, cfg)
-    if totals is not None:
-        taken = cut(taken)
-        totals.count(marks, dropped_late=F.col("late"))
-        totals.count(taken, deduped_dropped=~F.col("accepted"))
-    decoded = decode(taken.where("accepted"))
-    if totals is not None:
-        totals.count(decoded, rejected_crc=F.col("reject_reason") == "crc_invalid", unsupported_df=F.col("reject_reason") == "unsupported_df")
+    if totals is None:
+        decoded = decode(taken.where("accepted"))
+    else:  # counted in the passes that make the tables
+        before, after = Observation(), Observation()
+        taken = cut(taken.observe(before, *counts({"deduped_dropped": ~F.col("accepted"), "_kept": F.lit(True)})))
+        told = dict(before.get)
+        totals.add(dropped_late=events.count() - told.pop("_kept"), **told)
+        decoded = cut(decode(taken.where("accepted")).observe(after, *counts({"rejected_crc": F.col("reject_reason") == "crc_invalid", "unsupported_df": F.col("reject_reason") == "unsupported_df"})))
+        totals.add(**after.get)
     fixes = track(decoded.where("reject_reason is null"), ORDER, cfg.debounce, cfg.pair, seed, cfg.reference)
     fixes = fixes.withColumn("_seen", F.col("ts_100ns"))  # blocks move the time; arrival keeps it
     order = ["file_minute", "_seen", "sensor_ordinal", "record_index"]
@@ -93,7 +95,9 @@ def main(argv: list[str] | None = None) -> None:
     mode, cfg = from_args(sys.argv[1:] if argv is None else argv)
     spark = SparkSession.builder.appName(f"skyfold-{mode}").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     if mode == "recompute":
-        recompute(spark, cfg)
+        from skyfold.plans.progressive import recompute_progressive
+
+        recompute_progressive(spark, cfg, cfg.stretch) if cfg.stretch else recompute(spark, cfg)
         return
     from skyfold.streaming.realtime import start
 
