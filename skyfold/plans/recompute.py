@@ -8,6 +8,7 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from skyfold import fs
 from skyfold.config import Config, from_args
 from skyfold.functions.modes import decode
 from skyfold.functions.timeunits import PER_MINUTE, from_datetime
@@ -58,7 +59,7 @@ def positions(events: DataFrame, cfg: Config, seed: DataFrame | None = None, tot
 
 def seed_rows(spark: SparkSession, cfg: Config) -> DataFrame | None:
     """Metadata confirmed in the lookback before the run; none by default."""
-    if not cfg.lookback_s or not table._there(spark, cfg.table):
+    if not cfg.lookback_s or not fs.exists(spark, cfg.table):
         return None
     start = cfg.start - timedelta(seconds=cfg.lookback_s)
     return restore(spark.read.parquet(cfg.table), F.lit(start), F.lit(cfg.start))

@@ -5,10 +5,11 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from skyfold import fs
 from skyfold.functions.geo import icao_hex
 from skyfold.functions.timeunits import PER_MINUTE, minute_key, of_timestamp, to_timestamp
 from skyfold.scratch import cut
@@ -44,34 +45,40 @@ def replaced(old: DataFrame, new: DataFrame, minutes: tuple[int, int], minute: C
     return old.where((minute < minutes[0]) | (minute >= minutes[1])).unionByName(new.select(*old.columns))
 
 
-def _there(spark: SparkSession, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+#: Columns without nulls.
+REQUIRED = ("timestamp", "mode_s_code", "on_ground")
 
 
-def _drop(spark: SparkSession, path: str) -> None:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+def checked(rows: DataFrame) -> DataFrame:
+    """rows of the table, with their minute, which fail the job that writes them if a required value is null or a key
+    comes twice. They are dealt out by minute and sorted by key, as they are written."""
+    missing = F.concat_ws(", ", *[F.when(F.col(c).isNull(), F.lit(c)) for c in REQUIRED])
+    keyed = rows.repartition("minute").withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("minute", *KEY)))
+    fault = F.when(missing != "", F.concat(F.lit("null in "), missing)).when(F.col("_n") > 1, F.concat(F.lit("key twice: "), F.concat_ws(" ", *KEY)))
+    return keyed.withColumn("mode_s_code", F.when(fault.isNull(), F.col("mode_s_code")).otherwise(F.raise_error(fault))).drop("_n").sortWithinPartitions("minute", *KEY)
 
 
 def _write(rows: DataFrame, path: str) -> None:
-    (rows.repartition("minute").sortWithinPartitions("minute", *KEY).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("minute").parquet(path))
+    """Staged files, moved in when all tasks have ended well: a job that fails leaves the table as it was."""
+    checked(rows).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("minute").parquet(path)
 
 
 def replace_minutes(rows: DataFrame, path: str, first: int, end: int) -> None:
     """Writes rows of Unix minutes [first, end) in place of what those minutes hold.
 
-    Dynamic overwrite leaves alone the partitions that have no new row, so those of the range are removed first;
-    running twice gives the same table.
+    Minutes with new rows come first; those of the range that have none, which dynamic overwrite leaves alone, are then
+    removed by one look at the table's folder. A job that fails before has changed nothing, and running twice gives the
+    same table. Each minute is moved in by itself: this is no transaction over several minutes.
     """
     spark = rows.sparkSession
     placed = rows.withColumn("minute", minute_of(F.col("timestamp")))
-    own = placed.where((F.col("minute") >= first) & (F.col("minute") < end)).persist()
+    own = placed.where(((F.col("minute") >= first) & (F.col("minute") < end)) | F.col("minute").isNull()).persist()
     filled = {r.minute for r in own.select("minute").distinct().collect()}  # at most the minutes of the run
-    for m in range(first, end):
-        if m not in filled and _there(spark, f"{path}/minute={m}"):
-            _drop(spark, f"{path}/minute={m}")
     _write(own, path)
+    there = (n.removeprefix("minute=") for n in fs.names(spark, path) if n.startswith("minute="))
+    for m in sorted(int(n) for n in there if n.isdigit()):
+        if first <= m < end and m not in filled:
+            fs.remove(spark, f"{path}/minute={m}")
     own.unpersist()
 
 
@@ -81,7 +88,7 @@ def upsert(rows: DataFrame, path: str, order: str | None = None) -> None:
     placed = rows.withColumn("minute", minute_of(F.col("timestamp"))).persist()
     touched = [r.minute for r in placed.select("minute").distinct().collect()]  # a batch's minutes
     plain = placed.drop(order) if order else placed
-    if touched and _there(spark, path):
+    if touched and fs.exists(spark, path):
         old = spark.read.schema(plain.schema).parquet(path).where(F.col("minute").isin(touched))
     else:
         old = plain.limit(0)

@@ -131,6 +131,28 @@ def test_upsert_takes_new_rows_with_their_nulls(spark, tmp_path):
     assert rows(spark, path) == sorted([new[0], old[1], new[1]])
 
 
+@pytest.mark.parametrize("fault", ["null", "twice"])
+def test_rows_that_the_table_cannot_hold_leave_it_as_it_was(spark, tmp_path, fault):
+    spark.sparkContext.setCheckpointDir(str(tmp_path / "shared"))
+    path = str(tmp_path / "t")
+    schema = "timestamp timestamp, mode_s_code string, lat double, lon double, alt int, call_sign string, squawk string, on_ground boolean"
+    at = datetime(2026, 6, 27, 12, 0)
+    first = from_datetime(NOON) // PER_MINUTE
+    good = [(at.replace(minute=m), c, 1.0, 1.0, None, None, None, False) for m in range(4) for c in "AB"]
+    table.replace_minutes(spark.createDataFrame(good, schema), path, first, first + 4)
+    before = rows(spark, path)
+    assert before == sorted(good)
+    flaw = (at.replace(minute=3), None if fault == "null" else "A", 2.0, 2.0, None, None, None, False)
+    new = [(at.replace(minute=m), "A", 2.0, 2.0, None, None, None, False) for m in range(1, 4)]
+    with pytest.raises(Exception, match="null in mode_s_code" if fault == "null" else "key twice"):
+        table.replace_minutes(spark.createDataFrame([*new, flaw], schema), path, first, first + 4)
+    assert rows(spark, path) == before
+    table.replace_minutes(spark.createDataFrame(new, schema), path, first, first + 4)
+    assert rows(spark, path) == sorted(new)  # the minute without a new row is gone
+    table.replace_minutes(spark.createDataFrame([], schema), path, first, first + 2)
+    assert rows(spark, path) == sorted(new[1:])
+
+
 def test_ready_minutes(spark):
     minute = from_datetime(NOON)
     records = spark.createDataFrame([(minute,), (minute + PER_MINUTE,)], "ts_100ns long")
