@@ -4,14 +4,14 @@ A window is `size` consecutive words of an item, or the whole of a shorter one.
 shingles, runs of five words (of a shorter window, all its words). A document contains a window only if it
 contains each shingle, so one is a sufficient prefix: the one that is rarest over all documents.
 
-  1. Documents' shingles, as 64-bit hashes, meet those of all windows in one pass over the texts; where hashes are
-     equal, words are compared. What meets, with its place, is written down, and one row a document besides:
-     everything after this works on those rows alone, no text is read again and none is shuffled.
+  1. Documents' shingles, as two independent hashes of 64 bits each, meet those of all windows in one pass over the
+     texts; a shingle is its 128 bits from there on. What meets, with its place, is written down, and one row a document
+     besides: everything after this works on those rows alone, no text is read again and none is shuffled.
   2. Shingles are ordered by how often they stand in all documents. A window with one that never does is dropped.
   3. Each window's prefix shingle, joined with the places, gives candidates; its place in the window and the
      lengths bound where the window could stand.
-  4. A candidate holds where shingles that cover its words stand at just those places: as words, A-Z lower-cased,
-     they are equal, so this is exact.
+  4. A candidate holds where shingles that cover its words stand at just those places: its words, A-Z lower-cased, are
+     those of the window.
 
 A word of a document inside any occurrence of a window is hit.
 """
@@ -47,8 +47,12 @@ def shingles(w: Column, size: int) -> Column:
 
 
 def hashes(w: Column, size: int) -> Column:
-    """64 bits of the `size` words from each place on; of those left at the end, which no shingle equals."""
-    return F.transform(w, lambda x, i: F.xxhash64(x, *[F.get(w, i + k) for k in range(1, size)]))
+    """128 bits of the `size` words from each place on; of those left at the end, which only a shorter shingle equals."""
+    return F.transform(w, lambda x, i: _bits([x, *[F.get(w, i + k) for k in range(1, size)]]))
+
+
+def _bits(some: list[Column]) -> Column:
+    return F.struct(F.xxhash64(*some).alias("a"), F.xxhash64(F.lit(1), *some).alias("b"))
 
 
 def item_windows(items: DataFrame, size: int = 13, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
@@ -68,9 +72,9 @@ def window_shingles(windows: DataFrame, sizes: list[int]) -> DataFrame:
 def vocabulary_of(placed: DataFrame, sizes: list[int]) -> DataFrame:
     """(id, shingle, t, hash) of each different shingle of t words."""
     w = F.split("shingle", " ")
-    found = F.lit(None).cast("long")
+    found = F.lit(None).cast("struct<a: bigint, b: bigint>")
     for t in sizes:
-        found = F.when(F.col("t") == t, F.xxhash64(*[F.get(w, F.lit(k)) for k in range(t)])).otherwise(found)
+        found = F.when(F.col("t") == t, _bits([F.get(w, F.lit(k)) for k in range(t)])).otherwise(found)
     return placed.select("shingle", "t").distinct().select(F.monotonically_increasing_id().alias("id"), "shingle", "t", found.alias("hash"))
 
 
@@ -80,13 +84,13 @@ def places(docs: DataFrame, vocabulary: DataFrame, sizes: list[int]) -> DataFram
     """
     w = F.col("w")
     # the hashes of each size one after another, and a null that stands for the document itself
-    every = F.concat(*[hashes(w, t) for t in sizes], F.array(F.lit(None).cast("long")))
-    own = docs.select("doc", words(F.col("text")).alias("w"))
-    each = own.select("doc", "w", F.size("w").alias("n"), F.posexplode(every).alias("k", "hash"))
-    each = each.withColumn("pos", F.when(F.col("hash").isNotNull(), F.col("k") % F.greatest("n", F.lit(1)))).drop("k")
-    known = bounded_broadcast(vocabulary.select(F.col("id").alias("shingle"), F.col("shingle").alias("_text"), "t", F.col("hash").alias("_hash")), BROADCAST_SHINGLES)
-    equal = (F.col("hash") == F.col("_hash")) & (F.array_join(F.slice(w, F.col("pos") + 1, F.col("t")), " ") == F.col("_text"))
-    return each.join(known, equal, "left").where(F.col("hash").isNull() | F.col("shingle").isNotNull()).select("doc", "n", "pos", "shingle")
+    every = F.concat(*[hashes(w, t) for t in sizes], F.array(F.lit(None).cast("struct<a: bigint, b: bigint>")))
+    # a row a word has numbers alone: with the document's words in it, a text would be copied as often as it has words
+    own = docs.select("doc", words(F.col("text")).alias("w")).select("doc", "w", F.size("w").alias("n"))
+    # outer, though no document is without a row: else Spark asks for the array's size first, and makes it twice
+    each = own.select("doc", "n", F.posexplode_outer(every).alias("k", "h")).select("doc", "n", F.when(F.col("h").isNotNull(), F.col("k") % F.greatest("n", F.lit(1))).alias("pos"), F.col("h.a").alias("a"), F.col("h.b").alias("b"))
+    known = bounded_broadcast(vocabulary.select(F.col("id").alias("shingle"), F.col("hash.a").alias("a"), F.col("hash.b").alias("b")), BROADCAST_SHINGLES)
+    return each.join(known, ["a", "b"], "left").where(F.col("pos").isNull() | F.col("shingle").isNotNull()).select("doc", "n", "pos", "shingle")
 
 
 def with_prefix(placed: DataFrame, frequency: DataFrame) -> DataFrame:

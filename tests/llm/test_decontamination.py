@@ -1,6 +1,10 @@
+import re
+
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
+from skyfold.llm import decontamination
 from skyfold.llm.decontamination import ORACLE, find_contamination, keep_clean
 
 PASSAGE = "the quick brown fox jumps over the lazy dog while seven small birds sing loudly in the old oak tree today"
@@ -57,3 +61,21 @@ def test_clashing_columns_and_shuffled_shingles(spark, make_docs, monkeypatch):
     monkeypatch.setattr("skyfold.llm.decontamination.BROADCAST_SHINGLES", 0)
     monkeypatch.setattr("skyfold.llm.decontamination.BROADCAST_ROWS", 0)
     assert sorted(map(tuple, find_contamination(docs, bench).collect()), key=repr) == whole
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_a_long_text_costs_as_its_words(spark, monkeypatch, broadcast):
+    """A row a word has numbers alone, whichever way it meets the vocabulary: a text isn't copied as often as it has
+    words."""
+    if not broadcast:
+        monkeypatch.setattr(decontamination, "BROADCAST_SHINGLES", 0)
+    items = spark.createDataFrame([("i", " ".join(f"b{k}" for k in range(20)))], "item_id string, text string")
+    text = " ".join(f"w{k % 977}" for k in range(60_000)) + " " + " ".join(f"b{k}" for k in range(3, 18))
+    table = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    (row,) = find_contamination(table, items).collect()
+    assert (row.n_words, row.n_hit, row.n_items, row.contaminated) == (60_015, 15, 1, False)
+    own = table.select(F.struct("doc_id").alias("doc"), "text")
+    vocabulary = decontamination.vocabulary_of(decontamination.window_shingles(decontamination.item_windows(items), [5]), [5])
+    plan = decontamination.places(own, vocabulary, [5])._jdf.queryExecution().optimizedPlan().toString()
+    found = re.search(r"Generate posexplode\(.*, \[([\d, ]*)\], true, \[k#[^]]*\]", plan)
+    assert found[1] == "1"  # of doc, w and n below it, the words go no further
