@@ -1,7 +1,7 @@
 """Operator 8: token counts of fields and sections by offset-mapped attribution.
 
-Each document is encoded once and whole, so counts are those that training will see: no token is made by
-cutting the text first. A byte-level vocabulary loses nothing, so a token's span is where the bytes of the
+Each document is encoded once, to the ids that training will see: it is cut only where the pre-tokenizer surely cuts, so
+no token comes from the cut. A byte-level vocabulary loses nothing, so a token's span is where the bytes of the
 tokens before it end; those spans are joined with the sections' spans as intervals. A token over a boundary
 is allocated by `rule`:
 
