@@ -1,11 +1,15 @@
 """Operator 2: near-duplicates by Order MinHash.
 
-A text is its words; its k-mers are five words running, labelled with how often each stood before. For each of
+A text is its words; its k-mers are runs of words, labelled with how often each stood before. For each of
 `entries` hash functions the sketch takes the `taken` labelled k-mers of the least hashes and keeps them in text
 order, so two sketches agree in an entry when the same k-mers stand in the same order: alike in the sense of
 edits, not of word sets. Texts that agree in one entry share a bucket; a pair that agrees in `least_agreed`
 entries or more is a candidate.
 
+A third of the entries is of five words running. Where a word in five is edited few of those are left, and in short
+texts none, so the other thirds are of three and of two words, and of two and one in short texts (`sizes`). Each entry
+changes at a length of its own, so that texts of about one length have most entries in common.
+
 A banded alignment decides: a link is a pair whose edit similarity, twice the most words in one order over the
 words of both, is the threshold or more. Classes are what links connect.
 
@@ -17,8 +21,7 @@ words of both, is the threshold or more. Classes are what links connect.
      than a block is dealt out as pairs of blocks, a far larger one first by the second entry that pairs agree in:
      whichever copies its texts less often.
 
-No pair of rows is made by a join, and no candidate that could join two components is left out. A text of five words
-or fewer is one k-mer and so is linked only to texts of the same words.
+No pair of rows is made by a join, and no candidate that could join two components is left out.
 """
 
 from __future__ import annotations
@@ -33,6 +36,9 @@ from pyspark.sql import functions as F
 from skyfold.llm.common import TO_WORDS, bounded_broadcast, columns_of, hashed_words, written
 
 SHINGLE = 5
+#: Words of a text between which entries of the second third go from two words to three, and the last third's from one
+#: to two.
+TWO_TO_THREE, ONE_TO_TWO = (10, 30), (6, 18)
 #: Texts of a bucket that are compared with one another, or with as many others, at once.
 BLOCK = 800
 #: Copies of a text, one a pair of blocks, beyond which a bucket is rather dealt out by the second entry agreed in.
@@ -96,16 +102,31 @@ def _least(x: np.ndarray, drawn: np.ndarray, taken: int) -> np.ndarray:
     return np.sort(np.stack(places), axis=0)
 
 
+def sizes(words: int, entries: int) -> np.ndarray:
+    """Words of a k-mer in each entry, for a text of so many words."""
+    ends = [entries * k // 3 for k in range(4)]
+
+    def above(least: int, most: int, n: int) -> np.ndarray:
+        return words > least * (most / least) ** ((np.arange(n) + 0.5) / max(n, 1))
+
+    second, last = ends[2] - ends[1], ends[3] - ends[2]
+    return np.concatenate([np.full(ends[1], SHINGLE), 2 + above(*TWO_TO_THREE, second), 1 + above(*ONE_TO_TWO, last)])
+
+
 def sketch(words: np.ndarray, entries: int, taken: int) -> np.ndarray:
     """The Order MinHash sketch: `entries` numbers of 64 bits. words: at least one."""
-    x = labelled(shingles(words))
     drawn = np.random.default_rng(20190701).integers(1, 1 << 63, size=(2, entries), dtype=np.uint64)
-    step = max(1, HELD // len(x))
-    places = np.concatenate([_least(x, drawn[:, k : k + step], taken) for k in range(0, entries, step)], axis=1)
+    size_of = sizes(len(words), entries)
     out = np.zeros(entries, dtype=np.uint64)
-    for at in places:
-        out = (out ^ x[at]) * _BASE
-        out ^= out >> np.uint64(30)
+    for size in np.unique(size_of).tolist():
+        x = labelled(shingles(words, size))
+        own = np.flatnonzero(size_of == size)
+        step = max(1, HELD // len(x))
+        for at in range(0, len(own), step):
+            part = own[at : at + step]
+            for places in _least(x, drawn[:, part], taken):
+                out[part] = (out[part] ^ x[places]) * _BASE
+                out[part] ^= out[part] >> np.uint64(30)
     return out
 
 
@@ -365,11 +386,12 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("v").alias("uid"), F.col("u").alias("comp")).unionByName(now.select(F.col("u").alias("uid"), F.col("u").alias("comp")).distinct())
 
 
-def near_duplicates(docs: DataFrame, threshold: float = 0.8, entries: int = 32, taken: int = 2, least_agreed: int = 2) -> DataFrame:
-    """One row a document: doc_id, uid, class_id, class_size and kept.
+def near_duplicates(docs: DataFrame, threshold: float = 0.8, entries: int = 48, taken: int = 2, least_agreed: int = 2) -> DataFrame:
+    """One row a document: doc_id, uid, class_id, class_size, n_links and kept.
 
-    class_id is the least doc_id of the document's class, class_size its rows. kept marks the rows of class_id's text:
-    repeated rows are all marked. A text without words, null and empty ones too, is in no class but its own and is
+    class_id is the least doc_id of the document's class, class_size its rows. n_links counts the other texts that an
+    alignment linked to the document's own: those links alone connect the class, and texts that others had connected
+    before their turn aren't aligned. kept marks the rows of class_id's text: repeated rows are all marked. A text without words, null and empty ones too, is in no class but its own and is
     kept. Null doc_ids come after others; an empty table gives no rows; other columns are not looked at.
     """
     own = columns_of(docs).withColumn("uid", F.unhex(F.md5(F.col("text").cast("binary"))))
@@ -385,19 +407,21 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, entries: int = 32,
     grouped = written(components(links), "groups")
     links = links.unionByName(written(bucket_links(shared, grouped, found, texts, threshold, least_agreed), "links"))
     comps = written(components(links), "components")
+    met = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct().groupBy(F.col("a").alias("uid")).agg(F.count(F.lit(1)).alias("n_links"))
     # doc_ids and rows of each text, then of each class
     head = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "uid"))
     per_text = own.where(F.col("uid").isNotNull()).groupBy("uid").agg(head.alias("head"), F.count(F.lit(1)).alias("n"))
-    per_text = per_text.join(found.select("uid"), "uid", "left_semi").join(comps, "uid", "left")
+    per_text = per_text.join(found.select("uid"), "uid", "left_semi").join(comps.join(met, "uid", "left"), "uid", "left")
     per_text = written(per_text.where("n > 1 or comp is not null").withColumn("comp", F.coalesce("comp", "uid")), "classed")
     per_class = per_text.groupBy("comp").agg(F.min("head").alias("head"), F.sum("n").alias("class_size"))
-    named = written(per_text.drop("head", "n").join(bounded_broadcast(per_class, BROADCAST_KEYS), "comp").select("uid", "head", "class_size"), "classes")
+    named = written(per_text.drop("head", "n").join(bounded_broadcast(per_class, BROADCAST_KEYS), "comp").select("uid", "head", "class_size", "n_links"), "classes")
     joined = own.select("doc_id", "uid").join(bounded_broadcast(named, BROADCAST_KEYS), "uid", "left")
     return joined.select(
         "doc_id",
         "uid",
         F.when(F.col("head").isNull(), F.col("doc_id")).otherwise(F.col("head.doc_id")).alias("class_id"),
         F.coalesce("class_size", F.lit(1)).cast("long").alias("class_size"),
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         (F.col("head").isNull() | (F.col("doc_id").eqNullSafe(F.col("head.doc_id")) & (F.col("uid") == F.col("head.uid")))).alias("kept"),
     )
 

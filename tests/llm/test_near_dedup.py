@@ -76,7 +76,7 @@ def corpus():
 
 
 def brute_classes(texts):
-    """Classes of all pairs whose edit similarity is 0.8 or more; a text of one k-mer is linked to equal words alone."""
+    """Classes of all pairs whose edit similarity is 0.8 or more."""
     own = {i: words_of(t) for i, t in texts.items()}
     parent = {i: i for i in texts}
 
@@ -89,7 +89,7 @@ def brute_classes(texts):
         for b in own:
             if a < b and own[a] and own[b] and find(a) != find(b):
                 least, most = sorted((len(own[a]), len(own[b])))
-                if own[a] == own[b] or (least > 5 and least >= 0.4 * (least + most) and similarity(own[a], own[b]) >= 0.8):
+                if least >= 0.4 * (least + most) and similarity(own[a], own[b]) >= 0.8 - 1e-9:
                     parent[max(find(a), find(b))] = min(find(a), find(b))
     return {i: find(i) for i in texts}
 
@@ -111,6 +111,47 @@ def test_classes_against_brute_force(spark, make_docs, corpus, expected):
     assert sum(r.kept for r in rows) == len(sizes)
 
 
+BANDS = ((0.8, 0.85), (0.85, 0.9), (0.9, 1.0))
+
+
+def test_recall_of_edits_spread_over_a_text(spark, make_docs):
+    """Pairs of 8 to 2,000 words in each band of similarity: nine of ten stand in one class, by length and by band."""
+    rng = random.Random(17)
+    texts, wanted = {}, defaultdict(list)
+    for n in (8, 10, 16, 24, 40, 100, 400, 2000):
+        for low, high in BANDS:
+            for _ in range(40 if n < 400 else 15):
+                base = [f"w{rng.getrandbits(40)}" for _ in range(n)]
+                other, tries = base, 0
+                while other == base or not low - 1e-9 <= similarity(base, other) < high:
+                    other, tries = edited(rng, base, rng.randrange(1, n // 3 + 1)), tries + 1
+                    if tries > 400:
+                        break
+                if tries <= 400:
+                    first = 2 * len(texts)
+                    texts[first], texts[first + 1] = " ".join(base), " ".join(other)
+                    wanted[n, low].append((first, first + 1))
+    rows = {r.doc_id: r for r in near_duplicates(make_docs(texts)).collect()}
+    hit = {key: [rows[a].class_id == rows[b].class_id for a, b in pairs] for key, pairs in wanted.items()}
+    assert {low for _, low in hit} == {low for low, _ in BANDS} and {n for n, _ in hit} == {8, 10, 16, 24, 40, 100, 400, 2000}
+    for key, found in hit.items():
+        assert sum(found) >= 0.85 * len(found), (key, sum(found), len(found))
+    for low, _ in BANDS:
+        found = [x for key, own in hit.items() if key[1] == low for x in own]
+        assert sum(found) >= 0.9 * len(found), (low, sum(found), len(found))
+    assert all(r.n_links == r.class_size - 1 for r in rows.values())
+
+
+def test_links_connect_their_classes(spark, make_docs, corpus, expected):
+    """A class of k different texts needs k - 1 links at least, and no text in one is without any."""
+    rows = near_duplicates(make_docs(corpus)).collect()
+    members = defaultdict(dict)
+    for r in rows:
+        members[r.class_id][corpus[r.doc_id]] = r.n_links
+    assert all(sum(own.values()) >= 2 * (len(own) - 1) for own in members.values())
+    assert all((n > 0) == (len(own) > 1) for own in members.values() for n in own.values())
+
+
 def test_keep_one(spark, make_docs, corpus, expected):
     docs = make_docs([*corpus.items(), (100, corpus[100]), (None, "no id"), (None, "no id")])
     kept = keep_one(docs, near_duplicates(docs))
@@ -209,9 +250,9 @@ def test_long_words_and_parts():
 
 def test_sketch_in_steps(monkeypatch):
     words = word_hashes(" ".join(prose(random.Random(2), 500)))
-    whole = sketch(words, 32, 2)
+    whole = sketch(words, 48, 2)
     monkeypatch.setattr("skyfold.llm.near_dedup.HELD", 1000)
-    assert (sketch(words, 32, 2) == whole).all()
+    assert (sketch(words, 48, 2) == whole).all()
 
 
 def test_owned_pairs():
