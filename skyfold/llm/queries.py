@@ -12,12 +12,14 @@ from skyfold.llm.common import bounded_broadcast
 from skyfold.llm.packing import pack_documents
 from skyfold.llm.token_file import token_digest
 
-#: The listed URLs: every /section/number of these hosts, with and without these prefixes and suffixes.
+#: Names of the listed hosts, each under example.org and example.net.
+LISTED_NAMES = ("spam-farm", "cheap-pills", "free-bets", "ththhe", "ththth", "thther", "tionble", "tionsh", "tiontion", "ththon")
+#: The listed URLs: every /section/number of these hosts, with and without these prefixes and suffixes: 192,000.
 LISTED = {
-    "hosts": ("spam-farm.example.org", "cheap-pills.example.com", "free-bets.example.net"),
+    "hosts": tuple(f"{name}.example.{top}" for name in LISTED_NAMES for top in ("org", "net")),
     "prefixes": ("", "m.", "blog."),
     "sections": ("en", "de", "es", "fr"),
-    "numbers": 1000,
+    "numbers": 400,
     "suffixes": ("", ".html"),
 }
 #: The share of documents that resampling keeps.
@@ -125,8 +127,9 @@ WITH p AS (
 ), c AS (
   SELECT *, regexp_replace(regexp_replace(host, ':(80|443)$', ''), '^www\.', '') || regexp_replace(path, '/+$', '') AS canonical FROM s
 ), listed AS (
-  SELECT prefix || listed_host || '/' || section || '/' || n || suffix AS canonical FROM range(1000) AS numbers(n),
-         unnest(['spam-farm.example.org', 'cheap-pills.example.com', 'free-bets.example.net']) AS a(listed_host),
+  SELECT prefix || listed_name || '.example.' || top || '/' || section || '/' || n || suffix AS canonical FROM range(400) AS numbers(n),
+         unnest(['spam-farm', 'cheap-pills', 'free-bets', 'ththhe', 'ththth', 'thther', 'tionble', 'tionsh', 'tiontion', 'ththon']) AS a(listed_name),
+         unnest(['org', 'net']) AS d(top),
          unnest(['', 'm.', 'blog.']) AS b(prefix), unnest(['en', 'de', 'es', 'fr']) AS f(section), unnest(['', '.html']) AS g(suffix)
 ), r AS (
   SELECT *, CASE
