@@ -40,6 +40,26 @@ def removed(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+class Tables:
+    """Tables of the shared folder that go by name once what reads them has been written itself."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, {}
+
+    def written(self, df: DataFrame, label: str) -> DataFrame:
+        """df written and read back as written() does, and known by its label from here on."""
+        path = f"{scratch_dir(self.spark)}/{label}-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        self.paths.setdefault(label, []).append(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *labels: str) -> None:
+        """Removes the tables of these labels."""
+        for label in labels:
+            for path in self.paths.pop(label, []):
+                removed(self.spark, path)
+
+
 #: Bytes of an Arrow batch that goes to a Python worker.
 ARROW_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyfold.llm.common import TO_WORDS, bounded_broadcast, columns_of, hashed_words, written
+from skyfold.llm.common import TO_WORDS, Tables, bounded_broadcast, columns_of, hashed_words
 
 SHINGLE = 5
 #: Words of a text between which entries of the second third go from two words to three, and the last third's from one
@@ -286,14 +286,14 @@ def _edges(pairs: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in zip(*pairs, strict=True)], names=["a", "b"])
 
 
-def head_links(shared: DataFrame, texts: DataFrame, threshold: float, least_agreed: int) -> DataFrame:
+def head_links(shared: DataFrame, texts: DataFrame, threshold: float, least_agreed: int, tables: Tables) -> DataFrame:
     """(a, b): links of texts with the heads of their buckets. shared: entry, key, uid, n, head. texts: uid, text.
 
     A head of very many texts is dealt out, with as many copies of its own text as there are blocks of them.
     """
     candidates = shared.where("uid <> head").groupBy("uid", "head").agg(F.count(F.lit(1)).alias("met"), F.max("n").alias("n")).where(F.col("met") >= least_agreed)
     blocks = F.ceil(F.col("n") / HEAD_BLOCK)
-    placed = written(candidates.select("head", blocks.alias("blocks"), F.pmod(F.xxhash64("uid"), blocks).alias("part"), "uid"), "candidates")
+    placed = tables.written(candidates.select("head", blocks.alias("blocks"), F.pmod(F.xxhash64("uid"), blocks).alias("part"), "uid"), "candidates")
     members = placed.withColumn("role", F.lit(1))
     heads = placed.select("head", "blocks", "part").distinct().select("*", F.col("head").alias("uid"), F.lit(0).alias("role"))
     rows = members.unionByName(heads).join(texts, "uid").select("head", "blocks", "part", "role", "uid", "text")
@@ -324,11 +324,11 @@ def _live(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.join(sizes.where("_least <> _most").drop("_least", "_most"), keys)
 
 
-def bucket_links(shared: DataFrame, comps: DataFrame, sketched: DataFrame, texts: DataFrame, threshold: float, least_agreed: int) -> DataFrame:
+def bucket_links(shared: DataFrame, comps: DataFrame, sketched: DataFrame, texts: DataFrame, threshold: float, least_agreed: int, tables: Tables) -> DataFrame:
     """(a, b): links of candidates between different components. comps: uid and comp of texts already linked."""
     named = shared.select("entry", "key", "uid").join(sketched.select("uid", "chars"), "uid").join(bounded_broadcast(comps, BROADCAST_KEYS), "uid", "left")
-    named = written(named.withColumn("comp", F.coalesce("comp", "uid")), "buckets")
-    rows = written(_live(named, ["entry", "key"]).join(sketched.select("uid", "sketch"), "uid").withColumns({"second": F.lit(-1), "key2": F.lit(0).cast("long")}), "open")
+    named = tables.written(named.withColumn("comp", F.coalesce("comp", "uid")), "buckets")
+    rows = tables.written(_live(named, ["entry", "key"]).join(sketched.select("uid", "sketch"), "uid").withColumns({"second": F.lit(-1), "key2": F.lit(0).cast("long")}), "open")
     if least_agreed > 1:
         wide = rows.where(F.col("n") > COPIES * BLOCK).drop("n", "all_chars", "second", "key2").select("*", F.posexplode("sketch").alias("second", "key2")).where("second > entry")
         rows = rows.where(F.col("n") <= COPIES * BLOCK).unionByName(_live(wide, _BUCKET))
@@ -358,7 +358,7 @@ def bucket_links(shared: DataFrame, comps: DataFrame, sketched: DataFrame, texts
                 yield _edges([(group[x][6], group[y][6]) for x, y in found])
 
     schema = "entry int, key long, second int, key2 long, i int, j int, uid binary, own int, comp binary, sketch array<long>"
-    taking = written(gathered(placed.select(*columns), keys, ["uid"]).mapInArrow(partners, schema), "partners")
+    taking = tables.written(gathered(placed.select(*columns), keys, ["uid"]).mapInArrow(partners, schema), "partners")
     return gathered(taking.join(texts, "uid").select(*columns, "text"), keys, ["uid"]).mapInArrow(linked, "a binary, b binary")
 
 
@@ -366,9 +366,12 @@ def components(edges: DataFrame) -> DataFrame:
     """(uid, comp) of each vertex of the edges (a, b); comp is the least uid of its component.
 
     Rounds of two steps, each a grouping of the edges: the neighbours above a vertex, then those below it, are
-    hung on the least of all. Edges stay as many as they were at most. Each round ends in a written table.
+    hung on the least of all. Edges stay as many as they were at most. Each round ends in a written table,
+    which goes when the next one stands.
     """
-    now = written(edges.where("a != b").select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).distinct(), "edges")
+    rounds = 0
+    tables = Tables(edges.sparkSession)
+    now = tables.written(edges.where("a != b").select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).distinct(), "edges-0")
     while True:
         both = now.select("v", "u").unionByName(now.select(F.col("u").alias("v"), F.col("v").alias("u")))
         least = both.groupBy("v").agg(F.min("u").alias("m"))
@@ -377,7 +380,9 @@ def components(edges: DataFrame) -> DataFrame:
         below = large.groupBy("v").agg(F.min("u").alias("m"))
         small = large.join(bounded_broadcast(below, BROADCAST_KEYS), "v")
         after = small.select("v", F.col("m").alias("u")).unionByName(small.where(F.col("u") != F.col("m")).select(F.col("u").alias("v"), F.col("m").alias("u"))).where("v != u").distinct()
-        after = written(after, "edges")
+        after = tables.written(after, f"edges-{rounds + 1}")
+        tables.drop(f"edges-{rounds}")
+        rounds += 1
         # a star when every vertex hangs on one and none that is hung on hangs itself
         stars = after.groupBy("v").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty() and after.join(after.select(F.col("v").alias("u")), "u", "left_semi").isEmpty()
         now = after
@@ -397,24 +402,29 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, entries: int = 48,
     own = columns_of(docs).withColumn("uid", F.unhex(F.md5(F.col("text").cast("binary"))))
     texts = own.select("uid", "text").where("text is not null")
     # a text on a third of the rows is sketched in each task that has it, and is one row from here on
-    found = written(sketches(texts, entries, taken).groupBy("uid").agg(F.first("chars").alias("chars"), F.first("sketch").alias("sketch")), "sketches")
-    spread = found.select("uid", F.posexplode("sketch").alias("entry", "key"))
+    tables = Tables(docs.sparkSession)
+    found = tables.written(sketches(texts, entries, taken).groupBy("uid").agg(F.first("chars").alias("chars"), F.first("sketch").alias("sketch")), "sketches")
+    # one shuffle of all entries: the sizes of buckets are counted where the buckets' rows lie
+    spread = found.select("uid", F.posexplode("sketch").alias("entry", "key")).repartition("entry", "key")
     buckets = spread.groupBy("entry", "key").agg(F.count(F.lit(1)).alias("n"), F.min("uid").alias("head")).where("n > 1")
-    shared = written(spread.join(buckets, ["entry", "key"]), "shared")
+    shared = tables.written(spread.join(buckets, ["entry", "key"]), "shared")
     several = shared.groupBy("uid").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= least_agreed).select("uid")
-    texts = written(texts.join(bounded_broadcast(several, BROADCAST_KEYS), "uid").groupBy("uid").agg(F.first("text").alias("text")), "texts")
-    links = written(head_links(shared, texts, threshold, least_agreed), "links")
-    grouped = written(components(links), "groups")
-    links = links.unionByName(written(bucket_links(shared, grouped, found, texts, threshold, least_agreed), "links"))
-    comps = written(components(links), "components")
+    texts = tables.written(texts.join(bounded_broadcast(several, BROADCAST_KEYS), "uid").groupBy("uid").agg(F.first("text").alias("text")), "texts")
+    links = tables.written(head_links(shared, texts, threshold, least_agreed, tables), "links")
+    tables.drop("candidates")
+    grouped = tables.written(components(links), "groups")
+    links = links.unionByName(tables.written(bucket_links(shared, grouped, found, texts, threshold, least_agreed, tables), "links"))
+    tables.drop("partners", "open", "buckets", "shared", "texts", "groups")
+    comps = tables.written(components(links), "components")
     met = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct().groupBy(F.col("a").alias("uid")).agg(F.count(F.lit(1)).alias("n_links"))
     # doc_ids and rows of each text, then of each class
     head = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "uid"))
     per_text = own.where(F.col("uid").isNotNull()).groupBy("uid").agg(head.alias("head"), F.count(F.lit(1)).alias("n"))
     per_text = per_text.join(found.select("uid"), "uid", "left_semi").join(comps.join(met, "uid", "left"), "uid", "left")
-    per_text = written(per_text.where("n > 1 or comp is not null").withColumn("comp", F.coalesce("comp", "uid")), "classed")
+    per_text = tables.written(per_text.where("n > 1 or comp is not null").withColumn("comp", F.coalesce("comp", "uid")), "classed")
     per_class = per_text.groupBy("comp").agg(F.min("head").alias("head"), F.sum("n").alias("class_size"))
-    named = written(per_text.drop("head", "n").join(bounded_broadcast(per_class, BROADCAST_KEYS), "comp").select("uid", "head", "class_size", "n_links"), "classes")
+    named = tables.written(per_text.drop("head", "n").join(bounded_broadcast(per_class, BROADCAST_KEYS), "comp").select("uid", "head", "class_size", "n_links"), "classes")
+    tables.drop("classed", "components", "links", "sketches")
     joined = own.select("doc_id", "uid").join(bounded_broadcast(named, BROADCAST_KEYS), "uid", "left")
     return joined.select(
         "doc_id",
