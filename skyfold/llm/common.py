@@ -44,7 +44,7 @@ class Tables:
     """Tables of the shared folder that go by name once what reads them has been written itself."""
 
     def __init__(self, spark: SparkSession):
-        self.spark, self.paths = spark, {}
+        self.spark, self.paths, self.names = spark, {}, {}
 
     def written(self, df: DataFrame, label: str) -> DataFrame:
         """df written and read back as written() does, and known by its label from here on."""
@@ -53,10 +53,22 @@ class Tables:
         self.paths.setdefault(label, []).append(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def bucketed(self, df: DataFrame, label: str, key: str) -> DataFrame:
+        """df written in buckets of a key, one a shuffle partition: joins on the key don't shuffle it again."""
+        name = f"{label.replace('-', '_')}_{uuid.uuid4().hex}"
+        path = f"{scratch_dir(self.spark)}/{name}"
+        n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        df.write.format("parquet").option("path", path).bucketBy(n, key).sortBy(key).saveAsTable(name)
+        self.paths.setdefault(label, []).append(path)
+        self.names[path] = name
+        return self.spark.table(name)
+
     def drop(self, *labels: str) -> None:
         """Removes the tables of these labels."""
         for label in labels:
             for path in self.paths.pop(label, []):
+                if path in self.names:
+                    self.spark.sql(f"DROP TABLE IF EXISTS {self.names.pop(path)}")
                 removed(self.spark, path)
 
 

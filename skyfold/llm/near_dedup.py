@@ -218,24 +218,40 @@ def alike(a: Words, b: Words, threshold: float) -> bool:
     return True
 
 
-def owned_pairs(table: np.ndarray, comps: np.ndarray, sides: np.ndarray, entry: int, second: int, least_agreed: int) -> np.ndarray:
-    """Places of a bucket's candidates, a pair a row, those that agree most first.
-
-    table: a sketch a row. comps: components; pairs of one are none. sides: the block of each row; where there are
-    two, only pairs across them count. entry: the first entry that the bucket's pairs agree in, so that each pair is
-    in one bucket only; second: the second one, -1 where the bucket is not dealt out by it.
+def sketch_table(at: list[list[int]], keys: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Entries that texts hold as a table, a text a row, and which of its cells are held."""
+    rows = np.repeat(np.arange(len(at)), [len(x) for x in at])
+    columns = np.concatenate([np.asarray(x, dtype=np.int64) for x in at])
+    table = np.zeros((len(at), int(columns.max()) + 1), dtype=np.int64)
+    held = np.zeros(table.shape, dtype=bool)
+    table[rows, columns] = np.concatenate([np.asarray(x, dtype=np.int64) for x in keys])
+    held[rows, columns] = True
+    return table, held
+
+
+def owned_pairs(table: np.ndarray, held: np.ndarray, comps: np.ndarray, sides: np.ndarray, entry: int, second: int, least_agreed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of a bucket's candidates, a pair a row, and the entries each agrees in.
+
+    table: a sketch a row; held: the cells that count. comps: components; pairs of one are none. sides: the block of
+    each row; where there are two, only pairs across them count. entry: the first entry that the bucket's pairs agree
+    in, so that each pair is in one bucket only; second: the second one, -1 where the bucket is not dealt out by it.
     """
     n, last = len(table), max(entry, second)
     agreed, before = np.zeros((n, n), dtype=np.int16), np.zeros((n, n), dtype=np.int16)
     for k in range(table.shape[1]):
-        agreed += table[:, k][:, None] == table[:, k][None, :]
-        if k == last - 1:
+        if k == last:
             before = agreed.copy()
+        rows = np.flatnonzero(held[:, k])
+        if len(rows) == n:
+            agreed += table[:, k][:, None] == table[:, k][None, :]
+        elif len(rows) > 1:
+            own = table[rows, k]
+            agreed[np.ix_(rows, rows)] += own[:, None] == own[None, :]
     own = (agreed >= least_agreed) & (before == (second >= 0)) & (comps[:, None] != comps[None, :])
     if sides.min() != sides.max():
         own &= sides[:, None] != sides[None, :]
     pairs = np.argwhere(np.triu(own))
-    return pairs[np.argsort(-agreed[pairs[:, 0], pairs[:, 1]], kind="stable")]
+    return pairs, agreed[pairs[:, 0], pairs[:, 1]]
 
 
 def links_of_bucket(texts: list[str], pairs: np.ndarray, comps: np.ndarray, threshold: float) -> list[tuple[int, int]]:
@@ -325,40 +341,57 @@ def _live(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def bucket_links(shared: DataFrame, comps: DataFrame, sketched: DataFrame, texts: DataFrame, threshold: float, least_agreed: int, tables: Tables) -> DataFrame:
-    """(a, b): links of candidates between different components. comps: uid and comp of texts already linked."""
-    named = shared.select("entry", "key", "uid").join(sketched.select("uid", "chars"), "uid").join(bounded_broadcast(comps, BROADCAST_KEYS), "uid", "left")
-    named = tables.written(named.withColumn("comp", F.coalesce("comp", "uid")), "buckets")
-    rows = tables.written(_live(named, ["entry", "key"]).join(sketched.select("uid", "sketch"), "uid").withColumns({"second": F.lit(-1), "key2": F.lit(0).cast("long")}), "open")
+    """(a, b): links of candidates between different components. comps: uid and comp of texts already linked.
+
+    What a pair agrees in are buckets of several components, so of a sketch no more than its entries in such buckets
+    goes along, and texts with fewer of them than a candidate needs go first.
+    """
+    own = sketched.select("uid", "chars").join(bounded_broadcast(comps, BROADCAST_KEYS), "uid", "left").withColumn("comp", F.coalesce("comp", "uid"))
+    named = shared.select("entry", "key", "uid").join(own, "uid").repartition("entry", "key")
+    held = _live(named, ["entry", "key"]).groupBy("uid").agg(F.first("chars").alias("chars"), F.first("comp").alias("comp"), F.collect_list(F.struct("entry", "key", "n", "all_chars")).alias("held"))
+    held = tables.written(held.where(F.size("held") >= least_agreed), "open")
+    rows = held.select("uid", "chars", "comp", "held", F.explode("held").alias("_own")).select("uid", "chars", "comp", "held", "_own.*")
+    rows = rows.withColumns({"second": F.lit(-1), "key2": F.lit(0).cast("long")})
     if least_agreed > 1:
-        wide = rows.where(F.col("n") > COPIES * BLOCK).drop("n", "all_chars", "second", "key2").select("*", F.posexplode("sketch").alias("second", "key2")).where("second > entry")
+        wide = rows.where(F.col("n") > COPIES * BLOCK).drop("n", "all_chars", "second", "key2").select("*", F.explode("held").alias("_other"))
+        wide = wide.select("*", F.col("_other.entry").alias("second"), F.col("_other.key").alias("key2")).drop("_other").where("second > entry")
         rows = rows.where(F.col("n") <= COPIES * BLOCK).unionByName(_live(wide, _BUCKET))
     blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.least(F.ceil(F.col("all_chars") / BLOCK_CHARS), F.ceil(F.col("n") / 2))).cast("int")
     placed = rows.withColumn("own", F.pmod(F.xxhash64("uid"), blocks).cast("int")).withColumn("_other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     placed = placed.withColumn("i", F.least("own", "_other")).withColumn("j", F.greatest("own", "_other"))
     keys = [*_BUCKET, "i", "j"]
-    columns = [*keys, "uid", "own", "comp", "sketch"]
-
-    def candidates_of(group: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
-        comps = np.unique(np.array([g[8].hex() for g in group]), return_inverse=True)[1]
-        table = np.array([g[9] for g in group], dtype=np.int64)
-        return owned_pairs(table, comps, np.array([g[7] for g in group]), group[0][0], group[0][2], least_agreed), comps
+    columns = [*keys, "uid", "comp", "place", "later"]
 
     def partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int32(), pa.binary(), pa.list_(pa.int64())]
+        """Texts with a candidate: their place in the bucket, and of each candidate after it entries and place."""
+        kinds = [pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.int32(), pa.list_(pa.int64())]
         for group in runs_of(batches, len(keys)):
-            if len(group) > 1 and len(pairs := candidates_of(group)[0]):
-                out = [group[k] for k in np.unique(pairs).tolist()]
+            if len(group) < 2:
+                continue
+            table, cells = sketch_table([g[9] for g in group], [g[10] for g in group])
+            comps = np.unique(np.array([g[8].hex() for g in group]), return_inverse=True)[1]
+            pairs, agreed = owned_pairs(table, cells, comps, np.array([g[7] for g in group]), group[0][0], group[0][2], least_agreed)
+            if len(pairs):
+                later: dict[int, list[int]] = {k: [] for k in np.unique(pairs).tolist()}
+                for (x, y), n in zip(pairs.tolist(), agreed.tolist(), strict=True):
+                    later[x].append(n << 32 | y)
+                out = [(*group[k][:7], group[k][8], k, own) for k, own in later.items()]
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), kinds, strict=True)], names=columns)
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in runs_of(batches, len(keys)):
-            pairs, comps = candidates_of(group)
+            row = {g[8]: k for k, g in enumerate(group)}
+            # those that agree most first
+            ordered = sorted((-(y >> 32), g[8], y & 0xFFFFFFFF) for g in group for y in g[9])
+            pairs = np.array([(row[x], row[y]) for _, x, y in ordered])
+            comps = np.unique(np.array([g[7].hex() for g in group]), return_inverse=True)[1]
             found = links_of_bucket([g[10] for g in group], pairs, comps, threshold)
             if found:
                 yield _edges([(group[x][6], group[y][6]) for x, y in found])
 
-    schema = "entry int, key long, second int, key2 long, i int, j int, uid binary, own int, comp binary, sketch array<long>"
-    taking = tables.written(gathered(placed.select(*columns), keys, ["uid"]).mapInArrow(partners, schema), "partners")
+    schema = "entry int, key long, second int, key2 long, i int, j int, uid binary, comp binary, place int, later array<long>"
+    bucket = placed.select(*keys, "uid", "own", "comp", F.col("held.entry").alias("at"), F.col("held.key").alias("keys"))
+    taking = tables.written(gathered(bucket, keys, ["uid"]).mapInArrow(partners, schema), "partners")
     return gathered(taking.join(texts, "uid").select(*columns, "text"), keys, ["uid"]).mapInArrow(linked, "a binary, b binary")
 
 
@@ -409,12 +442,12 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, entries: int = 48,
     buckets = spread.groupBy("entry", "key").agg(F.count(F.lit(1)).alias("n"), F.min("uid").alias("head")).where("n > 1")
     shared = tables.written(spread.join(buckets, ["entry", "key"]), "shared")
     several = shared.groupBy("uid").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= least_agreed).select("uid")
-    texts = tables.written(texts.join(bounded_broadcast(several, BROADCAST_KEYS), "uid").groupBy("uid").agg(F.first("text").alias("text")), "texts")
+    texts = tables.bucketed(texts.join(bounded_broadcast(several, BROADCAST_KEYS), "uid").groupBy("uid").agg(F.first("text").alias("text")), "texts", "uid")
     links = tables.written(head_links(shared, texts, threshold, least_agreed, tables), "links")
     tables.drop("candidates")
     grouped = tables.written(components(links), "groups")
     links = links.unionByName(tables.written(bucket_links(shared, grouped, found, texts, threshold, least_agreed, tables), "links"))
-    tables.drop("partners", "open", "buckets", "shared", "texts", "groups")
+    tables.drop("partners", "open", "shared", "texts", "groups")
     comps = tables.written(components(links), "components")
     met = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct().groupBy(F.col("a").alias("uid")).agg(F.count(F.lit(1)).alias("n_links"))
     # doc_ids and rows of each text, then of each class

@@ -9,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from skyfold.llm.common import hashed_words
-from skyfold.llm.near_dedup import Words, alike, components, keep_one, labelled, links_of_bucket, near_duplicates, owned_pairs, shingles, sketch, word_hashes, words_in_order
+from skyfold.llm.near_dedup import Words, alike, components, keep_one, labelled, links_of_bucket, near_duplicates, owned_pairs, shingles, sketch, sketch_table, word_hashes, words_in_order
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -257,12 +257,27 @@ def test_sketch_in_steps(monkeypatch):
 
 def test_owned_pairs():
     table = np.arange(24)[None, :].repeat(4, axis=0)
-    apart, one = np.arange(4), np.zeros(4, dtype=int)
-    assert len(owned_pairs(table, apart, one, 0, -1, 4)) == 6
-    assert len(owned_pairs(table, apart, one, 1, -1, 4)) == 0  # owned by the first entry
-    assert len(owned_pairs(table, apart, one, 0, 1, 2)) == 6 and len(owned_pairs(table, apart, one, 0, 2, 2)) == 0
-    assert len(owned_pairs(table, np.array([0, 0, 1, 1]), one, 0, -1, 4)) == 4
-    assert len(owned_pairs(table, apart, np.array([0, 1, 1, 1]), 0, -1, 4)) == 3
+    apart, one, all_held = np.arange(4), np.zeros(4, dtype=int), np.ones(table.shape, dtype=bool)
+
+    def owned(comps, *rest, held=all_held):
+        return len(owned_pairs(table, held, comps, one, *rest)[0])
+
+    assert owned(apart, 0, -1, 4) == 6
+    assert owned(apart, 1, -1, 4) == 0  # owned by the first entry
+    assert owned(apart, 0, 1, 2) == 6 and owned(apart, 0, 2, 2) == 0
+    assert owned(np.array([0, 0, 1, 1]), 0, -1, 4) == 4
+    assert owned(np.array([0, 1, 1, 1]), 0, -1, 4) == 3
+    # equal cells that aren't held agree in nothing
+    held = all_held.copy()
+    held[:2, 0] = False
+    assert owned(apart, 1, -1, 4, held=held) == 5
+    held[0, 1:] = False
+    assert owned(apart, 1, -1, 4, held=held) == 2
+
+
+def test_sketch_table():
+    table, held = sketch_table([[3, 0], [1]], [[-5, 0], [7]])
+    assert table.tolist() == [[0, 0, 0, -5], [0, 7, 0, 0]] and held.tolist() == [[True, False, False, True], [False, True, False, False]]
 
 
 def test_clashing_columns(spark, make_docs):
