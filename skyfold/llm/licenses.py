@@ -3,7 +3,9 @@
 A text is normalised to its words, A-Z lower-cased, one space between them. Phrases are counted where their
 words stand consecutively. A notice is found with up to `errors` edits: split into errors + 1 pieces, at least
 one piece stands unchanged in any text within those edits (pigeonhole), so an automaton of all pieces gives
-every candidate place, and the regex library's bounded-error matching decides there and reports the span.
+every candidate place. The least edits of a part ending at each character, kept as the bits of one number, narrow
+these to where some part is within the edits; the regex library's bounded-error matching decides there and reports the
+span. Time is so linear in a text that nearly has notices all over.
 Places are taken by rising share of edits, each in what the ones before left free, so none hides another beside it.
 """
 
@@ -69,6 +71,32 @@ def pieces(notice: Notice) -> list[tuple[int, str]]:
     return [(a, notice.words[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
+def near_ends(words: str, errors: int, text: str, begin: int, end: int) -> list[tuple[int, int]]:
+    """(place, edits) where a part of text[begin:end] ends that is within the errors of words, with its least edits.
+
+    The column of edits of all prefixes of words is held as its differences, up and down, one bit a prefix.
+    """
+    marks: dict[str, int] = {}
+    for k, c in enumerate(words):
+        marks[c] = marks.get(c, 0) | 1 << k
+    full, last = (1 << len(words)) - 1, 1 << len(words) - 1
+    up, down, edits = full, 0, len(words)
+    found = []
+    for at in range(begin, end):
+        equal = marks.get(text[at], 0)
+        level = (((equal & up) + up) ^ up) | equal
+        more, less = down | (full & ~(level | up)), up & level
+        if more & last:
+            edits += 1
+        elif less & last:
+            edits -= 1
+        more, less, kept = more << 1 & full, less << 1 & full, equal | down
+        up, down = less | (full & ~(kept | more)), more & kept
+        if edits <= errors:
+            found.append((at + 1, edits))
+    return found
+
+
 class Search:
     """The automaton of all notices' pieces and their patterns."""
 
@@ -109,17 +137,38 @@ class Search:
                     joined.append([begin, end])
         return found
 
+    @staticmethod
+    def stretches(windows: list[list[int]], ends: list[tuple[int, int]], errors: int, longest: int) -> Iterator[list[int]]:
+        """Stretches of the windows that hold all matches of at most so many errors and characters; apart, from the left."""
+        held: list[int] | None = None
+        w = 0
+        for end, edits in ends:
+            if edits <= errors:
+                while windows[w][1] < end:
+                    w += 1
+                begin = max(windows[w][0], end - longest)
+                if held and begin <= held[1]:
+                    held[1] = end
+                else:
+                    if held:
+                        yield held
+                    held = [begin, end]
+        if held:
+            yield held
+
     def places(self, text: str, windows: dict[int, list[list[int]]]) -> list[tuple[int, int, int, int]]:
         """(notice, start, end, edits), none over another, until no window has a match in what is left free.
 
         By rising share of edits, the longer notice first, then from the left. What a step leaves free has no match
-        of its notice within its edits, so each step adds those of one edit more.
+        of its notice within its edits, so each step adds those of one edit more. A match ends where some part within
+        its edits ends, so each step looks no further than before such ends.
         """
+        ends = {k: [p for window in own for p in near_ends(self.wanted[k].words, self.wanted[k].errors, text, *window)] for k, own in windows.items()}
         steps = sorted((e / len(self.wanted[k].words), -len(self.wanted[k].words), k, e) for k in windows for e in range(self.wanted[k].errors + 1))
         taken: list[tuple[int, int]] = []
         found = []
         for _, size, k, e in steps:
-            for begin, end in windows[k]:
+            for begin, end in self.stretches(windows[k], ends[k], e, -size + e):
                 at = bisect_left(taken, (begin, begin))
                 inside = taken[max(0, at - 1) : bisect_left(taken, (end, end))]
                 for low, high in zip([begin, *[max(begin, b) for _, b in inside]], [*[a for a, _ in inside], end], strict=True):

@@ -3,8 +3,10 @@ import re
 import time
 
 import regex
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
-from skyfold.llm.licenses import NOTICES, PHRASES, Search, find_licenses, notices, scan, words_of
+from skyfold.llm.licenses import NOTICES, PHRASES, Search, find_licenses, near_ends, notices, scan, words_of
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -91,6 +93,27 @@ def test_no_place_hides_another():
     assert both[5] == "gpl-2,gpl-3" and both[7] == "gpl-3:0:8:2,gpl-2:10:18:0"
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.text("ab c", min_size=1, max_size=12), st.text("ab cd", max_size=40), st.integers(0, 5))
+def test_near_ends_against_brute_force(words, text, errors):
+    def least(end):
+        row = list(range(len(words) + 1))  # parts that are empty at the start; each character may begin one
+        for c in text[:end]:
+            before, row = row, [0]
+            for k, w in enumerate(words):
+                row.append(min(before[k] + (w != c), before[k + 1] + 1, row[k] + 1))
+        return row[-1]
+
+    assert near_ends(words, errors, text, 0, len(text)) == [(k, least(k)) for k in range(1, len(text) + 1) if least(k) <= errors]
+
+
+def test_near_misses_all_over_a_long_text_in_seconds():
+    text = "permission is hereby xx granted yy free of zz charge qq " * 18_000 + "permision is hereby granted free of charge to any person obtaining a copy"
+    begun = time.process_time()
+    found = scan(text, PHRASES, notices(NOTICES))
+    assert time.process_time() - begun < 10 and found[5] == "mit" and found[7] == "mit:198000:198012:1"
+
+
 def test_places_against_brute_force():
     """What the found places leave free holds no match of any notice: of each notice alone, and of all together."""
     rng = random.Random(3)
