@@ -11,10 +11,10 @@ _SCALE = float(1 << 17)
 
 
 def zones(lat: Column) -> Column:
-    """Longitude zones at a latitude: 59 at the equator, 1 beyond 87 degrees."""
+    """Longitude zones at a latitude: 59 at the equator, 1 beyond 87 degrees; null at none."""
     a = 1 - math.cos(math.pi / 30)
     inner = F.greatest(F.lit(-1.0), 1 - a / F.pow(F.cos(F.radians(F.abs(lat))), 2))
-    return F.when(F.abs(lat) < 1e-12, F.lit(59)).when(F.abs(lat) == 87, F.lit(2)).when(F.abs(lat) > 87, F.lit(1)).otherwise(F.floor(2 * math.pi / F.acos(inner))).cast("int")
+    return F.when(F.abs(lat) < 1e-12, F.lit(59)).when(F.abs(lat) == 87, F.lit(2)).when(F.abs(lat) > 87, F.lit(1)).when(F.abs(lat) < 87, F.floor(2 * math.pi / F.acos(inner))).cast("int")
 
 
 def _mod(a: Column, b) -> Column:

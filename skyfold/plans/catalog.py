@@ -372,7 +372,8 @@ def cpr_global(spark, sf_dir):
     is_odd = F.col("odd") == 1
     own = own.select("event_id", "odd", *[F.when(is_odd, F.col(x)).otherwise(F.col(y)).alias(name) for name, x, y in (("lat", "olat", "elat"), ("lon", "olon", "elon"), ("other_lat", "elat", "olat"), ("other_lon", "elon", "olon"))])
     lat, lon = cpr.global_airborne(F.col("other_lat"), F.col("other_lon"), F.col("lat"), F.col("lon"), F.col("odd"))
-    return own.select("event_id", F.round(lat, 9).alias("lat"), F.round(lon, 9).alias("lon"))
+    # rounded as a multiple: round(x, 9) goes by the shortest digits of x, which can say a tie where x is none
+    return own.select("event_id", *[(F.round(x * 1e9) / 1e9).alias(name) for x, name in ((lat, "lat"), (lon, "lon"))])
 
 
 def cpr_surface(spark, sf_dir):
