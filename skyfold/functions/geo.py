@@ -15,6 +15,23 @@ def web_mercator(lat: Column, lon: Column) -> tuple[Column, Column]:
     return F.radians(lon) * EARTH_RADIUS, F.log(F.tan(math.pi / 4 + F.radians(lat) / 2)) * EARTH_RADIUS
 
 
+def thousandths(value: Column) -> Column:
+    """The value to three decimals by its exact binary fraction, ties to even, as C's printf has it.
+
+    Java's formatter and round() go by the shortest digits of a double, so that 1975640.1475, which lies below its
+    digits, is a tie to them. Every step here is exact; values too large for that have no such decimals.
+    """
+    size = F.abs(value)
+    whole = F.floor(size)
+    rest = size - whole
+    high = F.floor(rest * 2.0**26) / 2.0**26
+    n = F.floor(1000 * high)
+    over = (1000 * high - n - 0.5) + 1000 * (rest - high)
+    up = (over > 0) | ((over == 0) & (n % 2 == 1))
+    rounded = F.signum(value) * (whole * 1000.0 + n + F.when(up, 1.0).otherwise(0.0)) / 1000
+    return F.when(size < 2.0**43, rounded).otherwise(value)
+
+
 def icao_hex(icao: Column) -> Column:
     """Six upper-case hex digits."""
     return F.lpad(F.hex(icao.cast("long")), 6, "0")

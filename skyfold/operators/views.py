@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from skyfold.functions.geo import label, web_mercator
+from skyfold.functions.geo import label, thousandths, web_mercator
 
 COLUMNS = ("timestamp", "mode_s_code", "lat", "lon", "alt", "call_sign", "squawk", "on_ground")
 
@@ -76,7 +76,8 @@ def last_points(points: DataFrame) -> DataFrame:
 def trajectories(points: DataFrame) -> DataFrame:
     """The line of each aircraft with two points or more: n_points and wkt, in time order, in map metres."""
     x, y = web_mercator(F.col("lat"), F.col("lon"))
-    placed = points.select("mode_s_code", F.struct("timestamp", x.alias("x"), y.alias("y")).alias("p"))
+    placed = points.select("mode_s_code", "timestamp", x.alias("x"), y.alias("y"))
+    placed = placed.select("mode_s_code", F.struct("timestamp", thousandths(F.col("x")).alias("x"), thousandths(F.col("y")).alias("y")).alias("p"))
     lines = placed.groupBy("mode_s_code").agg(F.array_sort(F.collect_list("p")).alias("points")).where(F.size("points") >= 2)
     text = F.array_join(F.transform("points", lambda p: F.format_string("%.3f %.3f", p.x, p.y)), ", ")
     return lines.select("mode_s_code", F.size("points").cast("long").alias("n_points"), F.concat(F.lit("LINESTRING ("), text, F.lit(")")).alias("wkt"))
